@@ -147,9 +147,9 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     parts = []
     for t, df in tables.items():
         pk = PRIMARY_KEYS[t]
-        aggs = [F.sum(F.col(pk).isNull().cast("int")).alias("pk_null"),
+        aggs = [F.count(F.when(F.col(pk).isNull(), 1)).alias("pk_null"),
                 (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("pk_duplicate")]
-        aggs += [F.sum(F.col(c).isNull().cast("int")).alias(f"not_null:{c}") for c in NOT_NULL[t]]
+        aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in NOT_NULL[t]]
         a = df.agg(*aggs)
         names = [x for x in a.columns]
         parts.append(a.select(*[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])

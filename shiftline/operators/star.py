@@ -63,7 +63,7 @@ class Star:
         machine's plant instead.
         """
         f = self.fact_production if fact_cols is None else self.fact_production.select(*fact_cols)
-        return _attach(self, f, attrs)
+        return attach_attrs(self, f, attrs)
 
     def wide_production(self) -> DataFrame:
         """The fact with plant, machine, date, product and shift attributes."""
@@ -101,7 +101,7 @@ _ATTR_SOURCE = {
 }
 
 
-def _attach(star: Star, f: DataFrame, attrs) -> DataFrame:
+def attach_attrs(star: Star, f: DataFrame, attrs) -> DataFrame:
     by_dim: dict[tuple[str, str], list[str]] = {}
     for a in attrs:
         d, k = _ATTR_SOURCE[a]

@@ -12,20 +12,42 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.operators.star import Star, build_star
+import datetime as _dt
+
+from shiftline.operators.star import Star, build_star, filter_choices
+from shiftline.plans import bi, dashboard as db, ingest
 from shiftline.plans import sample_queries as sq
-from shiftline.sources.fixtures import load_raw
+from shiftline.sources.fixtures import RawStar, load_raw
 
-_STARS: dict[tuple[str, str], Star] = {}
+_STARS: dict[tuple[str, str], tuple[RawStar, Star]] = {}
 
+# Fixed parameters of the registered filtered views.
+FILTER_PLANTS = ["ASIA", "EUROPE"]
+FILTER_TYPES = ["TYPE_1", "TYPE_3", "TYPE_5"]
+FILTER_START, FILTER_END = "1996-01-01", "1997-06-30"
+TREND_TYPES = ["TYPE_0", "TYPE_2"]
+AGE_AS_OF = _dt.date(2002, 1, 1)
 
-def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
+
+def _loaded(spark: SparkSession, sf_dir: str) -> tuple[RawStar, Star]:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _STARS:
-        _STARS[key] = build_star(load_raw(spark, sf_dir))
+        raw = load_raw(spark, sf_dir)
+        _STARS[key] = (raw, build_star(raw))
     return _STARS[key]
 
 
+def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
+    return _loaded(spark, sf_dir)[1]
+
+
+def _with_raw(fn) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(*_loaded(spark, sf_dir))
+    run.__name__ = fn.__name__
+    return run
+
+
 def _on_star(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(fixture_star(spark, sf_dir))
@@ -41,4 +63,62 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "maintenance_cost_by_plant_type": _on_star(sq.maintenance_cost_by_plant_type),
     "failure_rate_by_machine_type": _on_star(sq.failure_rate_by_machine_type),
     "monthly_units_by_category": _on_star(sq.monthly_units_by_category),
+    # ingest (C1–C10, S5)
+    "clean_dim_plant": _on_star(lambda st: st.dim_plant),
+    "clean_dim_machine": _on_star(lambda st: st.dim_machine),
+    "clean_dim_shift": _on_star(lambda st: st.dim_shift),
+    "clean_dim_product": _on_star(lambda st: st.dim_product),
+    "clean_dim_date": _on_star(lambda st: st.dim_date),
+    "clean_production": _on_star(lambda st: st.fact_production),
+    "clean_maintenance": _on_star(lambda st: st.fact_maintenance),
+    "reject_report": _with_raw(ingest.reject_report),
+    "constraint_report": _on_star(ingest.constraint_report),
+    "table_counts": _on_star(ingest.table_counts),
+    # star joins and filters
+    "wide_production": _on_star(lambda st: st.wide_production()),
+    "maintenance_wide": _on_star(lambda st: st.maintenance_wide()),
+    "filtered_production": _on_star(lambda st: db.filtered_production(
+        st, FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END,
+        attrs=["plant_name", "machine_type", "date"]).select(
+        "record_id", "machine_id", "date_id", "shift_id", "plant_name", "machine_type", "date",
+        "produced_qty")),
+    "filter_choices": _on_star(lambda st: filter_choices(
+        db.filtered_production(st, attrs=["plant_name", "machine_type", "date"]))),
+    # dashboard
+    "kpi_summary": _on_star(lambda st: db.kpi_summary(db.filtered_production(st))),
+    "weekly_production": _on_star(lambda st: db.weekly_production(
+        db.filtered_production(st, attrs=["date"]))),
+    "production_by_category": _on_star(lambda st: db.production_by_category(
+        db.filtered_production(st, attrs=["category"]))),
+    "defect_rate_by_plant": _on_star(lambda st: db.defect_rate_by_plant(
+        db.filtered_production(st, attrs=["plant_name"]))),
+    "energy_by_machine_name": _on_star(lambda st: db.energy_by_machine_name(
+        db.filtered_production(st, attrs=["machine_name"]))),
+    "downtime_by_machine_type": _on_star(lambda st: db.downtime_by_machine_type(
+        db.filtered_production(st, attrs=["machine_type"]))),
+    "peak_energy_machine": _on_star(lambda st: db.peak_energy_machine(
+        db.filtered_production(st, attrs=["machine_name"]))),
+    "cost_by_maintenance_type": _on_star(lambda st: db.cost_by_maintenance_type(
+        db.filtered_maintenance(st))),
+    "maintenance_cost_by_plant": _on_star(lambda st: db.maintenance_cost_by_plant(
+        db.filtered_maintenance(st))),
+    "top_maintenance_events": _on_star(lambda st: db.top_maintenance_events(
+        db.filtered_maintenance(st))),
+    "overall_failure_rate": _on_star(lambda st: db.overall_failure_rate(st.fact_production)),
+    # BI measures and pages
+    "production_measures": _on_star(lambda st: bi.production_measures(
+        db.filtered_production(st, attrs=["plant_name"]), "plant_name")),
+    "maintenance_measures": _on_star(lambda st: bi.maintenance_measures(
+        st.maintenance_wide(), "plant_name")),
+    "executive_overview": _on_star(lambda st: bi.executive_overview(
+        st.fact_production, st.fact_maintenance)),
+    "production_by_plant": _on_star(lambda st: bi.production_by_plant(
+        db.filtered_production(st, attrs=["plant_name"]))),
+    "plant_category_matrix": _on_star(lambda st: bi.plant_category_matrix(
+        db.filtered_production(st, attrs=["plant_name", "category"]))),
+    "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
+        db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
+    "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
+    "same_period_last_year": _on_star(lambda st: bi.same_period_last_year(
+        db.filtered_production(st, attrs=["plant_name", "year", "month"]))),
 }
