@@ -336,3 +336,63 @@ FROM monthly a LEFT JOIN monthly b
   ON a.plant_name = b.plant_name AND a.year = b.year + 1 AND a.month = b.month
 ORDER BY 1, 2, 3
 """
+
+# ----------------------------------------------------------------------------- history
+_W = "PARTITION BY machine_id ORDER BY date_id, shift_id, record_id"
+
+BODIES["prior_downtime_avg3"] = f"""
+SELECT machine_id, date_id, shift_id, record_id,
+       coalesce(CAST(sum(CAST(downtime_minutes AS {D})) OVER (ROWS_W) AS DOUBLE)
+                / count(downtime_minutes) OVER (ROWS_W), 0.0::DOUBLE) AS prior_downtime_avg3
+FROM fact_production
+""".replace("ROWS_W", f"{_W} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING")
+
+BODIES["prior_wear"] = f"""
+SELECT machine_id, date_id, shift_id, record_id,
+       coalesce(lag(machine_wear_index) OVER ({_W}), machine_wear_index) AS prior_wear
+FROM fact_production
+"""
+
+BODIES["defect_rate_row"] = """
+SELECT machine_id, date_id, shift_id, record_id,
+       coalesce(CAST(defective_qty AS DOUBLE) / NULLIF(produced_qty, 0), 0.0::DOUBLE) AS defect_rate
+FROM fact_production
+"""
+
+BODIES["wear_cycles"] = f"""
+, wc AS (
+  SELECT f.machine_id, f.date_id, f.shift_id, f.record_id, f.failure_event,
+         CAST(coalesce(sum(f.failure_event) OVER ({_W.replace('machine_id', 'f.machine_id')}
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + (SELECT count(DISTINCT m.date_id) FROM fact_maintenance m
+                 WHERE m.machine_id = f.machine_id AND m.maintenance_type = 'Preventive'
+                   AND m.date_id < f.date_id) AS BIGINT) AS cycle_id
+  FROM fact_production f)
+SELECT *, row_number() OVER (PARTITION BY machine_id, cycle_id ORDER BY date_id, shift_id, record_id)
+       AS shifts_in_cycle
+FROM wc
+"""
+
+BODIES["calendar_dim"] = """
+SELECT strftime(d, '%Y%m%d') AS date_id, d AS date,
+       CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+       CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day,
+       dayname(d) AS day_of_week, CAST(isodow(d) >= 6 AS INTEGER) AS is_weekend
+FROM (SELECT CAST(unnest(generate_series(CAST(strptime(min(date_id), '%Y%m%d') AS DATE),
+                                         CAST(strptime(max(date_id), '%Y%m%d') AS DATE),
+                                         INTERVAL 1 DAY)) AS DATE) AS d
+      FROM fact_production)
+"""
+
+BODIES["missing_slots"] = """
+, span AS (SELECT machine_id, min(date_id) AS lo, max(date_id) AS hi FROM fact_production GROUP BY machine_id),
+expected AS (
+  SELECT s.machine_id, strftime(g.d, '%Y%m%d') AS date_id, sh.shift_id
+  FROM span s,
+       LATERAL (SELECT unnest(generate_series(strptime(s.lo, '%Y%m%d'), strptime(s.hi, '%Y%m%d'),
+                                              INTERVAL 1 DAY)) AS d) g,
+       dim_shift sh)
+SELECT * FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM fact_production f
+                  WHERE f.machine_id = e.machine_id AND f.date_id = e.date_id AND f.shift_id = e.shift_id)
+"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 import datetime as _dt
 
 from shiftline.operators.star import Star, build_star, filter_choices
-from shiftline.plans import bi, dashboard as db, ingest
+from shiftline.plans import bi, dashboard as db, history, ingest
 from shiftline.plans import sample_queries as sq
 from shiftline.sources.fixtures import RawStar, load_raw
 
@@ -121,4 +121,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
     "same_period_last_year": _on_star(lambda st: bi.same_period_last_year(
         db.filtered_production(st, attrs=["plant_name", "year", "month"]))),
+    # machine history, calendar, grain
+    "prior_downtime_avg3": _on_star(lambda st: history.machine_history(st).select(
+        *history.KEYS, "prior_downtime_avg3")),
+    "prior_wear": _on_star(lambda st: history.machine_history(st).select(*history.KEYS, "prior_wear")),
+    "defect_rate_row": _on_star(lambda st: history.machine_history(st).select(*history.KEYS, "defect_rate")),
+    "wear_cycles": _on_star(history.wear_cycles),
+    "calendar_dim": _on_star(history.calendar_dim),
+    "missing_slots": _on_star(history.missing_slots),
 }
