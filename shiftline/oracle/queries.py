@@ -396,3 +396,83 @@ SELECT * FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM fact_production f
                   WHERE f.machine_id = e.machine_id AND f.date_id = e.date_id AND f.shift_id = e.shift_id)
 """
+
+# ----------------------------------------------------------------------------- risk model
+_FEAT = f"""
+, feat AS (
+  SELECT f.machine_id, f.date_id, f.shift_id, f.record_id, f.plant_id, f.planned_qty,
+         coalesce(lag(f.machine_wear_index) OVER w, f.machine_wear_index) AS prior_wear,
+         coalesce(CAST(sum(CAST(f.downtime_minutes AS {D})) OVER w3 AS DOUBLE)
+                  / count(f.downtime_minutes) OVER w3, 0.0::DOUBLE) AS prior_downtime_avg3,
+         m.rated_capacity_units_per_hour, m.base_energy_kwh_per_hour, d.is_weekend,
+         m.machine_type, f.failure_event
+  FROM fact_production f
+  JOIN dim_machine m ON f.machine_id = m.machine_id
+  JOIN dim_date d ON f.date_id = d.date_id
+  WINDOW w AS (PARTITION BY f.machine_id ORDER BY f.date_id, f.shift_id, f.record_id),
+         w3 AS (PARTITION BY f.machine_id ORDER BY f.date_id, f.shift_id, f.record_id
+                ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)
+),
+split AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY failure_event ORDER BY k)
+                 <= ceil(CAST(count(*) OVER (PARTITION BY failure_event) * 20 AS DOUBLE) / 100.0::DOUBLE)
+                 AS INTEGER) AS is_test
+  FROM (SELECT *, md5(concat_ws('|', '42', machine_id, date_id, shift_id)) AS k FROM feat)
+)
+"""
+
+BODIES["failure_features"] = _FEAT + """
+SELECT machine_id, date_id, shift_id, record_id, plant_id, planned_qty, prior_wear, prior_downtime_avg3,
+       rated_capacity_units_per_hour, base_energy_kwh_per_hour, is_weekend, machine_type, failure_event
+FROM feat
+"""
+
+# Category levels of the fixture (8 machine types, 3 shifts, 5 plants);
+# the first level of each is dropped.
+_LEVELS = {"machine_type": [f"TYPE_{i}" for i in range(1, 8)], "shift_id": ["S2", "S3"],
+           "plant_id": ["P02", "P03", "P04", "P05"]}
+_NUM = ["planned_qty", "prior_wear", "prior_downtime_avg3", "rated_capacity_units_per_hour",
+        "base_energy_kwh_per_hour", "is_weekend"]
+BODIES["one_hot_features"] = _FEAT + "SELECT machine_id, date_id, shift_id, failure_event, " + ", ".join(
+    [f"CAST({c} AS DOUBLE) AS {c}" for c in _NUM]
+    + [f"CAST({c} = '{lv}' AS DOUBLE) AS {c}_{lv}" for c, lvs in _LEVELS.items() for lv in lvs]) + " FROM feat"
+
+BODIES["stratified_split"] = _FEAT + "SELECT machine_id, date_id, shift_id, failure_event, is_test FROM split"
+
+BODIES["class_weights"] = _FEAT + """
+SELECT failure_event, count(*) AS n_rows,
+       CAST((SELECT count(*) FROM split WHERE is_test = 0) AS DOUBLE)
+       / ((SELECT count(DISTINCT failure_event) FROM split WHERE is_test = 0) * count(*)) AS weight
+FROM split WHERE is_test = 0 GROUP BY failure_event
+"""
+
+_P = lambda tp, den: f"coalesce(CAST({tp} AS DOUBLE) / NULLIF({den}, 0), 0.0::DOUBLE)"
+_F1 = lambda p, r: f"coalesce(2.0::DOUBLE * {p} * {r} / NULLIF({p} + {r}, 0), 0.0::DOUBLE)"
+
+BODIES["classification_report"] = _FEAT + f"""
+, rp AS (SELECT failure_event AS y, CAST(prior_wear >= 0.5 AS INTEGER) AS p FROM split WHERE is_test = 1),
+c AS (SELECT count(*) FILTER (WHERE y = 0 AND p = 0) AS n00, count(*) FILTER (WHERE y = 0 AND p = 1) AS n01,
+             count(*) FILTER (WHERE y = 1 AND p = 0) AS n10, count(*) FILTER (WHERE y = 1 AND p = 1) AS n11
+      FROM rp),
+s AS (SELECT *, {_P('n00', 'n00 + n10')} AS p0, {_P('n00', 'n00 + n01')} AS r0,
+             {_P('n11', 'n11 + n01')} AS p1, {_P('n11', 'n11 + n10')} AS r1,
+             n00 + n01 AS s0, n10 + n11 AS s1 FROM c),
+t AS (SELECT *, {_F1('p0', 'r0')} AS f0, {_F1('p1', 'r1')} AS f1, s0 + s1 AS tot FROM s)
+SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM t
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM t
+UNION ALL SELECT 'accuracy', NULL, NULL, CAST(n00 + n11 AS DOUBLE) / tot, tot FROM t
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0::DOUBLE, (r0 + r1) / 2.0::DOUBLE, (f0 + f1) / 2.0::DOUBLE, tot FROM t
+UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / tot, (r0 * s0 + r1 * s1) / tot, (f0 * s0 + f1 * s1) / tot, tot
+FROM t
+"""
+
+BODIES["roc_auc"] = _FEAT + """
+, per AS (SELECT prior_wear AS s, count(*) FILTER (WHERE failure_event = 0) AS n0,
+                 count(*) FILTER (WHERE failure_event = 1) AS n1
+          FROM split WHERE is_test = 1 GROUP BY prior_wear),
+cum AS (SELECT n0, n1, coalesce(sum(n0) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS below FROM per)
+SELECT CAST(sum(n1 * (2 * below + n0)) AS DOUBLE) / CAST(2 * sum(n1) * sum(n0) AS DOUBLE) AS roc_auc,
+       CAST(sum(n1) AS BIGINT) AS n_pos, CAST(sum(n0) AS BIGINT) AS n_neg
+FROM cum
+"""

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 import datetime as _dt
 
+from shiftline.operators import evaluation
 from shiftline.operators.star import Star, build_star, filter_choices
-from shiftline.plans import bi, dashboard as db, history, ingest
+from shiftline.plans import bi, dashboard as db, history, ingest, risk
 from shiftline.plans import sample_queries as sq
 from shiftline.sources.fixtures import RawStar, load_raw
 
@@ -41,6 +42,32 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     return _loaded(spark, sf_dir)[1]
 
 
+_MODELS: dict[tuple[str, str], "risk.FittedRisk"] = {}
+# Boosting rounds for the registered model views. The reference's 200 is
+# the library default; early stopping on the validation slice ends the fit
+# well before that on this data.
+MODEL_MAX_ITER = 200
+
+
+def fitted_model(spark: SparkSession, sf_dir: str) -> "risk.FittedRisk":
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        _MODELS[key] = risk.fit_failure_model(fixture_star(spark, sf_dir), max_iter=MODEL_MAX_ITER)
+    return _MODELS[key]
+
+
+def _with_model(fn) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(fitted_model(spark, sf_dir))
+    run.__name__ = getattr(fn, "__name__", "model_view")
+    return run
+
+
+def _one_hot(st: Star) -> DataFrame:
+    df, names = risk.one_hot_features(risk.failure_features(st))
+    return df.select(*risk.KEYS, risk.LABEL, *names)
+
+
 def _with_raw(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(*_loaded(spark, sf_dir))
@@ -129,4 +156,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "wear_cycles": _on_star(history.wear_cycles),
     "calendar_dim": _on_star(history.calendar_dim),
     "missing_slots": _on_star(history.missing_slots),
+    # failure-risk model
+    "failure_features": _on_star(risk.failure_features),
+    "one_hot_features": _on_star(_one_hot),
+    "stratified_split": _on_star(lambda st: risk.split(risk.failure_features(st)).select(
+        *risk.KEYS, risk.LABEL, "is_test")),
+    "class_weights": _on_star(lambda st: risk.class_weights(
+        risk.split(risk.failure_features(st)).where("is_test = 0"))),
+    "classification_report": _on_star(lambda st: evaluation.classification_report(
+        risk.rule_predictions(st), risk.LABEL, "prediction")),
+    "roc_auc": _on_star(lambda st: evaluation.roc_auc(risk.rule_predictions(st), risk.LABEL, "score")),
+    "failure_model": _with_model(risk.model_summary),
+    "score_failures": _with_model(lambda m: risk.score(m).select(
+        *risk.KEYS, risk.LABEL, "prediction", "p_failure")),
+    "failure_model_report": _with_model(lambda m: evaluation.classification_report(
+        risk.score(m), risk.LABEL, "prediction")),
+    "permutation_importance": _with_model(risk.permutation_importance),
+    "top_features": _with_model(lambda m: risk.top_features(risk.permutation_importance(m))),
 }
