@@ -60,17 +60,18 @@ def dim_reject_counts(df: DataFrame, key: str, table: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C3–C8
-def _flag_orphans(df: DataFrame, fks: list[tuple[str, DataFrame, str]]) -> tuple[DataFrame, list[Column]]:
+def _flag_orphans(df: DataFrame, fks: list[tuple[str, DataFrame, str, bool]]) -> tuple[DataFrame, list[Column]]:
     """Left-join each dimension's key set; a missing match flags an orphan.
 
     Dimensions must already have unique keys (``clean_dim``), so the joins
     never multiply rows. A null foreign key never matches: it is an orphan.
+    Key sets proven small are broadcast; others are shuffle-joined.
     """
     missing = []
-    for i, (col, dim, key) in enumerate(fks):
+    for i, (col, dim, key, small) in enumerate(fks):
         flag = f"_fk{i}"
         keys = dim.select(F.col(key).alias(col), F.lit(True).alias(flag))
-        df = df.join(keys, col, "left")
+        df = df.join(F.broadcast(keys) if small else keys, col, "left")
         missing.append(F.col(flag).isNull())
     return df, missing
 
@@ -86,9 +87,18 @@ def _first_reason(pairs: list[tuple[Column, str]]) -> Column:
     return expr
 
 
-def flag_production(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Raw production rows plus ``reject_reason`` (null = valid)."""
-    fks = [(c, dims[d], PRIMARY_KEYS[d]) for c, d in FOREIGN_KEYS["fact_production"]]
+def _fks(table: str, dims: dict[str, DataFrame], small: dict[str, bool] | None):
+    small = small or {}
+    return [(c, dims[d], PRIMARY_KEYS[d], small.get(d, False)) for c, d in FOREIGN_KEYS[table]]
+
+
+def flag_production(raw: DataFrame, dims: dict[str, DataFrame],
+                    small: dict[str, bool] | None = None) -> DataFrame:
+    """Raw production rows plus ``reject_reason`` (null = valid).
+
+    ``small`` names the dimensions proven small enough to broadcast.
+    """
+    fks = _fks("fact_production", dims, small)
     df, missing = _flag_orphans(raw, fks)
     downtime_ok = is_valid_number("downtime_minutes") & F.col("downtime_minutes").between(0, 480)
     checks = list(zip(missing, PRODUCTION_REASONS[:5])) + [
@@ -100,8 +110,9 @@ def flag_production(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return df.withColumn(REASON, _first_reason(checks)).drop(*[f"_fk{i}" for i in range(len(fks))])
 
 
-def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    fks = [(c, dims[d], PRIMARY_KEYS[d]) for c, d in FOREIGN_KEYS["fact_maintenance"]]
+def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame],
+                     small: dict[str, bool] | None = None) -> DataFrame:
+    fks = _fks("fact_maintenance", dims, small)
     df, missing = _flag_orphans(raw, fks)
     return (df.withColumn(REASON, _first_reason(list(zip(missing, MAINTENANCE_REASONS))))
             .drop(*[f"_fk{i}" for i in range(len(fks))]))
@@ -121,15 +132,17 @@ def _conform(df: DataFrame, schema) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def clean_production(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def clean_production(raw: DataFrame, dims: dict[str, DataFrame],
+                     small: dict[str, bool] | None = None) -> DataFrame:
     """C3 + C5 + C6 + C7: the loadable fact_production."""
-    kept = flag_production(raw, dims).where(F.col(REASON).isNull())
+    kept = flag_production(raw, dims, small).where(F.col(REASON).isNull())
     return _conform(clamp_defective(kept), FACT_PRODUCTION)
 
 
-def clean_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def clean_maintenance(raw: DataFrame, dims: dict[str, DataFrame],
+                      small: dict[str, bool] | None = None) -> DataFrame:
     """C4: machine and date must exist; no bounds, no dedupe."""
-    kept = flag_maintenance(raw, dims).where(F.col(REASON).isNull())
+    kept = flag_maintenance(raw, dims, small).where(F.col(REASON).isNull())
     return _conform(kept, FACT_MAINTENANCE)
 
 
@@ -140,7 +153,7 @@ def fact_reject_counts(flagged: DataFrame, table: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C9
-def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
+def constraint_report(tables: dict[str, DataFrame], small: dict[str, bool] | None = None) -> DataFrame:
     """(table_name, check_name, n_violations) for PK uniqueness, PK and
     NOT NULL columns, and every foreign key (including machine→plant, which
     the loader never checks). One union of small aggregates: one job."""
@@ -159,6 +172,8 @@ def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
             if dim not in tables:
                 continue
             keys = tables[dim].select(F.col(PRIMARY_KEYS[dim]).alias(col))
+            if small and small.get(dim):
+                keys = F.broadcast(keys)
             orphans = df.select(col).join(keys, col, "left_anti")
             parts.append(orphans.agg(F.count(F.lit(1)).alias("n_violations"))
                          .select(F.lit(t).alias("table_name"),

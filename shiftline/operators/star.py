@@ -47,6 +47,9 @@ class Star:
             self._checked[name] = row_count_at_most(getattr(self, name), self.broadcast_rows)
         return self._checked[name]
 
+    def small_dims(self) -> dict[str, bool]:
+        return {n: self.is_small(n) for n in DIMS}
+
     def dim(self, name: str, *cols: str) -> DataFrame:
         """Dimension (optionally projected) ready for a lookup join: broadcast
         when proven small, otherwise left to the planner's shuffle join."""
@@ -117,9 +120,11 @@ def build_star(raw, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_order = dim_order or {}
     dims = {n: cleaning.clean_dim(getattr(raw, n), PRIMARY_KEYS[n], dim_order.get(n)) for n in DIMS}
     dims = cleaning.conform_dims(dims)
-    prod = cleaning.clean_production(raw.raw_production, dims)
-    maint = cleaning.clean_maintenance(raw.raw_maintenance, dims)
-    return Star(**dims, fact_production=prod, fact_maintenance=maint, broadcast_rows=broadcast_rows)
+    star = Star(**dims, fact_production=None, fact_maintenance=None, broadcast_rows=broadcast_rows)
+    small = star.small_dims()
+    star.fact_production = cleaning.clean_production(raw.raw_production, dims, small)
+    star.fact_maintenance = cleaning.clean_maintenance(raw.raw_maintenance, dims, small)
+    return star
 
 
 # --------------------------------------------------------------------------- F1–F6

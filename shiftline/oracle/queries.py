@@ -178,7 +178,7 @@ _WEEK = ("strftime(date_trunc('week', d.date), '%Y-%m-%d') || '/' || "
 BODIES["kpi_summary"] = f"""
 SELECT {_s('produced_qty')} AS units_produced,
        {_avg('downtime_minutes')} AS avg_downtime_minutes,
-       CAST(sum(defective_qty) AS DOUBLE) / {_s('produced_qty')} * 100.0::DOUBLE AS defect_rate_pct,
+       CAST(sum(defective_qty) AS DOUBLE) / NULLIF({_s('produced_qty')}, 0) * 100.0::DOUBLE AS defect_rate_pct,
        {_s('energy_consumed_kwh')} AS total_energy_kwh,
        CAST(sum(failure_event) AS BIGINT) AS failure_events
 FROM fact_production
@@ -197,7 +197,7 @@ GROUP BY pr.category ORDER BY produced_qty DESC, pr.category
 """
 
 BODIES["defect_rate_by_plant"] = f"""
-SELECT plant_name, produced, defective, CAST(defective AS DOUBLE) / produced * 100.0::DOUBLE AS defect_rate_pct
+SELECT plant_name, produced, defective, CAST(defective AS DOUBLE) / NULLIF(produced, 0) * 100.0::DOUBLE AS defect_rate_pct
 FROM (SELECT p.plant_name, {_s('f.produced_qty')} AS produced, CAST(sum(f.defective_qty) AS BIGINT) AS defective
       FROM fact_production f JOIN dim_plant p ON f.plant_id = p.plant_id GROUP BY p.plant_name)
 ORDER BY plant_name
@@ -248,7 +248,7 @@ FROM fact_production
 # ----------------------------------------------------------------------------- BI measures
 _UNITS = _s("produced_qty")
 _DEF = "CAST(sum(defective_qty) AS BIGINT)"
-_D3 = f"coalesce({_DEF} / {_UNITS}, 0.0::DOUBLE) * 100.0::DOUBLE"
+_D3 = f"coalesce({_DEF} / NULLIF({_UNITS}, 0), 0.0::DOUBLE) * 100.0::DOUBLE"
 _D10 = f"(1.0::DOUBLE - coalesce({_s('downtime_minutes')} / (count(*) * 480.0::DOUBLE), 0.0::DOUBLE)) * 100.0::DOUBLE"
 _D9 = "coalesce(CAST(sum(failure_event) AS BIGINT) / count(*), 0.0::DOUBLE) * 100.0::DOUBLE"
 _MEASURES = {
@@ -258,7 +258,7 @@ _MEASURES = {
     "total_downtime_hrs": f"{_s('downtime_minutes')} / 60.0::DOUBLE",
     "avg_downtime_per_shift_min": _avg("downtime_minutes"),
     "total_energy_kwh": _s("energy_consumed_kwh"),
-    "energy_per_unit_kwh": f"coalesce({_s('energy_consumed_kwh')} / {_UNITS}, 0.0::DOUBLE)",
+    "energy_per_unit_kwh": f"coalesce({_s('energy_consumed_kwh')} / NULLIF({_UNITS}, 0), 0.0::DOUBLE)",
     "failure_count": "CAST(sum(failure_event) AS BIGINT)",
     "failure_rate_pct": _D9,
     "availability_pct": _D10,
@@ -271,7 +271,7 @@ _MMEASURES = {
     "preventive_maintenance_cost": _PREV,
     "corrective_maintenance_cost":
         f"CAST(sum(CAST(CASE WHEN maintenance_type = 'Corrective' THEN cost_inr END AS {D})) AS DOUBLE)",
-    "preventive_cost_share_pct": f"coalesce({_PREV} / {_s('cost_inr')}, 0.0::DOUBLE) * 100.0::DOUBLE",
+    "preventive_cost_share_pct": f"coalesce({_PREV} / NULLIF({_s('cost_inr')}, 0), 0.0::DOUBLE) * 100.0::DOUBLE",
 }
 
 
@@ -318,7 +318,7 @@ GROUP BY 1 ORDER BY 1
 BODIES["energy_per_unit_vs_age"] = f"""
 SELECT m.machine_id, m.machine_name, m.machine_type, m.install_date,
        date_diff('day', m.install_date, DATE '2002-01-01') / 365.25::DOUBLE AS machine_age_years,
-       e AS total_energy_kwh, u AS total_units_produced, coalesce(e / u, 0.0::DOUBLE) AS energy_per_unit_kwh
+       e AS total_energy_kwh, u AS total_units_produced, coalesce(e / NULLIF(u, 0), 0.0::DOUBLE) AS energy_per_unit_kwh
 FROM (SELECT machine_id, {_s('energy_consumed_kwh')} AS e, {_UNITS} AS u
       FROM fact_production GROUP BY machine_id) a
 JOIN dim_machine m ON a.machine_id = m.machine_id
