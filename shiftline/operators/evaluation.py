@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import safe_divide
+from shiftline.session import checkpoint_dir
 
 
 def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -57,12 +58,18 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", n_buckets
     scores inside a range are ordered together.
     """
     y = F.col(label).cast("int")
-    per = df.groupBy(F.col(score).alias("s")).agg(F.count(F.when(y == 0, 1)).alias("n0"),
-                                                 F.count(F.when(y == 1, 1)).alias("n1"))
+    per = (df.where(F.col(score).isNotNull())
+           .groupBy(F.col(score).alias("s")).agg(F.count(F.when(y == 0, 1)).alias("n0"),
+                                                F.count(F.when(y == 1, 1)).alias("n1")))
+    # The per-score table (one row per distinct score) is read twice: for the
+    # range cuts and for the sums. Checkpointing it to the shared folder runs
+    # the upstream plan once and cuts its lineage.
+    checkpoint_dir(df.sparkSession)
+    per = per.checkpoint(eager=True)
     qs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = sorted(set(x for x in per.approxQuantile("s", qs, rel_err) if x is not None))
+    cuts = sorted(set(x for x in per.approxQuantile("s", qs, rel_err) if x is not None)) or [0.0]
     splits = [float("-inf")] + cuts + [float("inf")]
-    per = Bucketizer(splits=splits, inputCol="s", outputCol="_r").transform(per.where(F.col("s").isNotNull()))
+    per = Bucketizer(splits=splits, inputCol="s", outputCol="_r", handleInvalid="keep").transform(per)
     ranges = per.groupBy("_r").agg(F.sum("n0").alias("_r0"))
     w_r = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)   # ≤ n_buckets rows
     ranges = ranges.select("_r", F.coalesce(F.sum("_r0").over(w_r), F.lit(0)).alias("_off"))

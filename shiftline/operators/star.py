@@ -114,12 +114,17 @@ def attach_attrs(star: Star, f: DataFrame, attrs) -> DataFrame:
     return f
 
 
+def clean_dims(raw, dim_order: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """C1 + C2 on all five dimensions (lazy)."""
+    dim_order = dim_order or {}
+    dims = {n: cleaning.clean_dim(getattr(raw, n), PRIMARY_KEYS[n], dim_order.get(n)) for n in DIMS}
+    return cleaning.conform_dims(dims)
+
+
 def build_star(raw, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                dim_order: dict[str, list[str]] | None = None) -> Star:
     """Clean a raw star (C1–C7): dedupe dims, then validate both facts."""
-    dim_order = dim_order or {}
-    dims = {n: cleaning.clean_dim(getattr(raw, n), PRIMARY_KEYS[n], dim_order.get(n)) for n in DIMS}
-    dims = cleaning.conform_dims(dims)
+    dims = clean_dims(raw, dim_order)
     star = Star(**dims, fact_production=None, fact_maintenance=None, broadcast_rows=broadcast_rows)
     small = star.small_dims()
     star.fact_production = cleaning.clean_production(raw.raw_production, dims, small)
