@@ -16,7 +16,7 @@ import datetime as _dt
 
 from shiftline.operators import evaluation
 from shiftline.operators.star import Star, build_star, filter_choices
-from shiftline.plans import bi, dashboard as db, history, ingest, risk
+from shiftline.plans import bi, dashboard as db, history, ingest, risk, sql_api
 from shiftline.plans import sample_queries as sq
 from shiftline.sources.fixtures import RawStar, load_raw
 
@@ -83,6 +83,13 @@ def _on_star(fn) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _sql(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return sql_api.run_sql(spark, fixture_star(spark, sf_dir), sql_api.SAMPLE_SQL[name])
+    run.__name__ = f"sql_{name}"
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_energy_machines": _on_star(sq.top_energy_machines),
     "monthly_production_by_plant": _on_star(sq.monthly_production_by_plant),
@@ -90,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "maintenance_cost_by_plant_type": _on_star(sq.maintenance_cost_by_plant_type),
     "failure_rate_by_machine_type": _on_star(sq.failure_rate_by_machine_type),
     "monthly_units_by_category": _on_star(sq.monthly_units_by_category),
+    # the same six as SQL text through spark.sql (S3)
+    **{f"sql_{n}": _sql(n) for n in sql_api.SAMPLE_SQL},
     # ingest (C1–C10, S5)
     "clean_dim_plant": _on_star(lambda st: st.dim_plant),
     "clean_dim_machine": _on_star(lambda st: st.dim_machine),
