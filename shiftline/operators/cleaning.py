@@ -182,6 +182,20 @@ def constraint_report(tables: dict[str, DataFrame], small: dict[str, bool] | Non
     return reduce(DataFrame.unionByName, parts)
 
 
+class ConstraintViolation(ValueError):
+    pass
+
+
+def assert_constraints(report: DataFrame) -> None:
+    """Fail-fast form of C9 (the warehouse DDL aborts a load on a PK or
+    NOT NULL breach): raise when any check has violations. Only the
+    offending (table, check, count) rows reach the driver."""
+    bad = report.where(F.col("n_violations") > 0).collect()
+    if bad:
+        detail = ", ".join(f"{r.table_name}.{r.check_name}={r.n_violations}" for r in bad)
+        raise ConstraintViolation(f"constraint violations: {detail}")
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n_rows) for every table, as one union of counts."""
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")

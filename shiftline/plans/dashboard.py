@@ -39,8 +39,22 @@ def filtered_production(star: Star, plants=None, machine_types=None, start=None,
     return filter_fact(f, plants, machine_types, lo, hi)
 
 
-def filtered_maintenance(star: Star, plants=None) -> DataFrame:
-    return filter_maintenance(star.maintenance_wide(), plants)
+def filtered_maintenance(star: Star, plants=None, machine_types=None, start=None, end=None) -> DataFrame:
+    """Maintenance events for the maintenance views.
+
+    The dashboard's maintenance tab filters on plant only (F5); the BI
+    pages sync all slicers (F9), so machine type and date range may be
+    given too (quirk K3: both behaviours are available).
+    """
+    m = filter_maintenance(star.maintenance_wide(), plants)
+    if machine_types is not None:
+        types = star.dim("dim_machine", "machine_id", "machine_type").where(
+            F.col("machine_type").isin(list(machine_types))).select("machine_id")
+        m = m.join(types, "machine_id", "left_semi")
+    lo, hi = date_bounds(start, end)
+    if lo is not None:
+        m = m.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
+    return m
 
 
 # --------------------------------------------------------------------------- A1–A11

@@ -32,10 +32,13 @@ def production_stream(spark: SparkSession, source_dir: str, max_files_per_trigge
 
 def start_validated_ingest(spark: SparkSession, source_dir: str, dims: dict[str, DataFrame],
                            sink_dir: str, checkpoint: str, available_now: bool = True,
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
+                           max_files_per_trigger: int | None = None,
+                           small: dict[str, bool] | None = None) -> StreamingQuery:
     """Start the stream; ``sink_dir/clean`` gets loadable rows,
-    ``sink_dir/rejects`` gets (batch_id, status, n_rows)."""
-    flagged = cleaning.flag_production(production_stream(spark, source_dir, max_files_per_trigger), dims)
+    ``sink_dir/rejects`` gets (batch_id, status, n_rows). ``small`` names
+    dimensions proven small enough to broadcast (see ``Star.small_dims``)."""
+    stream = production_stream(spark, source_dir, max_files_per_trigger)
+    flagged = cleaning.flag_production(stream, dims, small)
     base = sink_dir.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
