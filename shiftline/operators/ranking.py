@@ -1,5 +1,5 @@
-"""Distributed ordering primitives: exact positions, exact stratified
-splits and permutations, without a single-partition window.
+"""Distributed ordering primitives: exact positions and exact stratified
+splits, without a single-partition window.
 
 ``row_number()`` over a whole table (or over a two-valued label) runs in
 one task. Here rows are ordered by a hex digest; the first hex digits form
@@ -65,17 +65,3 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percen
     edge = edge.withColumn(out, (rank <= F.col("_room")).cast("int"))
     rest = j.where(F.col("_d") != "edge").withColumn(out, (F.col("_d") == "test").cast("int"))
     return edge.unionByName(rest).drop("_key", "_b", "_d", "_room")
-
-
-def permuted_column(df: DataFrame, value: str, row_key: str, groups: list[str], seed_col: Column,
-                    out: str) -> DataFrame:
-    """Within each group, give every row the ``value`` of another row, drawn
-    by a seeded permutation: the row at position i (ordered by its own
-    digest) receives the value of the row at position i in the seeded
-    order. Two position passes and one equi-join; no driver round trip."""
-    own = positions(df.withColumn("_k1", digest("own", row_key, *groups)), "_k1", groups, "_p").drop("_k1")
-    donors = positions(df.select(*groups, row_key, value)
-                       .withColumn("_k2", F.md5(F.concat_ws("|", seed_col.cast("string"),
-                                                            F.col(row_key).cast("string")))),
-                       "_k2", groups, "_p").select(*groups, "_p", F.col(value).alias(out))
-    return own.join(donors, [*groups, "_p"]).drop("_p")

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.operators import evaluation, ranking, windows
+from shiftline.operators.joins import DEFAULT_BROADCAST_ROWS, size_checked_broadcast
 from shiftline.operators.star import Star
 from shiftline.session import checkpoint_dir
 
@@ -95,18 +96,21 @@ def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth
     0.08, depth 6, balanced class weights, seed 42) and its automatic early
     stopping on a stratified 10 % validation slice of the training rows.
 
-    Training data is written to the shared checkpoint folder first, so the
-    iterative fit reads a short lineage and survives executor loss.
+    The split feature table is written to the shared checkpoint folder
+    first, so the iterative fit and all later scoring read a short lineage
+    and survive executor loss (GBT caches its own binned training set).
     """
     feats, names = one_hot_features(failure_features(star))
-    data = split(feats)
+    # The split feature table feeds training, scoring, the report, the AUC
+    # and permutation importance: write it once to the shared checkpoint
+    # folder so each of them starts from files, not from the feature plan.
+    checkpoint_dir(feats.sparkSession)
+    data = split(feats).checkpoint(eager=True)
     train = data.where(F.col("is_test") == 0).drop("is_test")
     test = data.where(F.col("is_test") == 1).drop("is_test")
     train = ranking.stratified_split(train, LABEL, KEYS, test_percent=validation_percent,
                                      seed=seed + 1, out="is_validation")
     train = with_weights(train).withColumn("is_validation", F.col("is_validation") == 1)
-    checkpoint_dir(train.sparkSession)
-    train = train.checkpoint(eager=True)
     gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
                         validationIndicatorCol="is_validation", validationTol=validation_tol,
                         maxIter=max_iter, stepSize=step, maxDepth=depth, maxBins=max_bins,
@@ -136,33 +140,51 @@ def model_summary(fitted: FittedRisk) -> DataFrame:
 
 
 def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEED,
-                           features: list[str] | None = None) -> DataFrame:
+                           features: list[str] | None = None,
+                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """M9: mean and std of the accuracy drop when one feature column is
     shuffled across the test rows, per feature over ``repeats`` shuffles.
 
-    All (feature × repeat) shuffled copies are built at once — one
-    exploded frame, one permutation join, one model pass — and scored in
-    a single aggregate, instead of one job per copy.
+    Each repeat draws its own random order of the test rows (digest
+    positions, one pass over ``repeats × n`` narrow rows). In repeat r,
+    feature f takes its value from the row ``shift(f, r)`` places later in
+    that order (cyclically). The shifts are seeded, so every (f, r) pairs
+    rows differently. All feature × repeat copies are scored in one job;
+    donor values come from one equi-join on (repeat, position).
     """
     features = features or fitted.features
-    test = fitted.test.withColumn("_row", F.concat_ws("|", *KEYS))
+    spark = fitted.test.sparkSession
+    test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in features])
+    n = test.select(F.count(F.lit(1))).scalar()
     base = score(fitted, test).agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("b"))
-    plan = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-                               for f in features for r in range(repeats)]))
-    copies = test.select("*", plan.alias("_c")).select("*", "_c.feature", "_c.repeat").drop("_c")
-    value = F.coalesce(*[F.when(F.col("feature") == f, F.col(f"`{f}`")) for f in features])
-    copies = copies.withColumn("_v", value.cast("double"))
-    seed_col = F.concat_ws("|", F.lit(str(seed)), F.col("feature"), F.col("repeat").cast("string"))
-    shuffled = ranking.permuted_column(copies, "_v", "_row", ["feature", "repeat"], seed_col, "_pv")
-    for f in features:
-        shuffled = shuffled.withColumn(f, F.when(F.col("feature") == f, F.col("_pv"))
-                                       .otherwise(F.col(f"`{f}`")))
-    scored = score(fitted, shuffled.drop("_v", "_pv"))
+
+    row = F.concat_ws("|", *KEYS)
+    rep = test.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+    rep = rep.withColumn("_k", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("repeat").cast("string"), row)))
+    rep = ranking.positions(rep, "_k", ["repeat"], out="_pos").drop("_k")
+
+    names = spark.createDataFrame([(i, f) for i, f in enumerate(features)], "fi int, feature string")
+    shift = F.when(n > 1, F.pmod(F.xxhash64(F.lit(seed), F.col("repeat"), F.col("feature")), n - 1) + 1
+                   ).otherwise(F.lit(0))
+    plan = F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.lit(f).alias("feature"))
+                               for i, f in enumerate(features)]))
+    copies = rep.select("*", plan.alias("_c")).select("*", "_c.fi", "_c.feature").drop("_c")
+    copies = copies.withColumn("_dpos", F.pmod(F.col("_pos") - 1 + shift, F.greatest(n, F.lit(1))) + 1)
+
+    donors = rep.select("repeat", F.col("_pos").alias("_dpos"),
+                        *[F.col(f"`{f}`").alias(f"_d{i}") for i, f in enumerate(features)])
+    donors = size_checked_broadcast(donors, broadcast_rows)
+    shuffled = copies.join(donors, ["repeat", "_dpos"])
+    for i, f in enumerate(features):
+        shuffled = shuffled.withColumn(f, F.when(F.col("fi") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`")))
+    scored = score(fitted, shuffled.select(*KEYS, LABEL, "repeat", "feature",
+                                           *[F.col(f"`{f}`") for f in features]))
     per = scored.groupBy("feature", "repeat").agg(
         F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("acc"))
     drop = per.select("feature", (base.scalar() - F.col("acc")).alias("d"))
-    return drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"),
-                                       F.stddev_pop("d").alias("importance_std"))
+    out = drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"),
+                                      F.stddev_pop("d").alias("importance_std"))
+    return out.join(names, "feature").orderBy("fi").drop("fi")
 
 
 def top_features(importance: DataFrame, k: int = 10) -> DataFrame:

@@ -15,6 +15,14 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # A long-lived driver keeps plan graphs and task metrics of finished
+    # queries in its status store; bound them so many queries in one
+    # session do not fill the driver heap.
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.ui.retainedTasks": "20000",
+    "spark.ui.dagGraph.retainedRootRDDs": "200",
 }
 
 

@@ -22,6 +22,15 @@ def test_model_save_and_load(spark, tmp_dir):
     a = fitted.model.transform(fitted.test).select("prediction").collect()
     b = model.transform(fitted.test).select("prediction").collect()
     assert a == b
+    imp = risk.permutation_importance(fitted, repeats=2).collect()
+    assert [r.feature for r in imp] == fitted.features          # one row per feature, in order
+    assert all(r.importance_std >= 0 and abs(r.importance_mean) <= 1 for r in imp)
+    # a column that is constant in the test rows cannot change predictions when shuffled
+    const = [f for f in fitted.features
+             if fitted.test.select(f"`{f}`").distinct().count() == 1]
+    for r in imp:
+        if r.feature in const:
+            assert r.importance_mean == 0.0
 
 
 def test_streaming_ingest_matches_batch_rules(spark, tmp_dir):

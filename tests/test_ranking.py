@@ -34,16 +34,6 @@ def test_stratified_split_is_exact_and_matches_brute_force(spark):
         assert want == {k for k in test if int(int(k) % 50 == 0) == y}
 
 
-def test_permutation_is_a_bijection_per_group(spark):
-    df = spark.range(500).select(F.col("id").cast("string").alias("row"), F.col("id").cast("double").alias("v"))
-    df = df.withColumn("grp", F.explode(F.array(F.lit("a"), F.lit("b"))))
-    out = ranking.permuted_column(df, "v", "row", ["grp"], F.concat(F.lit("7|"), F.col("grp")), "pv").collect()
-    for g in ("a", "b"):
-        vals = [r.pv for r in out if r.grp == g]
-        assert sorted(vals) == [float(i) for i in range(500)]
-        assert sum(1 for r in out if r.grp == g and r.pv == r.v) < 50      # actually shuffled
-
-
 def _auc_brute(pairs):
     pos = [s for s, y in pairs if y == 1]
     neg = [s for s, y in pairs if y == 0]
