@@ -41,10 +41,14 @@ def failure_features(star: Star) -> DataFrame:
 
 
 def category_levels(df: DataFrame, cols=CATEGORICAL) -> dict[str, list[str]]:
-    """Alphabetical levels of each categorical column (Spark ML StringIndexer;
-    the label list is the fitted model's metadata, bounded by cardinality)."""
-    return {c: StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc")
-            .fit(df).labels for c in cols}
+    """Alphabetical levels of each categorical column: one multi-column
+    StringIndexer fit (one job; only the categorical columns are read, so
+    the history windows are pruned away). The label lists are the fitted
+    model's metadata, bounded by the columns' cardinality."""
+    cols = list(cols)
+    model = StringIndexer(inputCols=cols, outputCols=[f"{c}__idx" for c in cols],
+                          stringOrderType="alphabetAsc").fit(df.select(*cols))
+    return dict(zip(cols, [list(x) for x in model.labelsArray]))
 
 
 def one_hot_features(df: DataFrame, levels: dict[str, list[str]] | None = None) -> tuple[DataFrame, list[str]]:
