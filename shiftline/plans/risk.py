@@ -143,11 +143,30 @@ def model_summary(fitted: FittedRisk) -> DataFrame:
             .withColumn("n_trees", F.lit(n_trees)))
 
 
+def _metric(name: str) -> F.Column:
+    """Classification metric of a scored group (class 1 = failure)."""
+    y, p = F.col(LABEL) == 1, F.col("prediction") == 1
+    tp = F.count(F.when(y & p, 1)).cast("double")
+    if name == "accuracy":
+        return F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))
+    prec = F.coalesce(F.try_divide(tp, F.count(F.when(p, 1))), F.lit(0.0))
+    rec = F.coalesce(F.try_divide(tp, F.count(F.when(y, 1))), F.lit(0.0))
+    if name == "precision":
+        return prec
+    if name == "recall":
+        return rec
+    if name == "f1":
+        return F.coalesce(F.try_divide(2.0 * prec * rec, prec + rec), F.lit(0.0))
+    raise ValueError(f"unknown metric {name!r}")
+
+
 def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEED,
-                           features: list[str] | None = None,
+                           features: list[str] | None = None, metric: str = "accuracy",
                            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """M9: mean and std of the accuracy drop when one feature column is
-    shuffled across the test rows, per feature over ``repeats`` shuffles.
+    """M9: mean and std of the drop in ``metric`` (accuracy by default;
+    also precision / recall / f1 of the failure class) when one feature
+    column is shuffled across the test rows, per feature over ``repeats``
+    shuffles.
 
     Each repeat draws its own random order of the test rows (digest
     positions, one pass over ``repeats × n`` narrow rows). In repeat r,
@@ -160,7 +179,7 @@ def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEE
     spark = fitted.test.sparkSession
     test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in features])
     n = test.select(F.count(F.lit(1))).scalar()
-    base = score(fitted, test).agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("b"))
+    base = score(fitted, test).agg(_metric(metric).alias("b"))
 
     row = F.concat_ws("|", *KEYS)
     rep = test.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
@@ -183,9 +202,8 @@ def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEE
         shuffled = shuffled.withColumn(f, F.when(F.col("fi") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`")))
     scored = score(fitted, shuffled.select(*KEYS, LABEL, "repeat", "feature",
                                            *[F.col(f"`{f}`") for f in features]))
-    per = scored.groupBy("feature", "repeat").agg(
-        F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("acc"))
-    drop = per.select("feature", (base.scalar() - F.col("acc")).alias("d"))
+    per = scored.groupBy("feature", "repeat").agg(_metric(metric).alias("m"))
+    drop = per.select("feature", (base.scalar() - F.col("m")).alias("d"))
     out = drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"),
                                       F.stddev_pop("d").alias("importance_std"))
     return out.join(names, "feature").orderBy("fi").drop("fi")

@@ -31,6 +31,10 @@ def test_model_save_and_load(spark, tmp_dir):
     for r in imp:
         if r.feature in const:
             assert r.importance_mean == 0.0
+    f1 = risk.permutation_importance(fitted, repeats=1, metric="f1").collect()
+    assert len(f1) == len(fitted.features)
+    with pytest.raises(ValueError):
+        risk.permutation_importance(fitted, metric="nope")
 
 
 def test_streaming_ingest_matches_batch_rules(spark, tmp_dir):
