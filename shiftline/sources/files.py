@@ -43,15 +43,20 @@ def _typed(c: str, t: T.DataType) -> Column:
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str, keep_order: bool = True) -> DataFrame:
-    """Read one star table from CSV (header row, any column order the
-    schema lists) and type it to the warehouse schema.
+    """Read one star table from CSV and type it to the warehouse schema.
+
+    Columns are matched by header name (a CSV schema would be applied by
+    position), all read as text — no inference — and typed by name, so
+    files may list the columns in any order; a missing column is an error.
 
     With ``keep_order`` an ``_src_order`` struct (file, block, position) is
     added so ``clean_dim(order_cols=["_src_order"])`` keeps the first row
     in file order; it is only comparable within a read.
     """
-    raw = (spark.read.schema(_text_schema(table)).option("header", True).option("mode", "PERMISSIVE")
-           .option("nullValue", None).option("emptyValue", "").csv(path))
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    missing = [f.name for f in CSV_TABLES[table].fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: missing columns {missing}")
     target = TABLES[table]
     cols = []
     for f in target.fields:

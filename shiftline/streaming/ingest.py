@@ -21,7 +21,12 @@ from shiftline.schemas import FACT_PRODUCTION
 
 
 def production_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(_text_schema("fact_production")).option("header", True)
+    """New production CSV files as a typed stream. A streaming source needs
+    a schema, which CSV applies by position; ``enforceSchema=false`` makes
+    Spark check every file's header against it, so a file with other
+    columns fails instead of being read into the wrong fields."""
+    reader = (spark.readStream.schema(_text_schema("fact_production")).option("header", True)
+              .option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(source_dir)

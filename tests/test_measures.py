@@ -4,7 +4,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shiftline.functions import measures as M
 from shiftline.functions.scalar import week_label
 from shiftline.plans import bi, dashboard
 
@@ -49,4 +48,3 @@ def test_empty_filter_result_is_typed_and_empty(spark):
     assert out.isEmpty() and out.columns == df.columns
     k = dashboard.kpi_summary(out).collect()[0]
     assert k.units_produced is None and k.defect_rate_pct is None
-    assert M.PRODUCTION_MEASURES

@@ -3,8 +3,6 @@
 import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from shiftline.operators import calendar
 from shiftline.operators.star import build_star
 from shiftline.sources import files, warehouse
@@ -26,7 +24,7 @@ def test_csv_star_load_end_to_end(spark, tmp_dir):
            "M002,P02,Press #2,Press,2019-03-01,n/a,3.9\n")
     _write(f"{d}/dim_shift.csv/part-0.csv", "shift_id,shift_name,start_time,end_time\n"
            "S1,Morning,06:00,14:00\nS2,Afternoon,14:00,22:00\nS3,Night,22:00,06:00\n")
-    _write(f"{d}/dim_product.csv/part-0.csv", "product_id,product_name,category,uom\nPR01,Shell,Vessels,Units\n")
+    _write(f"{d}/dim_product.csv/part-0.csv", "uom,category,product_name,product_id\nUnits,Vessels,Shell,PR01\n")
     _write(f"{d}/dim_date.csv/part-0.csv", "date,date_id,year,quarter,month,day,day_of_week,is_weekend\n"
            "2025-09-01,20250901,2025,3,9,1,Monday,False\n2025-09-06,20250906,2025,3,9,6,Saturday,True\n")
     _write(f"{d}/fact_production.csv/part-0.csv",
@@ -52,6 +50,7 @@ def test_csv_star_load_end_to_end(spark, tmp_dir):
     assert set(prod) == {1, 2}                                    # NaN, >480 and orphan date rejected
     assert prod[2].defective_qty == 11 and prod[2].failure_event == 1
     assert [r.maintenance_id for r in star.fact_maintenance.collect()] == ["MT1"]
+    assert [tuple(r) for r in star.dim_product.collect()] == [("PR01", "Shell", "Vessels", "Units")]
 
     out = os.path.join(tmp_dir, "wh")
     counts = {r.table_name: r.n_rows for r in warehouse.full_refresh(star, out, fact_files=2).collect()}
@@ -76,4 +75,3 @@ def test_missing_slots_small(spark):
     got = sorted(map(tuple, calendar.missing_slots(prod, shifts).collect()))
     assert got == [("M1", "20250101", "S2"), ("M1", "20250102", "S1"), ("M1", "20250102", "S2"),
                    ("M1", "20250103", "S1")]
-    assert F  # keep import used
