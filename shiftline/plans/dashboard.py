@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import exact_avg, exact_sum, safe_divide, week_label
+from shiftline.operators.joins import size_checked_broadcast
 from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fact, filter_maintenance
 
 
@@ -20,23 +21,29 @@ def filtered_production(star: Star, plants=None, machine_types=None, start=None,
                         attrs=()) -> DataFrame:
     """production rows passing the filters, with ``attrs`` attached.
 
-    The date range is also applied to the fact's own ``date_id`` key
-    (``yyyyMMdd`` sorts like the date), so it reaches the fact scan as a
-    pushed-down range predicate.
+    * A plant or machine-type filter becomes a semi-join of the fact with
+      the *qualifying keys* of that dimension. That key set is usually
+      small even when the dimension is not; it is broadcast when the
+      bounded probe proves it small, so the fact is not shuffled for a
+      filter.
+    * The date range is applied to the fact's own ``date_id`` key
+      (``yyyyMMdd`` sorts like the date), so it reaches the fact scan as a
+      pushed-down range predicate, and to the calendar's ``date`` as the
+      dashboard defines it.
     """
-    need = list(attrs)
-    if plants is not None:
-        need.append("plant_name")
-    if machine_types is not None:
-        need.append("machine_type")
-    lo, hi = date_bounds(start, end)
-    if lo is not None:
-        need.append("date")
     f = star.fact_production
+    lo, hi = date_bounds(start, end)
     if lo is not None:
         f = f.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
+    if plants is not None:
+        keys = star.dim_plant.where(F.col("plant_name").isin(list(plants))).select("plant_id")
+        f = f.join(size_checked_broadcast(keys, star.broadcast_rows), "plant_id", "left_semi")
+    if machine_types is not None:
+        keys = star.dim_machine.where(F.col("machine_type").isin(list(machine_types))).select("machine_id")
+        f = f.join(size_checked_broadcast(keys, star.broadcast_rows), "machine_id", "left_semi")
+    need = list(attrs) + (["date"] if lo is not None else [])
     f = attach_attrs(star, f, list(dict.fromkeys(need)))
-    return filter_fact(f, plants, machine_types, lo, hi)
+    return filter_fact(f, None, None, lo, hi)
 
 
 def filtered_maintenance(star: Star, plants=None, machine_types=None, start=None, end=None) -> DataFrame:
