@@ -73,14 +73,14 @@ def main() -> None:
         "a1_kpi_summary": lambda: db.kpi_summary(db.filtered_production(star)),
         "a2_weekly_production": lambda: db.weekly_production(db.filtered_production(star, attrs=["date"])),
         "a5_energy_by_machine_name": lambda: db.energy_by_machine_name(
-            db.filtered_production(star, attrs=["machine_name"])),
+            db.filtered_production(star), star),
         "a10_top_maintenance_events": lambda: db.top_maintenance_events(db.filtered_maintenance(star)),
         "f4_filtered_kpis": lambda: db.kpi_summary(db.filtered_production(
             star, ["ASIA", "EUROPE"], ["TYPE_1", "TYPE_3"], "1996-01-01", "1997-06-30")),
         "d_production_measures_by_plant": lambda: bi.production_measures(
-            db.filtered_production(star, attrs=["plant_name"]), "plant_name"),
+            db.filtered_production(star), "plant_name", star=star),
         "v4_plant_category_matrix": lambda: bi.plant_category_matrix(
-            db.filtered_production(star, attrs=["plant_name", "category"])),
+            db.filtered_production(star), star=star),
         "j6_wide_production": lambda: star.wide_production(),
         "c9_constraint_report": lambda: ingest.constraint_report(star),
         "w2_w3_history_features": lambda: history.machine_history(star),

@@ -1,8 +1,11 @@
-"""The BI semantic model's measures as aggregate columns.
-
-``DIVIDE(a, b, 0)`` is ``coalesce(try_divide(a, b), 0)``. Every function
-returns an aggregate expression, so a measure set is one ``agg`` over any
-grouping; the plan shuffles only the partial aggregates.
+"""The BI semantic model's measures.
+
+Every measure is a final expression over a few *partial* aggregates (exact
+decimal sums and counts). The partials re-aggregate by ``sum``, so a
+measure set can be computed in one ``agg`` over any grouping, or from
+partials pre-aggregated on a foreign key before a dimension lookup — with
+bit-identical results either way. ``DIVIDE(a, b, 0)`` is
+``coalesce(try_divide(a, b), 0)``.
 """
 
 from __future__ import annotations
@@ -10,101 +13,78 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shiftline.functions.scalar import SHIFT_MINUTES, exact_avg, exact_sum, safe_divide
-
-
-def total_units() -> Column:                      # D1
-    return exact_sum("produced_qty")
-
-
-def total_defective() -> Column:                  # D2
-    return F.sum("defective_qty").cast("bigint")
-
-
-def defect_rate_pct() -> Column:                  # D3
-    return safe_divide(total_defective(), total_units(), 0.0) * 100.0
-
-
-def total_downtime_hrs() -> Column:               # D4
-    return exact_sum("downtime_minutes") / 60.0
-
-
-def avg_downtime_min() -> Column:                 # D5
-    return exact_avg("downtime_minutes")
-
-
-def total_energy() -> Column:                     # D6
-    return exact_sum("energy_consumed_kwh")
-
-
-def energy_per_unit() -> Column:                  # D7
-    return safe_divide(total_energy(), total_units(), 0.0)
-
-
-def failure_count() -> Column:                    # D8
-    return F.sum("failure_event").cast("bigint")
-
-
-def failure_rate_pct() -> Column:                 # D9
-    return safe_divide(failure_count(), F.count(F.lit(1)), 0.0) * 100.0
-
-
-def availability_pct() -> Column:                 # D10
-    return (1.0 - safe_divide(exact_sum("downtime_minutes"),
-                              F.count(F.lit(1)) * SHIFT_MINUTES, 0.0)) * 100.0
-
-
-def quality_pct() -> Column:                      # D11
-    return 100.0 - defect_rate_pct()
-
-
-def oee_proxy_pct() -> Column:                    # D12
-    return availability_pct() * quality_pct() / 100.0
-
-
-def total_maintenance_cost() -> Column:           # D13
-    return exact_sum("cost_inr")
-
-
-def _cost_of(kind: str) -> Column:
-    return exact_sum(F.when(F.col("maintenance_type") == kind, F.col("cost_inr")))
-
-
-def preventive_cost() -> Column:                  # D14
-    return _cost_of("Preventive")
-
-
-def corrective_cost() -> Column:                  # D15
-    return _cost_of("Corrective")
-
-
-def preventive_share_pct() -> Column:             # D16
-    return safe_divide(preventive_cost(), total_maintenance_cost(), 0.0) * 100.0
-
-
-PRODUCTION_MEASURES = {
-    "total_units_produced": total_units,
-    "total_defective_units": total_defective,
-    "defect_rate_pct": defect_rate_pct,
-    "total_downtime_hrs": total_downtime_hrs,
-    "avg_downtime_per_shift_min": avg_downtime_min,
-    "total_energy_kwh": total_energy,
-    "energy_per_unit_kwh": energy_per_unit,
-    "failure_count": failure_count,
-    "failure_rate_pct": failure_rate_pct,
-    "availability_pct": availability_pct,
-    "quality_pct": quality_pct,
-    "oee_proxy_pct": oee_proxy_pct,
-}
-
-MAINTENANCE_MEASURES = {
-    "total_maintenance_cost": total_maintenance_cost,
-    "preventive_maintenance_cost": preventive_cost,
-    "corrective_maintenance_cost": corrective_cost,
-    "preventive_cost_share_pct": preventive_share_pct,
-}
-
-
-def measure_columns(spec: dict, names=None) -> list[Column]:
-    names = list(spec) if names is None else names
-    return [spec[n]().alias(n) for n in names]
+from shiftline.functions.scalar import _MEASURE_DEC, SHIFT_MINUTES, decimal_sum as _dsum
+
+
+def production_partials() -> dict[str, Column]:
+    """Partial aggregates of the production measures (each sums again)."""
+    return {"_units": _dsum("produced_qty"),
+            "_defective": F.sum("defective_qty").cast("bigint"),
+            "_down": _dsum("downtime_minutes"),
+            "_n_down": F.count("downtime_minutes"),
+            "_energy": _dsum("energy_consumed_kwh"),
+            "_failures": F.sum("failure_event").cast("bigint"),
+            "_n": F.count(F.lit(1))}
+
+
+def production_finals(p: dict[str, Column]) -> dict[str, Column]:
+    """D1–D12 from partials (columns or aggregate expressions)."""
+    units = p["_units"].cast("double")                                        # D1
+    defective = p["_defective"].cast("bigint")                                # D2
+    defect_rate = F.coalesce(F.try_divide(defective, units), F.lit(0.0)) * 100.0   # D3
+    down = p["_down"].cast("double")
+    energy = p["_energy"].cast("double")                                      # D6
+    failures = p["_failures"].cast("bigint")                                  # D8
+    availability = (1.0 - F.coalesce(F.try_divide(down, p["_n"] * SHIFT_MINUTES), F.lit(0.0))) * 100.0  # D10
+    quality = 100.0 - defect_rate                                             # D11
+    return {
+        "total_units_produced": units,
+        "total_defective_units": defective,
+        "defect_rate_pct": defect_rate,
+        "total_downtime_hrs": down / 60.0,                                    # D4
+        "avg_downtime_per_shift_min": F.try_divide(down, p["_n_down"]),       # D5
+        "total_energy_kwh": energy,
+        "energy_per_unit_kwh": F.coalesce(F.try_divide(energy, units), F.lit(0.0)),   # D7
+        "failure_count": failures,
+        "failure_rate_pct": F.coalesce(F.try_divide(failures, p["_n"]), F.lit(0.0)) * 100.0,  # D9
+        "availability_pct": availability,
+        "quality_pct": quality,
+        "oee_proxy_pct": availability * quality / 100.0,                      # D12
+    }
+
+
+def maintenance_partials() -> dict[str, Column]:
+    kind = F.col("maintenance_type")
+    return {"_cost": _dsum("cost_inr"),
+            "_preventive": F.sum(F.when(kind == "Preventive", F.col("cost_inr")).cast(_MEASURE_DEC)),
+            "_corrective": F.sum(F.when(kind == "Corrective", F.col("cost_inr")).cast(_MEASURE_DEC))}
+
+
+def maintenance_finals(p: dict[str, Column]) -> dict[str, Column]:
+    """D13–D16 (D14/D15 are the CALCULATE-filtered totals, F7)."""
+    total, prev = p["_cost"].cast("double"), p["_preventive"].cast("double")
+    return {"total_maintenance_cost": total,                                   # D13
+            "preventive_maintenance_cost": prev,                               # D14
+            "corrective_maintenance_cost": p["_corrective"].cast("double"),   # D15
+            "preventive_cost_share_pct": F.coalesce(F.try_divide(prev, total), F.lit(0.0)) * 100.0}  # D16
+
+
+PRODUCTION_MEASURES = ["total_units_produced", "total_defective_units", "defect_rate_pct",
+                       "total_downtime_hrs", "avg_downtime_per_shift_min", "total_energy_kwh",
+                       "energy_per_unit_kwh", "failure_count", "failure_rate_pct", "availability_pct",
+                       "quality_pct", "oee_proxy_pct"]
+MAINTENANCE_MEASURES = ["total_maintenance_cost", "preventive_maintenance_cost",
+                        "corrective_maintenance_cost", "preventive_cost_share_pct"]
+
+
+def measure(name: str) -> Column:
+    """One measure as a single aggregate expression (for ad-hoc ``agg``)."""
+    if name in PRODUCTION_MEASURES:
+        return production_finals(production_partials())[name]
+    return maintenance_finals(maintenance_partials())[name]
+
+
+def over_partials(finals_fn, partial_names, names=None) -> list[Column]:
+    """Final measure columns computed from already-aggregated partial columns."""
+    exprs = finals_fn({n: F.col(n) for n in partial_names})
+    return [exprs[n].alias(n) for n in (names or list(exprs))]

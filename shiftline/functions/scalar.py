@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "col_", "safe_divide", "exact_sum", "exact_avg", "round_to", "round_half_even_int",
+    "col_", "safe_divide", "exact_sum", "decimal_sum", "exact_avg", "round_to", "round_half_even_int",
     "date_key", "key_to_date", "day_name", "weekend_flag", "week_start", "week_label",
     "padded_id", "clamp", "age_years", "is_valid_number", "to_flag", "SHIFT_MINUTES",
 ]
@@ -50,6 +50,11 @@ def exact_sum(c, scale: int = MEASURE_SCALE) -> Column:
     return F.sum(col_(c).cast(dec)).cast("double")
 
 
+def decimal_sum(c) -> Column:
+    """Exact partial sum of a double measure (decimal; sums again exactly)."""
+    return F.sum(col_(c).cast(_MEASURE_DEC))
+
+
 def exact_avg(c, scale: int = MEASURE_SCALE) -> Column:
     """Mean of non-null values from an exact sum; null for an empty group."""
     dec = T.DecimalType(20, scale)

@@ -44,3 +44,32 @@ def grouped_through(fact: DataFrame, fk: str, dim: DataFrame, dim_cols: list[str
     if finals:
         out = out.select(*keys, *[c.alias(n) for n, c in finals.items()])
     return out
+
+
+def aggregate_by_attributes(star, fact: DataFrame, attrs: list[str], partials: dict[str, Column]) -> DataFrame:
+    """Group ``fact`` by ``attrs`` — fact columns or attributes of the star's
+    dimensions — computing ``partials`` (each re-aggregatable by ``sum``).
+
+    When every dimension involved is proven small, the lookups are
+    broadcast and the fact is aggregated once. Otherwise the fact is first
+    aggregated on its own group columns plus the foreign keys (map-side
+    combined), and only that result meets the dimensions. ``star`` may be
+    None when all ``attrs`` are fact columns.
+    """
+    from shiftline.operators.star import ATTR_SOURCE
+    own = [a for a in attrs if a in fact.columns]
+    needed: dict[tuple[str, str], list[str]] = {}
+    for a in attrs:
+        if a not in own:
+            d, k = ATTR_SOURCE[a]
+            needed.setdefault((d, k), []).append(a)
+    aggs = [c.alias(n) for n, c in partials.items()]
+    if not needed or all(star.is_small(d) for d, _ in needed):
+        f = fact
+        for (d, k), cols in needed.items():
+            f = f.join(star.dim(d, k, *cols), k)
+        return f.groupBy(*attrs).agg(*aggs)
+    pre = fact.groupBy(*dict.fromkeys(own + [k for _, k in needed])).agg(*aggs)
+    for (d, k), cols in needed.items():
+        pre = pre.join(star.dim(d, k, *cols), k)
+    return pre.groupBy(*attrs).agg(*[F.sum(n).alias(n) for n in partials])

@@ -87,7 +87,7 @@ class Star:
 
 
 # attribute -> (dimension, join key)
-_ATTR_SOURCE = {
+ATTR_SOURCE = {
     "plant_name": ("dim_plant", "plant_id"), "city": ("dim_plant", "plant_id"),
     "state": ("dim_plant", "plant_id"), "plant_type": ("dim_plant", "plant_id"),
     "machine_name": ("dim_machine", "machine_id"), "machine_type": ("dim_machine", "machine_id"),
@@ -107,7 +107,7 @@ _ATTR_SOURCE = {
 def attach_attrs(star: Star, f: DataFrame, attrs) -> DataFrame:
     by_dim: dict[tuple[str, str], list[str]] = {}
     for a in attrs:
-        d, k = _ATTR_SOURCE[a]
+        d, k = ATTR_SOURCE[a]
         by_dim.setdefault((d, k), []).append(a)
     for (d, k), cols in by_dim.items():
         f = f.join(star.dim(d, k, *cols), k)

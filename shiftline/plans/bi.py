@@ -14,20 +14,34 @@ from pyspark.sql import functions as F
 
 from shiftline.functions import measures as M
 from shiftline.functions.scalar import age_years, week_label
+from shiftline.operators.aggregate import aggregate_by_attributes
 from shiftline.operators.star import Star
 
 
-def production_measures(df: DataFrame, *group_cols: str, names=None) -> DataFrame:
-    """D1–D12 per group (one row overall when no group columns)."""
-    cols = M.measure_columns(M.PRODUCTION_MEASURES, names)
-    out = df.groupBy(*group_cols).agg(*cols) if group_cols else df.agg(*cols)
+def production_measures(fact: DataFrame, *group_cols: str, names=None, star: Star | None = None) -> DataFrame:
+    """D1–D12 per group (one row overall when no group columns).
+
+    Group columns may be fact columns or dimension attributes; with a
+    ``star`` the attributes are looked up after pre-aggregation when their
+    dimension is too large to broadcast (``aggregate_by_attributes``).
+    """
+    partials = M.production_partials()
+    if group_cols:
+        g = aggregate_by_attributes(star, fact, list(group_cols), partials)
+    else:
+        g = fact.agg(*[c.alias(n) for n, c in partials.items()])
+    out = g.select(*group_cols, *M.over_partials(M.production_finals, partials, names))
     return out.orderBy(*group_cols) if group_cols else out
 
 
-def maintenance_measures(df: DataFrame, *group_cols: str, names=None) -> DataFrame:
+def maintenance_measures(fact: DataFrame, *group_cols: str, names=None, star: Star | None = None) -> DataFrame:
     """D13–D16 per group."""
-    cols = M.measure_columns(M.MAINTENANCE_MEASURES, names)
-    out = df.groupBy(*group_cols).agg(*cols) if group_cols else df.agg(*cols)
+    partials = M.maintenance_partials()
+    if group_cols:
+        g = aggregate_by_attributes(star, fact, list(group_cols), partials)
+    else:
+        g = fact.agg(*[c.alias(n) for n, c in partials.items()])
+    out = g.select(*group_cols, *M.over_partials(M.maintenance_finals, partials, names))
     return out.orderBy(*group_cols) if group_cols else out
 
 
@@ -37,32 +51,30 @@ def executive_overview(prod: DataFrame, maint: DataFrame) -> DataFrame:
     The maintenance total is a scalar subquery over the maintenance fact,
     so the two one-row aggregates are combined without a join.
     """
-    cost = maint.agg(M.total_maintenance_cost()).scalar()
-    return prod.agg(M.total_units().alias("total_units_produced"),
-                    M.failure_rate_pct().alias("failure_rate_pct"),
-                    M.availability_pct().alias("availability_pct"),
-                    M.oee_proxy_pct().alias("oee_proxy_pct")
-                    ).select("*", cost.alias("total_maintenance_cost"))
+    cost = maint.agg(M.measure("total_maintenance_cost")).scalar()
+    cards = ["total_units_produced", "failure_rate_pct", "availability_pct", "oee_proxy_pct"]
+    return prod.agg(*[M.measure(n).alias(n) for n in cards]).select("*", cost.alias("total_maintenance_cost"))
 
 
-def production_by_plant(prod: DataFrame) -> DataFrame:
+def production_by_plant(prod: DataFrame, star: Star | None = None) -> DataFrame:
     """V3: units produced by plant."""
-    return production_measures(prod, "plant_name", names=["total_units_produced"])
+    return production_measures(prod, "plant_name", names=["total_units_produced"], star=star)
 
 
-def plant_category_matrix(prod: DataFrame, wide: bool = False, categories=None) -> DataFrame:
+def plant_category_matrix(prod: DataFrame, wide: bool = False, categories=None,
+                          star: Star | None = None) -> DataFrame:
     """V4: plant × category with D1 and D3.
 
     Long form by default. ``wide=True`` pivots categories into columns of
-    units produced; pass ``categories`` to avoid the extra job that finds
-    the distinct values.
+    units produced (needs ``plant_name`` and ``category`` on ``prod``); pass
+    ``categories`` to avoid the extra job that finds the distinct values.
     """
     if not wide:
         return production_measures(prod, "plant_name", "category",
-                                   names=["total_units_produced", "defect_rate_pct"])
+                                   names=["total_units_produced", "defect_rate_pct"], star=star)
     g = prod.groupBy("plant_name")
     p = g.pivot("category", categories) if categories is not None else g.pivot("category")
-    return p.agg(M.total_units()).orderBy("plant_name")
+    return p.agg(M.measure("total_units_produced")).orderBy("plant_name")
 
 
 def defect_rate_trend(prod: DataFrame, machine_types=None, by: str = "week") -> DataFrame:
@@ -70,10 +82,8 @@ def defect_rate_trend(prod: DataFrame, machine_types=None, by: str = "week") ->
     if machine_types is not None:
         prod = prod.where(F.col("machine_type").isin(list(machine_types)))
     period = week_label("date").alias("period") if by == "week" else F.col("date").alias("period")
-    return (prod.groupBy(period).agg(M.total_defective().alias("total_defective_units"),
-                                     M.total_units().alias("total_units_produced"),
-                                     M.defect_rate_pct().alias("defect_rate_pct"))
-            .orderBy("period"))
+    names = ["total_defective_units", "total_units_produced", "defect_rate_pct"]
+    return prod.groupBy(period).agg(*[M.measure(n).alias(n) for n in names]).orderBy("period")
 
 
 def energy_per_unit_vs_age(star: Star, as_of: _dt.date) -> DataFrame:
@@ -81,7 +91,8 @@ def energy_per_unit_vs_age(star: Star, as_of: _dt.date) -> DataFrame:
     never the wall clock, so reruns agree). Aggregated on machine_id before
     the machine lookup."""
     per = star.fact_production.groupBy("machine_id").agg(
-        M.total_energy().alias("total_energy_kwh"), M.total_units().alias("total_units_produced"))
+        M.measure("total_energy_kwh").alias("total_energy_kwh"),
+        M.measure("total_units_produced").alias("total_units_produced"))
     m = star.dim("dim_machine", "machine_id", "machine_name", "machine_type", "install_date")
     out = per.join(m, "machine_id")
     return out.select("machine_id", "machine_name", "machine_type", "install_date",
@@ -97,7 +108,7 @@ def same_period_last_year(prod: DataFrame) -> DataFrame:
     Monthly totals are small (plants × months); the prior-year value is an
     equi-join of that table with itself on (plant, year − 1, month).
     """
-    monthly = prod.groupBy("plant_name", "year", "month").agg(M.total_units().alias("units"))
+    monthly = prod.groupBy("plant_name", "year", "month").agg(M.measure("total_units_produced").alias("units"))
     prev = monthly.select("plant_name", (F.col("year") + 1).alias("year"), "month",
                           F.col("units").alias("units_same_period_last_year"))
     out = monthly.join(prev, ["plant_name", "year", "month"], "left")

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftline.functions.scalar import exact_avg, exact_sum, safe_divide, week_label
+from shiftline.functions.scalar import decimal_sum, exact_avg, exact_sum, safe_divide, week_label
+from shiftline.operators.aggregate import aggregate_by_attributes
 from shiftline.operators.joins import size_checked_broadcast
 from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fact, filter_maintenance
 
@@ -83,36 +84,42 @@ def weekly_production(df: DataFrame) -> DataFrame:
             .agg(exact_sum("produced_qty").alias("produced_qty")).orderBy("week"))
 
 
-def production_by_category(df: DataFrame) -> DataFrame:
-    """A3."""
-    return (df.groupBy("category").agg(exact_sum("produced_qty").alias("produced_qty"))
+def production_by_category(fact: DataFrame, star: Star | None = None) -> DataFrame:
+    """A3 (category comes from the product dimension when not on ``fact``)."""
+    g = aggregate_by_attributes(star, fact, ["category"], {"_u": decimal_sum("produced_qty")})
+    return (g.select("category", F.col("_u").cast("double").alias("produced_qty"))
             .orderBy(F.desc("produced_qty"), "category"))
 
 
-def defect_rate_by_plant(df: DataFrame) -> DataFrame:
+def defect_rate_by_plant(fact: DataFrame, star: Star | None = None) -> DataFrame:
     """A4: ratio of sums per plant."""
-    g = df.groupBy("plant_name").agg(exact_sum("produced_qty").alias("produced"),
-                                      F.sum("defective_qty").cast("bigint").alias("defective"))
-    return g.select("plant_name", "produced", "defective",
-                    (safe_divide(F.col("defective").cast("double"), F.col("produced")) * 100.0)
-                    .alias("defect_rate_pct")).orderBy("plant_name")
+    g = aggregate_by_attributes(star, fact, ["plant_name"],
+                                {"_p": decimal_sum("produced_qty"),
+                                 "_d": F.sum("defective_qty").cast("bigint")})
+    produced, defective = F.col("_p").cast("double"), F.col("_d").cast("bigint")
+    return g.select("plant_name", produced.alias("produced"), defective.alias("defective"),
+                    (safe_divide(defective.cast("double"), produced) * 100.0).alias("defect_rate_pct")
+                    ).orderBy("plant_name")
 
 
-def energy_by_machine_name(df: DataFrame, k: int = 10) -> DataFrame:
+def energy_by_machine_name(fact: DataFrame, star: Star | None = None, k: int = 10) -> DataFrame:
     """A5: energy by machine *name* (names repeat across plants), top k."""
-    return (df.groupBy("machine_name").agg(exact_sum("energy_consumed_kwh").alias("energy_consumed_kwh"))
+    g = aggregate_by_attributes(star, fact, ["machine_name"], {"_e": decimal_sum("energy_consumed_kwh")})
+    return (g.select("machine_name", F.col("_e").cast("double").alias("energy_consumed_kwh"))
             .orderBy(F.desc("energy_consumed_kwh"), "machine_name").limit(k))
 
 
-def downtime_by_machine_type(df: DataFrame) -> DataFrame:
+def downtime_by_machine_type(fact: DataFrame, star: Star | None = None) -> DataFrame:
     """Mean downtime per shift by machine type."""
-    return (df.groupBy("machine_type").agg(exact_avg("downtime_minutes").alias("downtime_minutes"))
-            .orderBy(F.desc("downtime_minutes"), "machine_type"))
+    g = aggregate_by_attributes(star, fact, ["machine_type"],
+                                {"_s": decimal_sum("downtime_minutes"), "_n": F.count("downtime_minutes")})
+    return (g.select("machine_type", safe_divide(F.col("_s").cast("double"), F.col("_n"))
+                     .alias("downtime_minutes")).orderBy(F.desc("downtime_minutes"), "machine_type"))
 
 
-def peak_energy_machine(df: DataFrame) -> DataFrame:
+def peak_energy_machine(fact: DataFrame, star: Star | None = None) -> DataFrame:
     """The machine name with the largest total energy (ties → smallest name)."""
-    return energy_by_machine_name(df, 1).select(
+    return energy_by_machine_name(fact, star, 1).select(
         "machine_name", F.col("energy_consumed_kwh").alias("total_energy_kwh"))
 
 

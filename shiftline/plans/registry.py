@@ -134,16 +134,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_summary": _on_star(lambda st: db.kpi_summary(db.filtered_production(st))),
     "weekly_production": _on_star(lambda st: db.weekly_production(
         db.filtered_production(st, attrs=["date"]))),
-    "production_by_category": _on_star(lambda st: db.production_by_category(
-        db.filtered_production(st, attrs=["category"]))),
-    "defect_rate_by_plant": _on_star(lambda st: db.defect_rate_by_plant(
-        db.filtered_production(st, attrs=["plant_name"]))),
-    "energy_by_machine_name": _on_star(lambda st: db.energy_by_machine_name(
-        db.filtered_production(st, attrs=["machine_name"]))),
-    "downtime_by_machine_type": _on_star(lambda st: db.downtime_by_machine_type(
-        db.filtered_production(st, attrs=["machine_type"]))),
-    "peak_energy_machine": _on_star(lambda st: db.peak_energy_machine(
-        db.filtered_production(st, attrs=["machine_name"]))),
+    "production_by_category": _on_star(lambda st: db.production_by_category(db.filtered_production(st), st)),
+    "defect_rate_by_plant": _on_star(lambda st: db.defect_rate_by_plant(db.filtered_production(st), st)),
+    "energy_by_machine_name": _on_star(lambda st: db.energy_by_machine_name(db.filtered_production(st), st)),
+    "downtime_by_machine_type": _on_star(lambda st: db.downtime_by_machine_type(db.filtered_production(st), st)),
+    "peak_energy_machine": _on_star(lambda st: db.peak_energy_machine(db.filtered_production(st), st)),
     "cost_by_maintenance_type": _on_star(lambda st: db.cost_by_maintenance_type(
         db.filtered_maintenance(st))),
     "maintenance_cost_by_plant": _on_star(lambda st: db.maintenance_cost_by_plant(
@@ -153,15 +148,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "overall_failure_rate": _on_star(lambda st: db.overall_failure_rate(st.fact_production)),
     # BI measures and pages
     "production_measures": _on_star(lambda st: bi.production_measures(
-        db.filtered_production(st, attrs=["plant_name"]), "plant_name")),
+        db.filtered_production(st), "plant_name", star=st)),
     "maintenance_measures": _on_star(lambda st: bi.maintenance_measures(
         st.maintenance_wide(), "plant_name")),
     "executive_overview": _on_star(lambda st: bi.executive_overview(
         st.fact_production, st.fact_maintenance)),
     "production_by_plant": _on_star(lambda st: bi.production_by_plant(
-        db.filtered_production(st, attrs=["plant_name"]))),
+        db.filtered_production(st), star=st)),
     "plant_category_matrix": _on_star(lambda st: bi.plant_category_matrix(
-        db.filtered_production(st, attrs=["plant_name", "category"]))),
+        db.filtered_production(st), star=st)),
     "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
         db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
