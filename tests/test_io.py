@@ -76,3 +76,19 @@ def test_maintenance_filters_plant_only_vs_synced(spark):
                    & F.col("date_id").between("19960101", "19981231")).count()
     assert 0 < synced.count() == want < all_types
     assert synced.where((F.col("date_id") < "19960101") | (F.col("date_id") > "19981231")).isEmpty()
+
+
+def test_streaming_maintenance_ingest(spark, tmp_dir):
+    from shiftline.sources.fixtures import raw_maintenance
+    from shiftline.streaming.ingest import start_validated_ingest
+    st = fixture_star(spark, SF_SMALL)
+    src = os.path.join(tmp_dir, "landing_m")
+    raw_maintenance(spark, SF_SMALL).repartition(3).write.option("header", True).csv(src)
+    q = start_validated_ingest(spark, src, st.dims(), os.path.join(tmp_dir, "sink_m"),
+                               os.path.join(tmp_dir, "ckpt_m"), small=st.small_dims(),
+                               table="fact_maintenance", max_files_per_trigger=1)
+    q.awaitTermination(300)
+    clean = spark.read.parquet(os.path.join(tmp_dir, "sink_m", "clean")).drop("batch_id")
+    assert clean.exceptAll(st.fact_maintenance).isEmpty() and st.fact_maintenance.exceptAll(clean).isEmpty()
+    batches = spark.read.parquet(os.path.join(tmp_dir, "sink_m", "rejects")).select("batch_id").distinct().count()
+    assert batches >= 3                                   # one file per trigger
