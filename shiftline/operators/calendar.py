@@ -28,19 +28,38 @@ def calendar_from_days(start, n_days: int, spark) -> DataFrame:
     return calendar_dim(b)
 
 
-def expected_slots(prod: DataFrame, dim_shift: DataFrame, entity: str = "machine_id") -> DataFrame:
-    """Every (entity, day, shift) slot between each entity's first and last
-    production day. Days are generated per entity (one ``sequence`` per
-    row, bounded by the calendar); the shift list is a scalar subquery over
-    the shift dimension, so no cartesian join is planned."""
+def _shift_list(dim_shift: DataFrame) -> F.Column:
+    """The shift ids as a sorted array: a scalar subquery over the (small,
+    fixed) shift dimension, so no cartesian join is planned."""
+    return dim_shift.select(F.sort_array(F.collect_set("shift_id"))).scalar()
+
+
+def _active_days(prod: DataFrame, entity: str) -> DataFrame:
+    """(entity, date_id) for every calendar day between each entity's first
+    and last production day. One ``sequence`` per entity, bounded by the
+    calendar, not by the entity's row count."""
     span = prod.groupBy(entity).agg(F.min("date_id").alias("_lo"), F.max("date_id").alias("_hi"))
-    shifts = dim_shift.select(F.sort_array(F.collect_set("shift_id"))).scalar()
     days = span.select(entity, F.explode(F.sequence(key_to_date("_lo"), key_to_date("_hi"))).alias("_d"))
-    return days.select(entity, date_key("_d").alias("date_id"), F.explode(shifts).alias("shift_id"))
+    return days.select(entity, date_key("_d").alias("date_id"))
+
+
+def expected_slots(prod: DataFrame, dim_shift: DataFrame, entity: str = "machine_id") -> DataFrame:
+    """Every (entity, day, shift) slot between each entity's first and last production day."""
+    return _active_days(prod, entity).select(entity, "date_id",
+                                             F.explode(_shift_list(dim_shift)).alias("shift_id"))
 
 
 def missing_slots(prod: DataFrame, dim_shift: DataFrame, entity: str = "machine_id") -> DataFrame:
-    """Expected slots with no production row (anti join on the grain)."""
-    exp = expected_slots(prod, dim_shift, entity)
-    have = prod.select(entity, "date_id", "shift_id")
-    return exp.join(have, [entity, "date_id", "shift_id"], "left_anti")
+    """Expected slots with no production row.
+
+    Works at day grain: the active-day spine is left-joined to the set of
+    shifts present on each (entity, day) — a set bounded by the shift
+    dimension however many rows a slot has — and the missing shifts are the
+    array difference. The shuffle carries one row per entity-day instead of
+    one per slot.
+    """
+    present = prod.groupBy(entity, "date_id").agg(F.collect_set("shift_id").alias("_have"))
+    days = _active_days(prod, entity).join(present, [entity, "date_id"], "left")
+    have = F.coalesce(F.col("_have"), F.array().cast("array<string>"))
+    return days.select(entity, "date_id",
+                       F.explode(F.array_except(_shift_list(dim_shift), have)).alias("shift_id"))
