@@ -118,8 +118,10 @@ def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", d
     days = days.withColumn("_reset_start", reset_start).withColumn(
         "_start_before", F.coalesce(F.max("_reset_start").over(w_before), F.lit(1)))
 
+    # every row's (entity, day) is in ``days``; a left join keeps the fact
+    # scan free of inferred null filters, so both branches share one shuffle
     out = rows.join(days.select(entity, day, "_rows_before", "_fails_before", "_prev_before",
-                                "_start_before"), [entity, day])
+                                "_start_before"), [entity, day], "left")
     idx = F.col("_rows_before") + F.col("_rn")
     start = F.coalesce(F.col("_rows_before") + F.col("_last_fail_rn_in_day") + 1, F.col("_start_before"))
     return out.select(entity, day, *order, "failure_event",
