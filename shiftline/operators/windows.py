@@ -11,7 +11,10 @@ parallelism is (machine, day):
   running counts, reset positions;
 * that table is joined back on (machine, day).
 
-Only the fact is shuffled at full size, once, by (machine, day).
+The fact is shuffled at full width once, by (machine, day). The day
+tails for W2/W3 take a second, narrow shuffle (key, order and two value
+columns; at most n rows per machine-day, cut map-side by a partial top-n).
+W5 reads its rows branch twice from one shared shuffle.
 """
 
 from __future__ import annotations
