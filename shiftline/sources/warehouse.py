@@ -30,15 +30,16 @@ def _write_dims(dims: dict[str, DataFrame], base: str) -> None:
 
 def _write_fact(df: DataFrame, name: str, base: str, fact_files: int | None) -> None:
     keys = FACT_SORT[name]
-    n = fact_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").parquet(f"{base}/{name}"))
+    # Without an explicit count AQE sizes the range partitions (advisory
+    # partition size), so file size follows the data volume.
+    ranged = df.repartitionByRange(fact_files, *keys) if fact_files else df.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).write.mode("overwrite").parquet(f"{base}/{name}")
 
 
 def write_star(star: Star, path: str, fact_files: int | None = None) -> None:
     """Drop-and-create all seven tables of an already-cleaned star under
-    ``path/<table>``. ``fact_files``: range partitions (files) per fact,
-    default ``spark.sql.shuffle.partitions``."""
+    ``path/<table>``. ``fact_files``: range partitions (files) per fact;
+    by default AQE sizes them."""
     base = path.rstrip("/")
     _write_dims(star.dims(), base)
     for name in FACTS:
