@@ -1,7 +1,7 @@
 """The star schema as one object, its joins (J1–J9) and filters.
 
 Dimensions are joined to facts by key. A dimension is broadcast only after
-a bounded row-count probe proves it small (``joins.size_checked_broadcast``);
+a bounded row-count probe proves it small (``joins.row_count_at_most``);
 the probe result is memoised per ``Star`` so a session of many queries pays
 it once. Large dimensions fall back to planner-chosen shuffle joins.
 """
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.operators import cleaning
-from shiftline.schemas import PRIMARY_KEYS
 from shiftline.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from shiftline.schemas import PRIMARY_KEYS
 
 DIMS = ["dim_plant", "dim_machine", "dim_shift", "dim_product", "dim_date"]
 FACTS = ["fact_production", "fact_maintenance"]
@@ -62,8 +62,8 @@ class Star:
         """Production joined to just the dimensions that provide ``attrs``.
 
         Plant attributes come through the fact's own plant_id (the direct
-        path); use ``machine_plant=True`` flavours in plans that need the
-        machine's plant instead.
+        path, as in Q2); plans that need the machine's plant (Q1, Q4) join
+        through ``dim_machine.plant_id`` themselves.
         """
         f = self.fact_production if fact_cols is None else self.fact_production.select(*fact_cols)
         return attach_attrs(self, f, attrs)
@@ -168,17 +168,24 @@ def filter_maintenance(df: DataFrame, plants=None) -> DataFrame:
     return df if plants is None else df.where(F.col("plant_name").isin(list(plants)))
 
 
-def filter_choices(wide: DataFrame) -> DataFrame:
+def filter_choices(star: Star, fact: DataFrame) -> DataFrame:
     """one row per selectable value (kind, value), plus min/max dates.
 
-    Distinct plant names and machine types are partial aggregates; the
-    date bounds are one more aggregate. Sorted by (kind, value).
+    Distinct plant names, machine types and dates are aggregates through
+    the dimensions (``aggregate_by_attributes``): at foreign-key grain
+    first when a dimension is too large to broadcast. Sorted by (kind, value).
     """
-    plants = wide.select(F.lit("plant_name").alias("kind"), F.col("plant_name").alias("value")).distinct()
-    types = wide.select(F.lit("machine_type").alias("kind"), F.col("machine_type").alias("value")).distinct()
-    bounds = wide.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    from shiftline.operators.aggregate import aggregate_by_attributes
+    one = {"_n": F.count(F.lit(1))}
+
+    def values(attr: str) -> DataFrame:
+        g = aggregate_by_attributes(star, fact, [attr], one)
+        return g.select(F.lit(attr).alias("kind"), F.col(attr).cast("string").alias("value"))
+
+    days = aggregate_by_attributes(star, fact, ["date"], one)
+    bounds = days.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     dates = bounds.select(F.explode(F.array(
         F.struct(F.lit("date_min").alias("kind"), F.col("lo").cast("string").alias("value")),
         F.struct(F.lit("date_max").alias("kind"), F.col("hi").cast("string").alias("value")))).alias("s")
     ).select("s.kind", "s.value")
-    return plants.unionByName(types).unionByName(dates).orderBy("kind", "value")
+    return values("plant_name").unionByName(values("machine_type")).unionByName(dates).orderBy("kind", "value")

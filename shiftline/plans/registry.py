@@ -128,8 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         attrs=["plant_name", "machine_type", "date"]).select(
         "record_id", "machine_id", "date_id", "shift_id", "plant_name", "machine_type", "date",
         "produced_qty")),
-    "filter_choices": _on_star(lambda st: filter_choices(
-        db.filtered_production(st, attrs=["plant_name", "machine_type", "date"]))),
+    "filter_choices": _on_star(lambda st: filter_choices(st, db.filtered_production(st))),
     # dashboard
     "kpi_summary": _on_star(lambda st: db.kpi_summary(db.filtered_production(st))),
     "weekly_production": _on_star(lambda st: db.weekly_production(
