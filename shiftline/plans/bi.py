@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.functions import measures as M
-from shiftline.functions.scalar import age_years, week_label
+from shiftline.functions.scalar import age_years, decimal_sum, week_label
 from shiftline.operators.aggregate import aggregate_by_attributes
 from shiftline.operators.star import Star
 
@@ -102,13 +102,15 @@ def energy_per_unit_vs_age(star: Star, as_of: _dt.date) -> DataFrame:
                       .alias("energy_per_unit_kwh")).orderBy("machine_id")
 
 
-def same_period_last_year(prod: DataFrame) -> DataFrame:
+def same_period_last_year(prod: DataFrame, star: Star | None = None) -> DataFrame:
     """Monthly units per plant next to the same month one year earlier.
 
     Monthly totals are small (plants × months); the prior-year value is an
     equi-join of that table with itself on (plant, year − 1, month).
     """
-    monthly = prod.groupBy("plant_name", "year", "month").agg(M.measure("total_units_produced").alias("units"))
+    monthly = aggregate_by_attributes(star, prod, ["plant_name", "year", "month"],
+                                      {"_u": decimal_sum("produced_qty")})
+    monthly = monthly.select("plant_name", "year", "month", F.col("_u").cast("double").alias("units"))
     prev = monthly.select("plant_name", (F.col("year") + 1).alias("year"), "month",
                           F.col("units").alias("units_same_period_last_year"))
     out = monthly.join(prev, ["plant_name", "year", "month"], "left")

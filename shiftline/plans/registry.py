@@ -159,8 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
         db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
-    "same_period_last_year": _on_star(lambda st: bi.same_period_last_year(
-        db.filtered_production(st, attrs=["plant_name", "year", "month"]))),
+    "same_period_last_year": _on_star(lambda st: bi.same_period_last_year(db.filtered_production(st), st)),
     # machine history, calendar, grain
     "prior_downtime_avg3": _on_star(lambda st: history.machine_history(st).select(
         *history.KEYS, "prior_downtime_avg3")),

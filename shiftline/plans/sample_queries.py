@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shiftline.functions.scalar import SHIFT_MINUTES, safe_divide
-from shiftline.operators.aggregate import grouped_through
+from shiftline.operators.aggregate import aggregate_by_attributes, grouped_through
 from shiftline.operators.star import Star
 
 _DEC = T.DecimalType(20, 4)
@@ -38,10 +38,8 @@ def top_energy_machines(star: Star, k: int = 10) -> DataFrame:
 
 def monthly_production_by_plant(star: Star) -> DataFrame:
     """Q2: produced units by plant (fact's own plant_id), year, month."""
-    f = star.fact_production.select("plant_id", "date_id", "produced_qty")
-    f = (f.join(star.dim("dim_date", "date_id", "year", "month"), "date_id")
-         .join(star.dim("dim_plant", "plant_id", "plant_name"), "plant_id"))
-    out = f.groupBy("plant_name", "year", "month").agg(_dsum("produced_qty").alias("s"))
+    out = aggregate_by_attributes(star, star.fact_production, ["plant_name", "year", "month"],
+                                  {"s": _dsum("produced_qty")})
     return (out.select("plant_name", "year", "month", _round_dec("s", 0).alias("total_produced"))
             .orderBy("plant_name", "year", "month"))
 
