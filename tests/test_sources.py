@@ -75,3 +75,15 @@ def test_missing_slots_small(spark):
     got = sorted(map(tuple, calendar.missing_slots(prod, shifts).collect()))
     assert got == [("M1", "20250101", "S2"), ("M1", "20250102", "S1"), ("M1", "20250102", "S2"),
                    ("M1", "20250103", "S1")]
+
+
+def test_clean_dim_keeps_first_across_files(spark, tmp_dir):
+    from shiftline.operators import cleaning
+    d = os.path.join(tmp_dir, "plants")
+    _write(f"{d}/part-0.csv", "plant_id,plant_name,city,state,plant_type\nP01,first,a,b,c\nP02,two,a,b,c\n")
+    _write(f"{d}/part-1.csv", "plant_id,plant_name,city,state,plant_type\nP01,second,a,b,c\nP03,three,a,b,c\n"
+                              "P03,three-dup,a,b,c\n")
+    df = files.read_csv_table(spark, d, "dim_plant")
+    out = cleaning.clean_dim(df, "plant_id", order_cols=[files.ORDER_COL])
+    assert out.columns == ["plant_id", "plant_name", "city", "state", "plant_type"]
+    assert {r.plant_id: r.plant_name for r in out.collect()} == {"P01": "first", "P02": "two", "P03": "three"}
