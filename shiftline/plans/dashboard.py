@@ -4,7 +4,9 @@
 single aggregate. Because the loaded fact has passed the referential
 checks against the same dimensions, a dimension that neither a filter nor
 the view needs can be left out of the join without changing any row
-(this is the wide join J6 with unused lookups eliminated).
+(this is the wide join J6 with unused lookups eliminated). Views grouped
+by a dimension attribute take the ``star`` and look the attribute up after
+pre-aggregation when that dimension is too large to broadcast.
 """
 
 from __future__ import annotations
@@ -56,9 +58,8 @@ def filtered_maintenance(star: Star, plants=None, machine_types=None, start=None
     """
     m = filter_maintenance(star.maintenance_wide(), plants)
     if machine_types is not None:
-        types = star.dim("dim_machine", "machine_id", "machine_type").where(
-            F.col("machine_type").isin(list(machine_types))).select("machine_id")
-        m = m.join(types, "machine_id", "left_semi")
+        keys = star.dim_machine.where(F.col("machine_type").isin(list(machine_types))).select("machine_id")
+        m = m.join(size_checked_broadcast(keys, star.broadcast_rows), "machine_id", "left_semi")
     lo, hi = date_bounds(start, end)
     if lo is not None:
         m = m.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
