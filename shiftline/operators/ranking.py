@@ -37,21 +37,22 @@ def positions(df: DataFrame, key: str, groups: list[str], out: str = "pos",
     return ranked.withColumn(out, F.col("_off") + inner).drop("_b", "_off")
 
 
-def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percent: int = 20,
-                     seed: int = 42, out: str = "is_test",
-                     digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
-    """Exact stratified hold-out: in each label class, the ``ceil(n·pct/100)``
-    rows with the smallest digest(seed, keys) are test rows (``out`` = 1).
+def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_percent: int = 20,
+                out: str = "is_test", latest: bool = False) -> DataFrame:
+    """Exact per-class hold-out by an order key: in each label class the
+    ``ceil(n·pct/100)`` rows first in ``key`` order (last, with ``latest``)
+    get ``out`` = 1.
 
-    Only rows in the one boundary bucket per class are ranked; all others
-    are decided by comparing their bucket with the boundary.
+    ``bucket`` must be an order-preserving prefix of ``key`` (a coarser
+    key). Counts per (class, bucket) — bounded by the bucket domain — decide
+    whole buckets; only the one boundary bucket per class is ranked.
     """
-    x = df.withColumn("_key", digest(seed, *key_cols)).withColumn("_b", F.substring("_key", 1, digits))
+    x = df.withColumn("_key", key).withColumn("_b", bucket)
     counts = x.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    order_b = F.desc("_b") if latest else F.asc("_b")
     w_cls = Window.partitionBy(label)
-    w_cum = w_cls.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     k = F.ceil(F.sum("_n").over(w_cls) * float(test_percent) / 100.0)
-    cum = F.sum("_n").over(w_cum)
+    cum = F.sum("_n").over(w_cls.orderBy(order_b).rowsBetween(Window.unboundedPreceding, 0))
     buckets = counts.select(label, "_b", "_n", cum.alias("_cum"), k.alias("_k"))
     buckets = buckets.select(label, "_b", (F.col("_cum") - F.col("_n")).alias("_before"), "_cum", "_k")
     # bucket decision: all-test (cum <= k), all-train (before >= k), or boundary (rank inside)
@@ -61,7 +62,29 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percen
                              (F.col("_k") - F.col("_before")).alias("_room"))
     j = x.join(buckets, [label, "_b"])
     edge = j.where(F.col("_d") == "edge")
-    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_key"))
+    order_k = F.desc("_key") if latest else F.asc("_key")
+    rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy(order_k))
     edge = edge.withColumn(out, (rank <= F.col("_room")).cast("int"))
     rest = j.where(F.col("_d") != "edge").withColumn(out, (F.col("_d") == "test").cast("int"))
     return edge.unionByName(rest).drop("_key", "_b", "_d", "_room")
+
+
+def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percent: int = 20,
+                     seed: int = 42, out: str = "is_test",
+                     digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
+    """Exact stratified random hold-out: in each label class, the
+    ``ceil(n·pct/100)`` rows with the smallest digest(seed, keys) are test
+    rows (``out`` = 1). Digest prefixes are the buckets."""
+    key = digest(seed, *key_cols)
+    return exact_split(df, label, key, F.substring(key, 1, digits), test_percent, out)
+
+
+def time_split(df: DataFrame, label: str, time_cols: list[str], test_percent: int = 20,
+               out: str = "is_test", bucket_chars: int = 6) -> DataFrame:
+    """Exact stratified *time-ordered* hold-out: the latest
+    ``ceil(n·pct/100)`` rows of each class (ordered by the concatenated,
+    fixed-width ``time_cols``, e.g. date_id, shift_id, machine_id) are test
+    rows, so no test row precedes a training row of its class in time.
+    Buckets are the first ``bucket_chars`` characters (yyyyMM of date_id)."""
+    key = F.concat_ws("|", *[F.col(c).cast("string") for c in time_cols])
+    return exact_split(df, label, key, F.substring(key, 1, bucket_chars), test_percent, out, latest=True)

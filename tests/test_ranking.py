@@ -62,3 +62,16 @@ def test_classification_report_matches_definitions(spark):
     p0, r0 = 11 / 13, 11 / 15
     assert abs(rep["macro avg"].precision - (p0 + p1) / 2) < 1e-12
     assert abs(rep["weighted avg"].recall - (r0 * 15 + r1 * 5) / 20) < 1e-12
+
+
+def test_time_split_holds_out_latest_rows_per_class(spark):
+    rows = [(f"2024{m:02d}{d:02d}", s, f"M{k}", int((m * 31 + d + k) % 9 == 0))
+            for m in range(1, 13) for d in range(1, 29) for s in ("S1", "S2", "S3") for k in range(3)]
+    df = spark.createDataFrame(rows, "date_id string, shift_id string, machine_id string, y int")
+    out = ranking.time_split(df, "y", ["date_id", "shift_id", "machine_id"], test_percent=20).collect()
+    assert len(out) == len(rows)
+    for y in (0, 1):
+        keys = sorted(f"{r.date_id}|{r.shift_id}|{r.machine_id}" for r in out if r.y == y)
+        want = set(keys[len(keys) - math.ceil(len(keys) * 20 / 100):])
+        got = {f"{r.date_id}|{r.shift_id}|{r.machine_id}" for r in out if r.y == y and r.is_test == 1}
+        assert got == want
