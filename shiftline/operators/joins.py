@@ -24,18 +24,3 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def lookup(fact: DataFrame, dim: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Many-to-one join of a fact to a (deduplicated) dimension."""
-    return fact.join(dim, on, how)
-
-
-def semi_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Keep rows whose key exists in ``keys`` (membership filter, J8)."""
-    return df.join(keys, on, "left_semi")
-
-
-def anti_filter(df: DataFrame, keys: DataFrame, on) -> DataFrame:
-    """Keep rows whose key does not exist in ``keys``."""
-    return df.join(keys, on, "left_anti")

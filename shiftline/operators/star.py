@@ -58,16 +58,6 @@ class Star:
         return F.broadcast(d) if self.is_small(name) else d
 
     # ------------------------------------------------------------------ joins
-    def production_with(self, *attrs: str, fact_cols: list[str] | None = None) -> DataFrame:
-        """Production joined to just the dimensions that provide ``attrs``.
-
-        Plant attributes come through the fact's own plant_id (the direct
-        path, as in Q2); plans that need the machine's plant (Q1, Q4) join
-        through ``dim_machine.plant_id`` themselves.
-        """
-        f = self.fact_production if fact_cols is None else self.fact_production.select(*fact_cols)
-        return attach_attrs(self, f, attrs)
-
     def wide_production(self) -> DataFrame:
         """The fact with plant, machine, date, product and shift attributes."""
         f = self.fact_production

@@ -108,7 +108,3 @@ def load_model(spark: SparkSession, path: str):
 def is_empty(df: DataFrame) -> bool:
     """Cheap emptiness guard (reads at most one row)."""
     return df.isEmpty()
-
-
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.where(F.lit(False))

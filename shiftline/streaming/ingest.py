@@ -42,10 +42,6 @@ def fact_stream(spark: SparkSession, source_dir: str, table: str = "fact_product
     return raw.select(*cols)
 
 
-def production_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    return fact_stream(spark, source_dir, "fact_production", max_files_per_trigger)
-
-
 def start_validated_ingest(spark: SparkSession, source_dir: str, dims: dict[str, DataFrame],
                            sink_dir: str, checkpoint: str, available_now: bool = True,
                            max_files_per_trigger: int | None = None,

@@ -45,6 +45,7 @@ def test_empty_filter_result_is_typed_and_empty(spark):
     df = _prod(spark, [("A", 1.0, 0, 1.0, 1.0, 0)]).withColumn("machine_type", F.lit("X"))
     from shiftline.operators.star import filter_fact
     out = filter_fact(df, plants=[], machine_types=None)
-    assert out.isEmpty() and out.columns == df.columns
+    from shiftline.sources.warehouse import is_empty
+    assert is_empty(out) and out.columns == df.columns
     k = dashboard.kpi_summary(out).collect()[0]
     assert k.units_produced is None and k.defect_rate_pct is None

@@ -72,6 +72,7 @@ def test_missing_slots_small(spark):
     prod = spark.createDataFrame([("M1", "20250101", "S1"), ("M1", "20250103", "S2")],
                                  "machine_id string, date_id string, shift_id string")
     shifts = spark.createDataFrame([("S1",), ("S2",)], "shift_id string")
+    assert calendar.expected_slots(prod, shifts).count() == 6        # 3 days x 2 shifts
     got = sorted(map(tuple, calendar.missing_slots(prod, shifts).collect()))
     assert got == [("M1", "20250101", "S2"), ("M1", "20250102", "S1"), ("M1", "20250102", "S2"),
                    ("M1", "20250103", "S1")]
