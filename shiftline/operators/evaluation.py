@@ -14,9 +14,11 @@ from shiftline.functions.scalar import safe_divide
 from shiftline.session import checkpoint_dir
 
 
-def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Binary report: rows '0', '1', 'accuracy', 'macro avg', 'weighted avg'
-    with precision, recall, f1_score, support (undefined ratios are 0)."""
+def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                          target_names: tuple[str, str] = ("0", "1")) -> DataFrame:
+    """Binary report: one row per class (named by ``target_names``), then
+    'accuracy', 'macro avg', 'weighted avg'; columns precision, recall,
+    f1_score, support (undefined ratios are 0)."""
     y, p = F.col(label).cast("int"), F.col(prediction).cast("int")
     c = df.agg(*[F.count(F.when((y == a) & (p == b), 1)).alias(f"n{a}{b}") for a in (0, 1) for b in (0, 1)])
 
@@ -39,7 +41,7 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
                                             s.cast("bigint").alias("support"))
     none = F.lit(None).cast("double")
     rows = F.array(
-        row("0", p0, r0, f0, s0), row("1", p1, r1, f1, s1),
+        row(target_names[0], p0, r0, f0, s0), row(target_names[1], p1, r1, f1, s1),
         row("accuracy", none, none, acc, total),
         row("macro avg", (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, total),
         row("weighted avg", safe_divide(p0 * s0 + p1 * s1, total), safe_divide(r0 * s0 + r1 * s1, total),

@@ -458,8 +458,8 @@ s AS (SELECT *, {_P('n00', 'n00 + n10')} AS p0, {_P('n00', 'n00 + n01')} AS r0,
              {_P('n11', 'n11 + n01')} AS p1, {_P('n11', 'n11 + n10')} AS r1,
              n00 + n01 AS s0, n10 + n11 AS s1 FROM c),
 t AS (SELECT *, {_F1('p0', 'r0')} AS f0, {_F1('p1', 'r1')} AS f1, s0 + s1 AS tot FROM s)
-SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM t
-UNION ALL SELECT '1', p1, r1, f1, s1 FROM t
+SELECT 'No failure' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM t
+UNION ALL SELECT 'Failure', p1, r1, f1, s1 FROM t
 UNION ALL SELECT 'accuracy', NULL, NULL, CAST(n00 + n11 AS DOUBLE) / tot, tot FROM t
 UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0::DOUBLE, (r0 + r1) / 2.0::DOUBLE, (f0 + f1) / 2.0::DOUBLE, tot FROM t
 UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / tot, (r0 * s0 + r1 * s1) / tot, (f0 * s0 + f1 * s1) / tot, tot

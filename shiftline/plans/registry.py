@@ -176,13 +176,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_weights": _on_star(lambda st: risk.class_weights(
         risk.split(risk.failure_features(st)).where("is_test = 0"))),
     "classification_report": _on_star(lambda st: evaluation.classification_report(
-        risk.rule_predictions(st), risk.LABEL, "prediction")),
+        risk.rule_predictions(st), risk.LABEL, "prediction", risk.TARGET_NAMES)),
     "roc_auc": _on_star(lambda st: evaluation.roc_auc(risk.rule_predictions(st), risk.LABEL, "score")),
     "failure_model": _with_model(risk.model_summary),
     "score_failures": _with_model(lambda m: risk.score(m).select(
         *risk.KEYS, risk.LABEL, "prediction", "p_failure")),
     "failure_model_report": _with_model(lambda m: evaluation.classification_report(
-        risk.score(m), risk.LABEL, "prediction")),
+        risk.score(m), risk.LABEL, "prediction", risk.TARGET_NAMES)),
     "permutation_importance": _with_model(risk.permutation_importance),
     "top_features": _with_model(lambda m: risk.top_features(risk.permutation_importance(m))),
 }

@@ -25,6 +25,8 @@ from shiftline.session import checkpoint_dir
 
 KEYS = ["machine_id", "date_id", "shift_id"]
 LABEL = "failure_event"
+# The report's class names.
+TARGET_NAMES = ("No failure", "Failure")
 NUMERIC = ["planned_qty", "prior_wear", "prior_downtime_avg3", "rated_capacity_units_per_hour",
            "base_energy_kwh_per_hour", "is_weekend"]
 CATEGORICAL = ["machine_type", "shift_id", "plant_id"]
