@@ -48,18 +48,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
     used when present. Only when it is unset (local tests) a scratch folder
-    is created and registered.
+    is created once per application and registered as the SparkContext's
+    checkpoint directory (the config itself cannot be changed at runtime).
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="shiftline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    sc = spark.sparkContext
+        app = sc.applicationId
+        if app not in _LOCAL_CKPT:
+            _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="shiftline-ckpt-")
+        path = _LOCAL_CKPT[app]
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path

@@ -125,7 +125,7 @@ def raw_production(spark, sf_dir) -> DataFrame:
     # slot collapses early); a semi-join then keeps the survivors.
     grain = ["machine_id", "date_id", "shift_id"]
     first = rows.groupBy(*grain).agg(F.min("record_id").alias("record_id"))
-    return rows.join(first, [*grain, "record_id"], "left_semi")
+    return rows.join(first, [*grain, "record_id"], "left_semi").select(*rows.columns)
 
 
 def raw_maintenance(spark, sf_dir) -> DataFrame:
