@@ -88,3 +88,15 @@ def test_clean_dim_keeps_first_across_files(spark, tmp_dir):
     out = cleaning.clean_dim(df, "plant_id", order_cols=[files.ORDER_COL])
     assert out.columns == ["plant_id", "plant_name", "city", "state", "plant_type"]
     assert {r.plant_id: r.plant_name for r in out.collect()} == {"P01": "first", "P02": "two", "P03": "three"}
+
+
+def test_fixture_tables_follow_the_warehouse_schemas(spark):
+    """Raw tables carry the warehouse column order (CSV files are positional)."""
+    from conftest import SF_SMALL
+    from shiftline.schemas import TABLES
+    from shiftline.sources.fixtures import load_raw
+    raw = load_raw(spark, SF_SMALL)
+    assert raw.raw_production.columns == TABLES["fact_production"].fieldNames()
+    assert raw.raw_maintenance.columns == TABLES["fact_maintenance"].fieldNames()
+    for name in ["dim_plant", "dim_machine", "dim_shift", "dim_product", "dim_date"]:
+        assert getattr(raw, name).columns == TABLES[name].fieldNames(), name
