@@ -32,17 +32,53 @@ def _day_window(entity, day, order):
     return Window.partitionBy(entity, day).orderBy(*order)
 
 
+# Rows one task may window in a single sorted partition; a larger entity
+# takes the (entity, day) plan.
+MAX_ROWS_PER_ENTITY = 1_000_000
+
+
+def largest_group_at_most(df: DataFrame, key: str, max_rows: int) -> bool:
+    """True when no ``key`` value has more than ``max_rows`` rows. One
+    aggregate over the key column (map-side combined); only the verdict
+    reaches the driver."""
+    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
+    return big.limit(1).count() == 0
+
+
 def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_id",
                    order: tuple[str, ...] = ("shift_id", "record_id"), n_prior: int = 3,
                    avg_col: str = "downtime_minutes", lag_col: str = "machine_wear_index",
-                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear") -> DataFrame:
+                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear",
+                   max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY) -> DataFrame:
     """In (entity, day, *order) sequence,
 
     * ``avg_name`` = mean of the previous ``n_prior`` rows' ``avg_col``
       (current row excluded, nulls skipped, 0 when there is none);
     * ``lag_name`` = the previous row's ``lag_col``, or the current row's
       own value on the first row (and when the previous value is null).
+
+    The plan is chosen by size, like a broadcast: when the largest entity
+    is proven to hold at most ``max_rows_per_entity`` rows, one window per
+    entity (a single shuffle); otherwise the (entity, day) plan, which
+    never puts more than one machine-day in a window partition. Both plans
+    use the same exact arithmetic, so they return identical values.
     """
+    if max_rows_per_entity and largest_group_at_most(df, entity, max_rows_per_entity):
+        return _prior_features_per_entity(df, entity, day, order, n_prior, avg_col, lag_col,
+                                          avg_name, lag_name)
+    return _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name)
+
+
+def _prior_features_per_entity(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name):
+    w = Window.partitionBy(entity).orderBy(day, *order)
+    frame = w.rowsBetween(-n_prior, -1)
+    total = F.sum(F.col(avg_col).cast(_DEC)).over(frame).cast("double")
+    mean = F.coalesce(safe_divide(total, F.count(avg_col).over(frame)), F.lit(0.0))
+    return (df.withColumn(avg_name, mean)
+            .withColumn(lag_name, F.coalesce(F.lag(lag_col, 1).over(w), F.col(lag_col))))
+
+
+def _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name):
     rec = F.struct(F.col(avg_col).alias("a"), F.col(lag_col).alias("w"))
     w_day = _day_window(entity, day, order)
     rows = df.withColumn("_same", F.collect_list(rec).over(w_day.rowsBetween(-n_prior, -1)))
