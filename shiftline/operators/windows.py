@@ -117,14 +117,42 @@ def defect_rate_row(df: DataFrame) -> DataFrame:
 
 
 def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", day: str = "date_id",
-                order: tuple[str, ...] = ("shift_id", "record_id")) -> DataFrame:
+                order: tuple[str, ...] = ("shift_id", "record_id"),
+                max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY) -> DataFrame:
     """Service cycles of each machine ("wear accumulates, resets at service").
 
     A reset happens after a failed shift (effective from the next shift)
     and after a day with a preventive maintenance event (effective from the
     next day). ``cycle_id`` = resets before the row (failed shifts plus
     preventive days); ``shifts_in_cycle`` = 1-based position in the cycle.
+
+    Plan chosen by size as in ``prior_features``: per-machine windows when
+    the largest machine is proven small, else the (machine, day) plan.
     """
+    if max_rows_per_entity and largest_group_at_most(prod, entity, max_rows_per_entity):
+        return _wear_cycles_per_entity(prod, maint, entity, day, order)
+    return _wear_cycles_by_day(prod, maint, entity, day, order)
+
+
+def _wear_cycles_per_entity(prod, maint, entity, day, order):
+    # Preventive days become marker rows sorted after that day's shifts, so
+    # one running count over (rows ∪ markers) gives the resets before a row.
+    rows = prod.select(entity, day, *order, "failure_event", F.lit(0).alias("_marker"))
+    marks = (maint.where(F.col("maintenance_type") == "Preventive").select(entity, day).distinct()
+             .select(entity, day, *[F.lit(None).cast(prod.schema[c].dataType).alias(c) for c in order],
+                     F.lit(None).cast("int").alias("failure_event"), F.lit(1).alias("_marker")))
+    both = rows.unionByName(marks)
+    w = Window.partitionBy(entity).orderBy(day, "_marker", *order)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    resets = (F.coalesce(F.sum((F.col("failure_event") == 1).cast("int")).over(before), F.lit(0))
+              + F.coalesce(F.sum("_marker").over(before), F.lit(0)))
+    out = both.withColumn("cycle_id", resets.cast("bigint")).where(F.col("_marker") == 0)
+    w_cycle = Window.partitionBy(entity, "cycle_id").orderBy(day, *order)
+    return out.select(entity, day, *order, "failure_event", "cycle_id",
+                      F.row_number().over(w_cycle).cast("bigint").alias("shifts_in_cycle"))
+
+
+def _wear_cycles_by_day(prod, maint, entity, day, order):
     w_day = _day_window(entity, day, order)
     fail = F.col("failure_event") == 1
     rows = (prod.select(entity, day, *order, "failure_event")

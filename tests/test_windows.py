@@ -51,13 +51,15 @@ def test_prior_features_match_pandas(spark, max_rows):
     assert solo.prior_downtime_avg3 == 0 and solo.prior_wear == 0.77
 
 
-def test_wear_cycles_match_brute_force(spark):
+@PLANS
+def test_wear_cycles_match_brute_force(spark, max_rows):
     sdf, pdf = _history(spark, seed=11)
     maint = pd.DataFrame([("M0", "20250110", "Preventive"), ("M0", "20250110", "Preventive"),
                           ("M1", "20250103", "Corrective"), ("M1", "20250120", "Preventive"),
                           ("M2", "20250201", "Preventive"), ("M9", "20250101", "Preventive")],
                          columns=["machine_id", "date_id", "maintenance_type"])
-    got = windows.wear_cycles(sdf, spark.createDataFrame(maint)).toPandas().set_index("record_id")
+    got = windows.wear_cycles(sdf, spark.createDataFrame(maint), max_rows_per_entity=max_rows
+                              ).toPandas().set_index("record_id")
     prev = {(m, d) for m, d, t in maint.itertuples(index=False) if t == "Preventive"}
     for m, grp in pdf.sort_values(["machine_id", "date_id", "shift_id"]).groupby("machine_id"):
         cycle, pos, fails_before = 0, 0, 0
