@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    from shiftline.operators import evaluation
+    from shiftline.operators import evaluation, windows
     from shiftline.operators.star import Star
     from shiftline.plans import dashboard as db, history, risk
     from shiftline.plans import sample_queries as sq
@@ -35,8 +35,13 @@ def main() -> None:
          db.energy_by_machine_name(db.filtered_production(big), big)),
         ("F4 filtered KPIs (plant, type, date range)",
          db.kpi_summary(db.filtered_production(star, ["ASIA"], ["TYPE_1"], "1996-01-01", "1996-06-30"))),
-        ("W2+W3 history features", history.machine_history(star)),
-        ("W5 wear cycles", history.wear_cycles(star)),
+        ("W2+W3 history features (largest machine proven small: per-machine window)",
+         history.machine_history(star)),
+        ("W2+W3 history features, (machine, day) plan used beyond the size bound",
+         windows.prior_features(star.fact_production, max_rows_per_entity=None)),
+        ("W5 wear cycles (per-machine plan)", history.wear_cycles(star)),
+        ("W5 wear cycles, (machine, day) plan used beyond the size bound",
+         windows.wear_cycles(star.fact_production, star.fact_maintenance, max_rows_per_entity=None)),
         ("J9 missing slots", history.missing_slots(star)),
         ("M8 ROC-AUC of wear over the fact", evaluation.roc_auc(star.fact_production, risk.LABEL,
                                                                 "machine_wear_index")),
