@@ -94,7 +94,8 @@ def raw_dim_date(spark, sf_dir) -> DataFrame:
 
 def raw_production(spark, sf_dir) -> DataFrame:
     """One row per (machine, date, shift): the source grain. Where several
-    line items land on one slot the one with the smallest record_id is kept."""
+    line items land on one slot the smallest (record_id, product_id, …) row
+    is kept."""
     li = _read(spark, sf_dir, "lineitem")
     s = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -118,14 +119,15 @@ def raw_production(spark, sf_dir) -> DataFrame:
                     F.when((F.col("l_returnflag") == "R") & (tax == 8), 1).otherwise(0)
                     .alias("failure_event"),
                     (_cents("l_discount") / 100 * 8).alias("machine_wear_index")))
-    # record_id (order key × 8 + line number) is unique per line item, so the
-    # smallest record_id of a slot alone names the surviving row; the
-    # further tie-break columns of the mapping never decide anything.
-    # min(record_id) is a hash aggregate (map-side combined, so a crowded
-    # slot collapses early); a semi-join then keeps the survivors.
+    # record_id (order key × 8 + line number) repeats in the driver's data,
+    # so the survivor is the smallest full tuple: record_id first, then every
+    # other column, a total order. min(struct) is map-side combined, so a
+    # crowded slot collapses early.
     grain = ["machine_id", "date_id", "shift_id"]
-    first = rows.groupBy(*grain).agg(F.min("record_id").alias("record_id"))
-    return rows.join(first, [*grain, "record_id"], "left_semi").select(*rows.columns)
+    order = ["record_id", "product_id", "downtime_minutes", "energy_consumed_kwh", "planned_qty",
+             "plant_id", "produced_qty", "defective_qty", "failure_event", "machine_wear_index"]
+    first = rows.groupBy(*grain).agg(F.min(F.struct(*order)).alias("r"))
+    return first.select(*[F.col(c) if c in grain else F.col(f"r.{c}").alias(c) for c in rows.columns])
 
 
 def raw_maintenance(spark, sf_dir) -> DataFrame:
