@@ -1,8 +1,10 @@
-"""Per-machine history features without a per-machine partition.
+"""Per-machine history features, with the plan chosen by size.
 
-A window partitioned by machine alone puts each machine's whole history in
-one task; one busy machine can hold a third of all rows. Here the unit of
-parallelism is (machine, day):
+A window partitioned by machine puts each machine's whole history in one
+sorted task. That is the cheapest plan (one shuffle) while the largest
+machine is proven small (``largest_group_at_most``, one aggregate over the
+key). When one machine may hold a third of all rows, the unit of
+parallelism becomes (machine, day):
 
 * rows are windowed within their (machine, day) — a handful of shifts;
 * a day-level table (one row per machine-day, so at most one row per
@@ -11,10 +13,11 @@ parallelism is (machine, day):
   running counts, reset positions;
 * that table is joined back on (machine, day).
 
-The fact is shuffled at full width once, by (machine, day). The day
-tails for W2/W3 take a second, narrow shuffle (key, order and two value
-columns; at most n rows per machine-day, cut map-side by a partial top-n).
-W5 reads its rows branch twice from one shared shuffle.
+In that plan the fact is shuffled at full width once, by (machine, day);
+the W2/W3 day tails take a second, narrow shuffle (at most n rows per
+machine-day, cut map-side by a partial top-n), and W5 reads its rows
+branch twice from one shared shuffle. Both plans use the same exact
+(decimal) arithmetic and return identical values.
 """
 
 from __future__ import annotations
