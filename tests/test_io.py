@@ -92,3 +92,19 @@ def test_streaming_maintenance_ingest(spark, tmp_dir):
     assert clean.exceptAll(st.fact_maintenance).isEmpty() and st.fact_maintenance.exceptAll(clean).isEmpty()
     batches = spark.read.parquet(os.path.join(tmp_dir, "sink_m", "rejects")).select("batch_id").distinct().count()
     assert batches >= 3                                   # one file per trigger
+
+
+def test_one_hot_width_and_split_ratio(spark):
+    """Invariants: 19 model columns (6 numeric + 7 + 2 + 4 indicators, first
+    level of each category dropped) and per-class test share = ceil(20 %)."""
+    import math
+    st = fixture_star(spark, "/root/testdata/sf0.01")
+    feats, names = risk.one_hot_features(risk.failure_features(st))
+    assert len(names) == 19 and names[:6] == risk.NUMERIC
+    assert [n for n in names if n.startswith("shift_id_")] == ["shift_id_S2", "shift_id_S3"]
+    assert not any(n.endswith("TYPE_0") or n.endswith("P01") or n.endswith("S1") for n in names)
+    counts = {(r.failure_event, r.is_test): r["count"]
+              for r in risk.split(feats).groupBy("failure_event", "is_test").count().collect()}
+    for y in (0, 1):
+        n = counts[(y, 0)] + counts[(y, 1)]
+        assert counts[(y, 1)] == math.ceil(n * 20 / 100)
