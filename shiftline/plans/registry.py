@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import datetime as _dt
 import re
+import threading
 import uuid
 
 from shiftline.operators import evaluation
@@ -28,6 +29,7 @@ from shiftline.sources import warehouse
 from shiftline.sources.fixtures import RawStar, load_raw
 
 _STARS: dict[tuple[str, str], tuple[RawStar, Star]] = {}
+_LOCK = threading.RLock()
 
 # Fixed parameters of the registered filtered views.
 FILTER_PLANTS = ["ASIA", "EUROPE"]
@@ -40,12 +42,13 @@ AGE_AS_OF = _dt.date(2002, 1, 1)
 def _loaded(spark: SparkSession, sf_dir: str) -> tuple[RawStar, Star]:
     app = spark.sparkContext.applicationId
     key = (app, sf_dir.rstrip("/"))
-    if key not in _STARS:
-        raw = load_raw(spark, sf_dir)
-        tag = re.sub(r"[^A-Za-z0-9_.-]", "_", sf_dir.strip("/"))
-        path = scratch_path(spark, f"shiftline-warehouse/{app}-{uuid.uuid4().hex[:8]}/{tag}")
-        _STARS[key] = (raw, warehouse.load_raw_star(raw, path))
-    return _STARS[key]
+    with _LOCK:                      # one load per (application, folder), even across threads
+        if key not in _STARS:
+            raw = load_raw(spark, sf_dir)
+            tag = re.sub(r"[^A-Za-z0-9_.-]", "_", sf_dir.strip("/"))
+            path = scratch_path(spark, f"shiftline-warehouse/{app}-{uuid.uuid4().hex[:8]}/{tag}")
+            _STARS[key] = (raw, warehouse.load_raw_star(raw, path))
+        return _STARS[key]
 
 
 def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
@@ -61,9 +64,11 @@ MODEL_MAX_ITER = 200
 
 def fitted_model(spark: SparkSession, sf_dir: str) -> "risk.FittedRisk":
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = risk.fit_failure_model(fixture_star(spark, sf_dir), max_iter=MODEL_MAX_ITER)
-    return _MODELS[key]
+    star = fixture_star(spark, sf_dir)
+    with _LOCK:
+        if key not in _MODELS:
+            _MODELS[key] = risk.fit_failure_model(star, max_iter=MODEL_MAX_ITER)
+        return _MODELS[key]
 
 
 def _with_model(fn) -> Callable[[SparkSession, str], DataFrame]:
