@@ -207,7 +207,8 @@ def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEE
 
     donors = rep.select("repeat", F.col("_pos").alias("_dpos"),
                         *[F.col(f"`{f}`").alias(f"_d{i}") for i, f in enumerate(features)])
-    donors = size_checked_broadcast(donors, broadcast_rows)
+    # the broadcast bound is meant for narrow (≈4-column) tables: scale it by width
+    donors = size_checked_broadcast(donors, max(1, broadcast_rows * 4 // (2 + len(features))))
     shuffled = copies.join(donors, ["repeat", "_dpos"])
     for i, f in enumerate(features):
         shuffled = shuffled.withColumn(f, F.when(F.col("fi") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`")))
