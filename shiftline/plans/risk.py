@@ -91,7 +91,7 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     w = class_weights(train, label).select(label, "weight")
-    return train.join(F.broadcast(w), label)  # one row per class: bounded by the label's domain
+    return train.join(size_checked_broadcast(w), label)   # one row per class
 
 
 @dataclass
