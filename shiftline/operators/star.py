@@ -47,6 +47,17 @@ class Star:
             self._checked[name] = row_count_at_most(getattr(self, name), self.broadcast_rows)
         return self._checked[name]
 
+    def machines_bounded(self, max_rows: int | None = None) -> bool:
+        """Whether no machine has more than ``max_rows`` production rows
+        (default ``windows.MAX_ROWS_PER_ENTITY``); memoised like the
+        dimension probes. Decides the history-window plan."""
+        from shiftline.operators.windows import MAX_ROWS_PER_ENTITY, largest_group_at_most
+        bound = max_rows or MAX_ROWS_PER_ENTITY
+        key = ("machines_bounded", bound)
+        if key not in self._checked:
+            self._checked[key] = largest_group_at_most(self.fact_production, "machine_id", bound)
+        return self._checked[key]
+
     def small_dims(self) -> dict[str, bool]:
         return {n: self.is_small(n) for n in DIMS}
 

@@ -48,11 +48,18 @@ def largest_group_at_most(df: DataFrame, key: str, max_rows: int) -> bool:
     return big.limit(1).count() == 0
 
 
+def _use_per_entity(df: DataFrame, entity: str, max_rows: int | None, bounded: bool | None) -> bool:
+    if not max_rows:
+        return False
+    return bounded if bounded is not None else largest_group_at_most(df, entity, max_rows)
+
+
 def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_id",
                    order: tuple[str, ...] = ("shift_id", "record_id"), n_prior: int = 3,
                    avg_col: str = "downtime_minutes", lag_col: str = "machine_wear_index",
                    avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear",
-                   max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY) -> DataFrame:
+                   max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY,
+                   bounded: bool | None = None) -> DataFrame:
     """In (entity, day, *order) sequence,
 
     * ``avg_name`` = mean of the previous ``n_prior`` rows' ``avg_col``
@@ -65,8 +72,9 @@ def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_i
     entity (a single shuffle); otherwise the (entity, day) plan, which
     never puts more than one machine-day in a window partition. Both plans
     use the same exact arithmetic, so they return identical values.
+    ``bounded`` passes a verdict already known (e.g. ``Star.machines_bounded``).
     """
-    if max_rows_per_entity and largest_group_at_most(df, entity, max_rows_per_entity):
+    if _use_per_entity(df, entity, max_rows_per_entity, bounded):
         return _prior_features_per_entity(df, entity, day, order, n_prior, avg_col, lag_col,
                                           avg_name, lag_name)
     return _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name)
@@ -121,7 +129,8 @@ def defect_rate_row(df: DataFrame) -> DataFrame:
 
 def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", day: str = "date_id",
                 order: tuple[str, ...] = ("shift_id", "record_id"),
-                max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY) -> DataFrame:
+                max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY,
+                bounded: bool | None = None) -> DataFrame:
     """Service cycles of each machine ("wear accumulates, resets at service").
 
     A reset happens after a failed shift (effective from the next shift)
@@ -132,7 +141,7 @@ def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", d
     Plan chosen by size as in ``prior_features``: per-machine windows when
     the largest machine is proven small, else the (machine, day) plan.
     """
-    if max_rows_per_entity and largest_group_at_most(prod, entity, max_rows_per_entity):
+    if _use_per_entity(prod, entity, max_rows_per_entity, bounded):
         return _wear_cycles_per_entity(prod, maint, entity, day, order)
     return _wear_cycles_by_day(prod, maint, entity, day, order)
 

@@ -14,11 +14,12 @@ KEYS = ["machine_id", "date_id", "shift_id", "record_id"]
 
 def machine_history(star: Star) -> DataFrame:
     """Production rows with prior_downtime_avg3, prior_wear and defect_rate."""
-    return windows.defect_rate_row(windows.prior_features(star.fact_production))
+    return windows.defect_rate_row(windows.prior_features(star.fact_production,
+                                                          bounded=star.machines_bounded()))
 
 
 def wear_cycles(star: Star) -> DataFrame:
-    return windows.wear_cycles(star.fact_production, star.fact_maintenance)
+    return windows.wear_cycles(star.fact_production, star.fact_maintenance, bounded=star.machines_bounded())
 
 
 def calendar_dim(star: Star) -> DataFrame:

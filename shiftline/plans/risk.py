@@ -35,7 +35,7 @@ SEED = 42
 
 def failure_features(star: Star) -> DataFrame:
     """M1: J7 (production ⋈ machine ⋈ date) + W2 + W3, one row per shift."""
-    f = windows.prior_features(star.fact_production)
+    f = windows.prior_features(star.fact_production, bounded=star.machines_bounded())
     f = f.join(star.dim("dim_machine", "machine_id", "machine_type", "rated_capacity_units_per_hour",
                         "base_energy_kwh_per_hour"), "machine_id")
     f = f.join(star.dim("dim_date", "date_id", "day_of_week", "is_weekend"), "date_id")
