@@ -78,3 +78,20 @@ def test_preaggregation_path_gives_identical_results(spark, view):
     big_df = fn(big)
     assert sorted(map(tuple, big_df.collect())) == small_rows
     assert not big.is_small("dim_machine")
+
+
+def test_history_window_plan_follows_the_machine_probe(spark):
+    from shiftline.operators import windows
+    from shiftline.operators.star import Star
+    from shiftline.plans import history
+    st = fixture_star(spark, SF_SMALL)
+    assert st.machines_bounded()
+    p = _plan(history.machine_history(st))
+    assert "hashpartitioning(machine_id" in p and "hashpartitioning(machine_id, date_id" not in p
+    hot = Star(**st.tables())
+    hot._checked[("machines_bounded", windows.MAX_ROWS_PER_ENTITY)] = False    # as if one machine were huge
+    p_hot = _plan(history.machine_history(hot))
+    assert "hashpartitioning(machine_id, date_id" in p_hot
+    cols = ["record_id", "prior_downtime_avg3", "prior_wear"]
+    assert sorted(map(tuple, history.machine_history(st).select(cols).collect())) == \
+        sorted(map(tuple, history.machine_history(hot).select(cols).collect()))
