@@ -481,3 +481,10 @@ FROM cum
 for _n in ["top_energy_machines", "monthly_production_by_plant", "oee_by_machine",
            "maintenance_cost_by_plant_type", "failure_rate_by_machine_type", "monthly_units_by_category"]:
     BODIES[f"sql_{_n}"] = BODIES[_n]
+
+BODIES["plant_category_pivot"] = f"""
+SELECT plant_name, COLUMNS(* EXCLUDE (plant_name))::DOUBLE
+FROM (PIVOT (SELECT p.plant_name, pr.category, CAST(f.produced_qty AS {D}) AS u
+             FROM {_PP} JOIN dim_product pr ON f.product_id = pr.product_id)
+      ON category USING sum(u) GROUP BY plant_name)
+"""
