@@ -10,6 +10,8 @@ inputs and the validation joins.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +24,19 @@ FACT_SORT = {"fact_production": ["date_id", "machine_id", "shift_id"],
              "fact_maintenance": ["date_id", "machine_id"]}
 
 
+def _concurrently(tasks) -> None:
+    """Run independent write jobs at once (Spark schedules jobs submitted
+    from several threads side by side; small jobs no longer leave the
+    cluster idle one after another). Errors are re-raised."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()
+
+
 def _write_dims(dims: dict[str, DataFrame], base: str) -> None:
     # Cleaned dimensions end in an aggregation, so AQE coalesces a small
     # one into a single file and splits a large one.
-    for name in DIMS:
-        dims[name].write.mode("overwrite").parquet(f"{base}/{name}")
+    _concurrently([lambda n=name: dims[n].write.mode("overwrite").parquet(f"{base}/{n}") for name in DIMS])
 
 
 def _write_fact(df: DataFrame, name: str, base: str, fact_files: int | None) -> None:
@@ -70,9 +80,10 @@ def load_raw_star(raw, path: str, fact_files: int | None = None, broadcast_rows:
     dims = {n: spark.read.parquet(f"{base}/{n}") for n in DIMS}
     probe = Star(**dims, fact_production=None, fact_maintenance=None, **kw)
     small = probe.small_dims()
-    _write_fact(cleaning.clean_production(raw.raw_production, dims, small), "fact_production", base, fact_files)
-    _write_fact(cleaning.clean_maintenance(raw.raw_maintenance, dims, small), "fact_maintenance", base,
-                fact_files)
+    prod = cleaning.clean_production(raw.raw_production, dims, small)
+    maint = cleaning.clean_maintenance(raw.raw_maintenance, dims, small)
+    _concurrently([lambda: _write_fact(prod, "fact_production", base, fact_files),
+                   lambda: _write_fact(maint, "fact_maintenance", base, fact_files)])
     return read_star(spark, base, broadcast_rows)
 
 
