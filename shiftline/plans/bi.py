@@ -66,15 +66,18 @@ def plant_category_matrix(prod: DataFrame, wide: bool = False, categories=None,
     """V4: plant × category with D1 and D3.
 
     Long form by default. ``wide=True`` pivots categories into columns of
-    units produced (needs ``plant_name`` and ``category`` on ``prod``); pass
-    ``categories`` to avoid the extra job that finds the distinct values.
+    units produced: the (plant, category) totals are aggregated first
+    (through the dimensions, size-chosen), so only that small table is
+    pivoted. Pass ``categories`` to avoid the extra job that finds the
+    distinct values (Spark caps a pivot at ``spark.sql.pivotMaxValues``).
     """
     if not wide:
         return production_measures(prod, "plant_name", "category",
                                    names=["total_units_produced", "defect_rate_pct"], star=star)
-    g = prod.groupBy("plant_name")
+    cells = aggregate_by_attributes(star, prod, ["plant_name", "category"], {"_u": decimal_sum("produced_qty")})
+    g = cells.groupBy("plant_name")
     p = g.pivot("category", categories) if categories is not None else g.pivot("category")
-    return p.agg(M.measure("total_units_produced")).orderBy("plant_name")
+    return p.agg(F.sum("_u").cast("double")).orderBy("plant_name")
 
 
 def defect_rate_trend(prod: DataFrame, machine_types=None, by: str = "week") -> DataFrame:

@@ -161,7 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plant_category_matrix": _on_star(lambda st: bi.plant_category_matrix(
         db.filtered_production(st), star=st)),
     "plant_category_pivot": _on_star(lambda st: bi.plant_category_matrix(
-        db.filtered_production(st, attrs=["plant_name", "category"]), wide=True)),
+        db.filtered_production(st), wide=True, star=st)),
     "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
         db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
