@@ -61,8 +61,7 @@ def write_star(star: Star, path: str, fact_files: int | None = None) -> None:
     default AQE sizes them."""
     base = path.rstrip("/")
     _write_dims(star.dims(), base)
-    for name in FACTS:
-        _write_fact(getattr(star, name), name, base, fact_files)
+    _concurrently([lambda n=name: _write_fact(getattr(star, n), n, base, fact_files) for name in FACTS])
 
 
 def load_raw_star(raw, path: str, fact_files: int | None = None, broadcast_rows: int | None = None,
