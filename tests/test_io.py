@@ -108,3 +108,17 @@ def test_one_hot_width_and_split_ratio(spark):
     for y in (0, 1):
         n = counts[(y, 0)] + counts[(y, 1)]
         assert counts[(y, 1)] == math.ceil(n * 20 / 100)
+
+
+def test_reject_report_accounts_for_every_raw_row(spark):
+    import __spark_entry__ as E
+    from shiftline.plans.registry import _loaded
+    raw, st = _loaded(spark, SF_SMALL)
+    rep = E.queries()["reject_report"](spark, SF_SMALL).collect()
+    per = {}
+    for r in rep:
+        per.setdefault(r.table_name, {})[r.status] = r.n_rows
+    assert sum(per["fact_production"].values()) == raw.raw_production.count()
+    assert sum(per["fact_maintenance"].values()) == raw.raw_maintenance.count()
+    assert per["fact_production"]["kept"] == st.fact_production.count()
+    assert per["fact_maintenance"]["kept"] == st.fact_maintenance.count()
