@@ -156,29 +156,33 @@ def fact_reject_counts(flagged: DataFrame, table: str) -> DataFrame:
 def constraint_report(tables: dict[str, DataFrame], small: dict[str, bool] | None = None) -> DataFrame:
     """(table_name, check_name, n_violations) for PK uniqueness, PK and
     NOT NULL columns, and every foreign key (including machine→plant, which
-    the loader never checks). One union of small aggregates: one job."""
+    the loader never checks).
+
+    One scan per table: each foreign key is flagged by a left join with the
+    dimension's *distinct* key set (so it cannot multiply rows, even on
+    uncleaned input; broadcast when ``small`` says so), and a single
+    aggregate counts every check. The per-table rows are unioned: one job.
+    """
+    small = small or {}
     parts = []
     for t, df in tables.items():
         pk = PRIMARY_KEYS[t]
+        fks = [(c, d) for c, d in FOREIGN_KEYS.get(t, []) if d in tables]
+        flagged = df
+        for i, (col, dim) in enumerate(fks):
+            keys = (tables[dim].select(F.col(PRIMARY_KEYS[dim]).alias(col)).where(F.col(col).isNotNull())
+                    .distinct().withColumn(f"_fk{i}", F.lit(True)))
+            flagged = flagged.join(F.broadcast(keys) if small.get(dim) else keys, col, "left")
         aggs = [F.count(F.when(F.col(pk).isNull(), 1)).alias("pk_null"),
                 (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("pk_duplicate")]
         aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in NOT_NULL[t]]
-        a = df.agg(*aggs)
-        names = [x for x in a.columns]
+        aggs += [F.count(F.when(F.col(f"_fk{i}").isNull(), 1)).alias(f"fk_orphan:{col}")
+                 for i, (col, _) in enumerate(fks)]
+        a = flagged.agg(*aggs)
+        names = a.columns
         parts.append(a.select(*[F.col(f"`{n}`").cast("bigint").alias(n) for n in names])
                      .unpivot([], names, "check_name", "n_violations")
                      .select(F.lit(t).alias("table_name"), "check_name", "n_violations"))
-        for col, dim in FOREIGN_KEYS.get(t, []):
-            if dim not in tables:
-                continue
-            keys = tables[dim].select(F.col(PRIMARY_KEYS[dim]).alias(col))
-            if small and small.get(dim):
-                keys = F.broadcast(keys)
-            orphans = df.select(col).join(keys, col, "left_anti")
-            parts.append(orphans.agg(F.count(F.lit(1)).alias("n_violations"))
-                         .select(F.lit(t).alias("table_name"),
-                                 F.lit(f"fk_orphan:{col}").alias("check_name"),
-                                 F.col("n_violations").cast("bigint")))
     return reduce(DataFrame.unionByName, parts)
 
 
