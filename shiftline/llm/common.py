@@ -54,6 +54,12 @@ def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
+def constant(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    """A small frame of Python values, built from literals inside the JVM."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names.split(), row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that ``df`` does not have, in any letter case."""
     have = {c.lower() for c in df.columns}

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe
-from shiftline.llm.common import table
+from shiftline.llm import bpe, chat, licenses, mixing
+from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,8 +15,26 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    marks = "</s>[INST] ok [/INST]"
+    probe = constant(spark, " ".join(columns), [(-7, 0, "user", marks), (-7, 1, "assistant", marks)])
+    return chat.digests(table(spark, sf_dir, "conversations").select(*columns).unionByName(probe))
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_chat": op2_chat,
+    "op4_licenses": op4_licenses,
+    "op8_mixing": op8_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
