@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -44,9 +47,42 @@ def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
+    return arrow_map(df, run, schema)
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose workers can import this package."""
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application.
+
+    Left out where they find it already: on the PYTHONPATH that they inherit,
+    or in the working folder of a local master.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root in known or (sc.master.startswith("local[") and os.getcwd() == root):
+        return
+    if sc.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(), "shiftline_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(os.path.join(root, "shiftline")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(archive)  # from here on Spark serves it to every executor
+    _shipped.add(sc.applicationId)
+
+
 def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe, chat, licenses, mixing
+from shiftline.llm import bpe, chat, language, licenses, mixing, quality
 from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,15 +26,25 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_chat": op2_chat,
     "op4_licenses": op4_licenses,
+    "op6_quality": op6_quality,
     "op8_mixing": op8_mixing,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {}
