@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe, chat, language, licenses, mixing, quality
+from shiftline.llm import bpe, chat, language, licenses, mixing, pages, quality
 from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op4_licenses": op4_licenses,
     "op6_quality": op6_quality,
     "op8_mixing": op8_mixing,
+    "op9_html": op9_html,
     "op10_language": op10_language,
 }
 
