@@ -38,7 +38,7 @@ def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> Dat
     ``fn`` sees one row at a time, so memory holds one Arrow batch; Spark
     keeps the partitioning, so nothing is shuffled.
     """
-    arrow = _arrow_schema(df.sparkSession, schema)
+    arrow = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +83,7 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
-def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

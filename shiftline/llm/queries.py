@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe, chat, language, licenses, mixing, pages, quality
+from shiftline.llm import bpe, chat, language, licenses, mixing, pages, quality, winnow
 from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.with_next(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_chat": op2_chat,
     "op4_licenses": op4_licenses,
+    "op5_winnowing": op5_winnowing,
     "op6_quality": op6_quality,
     "op8_mixing": op8_mixing,
     "op9_html": op9_html,
