@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe, chat, language, licenses, mixing, pages, quality, winnow
+from shiftline.llm import bpe, chat, language, licenses, mixing, near, pages, quality, winnow
 from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.link(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_licenses": op4_licenses,
     "op5_winnowing": op5_winnowing,
     "op6_quality": op6_quality,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_mixing": op8_mixing,
     "op9_html": op9_html,
     "op10_language": op10_language,
