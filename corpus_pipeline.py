@@ -9,16 +9,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shiftline.llm import bpe, queries
+from shiftline.llm import bpe, language, mixing, near, quality, queries
 from shiftline.llm.common import table, written
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labels, predicts good."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised."""
+    return language.keep_known(docs)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near.keep_one(docs)
+
+
+def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.apply_mix(docs)
+
+
 def encode_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids' digests of every document that is left."""
+    """Digests of every remaining document's token ids and of the text they decode to."""
     return bpe.digests(docs, queries.BYTE_BPE)
 
 
 STAGES = [
+    ("quality", good_quality),
+    ("language", known_language),
+    ("near_duplicates", distinct_texts),
+    ("mixing", mixed_sources),
     ("bpe", encode_bpe),
 ]
 

@@ -50,6 +50,19 @@ def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> Dat
     return arrow_map(df, run, schema)
 
 
+def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool]) -> DataFrame:
+    """The rows of ``df`` for whose ``columns`` ``keep`` holds, with all columns as they are."""
+    names = df.columns
+    at = [names.index(c) for c in columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = zip(*(batch.column(k).to_pylist() for k in at))
+            yield batch.filter(pa.array([bool(keep(*row)) for row in cells], pa.bool_()))
+
+    return arrow_map(df, run, df.schema)
+
+
 def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
     """``df.mapInArrow`` whose workers can import this package."""
     ship_package(df.sparkSession)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import arrow_map, id_bucket, map_rows
+from shiftline.llm.common import arrow_map, id_bucket, keep_rows, map_rows
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -50,6 +50,8 @@ class Settings:
     fold: int = 4
     held: int = 2
     seed: int = 42
+    #: A filter keeps a document from this score on.
+    sure: float = 0.5
 
 
 def words_of(text: str) -> Iterator[str]:
@@ -189,6 +191,17 @@ def predict(docs: DataFrame, model: dict, keep: tuple = ("doc_id",)) -> DataFram
     return map_rows(docs.select(*keep, "text"), row, f"{kept}, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` with a language of score ``settings.sure`` or more, all columns unchanged."""
+    held = docs.sparkSession.sparkContext.broadcast(learn(docs, settings))
+
+    def keep(text: str | None) -> bool:
+        lang, score = _scorer_of(held.value).predict(text)
+        return lang != UNKNOWN and score >= settings.sure
+
+    return keep_rows(docs, ["text"], keep)
+
+
 def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""
     predicted = predict(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),

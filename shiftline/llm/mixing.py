@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import written
+from shiftline.llm.common import fresh, written
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -98,15 +98,16 @@ def sainte_lague(parties: DataFrame, group: list[str], party: list[str], votes:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, source of every row of ``docs``."""
-    sized = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size")), "sizes")
+    """doc_id, size, source_size, target, taken, source, text_hash of every row of ``docs``."""
+    sized = written(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"),
+                                F.xxhash64("text").alias("text_hash")), "sizes")
     sources = written(
         targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn(
             "shards", F.ceil((F.col("source_size") + 1) / SHARD_WORDS)), "targets")
     placed = sized.alias("d").join(
         sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source"))).select(
         "d.*", "s.source_size", "s.target",
-        F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.col("shards")).alias("shard"))
+        F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text_hash"), F.col("shards")).alias("shard"))
     all_seats = sources.withColumn(
         "seats", F.round(F.sum("source_size").over(Window.partitionBy()) / BLOCK_WORDS).cast("long"))
     seats = sainte_lague(all_seats.withColumn("all", F.lit(0)), ["all"], ["source"], "target",
@@ -125,7 +126,7 @@ def mix(docs: DataFrame) -> DataFrame:
         F.least(F.coalesce("q.quota", F.lit(0)) * BLOCK_WORDS,
                 MAX_REPEATS * F.coalesce("q.shard_size", F.lit(0))).alias("words"))
     seeded = Window.partitionBy("source", "shard").orderBy(
-        F.xxhash64("doc_id", F.lit(SEED)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        F.xxhash64("doc_id", "text_hash", F.lit(SEED)), "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("words") / F.col("shard_size"))).otherwise(0)
     rest = F.col("words") - F.col("rounds") * F.col("shard_size")
     return dealt.withColumn("rounds", rounds.cast("long")).withColumn(
@@ -133,4 +134,20 @@ def mix(docs: DataFrame) -> DataFrame:
         "doc_id", "size", "source_size", "target",
         (F.col("rounds") * F.col("size")
          + F.greatest(F.least(rest - F.col("start"), F.col("size")), F.lit(0))).cast("long").alias("taken"),
-        "source")
+        "source", "text_hash")
+
+
+def apply_mix(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them, all columns unchanged.
+
+    A document stands as many times as its taken words hold its size, rounded
+    half up: whole documents only, so at most one a shard differs from
+    ``mix``. Rows equal in id and text share their copies evenly, rounded.
+    """
+    copies, h, n = fresh(docs, "copies"), fresh(docs, "text_hash"), fresh(docs, "copy")
+    taken = mix(docs).where(F.col("size") > 0).groupBy("doc_id", "text_hash").agg(
+        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias(copies)).where(F.col(copies) > 0)
+    keyed = docs.withColumn(h, F.xxhash64("text"))
+    kept = keyed.join(taken, keyed["doc_id"].eqNullSafe(taken["doc_id"]) & (keyed[h] == taken["text_hash"]))
+    return kept.select(*[keyed[c] for c in docs.columns], F.explode(
+        F.sequence(F.lit(1), F.col(copies))).alias(n)).drop(n)

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.llm import hashing
-from shiftline.llm.common import arrow_map, arrow_schema, map_rows, written
+from shiftline.llm.common import arrow_map, arrow_schema, fresh, map_rows, written
 from shiftline.llm.graph import components
 
 SHINGLE = 5
@@ -296,3 +296,25 @@ def _outside(docs: DataFrame, split: DataFrame, groups: DataFrame) -> DataFrame:
     dealt = todo.select("node", "digest", F.col("label").alias("grp"), "joined", F.concat(
         stands, F.coalesce(visits, F.array().cast("array<struct<place: bigint, first: boolean>>"))).alias("places"))
     return verified_links(docs, dealt, todo.count(), False)
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of each component, all columns unchanged: the one with its smallest id.
+
+    Of rows that share that id, or have none, one for each id or text stays.
+    """
+    dropped = written(link(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    few = dropped.count() <= BROADCAST_IDS
+    left = docs.join(F.broadcast(dropped) if few else dropped,
+                     docs["doc_id"] == dropped["doc_id"], "left_anti")
+    repeated = written(left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(
+        (F.col("n") > 1) | F.col("doc_id").isNull()).select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return left
+    is_repeated = left["doc_id"].eqNullSafe(repeated["doc_id"])
+    place = fresh(docs, "place")
+    same = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(
+        F.xxhash64("text"), "text")
+    first = left.join(repeated, is_repeated, "left_semi").withColumn(
+        place, F.row_number().over(same)).where(F.col(place) == 1).drop(place)
+    return left.join(repeated, is_repeated, "left_anti").unionByName(first)

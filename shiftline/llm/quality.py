@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.llm import hashing
-from shiftline.llm.common import arrow_map, id_bucket, map_rows
+from shiftline.llm.common import arrow_map, id_bucket, keep_rows, map_rows
 
 BUCKETS = 1 << 18
 NGRAMS = (2, 3, 4)
@@ -143,24 +143,33 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     return np.frombuffer(bytes(rows[0].model), np.float32), rows[0].bias
 
 
+def score_text(text: str | None, model: tuple[np.ndarray, float]) -> float:
+    logits, bias = model
+    total, count = 0.0, BLANK
+    for found in features(text):
+        total += float(logits[found].sum(dtype=np.float64))
+        count += len(found)
+    return float(1 / (1 + np.exp(-np.clip(bias + total / count, -50, 50))))
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: tuple = ("doc_id",)) -> DataFrame:
     """``keep`` columns and score (0 to 1): the probability of label 1."""
-    table = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def row(*cells):
         *kept, text = cells
-        logits, bias = table.value
-        total, count = 0.0, BLANK
-        for found in features(text):
-            total += float(logits[found].sum(dtype=np.float64))
-            count += len(found)
-        z = bias + total / count
-        return (*kept, float(1 / (1 + np.exp(-np.clip(z, -50, 50)))))
+        return (*kept, score_text(text, held.value))
 
     kept = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
     return map_rows(docs.select(*keep, "text"), row, f"{kept}, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs`` that the classifier predicts good, all columns unchanged."""
+    held = docs.sparkSession.sparkContext.broadcast(train(docs, labels, settings))
+    return keep_rows(docs, ["text"], lambda text: score_text(text, held.value) >= settings.threshold)
+
+
 def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``."""
     scored = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftline.llm import bpe, chat, language, licenses, mixing, near, pages, quality, winnow
+from shiftline.llm import bpe, chat, hamming, language, licenses, mixing, near, pages, quality, winnow
 from shiftline.llm.common import constant, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +23,10 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(table(spark, sf_dir, "conversations").select(*columns).unionByName(probe))
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -53,6 +58,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_chat": op2_chat,
+    "op3_topk": op3_topk,
     "op4_licenses": op4_licenses,
     "op5_winnowing": op5_winnowing,
     "op6_quality": op6_quality,
@@ -62,4 +68,37 @@ QUERIES = {
     "op10_language": op10_language,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+placed AS (
+  SELECT *, row_number() OVER w AS k, lag(role) OVER w AS before
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+sized AS (
+  SELECT *, 2 * length(text) - length(replace(text, '\', ''))
+           + len(regexp_extract_all(text, '[<\[]/?(?:s>|(?:SYS|INST|ANS|ROLE|SEP)\]|ROLE )'))
+           + CASE WHEN before = role THEN 7
+                  WHEN role IN ('system', 'assistant') THEN 20 WHEN role = 'user' THEN 22
+                  ELSE 23 + 2 * strlen(role) END AS chars
+  FROM placed)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id""",
+    "op3_topk": """
+WITH coded AS (
+  SELECT vec_id, list_sum(list_transform(generate_series(1, least(len(embedding), 64)),
+           lambda i: CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INT) ELSE 0::HUGEINT END))::HUGEINT AS code
+  FROM embeddings WHERE embedding IS NOT NULL),
+ranked AS (
+  SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id, bit_count(xor(q.code, e.code)) AS distance,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY bit_count(xor(q.code, e.code)), e.vec_id) AS rank
+  FROM coded q JOIN coded e ON q.vec_id <> e.vec_id
+  WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, neighbour_id, distance::INT AS distance FROM ranked WHERE rank <= 10""",
+}
