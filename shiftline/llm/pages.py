@@ -245,8 +245,11 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE)
         F.collect_set("subtree").alias("gone"))
     left = F.filter(F.arrays_zip("texts", "paths"),
                     lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["paths"], F.col("gone")))
-    return read.join(gone, "row", "left").select(
-        "page_id", "url", F.array_join(left["texts"], "\n\n").alias("text"))
+    # Texts that lie in no removable subtree, as in a marked article, meet no join.
+    may_lose = F.size(F.flatten("paths")) > 0
+    whole = read.where(~may_lose).select("page_id", "url", F.array_join("texts", "\n\n").alias("text"))
+    return whole.unionByName(read.where(may_lose).join(gone, "row", "left").select(
+        "page_id", "url", F.array_join(left["texts"], "\n\n").alias("text")))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
