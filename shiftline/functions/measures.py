@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shiftline.functions.scalar import _MEASURE_DEC, SHIFT_MINUTES, decimal_sum as _dsum
+from shiftline.functions.scalar import SHIFT_MINUTES, decimal_sum as _dsum
 
 
 def production_partials() -> dict[str, Column]:
@@ -56,8 +56,8 @@ def production_finals(p: dict[str, Column]) -> dict[str, Column]:
 def maintenance_partials() -> dict[str, Column]:
     kind = F.col("maintenance_type")
     return {"_cost": _dsum("cost_inr"),
-            "_preventive": F.sum(F.when(kind == "Preventive", F.col("cost_inr")).cast(_MEASURE_DEC)),
-            "_corrective": F.sum(F.when(kind == "Corrective", F.col("cost_inr")).cast(_MEASURE_DEC))}
+            "_preventive": _dsum(F.when(kind == "Preventive", F.col("cost_inr"))),
+            "_corrective": _dsum(F.when(kind == "Corrective", F.col("cost_inr")))}
 
 
 def maintenance_finals(p: dict[str, Column]) -> dict[str, Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "col_", "safe_divide", "exact_sum", "decimal_sum", "exact_avg", "round_to", "round_half_even_int",
+    "col_", "safe_divide", "present", "exact_sum", "decimal_sum", "exact_avg", "round_to", "round_half_even_int",
     "date_key", "key_to_date", "day_name", "weekend_flag", "week_start", "week_label",
     "padded_id", "clamp", "age_years", "is_valid_number", "to_flag", "SHIFT_MINUTES",
 ]
@@ -19,10 +19,10 @@ __all__ = [
 # Length of one shift in minutes; availability is 1 - downtime / SHIFT_MINUTES.
 SHIFT_MINUTES = 480.0
 
-# Scale used to sum measure columns exactly. Measures carry at most four
-# decimals (wear index); quantities, minutes and money carry one or two.
-MEASURE_SCALE = 4
-_MEASURE_DEC = T.DecimalType(20, MEASURE_SCALE)
+# Doubles are summed as decimals of this type: 18 decimals, 20 digits before
+# the point. A value that does not fit raises (ANSI cast); none is rounded
+# to the scale of its source column.
+MEASURE_DEC = T.DecimalType(38, 18)
 
 
 def col_(c) -> Column:
@@ -39,26 +39,30 @@ def safe_divide(num, den, alternate=None) -> Column:
     return q if alternate is None else F.coalesce(q, F.lit(alternate))
 
 
-def exact_sum(c, scale: int = MEASURE_SCALE) -> Column:
+def present(c) -> Column:
+    """The value, or null where it is NaN: a missing value in either form."""
+    v = col_(c)
+    return F.when(~F.isnan(v.cast("double")), v)
+
+
+def decimal_sum(c) -> Column:
+    """Exact partial sum of a double measure (decimal; sums again exactly)."""
+    return F.sum(present(c).cast(MEASURE_DEC))
+
+
+def exact_sum(c) -> Column:
     """Sum of a double measure, computed in decimal and returned as double.
 
     A double sum depends on the order partial sums arrive in, so it can
     differ in the last bits between runs and partitionings; the decimal
     sum is exact and reproducible. Use for totals that are reported.
     """
-    dec = T.DecimalType(20, scale) if scale != MEASURE_SCALE else _MEASURE_DEC
-    return F.sum(col_(c).cast(dec)).cast("double")
-
-
-def decimal_sum(c) -> Column:
-    """Exact partial sum of a double measure (decimal; sums again exactly)."""
-    return F.sum(col_(c).cast(_MEASURE_DEC))
+    return decimal_sum(c).cast("double")
 
 
-def exact_avg(c, scale: int = MEASURE_SCALE) -> Column:
-    """Mean of non-null values from an exact sum; null for an empty group."""
-    dec = T.DecimalType(20, scale)
-    return safe_divide(F.sum(col_(c).cast(dec)).cast("double"), F.count(col_(c)))
+def exact_avg(c) -> Column:
+    """Mean of the values that are present from an exact sum; null for an empty group."""
+    return safe_divide(exact_sum(c), F.count(present(c)))
 
 
 def round_to(c, digits: int, *, exact_scale: int | None = None) -> Column:

@@ -2,7 +2,7 @@
 
 ``GROUP BY dim.attr`` over ``fact JOIN dim`` has two good plans:
 
-* the dimension is small (proven by the bounded probe): broadcast it, join
+* the dimension is within the planner's broadcast size in bytes: join
   map-side and aggregate once — one stage, the shuffle carries only
   partial aggregates;
 * the dimension is large: aggregate the fact on the foreign key first
@@ -19,24 +19,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shiftline.operators.joins import row_count_at_most
+from shiftline.operators.joins import plan_broadcasts
 
 
 def grouped_through(fact: DataFrame, fk: str, dim: DataFrame, dim_cols: list[str],
                     fact_keys: list[str], partials: dict[str, Column],
                     finals: dict[str, Column] | None = None,
-                    dim_is_small: bool | None = None, max_rows: int = 1_000_000) -> DataFrame:
+                    dim_is_small: bool | None = None) -> DataFrame:
     """Group ``fact ⋈ dim`` (on ``fk``) by ``dim_cols + fact_keys``.
 
     ``dim`` must have unique ``fk`` values and contain ``fk`` and ``dim_cols``.
     Returns the group columns, then ``finals`` (or the partials if none).
     """
     if dim_is_small is None:
-        dim_is_small = row_count_at_most(dim, max_rows)
+        dim_is_small = plan_broadcasts(dim)
     keys = list(dim_cols) + list(fact_keys)
     d = dim.select(fk, *[c for c in dim_cols if c != fk])
     if dim_is_small:
-        out = fact.join(F.broadcast(d), fk).groupBy(*keys).agg(
+        out = fact.join(d, fk).groupBy(*keys).agg(
             *[c.alias(n) for n, c in partials.items()])
     else:
         pre = fact.groupBy(fk, *fact_keys).agg(*[c.alias(n) for n, c in partials.items()])
@@ -50,8 +50,8 @@ def aggregate_by_attributes(star, fact: DataFrame, attrs: list[str], partials: d
     """Group ``fact`` by ``attrs`` — fact columns or attributes of the star's
     dimensions — computing ``partials`` (each re-aggregatable by ``sum``).
 
-    When every dimension involved is proven small, the lookups are
-    broadcast and the fact is aggregated once. Otherwise the fact is first
+    When the planner broadcasts every dimension involved, the fact is
+    aggregated once. Otherwise the fact is first
     aggregated on its own group columns plus the foreign keys (map-side
     combined), and only that result meets the dimensions. ``star`` may be
     None when all ``attrs`` are fact columns.

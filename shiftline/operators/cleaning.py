@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import is_valid_number, round_half_even_int
@@ -22,7 +22,9 @@ REASON = "reject_reason"
 # Reject reasons, in the order the checks are applied.
 PRODUCTION_REASONS = ["orphan_plant", "orphan_machine", "orphan_shift", "orphan_product",
                       "orphan_date", "negative_produced", "negative_defective",
-                      "downtime_out_of_range", "negative_energy"]
+                      "downtime_out_of_range", "negative_energy", "missing_failure_flag"]
+DUPLICATE_SLOT = "duplicate_slot"
+PRODUCTION_GRAIN = ["machine_id", "date_id", "shift_id"]
 MAINTENANCE_REASONS = ["orphan_machine", "orphan_date"]
 
 
@@ -32,9 +34,9 @@ def clean_dim(df: DataFrame, key: str, order_cols: list[str] | None = None) -> D
 
     "First" is the smallest ``order_cols`` tuple (an ingest-order column
     when the source has one); remaining columns break ties so the survivor
-    is deterministic. ``min(struct)`` is a hash aggregate with a map-side
-    partial step, so even a key repeated millions of times is reduced
-    before the shuffle. Output keeps the input column order, minus
+    is deterministic. ``min(struct)`` has a map-side partial step, so even a
+    key repeated millions of times is reduced before the shuffle (a sort
+    aggregate: the buffer is a struct). Output keeps the input column order, minus
     ``order_cols`` that are not part of the input schema proper.
     """
     cols = [c for c in df.columns if c != key and c not in (order_cols or [])]
@@ -60,18 +62,18 @@ def dim_reject_counts(df: DataFrame, key: str, table: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C3–C8
-def _flag_orphans(df: DataFrame, fks: list[tuple[str, DataFrame, str, bool]]) -> tuple[DataFrame, list[Column]]:
+def _flag_orphans(df: DataFrame, fks: list[tuple[str, DataFrame, str]]) -> tuple[DataFrame, list[Column]]:
     """Left-join each dimension's key set; a missing match flags an orphan.
 
     Dimensions must already have unique keys (``clean_dim``), so the joins
     never multiply rows. A null foreign key never matches: it is an orphan.
-    Key sets proven small are broadcast; others are shuffle-joined.
+    The planner chooses each join by the key set's size in bytes.
     """
     missing = []
-    for i, (col, dim, key, small) in enumerate(fks):
+    for i, (col, dim, key) in enumerate(fks):
         flag = f"_fk{i}"
         keys = dim.select(F.col(key).alias(col), F.lit(True).alias(flag))
-        df = df.join(F.broadcast(keys) if small else keys, col, "left")
+        df = df.join(keys, col, "left")
         missing.append(F.col(flag).isNull())
     return df, missing
 
@@ -87,32 +89,45 @@ def _first_reason(pairs: list[tuple[Column, str]]) -> Column:
     return expr
 
 
-def _fks(table: str, dims: dict[str, DataFrame], small: dict[str, bool] | None):
-    small = small or {}
-    return [(c, dims[d], PRIMARY_KEYS[d], small.get(d, False)) for c, d in FOREIGN_KEYS[table]]
+def _fks(table: str, dims: dict[str, DataFrame]):
+    return [(c, dims[d], PRIMARY_KEYS[d]) for c, d in FOREIGN_KEYS[table]]
+
+
+def later_in_slot(df: DataFrame, grain: list[str], order: list[str]) -> Column:
+    """True for every row but the first of its slot, by ``order``, a total order but for equal rows.
+
+    A slot is one machine's shift of one day, so its rows in one task stay few.
+    """
+    return F.row_number().over(Window.partitionBy(*grain).orderBy(*order)) > 1
 
 
 def flag_production(raw: DataFrame, dims: dict[str, DataFrame],
-                    small: dict[str, bool] | None = None) -> DataFrame:
+                    slot_order: list[str] | None = None) -> DataFrame:
     """Raw production rows plus ``reject_reason`` (null = valid).
 
-    ``small`` names the dimensions proven small enough to broadcast.
+    With ``slot_order`` a (machine, date, shift) slot keeps its first row by
+    that order and the others are rejected as ``duplicate_slot``, so kept and
+    rejected rows add up to the input.
     """
-    fks = _fks("fact_production", dims, small)
+    fks = _fks("fact_production", dims)
+    late = []
+    if slot_order:
+        raw = raw.withColumn("_late", later_in_slot(raw, PRODUCTION_GRAIN, slot_order))
+        late = [(F.col("_late"), DUPLICATE_SLOT)]
     df, missing = _flag_orphans(raw, fks)
     downtime_ok = is_valid_number("downtime_minutes") & F.col("downtime_minutes").between(0, 480)
-    checks = list(zip(missing, PRODUCTION_REASONS[:5])) + [
+    checks = late + list(zip(missing, PRODUCTION_REASONS[:5])) + [
         (~_nonneg("produced_qty"), "negative_produced"),
         (~_nonneg("defective_qty"), "negative_defective"),
         (~downtime_ok, "downtime_out_of_range"),
         (~_nonneg("energy_consumed_kwh"), "negative_energy"),
+        (F.col("failure_event").isNull(), "missing_failure_flag"),
     ]
-    return df.withColumn(REASON, _first_reason(checks)).drop(*[f"_fk{i}" for i in range(len(fks))])
+    return df.withColumn(REASON, _first_reason(checks)).drop("_late", *[f"_fk{i}" for i in range(len(fks))])
 
 
-def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame],
-                     small: dict[str, bool] | None = None) -> DataFrame:
-    fks = _fks("fact_maintenance", dims, small)
+def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    fks = _fks("fact_maintenance", dims)
     df, missing = _flag_orphans(raw, fks)
     return (df.withColumn(REASON, _first_reason(list(zip(missing, MAINTENANCE_REASONS))))
             .drop(*[f"_fk{i}" for i in range(len(fks))]))
@@ -133,16 +148,15 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 
 def clean_production(raw: DataFrame, dims: dict[str, DataFrame],
-                     small: dict[str, bool] | None = None) -> DataFrame:
+                     slot_order: list[str] | None = None) -> DataFrame:
     """C3 + C5 + C6 + C7: the loadable fact_production."""
-    kept = flag_production(raw, dims, small).where(F.col(REASON).isNull())
+    kept = flag_production(raw, dims, slot_order).where(F.col(REASON).isNull())
     return _conform(clamp_defective(kept), FACT_PRODUCTION)
 
 
-def clean_maintenance(raw: DataFrame, dims: dict[str, DataFrame],
-                      small: dict[str, bool] | None = None) -> DataFrame:
+def clean_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """C4: machine and date must exist; no bounds, no dedupe."""
-    kept = flag_maintenance(raw, dims, small).where(F.col(REASON).isNull())
+    kept = flag_maintenance(raw, dims).where(F.col(REASON).isNull())
     return _conform(kept, FACT_MAINTENANCE)
 
 
@@ -153,17 +167,16 @@ def fact_reject_counts(flagged: DataFrame, table: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- C9
-def constraint_report(tables: dict[str, DataFrame], small: dict[str, bool] | None = None) -> DataFrame:
+def constraint_report(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, check_name, n_violations) for PK uniqueness, PK and
     NOT NULL columns, and every foreign key (including machine→plant, which
     the loader never checks).
 
     One scan per table: each foreign key is flagged by a left join with the
     dimension's *distinct* key set (so it cannot multiply rows, even on
-    uncleaned input; broadcast when ``small`` says so), and a single
-    aggregate counts every check. The per-table rows are unioned: one job.
+    uncleaned input), and a single aggregate counts every check. The
+    per-table rows are unioned: one job.
     """
-    small = small or {}
     parts = []
     for t, df in tables.items():
         pk = PRIMARY_KEYS[t]
@@ -172,7 +185,7 @@ def constraint_report(tables: dict[str, DataFrame], small: dict[str, bool] | Non
         for i, (col, dim) in enumerate(fks):
             keys = (tables[dim].select(F.col(PRIMARY_KEYS[dim]).alias(col)).where(F.col(col).isNotNull())
                     .distinct().withColumn(f"_fk{i}", F.lit(True)))
-            flagged = flagged.join(F.broadcast(keys) if small.get(dim) else keys, col, "left")
+            flagged = flagged.join(keys, col, "left")
         aggs = [F.count(F.when(F.col(pk).isNull(), 1)).alias("pk_null"),
                 (F.count(F.col(pk)) - F.count_distinct(F.col(pk))).alias("pk_duplicate")]
         aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"not_null:{c}") for c in NOT_NULL[t]]

@@ -75,11 +75,14 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", n_buckets
     ranges = per.groupBy("_r").agg(F.sum("n0").alias("_r0"))
     w_r = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)   # ≤ n_buckets rows
     ranges = ranges.select("_r", F.coalesce(F.sum("_r0").over(w_r), F.lit(0)).alias("_off"))
-    per = per.join(F.broadcast(ranges), "_r")
+    per = per.join(ranges, "_r")
     w_in = Window.partitionBy("_r").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.col("_off") + F.coalesce(F.sum("n0").over(w_in), F.lit(0))
-    terms = per.select((F.col("n1") * (2 * below + F.col("n0"))).alias("t"), "n0", "n1")
+    # Products of two counts pass bigint at scale: exact decimals instead.
+    wide = lambda c: c.cast("decimal(19,0)")
+    terms = per.select((wide(F.col("n1")) * wide(2 * below + F.col("n0"))).alias("t"), "n0", "n1")
     tot = terms.agg(F.sum("t").alias("t"), F.sum("n1").alias("n_pos"), F.sum("n0").alias("n_neg"))
     return tot.select(safe_divide(F.col("t").cast("double"),
-                                  (2 * F.col("n_pos") * F.col("n_neg")).cast("double")).alias("roc_auc"),
+                                  (2 * wide(F.col("n_pos")) * wide(F.col("n_neg"))).cast("double"))
+                      .alias("roc_auc"),
                       F.col("n_pos").cast("bigint").alias("n_pos"), F.col("n_neg").cast("bigint").alias("n_neg"))

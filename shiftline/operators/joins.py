@@ -1,26 +1,17 @@
-"""Join helpers with an explicit size check before any broadcast.
-
-A broadcast hint overrides Spark's own size threshold, so it is only put
-on a side whose row count has been *proven* small: ``limit(n + 1).count()``
-stops reading after n + 1 rows, so the probe costs at most n rows whatever
-the table size. Beyond the bound the join is left to the planner (sort-merge
-or shuffled hash; AQE re-plans it from runtime sizes and splits skewed keys).
-"""
+"""Whether the planner broadcasts a join side, from its own size estimate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Rows of a narrow (key + few attributes) dimension that may be broadcast.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded-cost probe)."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def plan_broadcasts(df: DataFrame) -> bool:
+    """True when the optimizer's size in bytes is within the session's broadcast threshold.
 
-def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    Reads plan statistics (file sizes for stored tables); no job runs. Used
+    to choose between plans, never to put a hint on one: at run time the
+    planner and AQE still decide each join by its measured size.
+    """
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= conf.autoBroadcastJoinThreshold()

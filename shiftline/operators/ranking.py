@@ -47,7 +47,10 @@ def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_per
     key). Counts per (class, bucket) — bounded by the bucket domain — decide
     whole buckets; only the one boundary bucket per class is ranked.
     """
-    x = df.withColumn("_key", key).withColumn("_b", bucket)
+    # A row without a label has no class to be split in; joins would drop it silently.
+    labelled = F.coalesce(F.col(label), F.raise_error(F.lit(f"{label} is null: reject such rows first"))
+                          .cast(df.schema[label].dataType))
+    x = df.withColumn(label, labelled).withColumn("_key", key).withColumn("_b", bucket)
     counts = x.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     order_b = F.desc("_b") if latest else F.asc("_b")
     w_cls = Window.partitionBy(label)

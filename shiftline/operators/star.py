@@ -1,21 +1,19 @@
 """The star schema as one object, its joins (J1–J9) and filters.
 
-Dimensions are joined to facts by key. A dimension is broadcast only after
-a bounded row-count probe proves it small (``joins.row_count_at_most``);
-the probe result is memoised per ``Star`` so a session of many queries pays
-it once. Large dimensions fall back to planner-chosen shuffle joins.
+Dimensions are joined to facts by key, without hints: the planner broadcasts
+a side by its size in bytes and AQE by the size it turns out to have.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.operators import cleaning
-from shiftline.operators.joins import DEFAULT_BROADCAST_ROWS, row_count_at_most
+from shiftline.operators.joins import plan_broadcasts
 from shiftline.schemas import PRIMARY_KEYS
 
 DIMS = ["dim_plant", "dim_machine", "dim_shift", "dim_product", "dim_date"]
@@ -31,8 +29,6 @@ class Star:
     dim_date: DataFrame
     fact_production: DataFrame
     fact_maintenance: DataFrame
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-    _checked: dict = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------------ tables
     def tables(self) -> dict[str, DataFrame]:
@@ -42,31 +38,13 @@ class Star:
         return {n: getattr(self, n) for n in DIMS}
 
     def is_small(self, name: str) -> bool:
-        """Whether dimension ``name`` is proven to have at most ``broadcast_rows`` rows."""
-        if name not in self._checked:
-            self._checked[name] = row_count_at_most(getattr(self, name), self.broadcast_rows)
-        return self._checked[name]
-
-    def machines_bounded(self, max_rows: int | None = None) -> bool:
-        """Whether no machine has more than ``max_rows`` production rows
-        (default ``windows.MAX_ROWS_PER_ENTITY``); memoised like the
-        dimension probes. Decides the history-window plan."""
-        from shiftline.operators.windows import MAX_ROWS_PER_ENTITY, largest_group_at_most
-        bound = max_rows or MAX_ROWS_PER_ENTITY
-        key = ("machines_bounded", bound)
-        if key not in self._checked:
-            self._checked[key] = largest_group_at_most(self.fact_production, "machine_id", bound)
-        return self._checked[key]
-
-    def small_dims(self) -> dict[str, bool]:
-        return {n: self.is_small(n) for n in DIMS}
+        """Whether the planner would broadcast dimension ``name`` (by bytes; runs no job)."""
+        return plan_broadcasts(getattr(self, name))
 
     def dim(self, name: str, *cols: str) -> DataFrame:
-        """Dimension (optionally projected) ready for a lookup join: broadcast
-        when proven small, otherwise left to the planner's shuffle join."""
+        """Dimension, optionally projected."""
         d = getattr(self, name)
-        d = d.select(*cols) if cols else d
-        return F.broadcast(d) if self.is_small(name) else d
+        return d.select(*cols) if cols else d
 
     # ------------------------------------------------------------------ joins
     def wide_production(self) -> DataFrame:
@@ -122,15 +100,11 @@ def clean_dims(raw, dim_order: dict[str, list[str]] | None = None) -> dict[str,
     return cleaning.conform_dims(dims)
 
 
-def build_star(raw, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               dim_order: dict[str, list[str]] | None = None) -> Star:
+def build_star(raw, dim_order: dict[str, list[str]] | None = None) -> Star:
     """Clean a raw star (C1–C7): dedupe dims, then validate both facts."""
     dims = clean_dims(raw, dim_order)
-    star = Star(**dims, fact_production=None, fact_maintenance=None, broadcast_rows=broadcast_rows)
-    small = star.small_dims()
-    star.fact_production = cleaning.clean_production(raw.raw_production, dims, small)
-    star.fact_maintenance = cleaning.clean_maintenance(raw.raw_maintenance, dims, small)
-    return star
+    return Star(**dims, fact_production=cleaning.clean_production(raw.raw_production, dims),
+                fact_maintenance=cleaning.clean_maintenance(raw.raw_maintenance, dims))
 
 
 # --------------------------------------------------------------------------- F1–F6
@@ -172,21 +146,27 @@ def filter_maintenance(df: DataFrame, plants=None) -> DataFrame:
 def filter_choices(star: Star, fact: DataFrame) -> DataFrame:
     """one row per selectable value (kind, value), plus min/max dates.
 
-    Distinct plant names, machine types and dates are aggregates through
-    the dimensions (``aggregate_by_attributes``): at foreign-key grain
-    first when a dimension is too large to broadcast. Sorted by (kind, value).
+    The fact is read once: a GROUPING SETS aggregate over its three foreign
+    keys gives the keys in use, and each key set then meets its dimension.
+    Sorted by (kind, value).
     """
-    from shiftline.operators.aggregate import aggregate_by_attributes
-    one = {"_n": F.count(F.lit(1))}
-
-    def values(attr: str) -> DataFrame:
-        g = aggregate_by_attributes(star, fact, [attr], one)
-        return g.select(F.lit(attr).alias("kind"), F.col(attr).cast("string").alias("value"))
-
-    days = aggregate_by_attributes(star, fact, ["date"], one)
-    bounds = days.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    dates = bounds.select(F.explode(F.array(
-        F.struct(F.lit("date_min").alias("kind"), F.col("lo").cast("string").alias("value")),
-        F.struct(F.lit("date_max").alias("kind"), F.col("hi").cast("string").alias("value")))).alias("s")
-    ).select("s.kind", "s.value")
-    return values("plant_name").unionByName(values("machine_type")).unionByName(dates).orderBy("kind", "value")
+    kinds = {"plant_name": ("dim_plant", "plant_id"), "machine_type": ("dim_machine", "machine_id"),
+             "date": ("dim_date", "date_id")}
+    keys = [F.col(k) for _, k in kinds.values()]
+    used = fact.groupingSets([[k] for k in keys], *keys).agg(F.grouping_id().alias("g"))
+    # The grouping id has a bit for every key left out of a row's set.
+    ids = {attr: 7 - (4 >> at) for at, attr in enumerate(kinds)}
+    own = used.select("g", F.coalesce(*keys).alias("key"))
+    named = None
+    for attr, (dim, key) in kinds.items():
+        d = star.dim(dim, key, attr).select(F.lit(ids[attr]).cast("bigint").alias("g"), F.col(key).alias("key"),
+                                            F.lit(attr).alias("kind"), F.col(attr).cast("string").alias("value"))
+        named = d if named is None else named.unionByName(d)
+    values = own.join(named, ["g", "key"])
+    days = F.col("kind") == "date"
+    found = values.groupBy("kind", F.when(~days, F.col("value")).alias("value")).agg(
+        F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ends = F.array(F.struct(F.lit("date_min").alias("kind"), F.col("lo").alias("value")),
+                   F.struct(F.lit("date_max").alias("kind"), F.col("hi").alias("value")))
+    one = F.array(F.struct("kind", "value"))
+    return found.select(F.inline(F.when(days, ends).otherwise(one))).orderBy("kind", "value")

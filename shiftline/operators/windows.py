@@ -1,10 +1,8 @@
-"""Per-machine history features, with the plan chosen by size.
+"""Per-machine history features.
 
-A window partitioned by machine puts each machine's whole history in one
-sorted task. That is the cheapest plan (one shuffle) while the largest
-machine is proven small (``largest_group_at_most``, one aggregate over the
-key). When one machine may hold a third of all rows, the unit of
-parallelism becomes (machine, day):
+A window partitioned by machine would put a machine's whole history in one
+sorted task, and one machine may hold a third of all rows. So the unit of
+parallelism is (machine, day):
 
 * rows are windowed within their (machine, day) — a handful of shifts;
 * a day-level table (one row per machine-day, so at most one row per
@@ -13,84 +11,38 @@ parallelism becomes (machine, day):
   running counts, reset positions;
 * that table is joined back on (machine, day).
 
-In that plan the fact is shuffled at full width once, by (machine, day);
-the W2/W3 day tails take a second, narrow shuffle (at most n rows per
-machine-day, cut map-side by a partial top-n), and W5 reads its rows
-branch twice from one shared shuffle. Both plans use the same exact
-(decimal) arithmetic and return identical values.
+The fact is shuffled at full width once, by (machine, day); the W2/W3 day
+tails take a second, narrow shuffle (at most n rows per machine-day, cut
+map-side by a partial top-n), and W5 reads its rows branch twice from one
+shared shuffle. NaN counts as missing, as null does.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shiftline.functions.scalar import MEASURE_SCALE, safe_divide
-
-_DEC = T.DecimalType(20, MEASURE_SCALE)
+from shiftline.functions.scalar import present, safe_divide
 
 
 def _day_window(entity, day, order):
     return Window.partitionBy(entity, day).orderBy(*order)
 
 
-# Rows one task may window in a single sorted partition; a larger entity
-# takes the (entity, day) plan.
-MAX_ROWS_PER_ENTITY = 1_000_000
-
-
-def largest_group_at_most(df: DataFrame, key: str, max_rows: int) -> bool:
-    """True when no ``key`` value has more than ``max_rows`` rows. One
-    aggregate over the key column (map-side combined); only the verdict
-    reaches the driver."""
-    big = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
-    return big.limit(1).count() == 0
-
-
-def _use_per_entity(df: DataFrame, entity: str, max_rows: int | None, bounded: bool | None) -> bool:
-    if not max_rows:
-        return False
-    return bounded if bounded is not None else largest_group_at_most(df, entity, max_rows)
-
-
 def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_id",
                    order: tuple[str, ...] = ("shift_id", "record_id"), n_prior: int = 3,
                    avg_col: str = "downtime_minutes", lag_col: str = "machine_wear_index",
-                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear",
-                   max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY,
-                   bounded: bool | None = None) -> DataFrame:
+                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear") -> DataFrame:
     """In (entity, day, *order) sequence,
 
     * ``avg_name`` = mean of the previous ``n_prior`` rows' ``avg_col``
-      (current row excluded, nulls skipped, 0 when there is none);
+      (current row excluded, missing values skipped, 0 when there is none);
     * ``lag_name`` = the previous row's ``lag_col``, or the current row's
-      own value on the first row (and when the previous value is null).
-
-    The plan is chosen by size, like a broadcast: when the largest entity
-    is proven to hold at most ``max_rows_per_entity`` rows, one window per
-    entity (a single shuffle); otherwise the (entity, day) plan, which
-    never puts more than one machine-day in a window partition. Both plans
-    use the same exact arithmetic, so they return identical values.
-    ``bounded`` passes a verdict already known (e.g. ``Star.machines_bounded``).
-    """
-    if _use_per_entity(df, entity, max_rows_per_entity, bounded):
-        return _prior_features_per_entity(df, entity, day, order, n_prior, avg_col, lag_col,
-                                          avg_name, lag_name)
-    return _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name)
-
-
-def _prior_features_per_entity(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name):
-    w = Window.partitionBy(entity).orderBy(day, *order)
-    frame = w.rowsBetween(-n_prior, -1)
-    total = F.sum(F.col(avg_col).cast(_DEC)).over(frame).cast("double")
-    mean = F.coalesce(safe_divide(total, F.count(avg_col).over(frame)), F.lit(0.0))
-    return (df.withColumn(avg_name, mean)
-            .withColumn(lag_name, F.coalesce(F.lag(lag_col, 1).over(w), F.col(lag_col))))
+      own value on the first row (and when the previous value is missing).
 
-
-def _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, avg_name, lag_name):
-    rec = F.struct(F.col(avg_col).alias("a"), F.col(lag_col).alias("w"))
+    The few values of a mean are added in sequence order as doubles.
+    """
+    rec = F.struct(present(avg_col).alias("a"), present(lag_col).alias("w"))
     w_day = _day_window(entity, day, order)
     rows = df.withColumn("_same", F.collect_list(rec).over(w_day.rowsBetween(-n_prior, -1)))
 
@@ -113,8 +65,8 @@ def _prior_features_by_day(df, entity, day, order, n_prior, avg_col, lag_col, av
     start = F.greatest(F.size(hist) - (n_prior - 1), F.lit(1))
     prev = F.slice(hist, start, F.lit(n_prior))
     vals = F.filter(F.transform(prev, lambda x: x["a"]), lambda v: v.isNotNull())
-    total = F.aggregate(vals, F.lit(0).cast(_DEC), lambda acc, v: (acc + v.cast(_DEC)).cast(_DEC))
-    mean = F.coalesce(safe_divide(total.cast("double"), F.size(vals)), F.lit(0.0))
+    total = F.aggregate(vals, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
+    mean = F.coalesce(safe_divide(total, F.size(vals)), F.lit(0.0))
     last = F.try_element_at(hist, F.lit(-1))
     return (out.withColumn(avg_name, mean)
             .withColumn(lag_name, F.coalesce(last["w"], F.col(lag_col)))
@@ -128,43 +80,14 @@ def defect_rate_row(df: DataFrame) -> DataFrame:
 
 
 def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", day: str = "date_id",
-                order: tuple[str, ...] = ("shift_id", "record_id"),
-                max_rows_per_entity: int | None = MAX_ROWS_PER_ENTITY,
-                bounded: bool | None = None) -> DataFrame:
+                order: tuple[str, ...] = ("shift_id", "record_id")) -> DataFrame:
     """Service cycles of each machine ("wear accumulates, resets at service").
 
     A reset happens after a failed shift (effective from the next shift)
     and after a day with a preventive maintenance event (effective from the
     next day). ``cycle_id`` = resets before the row (failed shifts plus
     preventive days); ``shifts_in_cycle`` = 1-based position in the cycle.
-
-    Plan chosen by size as in ``prior_features``: per-machine windows when
-    the largest machine is proven small, else the (machine, day) plan.
     """
-    if _use_per_entity(prod, entity, max_rows_per_entity, bounded):
-        return _wear_cycles_per_entity(prod, maint, entity, day, order)
-    return _wear_cycles_by_day(prod, maint, entity, day, order)
-
-
-def _wear_cycles_per_entity(prod, maint, entity, day, order):
-    # Preventive days become marker rows sorted after that day's shifts, so
-    # one running count over (rows ∪ markers) gives the resets before a row.
-    rows = prod.select(entity, day, *order, "failure_event", F.lit(0).alias("_marker"))
-    marks = (maint.where(F.col("maintenance_type") == "Preventive").select(entity, day).distinct()
-             .select(entity, day, *[F.lit(None).cast(prod.schema[c].dataType).alias(c) for c in order],
-                     F.lit(None).cast("int").alias("failure_event"), F.lit(1).alias("_marker")))
-    both = rows.unionByName(marks)
-    w = Window.partitionBy(entity).orderBy(day, "_marker", *order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    resets = (F.coalesce(F.sum((F.col("failure_event") == 1).cast("int")).over(before), F.lit(0))
-              + F.coalesce(F.sum("_marker").over(before), F.lit(0)))
-    out = both.withColumn("cycle_id", resets.cast("bigint")).where(F.col("_marker") == 0)
-    w_cycle = Window.partitionBy(entity, "cycle_id").orderBy(day, *order)
-    return out.select(entity, day, *order, "failure_event", "cycle_id",
-                      F.row_number().over(w_cycle).cast("bigint").alias("shifts_in_cycle"))
-
-
-def _wear_cycles_by_day(prod, maint, entity, day, order):
     w_day = _day_window(entity, day, order)
     fail = F.col("failure_event") == 1
     rows = (prod.select(entity, day, *order, "failure_event")

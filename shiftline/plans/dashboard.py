@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import decimal_sum, exact_avg, exact_sum, safe_divide, week_label
 from shiftline.operators.aggregate import aggregate_by_attributes
-from shiftline.operators.joins import size_checked_broadcast
 from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fact, filter_maintenance
 
 
@@ -26,8 +25,8 @@ def filtered_production(star: Star, plants=None, machine_types=None, start=None,
 
     * A plant or machine-type filter becomes a semi-join of the fact with
       the *qualifying keys* of that dimension. That key set is usually
-      small even when the dimension is not; it is broadcast when the
-      bounded probe proves it small, so the fact is not shuffled for a
+      small even when the dimension is not; the planner, and AQE by its
+      size at run time, broadcast it, so the fact is not shuffled for a
       filter.
     * The date range is applied to the fact's own ``date_id`` key
       (``yyyyMMdd`` sorts like the date), so it reaches the fact scan as a
@@ -40,29 +39,36 @@ def filtered_production(star: Star, plants=None, machine_types=None, start=None,
         f = f.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
     if plants is not None:
         keys = star.dim_plant.where(F.col("plant_name").isin(list(plants))).select("plant_id")
-        f = f.join(size_checked_broadcast(keys, star.broadcast_rows), "plant_id", "left_semi")
+        f = f.join(keys, "plant_id", "left_semi")
     if machine_types is not None:
         keys = star.dim_machine.where(F.col("machine_type").isin(list(machine_types))).select("machine_id")
-        f = f.join(size_checked_broadcast(keys, star.broadcast_rows), "machine_id", "left_semi")
+        f = f.join(keys, "machine_id", "left_semi")
     need = list(attrs) + (["date"] if lo is not None else [])
     f = attach_attrs(star, f, list(dict.fromkeys(need)))
     return filter_fact(f, None, None, lo, hi)
 
 
 def filtered_maintenance(star: Star, plants=None, machine_types=None, start=None, end=None) -> DataFrame:
-    """Maintenance events for the maintenance views.
+    """Maintenance events for the maintenance views, as fact rows.
 
     The dashboard's maintenance tab filters on plant only (F5); the BI
     pages sync all slicers (F9), so machine type and date range may be
-    given too (quirk K3: both behaviours are available).
+    given too (quirk K3: both behaviours are available). Plant and type
+    filters are semi-joins with the qualifying machines; no attribute is
+    attached, views look up what they need.
     """
-    m = filter_maintenance(star.maintenance_wide(), plants)
-    if machine_types is not None:
-        keys = star.dim_machine.where(F.col("machine_type").isin(list(machine_types))).select("machine_id")
-        m = m.join(size_checked_broadcast(keys, star.broadcast_rows), "machine_id", "left_semi")
+    m = star.fact_maintenance
     lo, hi = date_bounds(start, end)
     if lo is not None:
         m = m.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
+    if plants is not None or machine_types is not None:
+        machines = star.dim_machine
+        if machine_types is not None:
+            machines = machines.where(F.col("machine_type").isin(list(machine_types)))
+        if plants is not None:
+            own = star.dim_plant.where(F.col("plant_name").isin(list(plants))).select("plant_id")
+            machines = machines.join(own, "plant_id", "left_semi")
+        m = m.join(machines.select("machine_id"), "machine_id", "left_semi")
     return m
 
 
@@ -130,17 +136,23 @@ def cost_by_maintenance_type(mdf: DataFrame) -> DataFrame:
             .orderBy("maintenance_type"))
 
 
-def maintenance_cost_by_plant(mdf: DataFrame) -> DataFrame:
-    """A9 / V10."""
-    return (mdf.groupBy("plant_name").agg(exact_sum("cost_inr").alias("cost_inr"))
+def maintenance_cost_by_plant(mdf: DataFrame, star: Star) -> DataFrame:
+    """Cost by the machine's plant; summed per machine before the lookups."""
+    per_machine = mdf.groupBy("machine_id").agg(decimal_sum("cost_inr").alias("c"))
+    placed = (per_machine.join(star.dim("dim_machine", "machine_id", "plant_id"), "machine_id")
+              .groupBy("plant_id").agg(F.sum("c").alias("c")))
+    return (placed.join(star.dim("dim_plant", "plant_id", "plant_name"), "plant_id")
+            .groupBy("plant_name").agg(F.sum("c").cast("double").alias("cost_inr"))
             .orderBy(F.desc("cost_inr"), "plant_name"))
 
 
-def top_maintenance_events(mdf: DataFrame, k: int = 20) -> DataFrame:
-    """The k costliest events (tie → maintenance_id)."""
-    return (mdf.select("maintenance_id", "machine_name", "plant_name", "maintenance_type",
-                       "duration_minutes", "cost_inr", "technician_team")
-            .orderBy(F.desc("cost_inr"), "maintenance_id").limit(k))
+def top_maintenance_events(mdf: DataFrame, star: Star, k: int = 20) -> DataFrame:
+    """The k costliest events (tie → maintenance_id); names are looked up for those only."""
+    first = mdf.orderBy(F.desc("cost_inr"), "maintenance_id").limit(k)
+    named = (first.join(star.dim("dim_machine", "machine_id", "machine_name", "plant_id"), "machine_id")
+             .join(star.dim("dim_plant", "plant_id", "plant_name"), "plant_id"))
+    return named.select("maintenance_id", "machine_name", "plant_name", "maintenance_type", "duration_minutes",
+                        "cost_inr", "technician_team").orderBy(F.desc("cost_inr"), "maintenance_id")
 
 
 def overall_failure_rate(df: DataFrame) -> DataFrame:

@@ -15,17 +15,17 @@ def reject_report(raw, star: Star) -> DataFrame:
     """(table_name, status, n_rows) — kept rows and every reject reason,
     for the five raw dimensions and both raw facts. Kept + rejected = input."""
     parts = [cleaning.dim_reject_counts(getattr(raw, d), PRIMARY_KEYS[d], d) for d in DIMS]
-    dims, small = star.dims(), star.small_dims()
-    parts.append(cleaning.fact_reject_counts(cleaning.flag_production(raw.raw_production, dims, small),
-                                             "fact_production"))
-    parts.append(cleaning.fact_reject_counts(cleaning.flag_maintenance(raw.raw_maintenance, dims, small),
+    dims = star.dims()
+    parts.append(cleaning.fact_reject_counts(
+        cleaning.flag_production(raw.raw_production, dims, getattr(raw, "slot_order", None)), "fact_production"))
+    parts.append(cleaning.fact_reject_counts(cleaning.flag_maintenance(raw.raw_maintenance, dims),
                                              "fact_maintenance"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def constraint_report(star: Star) -> DataFrame:
     """C9 over the loaded tables (PK, NOT NULL, FK incl. machine→plant)."""
-    return cleaning.constraint_report(star.tables(), star.small_dims())
+    return cleaning.constraint_report(star.tables())
 
 
 def table_counts(star: Star) -> DataFrame:

@@ -35,6 +35,8 @@ FILTER_PLANTS = ["ASIA", "EUROPE"]
 FILTER_TYPES = ["TYPE_1", "TYPE_3", "TYPE_5"]
 FILTER_START, FILTER_END = "1996-01-01", "1997-06-30"
 TREND_TYPES = ["TYPE_0", "TYPE_2"]
+# The product categories of the driver's part table.
+PIVOT_CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 AGE_AS_OF = _dt.date(2002, 1, 1)
 
 
@@ -55,9 +57,7 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 _MODELS: dict[tuple[str, str], "risk.FittedRisk"] = {}
-# Boosting rounds for the registered model views. The reference's 200 is
-# the library default; early stopping on the validation slice ends the fit
-# well before that on this data.
+# Boosting rounds at most; ten rounds without a gain on the validation slice end the fit.
 MODEL_MAX_ITER = 200
 
 
@@ -145,9 +145,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cost_by_maintenance_type": _on_star(lambda st: db.cost_by_maintenance_type(
         db.filtered_maintenance(st))),
     "maintenance_cost_by_plant": _on_star(lambda st: db.maintenance_cost_by_plant(
-        db.filtered_maintenance(st))),
+        db.filtered_maintenance(st), st)),
     "top_maintenance_events": _on_star(lambda st: db.top_maintenance_events(
-        db.filtered_maintenance(st))),
+        db.filtered_maintenance(st), st)),
+    # maintenance views under the plant filter (F5) and under all slicers
+    "plant_maintenance_cost_by_type": _on_star(lambda st: db.cost_by_maintenance_type(
+        db.filtered_maintenance(st, FILTER_PLANTS))),
+    "sliced_maintenance_cost_by_plant": _on_star(lambda st: db.maintenance_cost_by_plant(
+        db.filtered_maintenance(st, FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END), st)),
+    "sliced_top_maintenance_events": _on_star(lambda st: db.top_maintenance_events(
+        db.filtered_maintenance(st, FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END), st)),
     "overall_failure_rate": _on_star(lambda st: db.overall_failure_rate(st.fact_production)),
     # BI measures and pages
     "production_measures": _on_star(lambda st: bi.production_measures(
@@ -161,7 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plant_category_matrix": _on_star(lambda st: bi.plant_category_matrix(
         db.filtered_production(st), star=st)),
     "plant_category_pivot": _on_star(lambda st: bi.plant_category_matrix(
-        db.filtered_production(st), wide=True, star=st)),
+        db.filtered_production(st), wide=True, categories=PIVOT_CATEGORIES, star=st)),
     "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
         db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.operators import evaluation, ranking, windows
-from shiftline.operators.joins import DEFAULT_BROADCAST_ROWS, size_checked_broadcast
 from shiftline.operators.star import Star
 from shiftline.session import checkpoint_dir
 
@@ -27,6 +26,7 @@ KEYS = ["machine_id", "date_id", "shift_id"]
 LABEL = "failure_event"
 # The report's class names.
 TARGET_NAMES = ("No failure", "Failure")
+# The model's columns.
 NUMERIC = ["planned_qty", "prior_wear", "prior_downtime_avg3", "rated_capacity_units_per_hour",
            "base_energy_kwh_per_hour", "is_weekend"]
 CATEGORICAL = ["machine_type", "shift_id", "plant_id"]
@@ -35,7 +35,7 @@ SEED = 42
 
 def failure_features(star: Star) -> DataFrame:
     """M1: J7 (production ⋈ machine ⋈ date) + W2 + W3, one row per shift."""
-    f = windows.prior_features(star.fact_production, bounded=star.machines_bounded())
+    f = windows.prior_features(star.fact_production)
     f = f.join(star.dim("dim_machine", "machine_id", "machine_type", "rated_capacity_units_per_hour",
                         "base_energy_kwh_per_hour"), "machine_id")
     f = f.join(star.dim("dim_date", "date_id", "day_of_week", "is_weekend"), "date_id")
@@ -90,8 +90,11 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
-    w = class_weights(train, label).select(label, "weight")
-    return train.join(size_checked_broadcast(w), label)   # one row per class
+    """Each training row with its class's weight: one small aggregate, then a literal per class."""
+    chosen = F.lit(None).cast("double")
+    for r in class_weights(train, label).collect():      # one row per class
+        chosen = F.when(F.col(label) == r[label], F.lit(r.weight)).otherwise(chosen)
+    return train.withColumn("weight", chosen)
 
 
 @dataclass
@@ -103,12 +106,14 @@ class FittedRisk:
 
 
 def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth: int = 6,
-                      validation_percent: int = 10, validation_tol: float = 1e-7,
+                      validation_percent: int = 10, patience: int = 10, min_gain: float = 1e-7,
                       min_leaf: int = 20, max_bins: int = 255, seed: int = SEED,
                       split_by_time: bool = False) -> FittedRisk:
     """M5: boosted trees with the reference's settings (200 rounds, rate
-    0.08, depth 6, balanced class weights, seed 42) and its automatic early
-    stopping on a stratified 10 % validation slice of the training rows.
+    0.08, depth 6, balanced class weights, seed 42) and its early stopping: a
+    fit ends once ``patience`` rounds have not lowered the loss on a
+    stratified 10 % validation slice of the training rows by ``min_gain``,
+    and keeps the rounds up to there.
     ``split_by_time`` holds out the latest shifts instead of random ones (K9).
 
     The split feature table is written to the shared checkpoint folder
@@ -125,13 +130,39 @@ def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth
     test = data.where(F.col("is_test") == 1).drop("is_test")
     train = ranking.stratified_split(train, LABEL, KEYS, test_percent=validation_percent,
                                      seed=seed + 1, out="is_validation")
-    train = with_weights(train).withColumn("is_validation", F.col("is_validation") == 1)
-    gbt = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
-                        validationIndicatorCol="is_validation", validationTol=validation_tol,
-                        maxIter=max_iter, stepSize=step, maxDepth=depth, maxBins=max_bins,
-                        minInstancesPerNode=min_leaf, seed=seed)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"), gbt])
-    return FittedRisk(pipe.fit(train), names, test, train)
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    rows = assembler.transform(with_weights(train)).select("features", LABEL, "weight", "is_validation")
+    rows = rows.checkpoint(eager=True)
+    learn, held = rows.where(F.col("is_validation") == 0), rows.where(F.col("is_validation") == 1)
+
+    def fit(rounds: int):
+        return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=rounds,
+                             stepSize=step, maxDepth=depth, maxBins=max_bins, minInstancesPerNode=min_leaf,
+                             seed=seed).fit(learn)
+
+    # A fit of more rounds starts with the same trees, so the rounds are tried
+    # in growing numbers until the stop is among them, then fitted up to it.
+    rounds = min(max_iter, 2 * patience)
+    while True:
+        model = fit(rounds)
+        stop = stop_round(model.evaluateEachIteration(held), patience, min_gain)
+        if stop is not None or rounds == max_iter:
+            break
+        rounds = min(max_iter, 2 * rounds)
+    if stop is not None and stop < rounds:
+        model = fit(stop)
+    return FittedRisk(PipelineModel(stages=[assembler, model]), names, test, train)
+
+
+def stop_round(losses: list[float], patience: int, min_gain: float) -> int | None:
+    """The round at which ``patience`` rounds have passed without a gain on the best loss; None if never."""
+    best, at = float("inf"), 0
+    for k, loss in enumerate(losses, 1):
+        if loss < best - min_gain:
+            best, at = loss, k
+        elif k - at >= patience:
+            return k
+    return None
 
 
 def score(fitted: FittedRisk, df: DataFrame | None = None) -> DataFrame:
@@ -172,8 +203,7 @@ def _metric(name: str) -> F.Column:
 
 
 def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEED,
-                           features: list[str] | None = None, metric: str = "accuracy",
-                           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                           features: list[str] | None = None, metric: str = "accuracy") -> DataFrame:
     """M9: mean and std of the drop in ``metric`` (accuracy by default;
     also precision / recall / f1 of the failure class) when one feature
     column is shuffled across the test rows, per feature over ``repeats``
@@ -188,7 +218,8 @@ def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEE
     """
     features = features or fitted.features
     spark = fitted.test.sparkSession
-    test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in features])
+    # The model reads every column; only the chosen ones are shuffled.
+    test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in fitted.features])
     n = test.select(F.count(F.lit(1))).scalar()
     base = score(fitted, test).agg(_metric(metric).alias("b"))
 
@@ -207,13 +238,11 @@ def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEE
 
     donors = rep.select("repeat", F.col("_pos").alias("_dpos"),
                         *[F.col(f"`{f}`").alias(f"_d{i}") for i, f in enumerate(features)])
-    # the broadcast bound is meant for narrow (≈4-column) tables: scale it by width
-    donors = size_checked_broadcast(donors, max(1, broadcast_rows * 4 // (2 + len(features))))
     shuffled = copies.join(donors, ["repeat", "_dpos"])
     for i, f in enumerate(features):
         shuffled = shuffled.withColumn(f, F.when(F.col("fi") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`")))
     scored = score(fitted, shuffled.select(*KEYS, LABEL, "repeat", "feature",
-                                           *[F.col(f"`{f}`") for f in features]))
+                                           *[F.col(f"`{f}`") for f in fitted.features]))
     per = scored.groupBy("feature", "repeat").agg(_metric(metric).alias("m"))
     drop = per.select("feature", (base.scalar() - F.col("m")).alias("d"))
     out = drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"),

@@ -9,19 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shiftline.functions.scalar import SHIFT_MINUTES, safe_divide
+from shiftline.functions.scalar import SHIFT_MINUTES, decimal_sum as _dsum, safe_divide
 from shiftline.operators.aggregate import aggregate_by_attributes, grouped_through
 from shiftline.operators.star import Star
 
-_DEC = T.DecimalType(20, 4)
-
-
-def _dsum(c) -> F.Column:
-    return F.sum(F.col(c).cast(_DEC))
-
-
 def _round_dec(c, digits) -> F.Column:
     return F.round(F.col(c), digits).cast("double")
 
@@ -56,13 +48,13 @@ def oee_by_machine(star: Star, k: int = 10) -> DataFrame:
         "n": F.count(F.lit(1)),
         "s_down": _dsum("downtime_minutes"),
         "n_down": F.count("downtime_minutes"),
-        "s_q": F.sum(ratio),
+        "s_q": _dsum(ratio),
         "n_q": F.count(ratio),
     }
     g = grouped_through(star.fact_production, "machine_id", star.dim_machine, ["machine_id", "machine_name"],
                         [], partials, dim_is_small=_small(star, "dim_machine"))
     avail = 1.0 - safe_divide(F.col("s_down").cast("double"), F.col("n_down")) / SHIFT_MINUTES
-    qual = safe_divide(F.col("s_q"), F.col("n_q"))
+    qual = safe_divide(F.col("s_q").cast("double"), F.col("n_q"))
     out = g.select("machine_id", "machine_name",
                    F.round(avail, 3).alias("avg_availability"),
                    F.round(qual, 3).alias("avg_quality"),

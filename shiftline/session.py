@@ -55,13 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
-    used when present. Only when it is unset (local tests) a scratch folder
-    is created once per application and registered as the SparkContext's
-    checkpoint directory (the config itself cannot be changed at runtime).
+    used when present, else a directory that ``setCheckpointDir`` has set.
+    Only a local master (tests) may have neither: a scratch folder is created
+    once per application and registered as the SparkContext's checkpoint
+    directory. On a cluster that would be the driver's own disk, so it fails.
     """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = sc.applicationId
         if app not in _LOCAL_CKPT:
             _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="shiftline-ckpt-")

@@ -39,24 +39,34 @@ def _typed(c: str, t: T.DataType) -> Column:
         return F.try_to_timestamp(v).cast("date")
     if isinstance(t, T.IntegerType) and c in ("is_weekend", "failure_event"):
         return to_flag(v)
+    if isinstance(t, (T.IntegerType, T.LongType)):
+        # "12.0" and "1e3" are integers too; plain digits never pass through a double.
+        number = v.try_cast("double")
+        return F.coalesce(v.try_cast(t), F.when(number == F.floor(number), number).cast("string").try_cast(
+            "decimal(38,0)").try_cast(t))
     return v.try_cast(t)
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str, keep_order: bool = True) -> DataFrame:
     """Read one star table from CSV and type it to the warehouse schema.
 
-    Columns are matched by header name (a CSV schema would be applied by
-    position), all read as text — no inference — and typed by name, so
-    files may list the columns in any order; a missing column is an error.
+    All columns are read as text — no inference — and typed by name, so files
+    may list the columns in any order; a missing column is an error. A CSV
+    schema goes by position, so every file is checked against the header that
+    is used for all of them: with ``enforceSchema`` off Spark fails on a file
+    whose header differs.
 
     With ``keep_order`` an ``_src_order`` struct (file, block, position) is
     added so ``clean_dim(order_cols=["_src_order"])`` keeps the first row
     in file order; it is only comparable within a read.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    missing = [f.name for f in CSV_TABLES[table].fields if f.name not in raw.columns]
+    reader = spark.read.option("header", True)
+    header = reader.option("inferSchema", False).csv(path).columns
+    missing = [f.name for f in CSV_TABLES[table].fields if f.name not in header]
     if missing:
         raise ValueError(f"{path}: missing columns {missing}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = reader.schema(text).option("enforceSchema", False).csv(path)
     target = TABLES[table]
     cols = []
     for f in target.fields:

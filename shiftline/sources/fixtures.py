@@ -37,6 +37,12 @@ def _cents(c) -> F.Column:
     return F.round(F.col(c) * 100)
 
 
+# record_id (order key × 8 + line number) repeats in the driver's data, so a
+# slot's first row is the smallest full tuple: a total order but for equal rows.
+SLOT_ORDER = ["record_id", "product_id", "downtime_minutes", "energy_consumed_kwh", "planned_qty",
+              "plant_id", "produced_qty", "defective_qty", "failure_event", "machine_wear_index"]
+
+
 @dataclass
 class RawStar:
     """Dimensions and raw (uncleaned) facts as produced by the source system."""
@@ -47,6 +53,7 @@ class RawStar:
     dim_date: DataFrame
     raw_production: DataFrame
     raw_maintenance: DataFrame
+    slot_order: list[str] | None = None
 
 
 def raw_dim_plant(spark, sf_dir) -> DataFrame:
@@ -93,14 +100,13 @@ def raw_dim_date(spark, sf_dir) -> DataFrame:
 
 
 def raw_production(spark, sf_dir) -> DataFrame:
-    """One row per (machine, date, shift): the source grain. Where several
-    line items land on one slot the smallest (record_id, product_id, …) row
-    is kept."""
+    """One row per line item. Several may land on one (machine, date, shift)
+    slot; validation keeps the first by ``SLOT_ORDER`` and rejects the rest."""
     li = _read(spark, sf_dir, "lineitem")
     s = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     tax = _cents("l_tax")
-    rows = (li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == n.n_nationkey)
+    return (li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == n.n_nationkey)
             .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("record_id"),
                     date_key("l_shipdate").alias("date_id"),
                     _plant_id("n_regionkey").alias("plant_id"),
@@ -119,15 +125,6 @@ def raw_production(spark, sf_dir) -> DataFrame:
                     F.when((F.col("l_returnflag") == "R") & (tax == 8), 1).otherwise(0)
                     .alias("failure_event"),
                     (_cents("l_discount") / 100 * 8).alias("machine_wear_index")))
-    # record_id (order key × 8 + line number) repeats in the driver's data,
-    # so the survivor is the smallest full tuple: record_id first, then every
-    # other column, a total order. min(struct) is map-side combined, so a
-    # crowded slot collapses early.
-    grain = ["machine_id", "date_id", "shift_id"]
-    order = ["record_id", "product_id", "downtime_minutes", "energy_consumed_kwh", "planned_qty",
-             "plant_id", "produced_qty", "defective_qty", "failure_event", "machine_wear_index"]
-    first = rows.groupBy(*grain).agg(F.min(F.struct(*order)).alias("r"))
-    return first.select(*[F.col(c) if c in grain else F.col(f"r.{c}").alias(c) for c in rows.columns])
 
 
 def raw_maintenance(spark, sf_dir) -> DataFrame:
@@ -152,4 +149,5 @@ def load_raw(spark: SparkSession, sf_dir: str) -> RawStar:
         dim_date=raw_dim_date(spark, sf_dir),
         raw_production=raw_production(spark, sf_dir),
         raw_maintenance=raw_maintenance(spark, sf_dir),
+        slot_order=SLOT_ORDER,
     )

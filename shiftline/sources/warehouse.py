@@ -64,33 +64,28 @@ def write_star(star: Star, path: str, fact_files: int | None = None) -> None:
     _concurrently([lambda n=name: _write_fact(getattr(star, n), n, base, fact_files) for name in FACTS])
 
 
-def load_raw_star(raw, path: str, fact_files: int | None = None, broadcast_rows: int | None = None,
+def load_raw_star(raw, path: str, fact_files: int | None = None,
                   dim_order: dict[str, list[str]] | None = None) -> Star:
     """E1 at scale: clean and write the dimensions, then validate the raw
     facts against the dimensions *read back from the warehouse* and write
-    them. Dimensions are computed once, their size probes run on files,
-    and the fact plans start from the written dimension tables."""
+    them. Dimensions are computed once and the fact plans start from the
+    written dimension tables, whose file sizes the planner knows."""
     from shiftline.operators import cleaning
     from shiftline.operators.star import clean_dims
     spark = raw.raw_production.sparkSession
     base = path.rstrip("/")
-    kw = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
     _write_dims(clean_dims(raw, dim_order), base)
     dims = {n: spark.read.parquet(f"{base}/{n}") for n in DIMS}
-    probe = Star(**dims, fact_production=None, fact_maintenance=None, **kw)
-    small = probe.small_dims()
-    prod = cleaning.clean_production(raw.raw_production, dims, small)
-    maint = cleaning.clean_maintenance(raw.raw_maintenance, dims, small)
+    prod = cleaning.clean_production(raw.raw_production, dims, getattr(raw, "slot_order", None))
+    maint = cleaning.clean_maintenance(raw.raw_maintenance, dims)
     _concurrently([lambda: _write_fact(prod, "fact_production", base, fact_files),
                    lambda: _write_fact(maint, "fact_maintenance", base, fact_files)])
-    return read_star(spark, base, broadcast_rows)
+    return read_star(spark, base)
 
 
-def read_star(spark: SparkSession, path: str, broadcast_rows: int | None = None) -> Star:
+def read_star(spark: SparkSession, path: str) -> Star:
     base = path.rstrip("/")
-    t = {n: spark.read.parquet(f"{base}/{n}") for n in DIMS + FACTS}
-    kw = {} if broadcast_rows is None else {"broadcast_rows": broadcast_rows}
-    return Star(**t, **kw)
+    return Star(**{n: spark.read.parquet(f"{base}/{n}") for n in DIMS + FACTS})
 
 
 def full_refresh(star: Star, path: str, fact_files: int | None = None) -> DataFrame:

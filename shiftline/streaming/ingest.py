@@ -45,14 +45,11 @@ def fact_stream(spark: SparkSession, source_dir: str, table: str = "fact_product
 def start_validated_ingest(spark: SparkSession, source_dir: str, dims: dict[str, DataFrame],
                            sink_dir: str, checkpoint: str, available_now: bool = True,
                            max_files_per_trigger: int | None = None,
-                           small: dict[str, bool] | None = None,
                            table: str = "fact_production") -> StreamingQuery:
     """Start the stream for ``table``; ``sink_dir/clean`` gets loadable rows,
-    ``sink_dir/rejects`` gets (table_name, status, n_rows, batch_id).
-    ``small`` names dimensions proven small enough to broadcast
-    (see ``Star.small_dims``)."""
+    ``sink_dir/rejects`` gets (table_name, status, n_rows, batch_id)."""
     flag, finish = _RULES[table]
-    flagged = flag(fact_stream(spark, source_dir, table, max_files_per_trigger), dims, small)
+    flagged = flag(fact_stream(spark, source_dir, table, max_files_per_trigger), dims)
     schema = TABLES[table]
     base = sink_dir.rstrip("/")
 

@@ -20,6 +20,16 @@ def spark():
     s.stop()
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """The planner broadcasts nothing: every dimension counts as large."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="shiftline-test-")

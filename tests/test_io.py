@@ -41,12 +41,14 @@ def test_streaming_ingest_matches_batch_rules(spark, tmp_dir):
     from shiftline.streaming.ingest import start_validated_ingest
     st = fixture_star(spark, SF_SMALL)
     src = os.path.join(tmp_dir, "landing")
-    from shiftline.sources.fixtures import raw_production
+    from shiftline.sources.fixtures import SLOT_ORDER, raw_production
     rp = raw_production(spark, SF_SMALL)
+    late = cleaning.later_in_slot(rp, cleaning.PRODUCTION_GRAIN, SLOT_ORDER)
+    rp = rp.withColumn("late", late).where("not late").drop("late")
     rp.withColumn("failure_event", F.when(F.col("failure_event") == 1, "True").otherwise("False")) \
       .coalesce(2).write.option("header", True).csv(src)
     q = start_validated_ingest(spark, src, st.dims(), os.path.join(tmp_dir, "sink"),
-                               os.path.join(tmp_dir, "ckpt"), small=st.small_dims())
+                               os.path.join(tmp_dir, "ckpt"))
     q.awaitTermination(300)
     clean = spark.read.parquet(os.path.join(tmp_dir, "sink", "clean"))
     assert clean.count() == st.fact_production.count()
@@ -59,14 +61,14 @@ def test_streaming_ingest_matches_batch_rules(spark, tmp_dir):
 
 def test_assert_constraints_raises_on_duplicates(spark):
     st = fixture_star(spark, SF_SMALL)
-    report = cleaning.constraint_report(st.tables(), st.small_dims())
+    report = cleaning.constraint_report(st.tables())
     with pytest.raises(cleaning.ConstraintViolation, match="fact_production.pk_duplicate"):
         cleaning.assert_constraints(report)       # record_id is not unique in the fixture (K8)
 
 
 def test_maintenance_filters_plant_only_vs_synced(spark):
     st = fixture_star(spark, SF_SMALL)
-    m = db.filtered_maintenance(st).join(st.dim_machine.select("machine_id", "machine_type"), "machine_id")
+    m = st.maintenance_wide().join(st.dim_machine.select("machine_id", "machine_type"), "machine_id")
     first = m.orderBy("maintenance_id").first()
     plant, mtype = first.plant_name, first.machine_type
     all_types = db.filtered_maintenance(st, plants=[plant]).count()
@@ -85,7 +87,7 @@ def test_streaming_maintenance_ingest(spark, tmp_dir):
     src = os.path.join(tmp_dir, "landing_m")
     raw_maintenance(spark, SF_SMALL).repartition(3).write.option("header", True).csv(src)
     q = start_validated_ingest(spark, src, st.dims(), os.path.join(tmp_dir, "sink_m"),
-                               os.path.join(tmp_dir, "ckpt_m"), small=st.small_dims(),
+                               os.path.join(tmp_dir, "ckpt_m"),
                                table="fact_maintenance", max_files_per_trigger=1)
     q.awaitTermination(300)
     clean = spark.read.parquet(os.path.join(tmp_dir, "sink_m", "clean")).drop("batch_id")

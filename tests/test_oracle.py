@@ -33,7 +33,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - set(E.LLM_QUERIES)))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
@@ -44,7 +44,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle_unless_model_based():
-    assert set(E.queries()) - set(E.oracle_sql()) == SLOW
+    assert set(E.queries()) - set(E.oracle_sql()) - set(E.LLM_QUERIES) == SLOW
 
 
 def test_entry_smoke(spark):
@@ -57,7 +57,8 @@ def test_grain_dedupe_matches_oracle_where_record_ids_repeat(spark):
     """record_id repeats inside a slot only at sf0.1: the survivor must be
     chosen by the full total order, as the oracle does."""
     from shiftline.oracle.prefix import PREFIX
-    from shiftline.sources.fixtures import raw_production
+    from shiftline.operators.cleaning import PRODUCTION_GRAIN, later_in_slot
+    from shiftline.sources.fixtures import SLOT_ORDER, raw_production
     sf = "/root/testdata/sf0.1"
     con = duckdb.connect()
     for t in ["supplier", "nation", "lineitem"]:
@@ -65,7 +66,8 @@ def test_grain_dedupe_matches_oracle_where_record_ids_repeat(spark):
     want = con.execute(PREFIX + """
         SELECT count(*), sum(record_id), count(DISTINCT product_id || '|' || record_id)
         FROM raw_production""").fetchone()
-    df = raw_production(spark, sf)
+    raw = raw_production(spark, sf)
+    df = raw.withColumn("late", later_in_slot(raw, PRODUCTION_GRAIN, SLOT_ORDER)).where("not late")
     got = df.selectExpr("count(*)", "sum(record_id)",
                         "count(DISTINCT concat(product_id, '|', record_id))").first()
     assert tuple(got) == tuple(want)
