@@ -126,15 +126,16 @@ def estimates(sketches: np.ndarray, one: int) -> np.ndarray:
 
 
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest, bands of every row; the last two null for an empty set."""
-    def row(doc_id, text):
+    """doc_id, text_hash, n_shingles, digest, bands of every row; the last two null for an empty set."""
+    def row(doc_id, text_hash, text):
         shingles = shingle_set(text)
         if not len(shingles):
-            return doc_id, 0, None, None
-        return (doc_id, len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()),
+            return doc_id, text_hash, 0, None, None
+        return (doc_id, text_hash, len(shingles), xxhash.xxh3_128_digest(shingles.tobytes()),
                 band_keys(registers(shingles)).view(np.int64))
-    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), row,
-                    "doc_id long, n_shingles long, digest binary, bands array<long>")
+    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                                F.xxhash64("text").alias("text_hash"), "text"), row,
+                    "doc_id long, text_hash long, n_shingles long, digest binary, bands array<long>")
 
 
 def candidate_components(classes: DataFrame) -> DataFrame:
@@ -239,6 +240,10 @@ def _links(group: list[tuple], within: bool) -> list[tuple[int, int]]:
 
 def link(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+    return _linked(docs).drop("text_hash")
+
+
+def _linked(docs: DataFrame) -> DataFrame:
     sketched = written(sketch_documents(docs), "sketches")
     classes = written(sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
@@ -268,8 +273,8 @@ def link(docs: DataFrame) -> DataFrame:
         groups = components(links)
     ids = classes.select("digest", "node").join(groups, "node", "left").select(
         "digest", F.coalesce("label", "node").alias("component"))
-    return sketched.select("doc_id", "n_shingles", "digest").join(ids, "digest", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
+    return sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(ids, "digest", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -303,10 +308,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows that share that id, or have none, one for each id or text stays.
     """
-    dropped = written(link(docs).where(~F.col("kept")).select("doc_id").distinct(), "dropped")
+    dropped = written(_linked(docs).where(~F.col("kept")).select(
+        "doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("text_hash")).distinct(), "dropped")
     few = dropped.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(dropped) if few else dropped,
-                     docs["doc_id"] == dropped["doc_id"], "left_anti")
+    ids = dropped.where(F.col("doc_id").isNotNull())
+    left = docs.join(F.broadcast(ids) if few else ids, docs["doc_id"] == ids["doc_id"], "left_anti")
+    nameless = dropped.where(F.col("doc_id").isNull())
+    if not nameless.isEmpty():                      # rows without an id go by their text
+        left = left.join(F.broadcast(nameless) if few else nameless, docs["doc_id"].isNull() & (
+            F.xxhash64(docs["text"]) == nameless["text_hash"]), "left_anti")
     repeated = written(left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(
         (F.col("n") > 1) | F.col("doc_id").isNull()).select("doc_id"), "repeated")
     if repeated.isEmpty():
