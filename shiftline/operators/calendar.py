@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import date_key, day_name, key_to_date, weekend_flag
@@ -63,3 +63,30 @@ def missing_slots(prod: DataFrame, dim_shift: DataFrame, entity: str = "machine_
     have = F.coalesce(F.col("_have"), F.array().cast("array<string>"))
     return days.select(entity, "date_id",
                        F.explode(F.array_except(_shift_list(dim_shift), have)).alias("shift_id"))
+
+
+def missing_slot_runs(prod: DataFrame, machines: DataFrame, dim_shift: DataFrame,
+                      entity: str = "machine_id") -> DataFrame:
+    """J9 as intervals: every run of consecutive missing slots of each machine.
+
+    A slot's number is day × shifts + shift, over the fact's first to last
+    day. The slots in use, each once, are bounded by the calendar; a run is
+    the space between two of them, or between one and an end of the calendar,
+    so there are at most (slots in use + machines) rows. A machine without
+    production is missing throughout. Columns: entity, first_slot,
+    last_slot (date_id and shift_id joined by a blank), n_slots.
+    """
+    shifts = _shift_list(dim_shift)
+    span = prod.agg(key_to_date(F.min("date_id")).alias("lo"), key_to_date(F.max("date_id")).alias("hi"))
+    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    n = F.size(shifts)
+    number = F.datediff(key_to_date("date_id"), lo) * n + F.array_position(shifts, F.col("shift_id")) - 1
+    used = prod.select(entity, number.cast("bigint").alias("at")).distinct()
+    ends = machines.select(entity).distinct().select(entity, F.explode(F.array(
+        F.lit(-1).cast("bigint"), ((F.datediff(hi, lo) + 1) * n).cast("bigint"))).alias("at"))
+    along = Window.partitionBy(entity).orderBy("at")
+    gaps = used.unionByName(ends).withColumn("next", F.lead("at").over(along)).where(F.col("next") - F.col("at") > 1)
+    slot = lambda at: F.concat_ws(" ", date_key(F.date_add(lo, F.floor(at / n).cast("int"))),
+                                  F.get(shifts, F.pmod(at, n).cast("int")))
+    return gaps.select(entity, slot(F.col("at") + 1).alias("first_slot"), slot(F.col("next") - 1).alias("last_slot"),
+                       (F.col("next") - F.col("at") - 1).alias("n_slots"))

@@ -23,6 +23,7 @@ dim_shift AS (
   SELECT * FROM (VALUES ('S1', 'Morning', '06:00', '14:00'),
                         ('S2', 'Afternoon', '14:00', '22:00'),
                         ('S3', 'Night', '22:00', '06:00')) t(shift_id, shift_name, start_time, end_time)
+  WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_linenumber <> 7 AND 'S' || (l_linenumber % 3 + 1) = shift_id)
 ),
 dim_product AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
@@ -37,7 +38,8 @@ dim_date AS (
   FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
 ),
 prod_rows AS (
-  SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS record_id,
+  SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) * 100000000
+           + CAST(round(l_extendedprice * 100) AS BIGINT) AS record_id,
          strftime(l_shipdate, '%Y%m%d') AS date_id,
          'P' || lpad(CAST(n_regionkey + 1 AS VARCHAR), 2, '0') AS plant_id,
          'M' || lpad(CAST(l_suppkey + 1 AS VARCHAR), 6, '0') AS machine_id,

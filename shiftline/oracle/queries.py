@@ -493,3 +493,81 @@ BODIES["sliced_top_maintenance_events"] = f"""
 SELECT maintenance_id, machine_name, plant_name, maintenance_type, duration_minutes, cost_inr, technician_team
 FROM {_SLICED} ORDER BY cost_inr DESC, maintenance_id LIMIT 20
 """
+
+# ----------------------------------------------------------------------------- CSV path
+BODIES["csv_products"] = """
+SELECT product_id, product_name, category, uom FROM dim_product WHERE CAST(product_id AS BIGINT) % 40 <> 0
+UNION ALL
+SELECT product_id, product_name || ' (again)', category, uom FROM dim_product
+WHERE CAST(product_id AS BIGINT) % 40 = 0 AND CAST(product_id AS BIGINT) % 7 = 0
+"""
+
+_CSV = """
+, dirty AS (
+  SELECT * REPLACE (
+    CASE WHEN record_id % 11 = 0 THEN NULL ELSE downtime_minutes END AS downtime_minutes,
+    defective_qty + CASE WHEN record_id % 3 = 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS defective_qty,
+    CASE WHEN record_id % 5 = 0 THEN defective_qty - 0.4::DOUBLE ELSE produced_qty END AS produced_qty,
+    CASE WHEN record_id % 13 = 0 THEN NULL ELSE failure_event END AS failure_event)
+  FROM prod_rows),
+judged AS (
+  SELECT d.*, CASE
+    WHEN NOT EXISTS (SELECT 1 FROM dim_plant x WHERE x.plant_id = d.plant_id) THEN 'orphan_plant'
+    WHEN NOT EXISTS (SELECT 1 FROM dim_machine x WHERE x.machine_id = d.machine_id) THEN 'orphan_machine'
+    WHEN NOT EXISTS (SELECT 1 FROM dim_shift x WHERE x.shift_id = d.shift_id) THEN 'orphan_shift'
+    WHEN NOT EXISTS (SELECT 1 FROM dim_product x WHERE x.product_id = d.product_id) THEN 'orphan_product'
+    WHEN NOT EXISTS (SELECT 1 FROM dim_date x WHERE x.date_id = d.date_id) THEN 'orphan_date'
+    WHEN produced_qty < 0 THEN 'negative_produced' WHEN defective_qty < 0 THEN 'negative_defective'
+    WHEN downtime_minutes IS NULL OR downtime_minutes < 0 OR downtime_minutes > 480 THEN 'downtime_out_of_range'
+    WHEN energy_consumed_kwh < 0 THEN 'negative_energy' WHEN failure_event IS NULL THEN 'missing_failure_flag'
+    ELSE 'kept' END AS status FROM dirty d)
+"""
+
+BODIES["csv_production"] = _CSV + """
+SELECT record_id, machine_id, date_id, shift_id, produced_qty,
+       CAST(round_even(least(defective_qty, produced_qty), 0) AS INTEGER) AS defective_qty,
+       downtime_minutes, failure_event
+FROM judged WHERE status = 'kept'
+"""
+
+BODIES["csv_production_rejects"] = _CSV + """
+SELECT 'fact_production' AS table_name, status, count(*) AS n_rows FROM judged GROUP BY status
+"""
+
+BODIES["missing_slot_runs"] = """
+, bounds AS (SELECT strptime(min(date_id), '%Y%m%d') AS lo, strptime(max(date_id), '%Y%m%d') AS hi FROM fact_production),
+slots AS (
+  SELECT strftime(d, '%Y%m%d') || ' ' || shift_id AS slot, row_number() OVER (ORDER BY d, shift_id) AS n
+  FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM bounds), dim_shift),
+missing AS (
+  SELECT machine_id, slot, n, n - row_number() OVER (PARTITION BY machine_id ORDER BY n) AS island
+  FROM (SELECT machine_id, slot, n FROM dim_machine, slots) e
+  WHERE NOT EXISTS (SELECT 1 FROM fact_production f
+                    WHERE f.machine_id = e.machine_id AND f.date_id || ' ' || f.shift_id = e.slot))
+SELECT machine_id, min(slot) AS first_slot, max(slot) AS last_slot, count(*) AS n_slots
+FROM missing GROUP BY machine_id, island
+"""
+
+# ----------------------------------------------------------------------------- importance of a fixed rule
+_RULE = "CAST({w} >= 0.5 OR ({d} >= 200 AND {q} >= 25) AS INTEGER) = y"
+_IMPORTANCE = _FEAT + f"""
+, t AS (
+  SELECT failure_event AS y, prior_wear AS w, prior_downtime_avg3 AS d, planned_qty AS q,
+         concat_ws('|', machine_id, date_id, shift_id) AS id FROM split WHERE is_test = 1),
+placed AS (SELECT *, row_number() OVER (ORDER BY md5('42|' || id)) AS pos FROM t),
+given AS (
+  SELECT f, r, CASE f WHEN 'prior_wear' THEN w WHEN 'prior_downtime_avg3' THEN d ELSE q END AS v,
+         row_number() OVER (PARTITION BY f, r ORDER BY md5('42|' || r || '|' || f || '|' || id)) AS pos
+  FROM t, (SELECT unnest(['prior_wear', 'prior_downtime_avg3', 'planned_qty']) AS f), (SELECT unnest(range(5)) AS r)),
+scored AS (
+  SELECT f, r, avg(CASE WHEN {_RULE.format(w="CASE f WHEN 'prior_wear' THEN v ELSE w END",
+                                            d="CASE f WHEN 'prior_downtime_avg3' THEN v ELSE d END",
+                                            q="CASE f WHEN 'planned_qty' THEN v ELSE q END")}
+                        THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS m
+  FROM given JOIN placed USING (pos) GROUP BY f, r)
+SELECT f AS feature, round(avg(b - m), 9) AS importance_mean, round(stddev_pop(b - m), 9) AS importance_std
+FROM scored, (SELECT avg(CASE WHEN {_RULE.format(w='w', d='d', q='q')} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS b FROM t)
+GROUP BY f
+"""
+BODIES["rule_permutation_importance"] = _IMPORTANCE
+BODIES["rule_top_features"] = _IMPORTANCE + " ORDER BY importance_mean DESC, feature LIMIT 2"

@@ -28,5 +28,10 @@ def calendar_dim(star: Star) -> DataFrame:
     return calendar.calendar_dim(b)
 
 
+def missing_slot_runs(star: Star) -> DataFrame:
+    """J9 over the full calendar and all machines, idle ones too, as intervals."""
+    return calendar.missing_slot_runs(star.fact_production, star.dim_machine, star.dim_shift)
+
+
 def missing_slots(star: Star) -> DataFrame:
     return calendar.missing_slots(star.fact_production, star.dim_shift)

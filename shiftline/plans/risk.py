@@ -204,50 +204,60 @@ def _metric(name: str) -> F.Column:
 
 def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEED,
                            features: list[str] | None = None, metric: str = "accuracy") -> DataFrame:
-    """M9: mean and std of the drop in ``metric`` (accuracy by default;
-    also precision / recall / f1 of the failure class) when one feature
-    column is shuffled across the test rows, per feature over ``repeats``
-    shuffles.
-
-    Each repeat draws its own random order of the test rows (digest
-    positions, one pass over ``repeats × n`` narrow rows). In repeat r,
-    feature f takes its value from the row ``shift(f, r)`` places later in
-    that order (cyclically). The shifts are seeded, so every (f, r) pairs
-    rows differently. All feature × repeat copies are scored in one job;
-    donor values come from one equi-join on (repeat, position).
-    """
-    features = features or fitted.features
-    spark = fitted.test.sparkSession
-    # The model reads every column; only the chosen ones are shuffled.
+    """M9 of the fitted model on its test rows; see ``importance``."""
     test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in fitted.features])
-    n = test.select(F.count(F.lit(1))).scalar()
-    base = score(fitted, test).agg(_metric(metric).alias("b"))
+    return importance(test, lambda df: score(fitted, df), features or fitted.features, repeats, seed, metric)
+
 
+def importance(test: DataFrame, predict, features: list[str], repeats: int = 5, seed: int = SEED,
+               metric: str = "accuracy") -> DataFrame:
+    """M9: mean and std of the drop in ``metric`` (accuracy by default; also
+    precision / recall / f1 of class 1) when one feature is shuffled across
+    the test rows, per feature over ``repeats`` shuffles.
+
+    Every (feature, repeat) has an order of its own: the value of the row at
+    place p of that order (md5 of seed, repeat, feature and keys) goes to the
+    row at place p of the plain order (md5 of seed and keys). Places are
+    found and joined on narrow rows (repeat, feature, value); the wide test
+    rows are shuffled once, and multiplied only after that join.
+    """
+    at = {f: k for k, f in enumerate(features)}
+    types = dict(test.dtypes)
     row = F.concat_ws("|", *KEYS)
-    rep = test.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
-    rep = rep.withColumn("_k", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("repeat").cast("string"), row)))
-    rep = ranking.positions(rep, "_k", ["repeat"], out="_pos").drop("_k")
-
-    names = spark.createDataFrame([(i, f) for i, f in enumerate(features)], "fi int, feature string")
-    shift = F.when(n > 1, F.pmod(F.xxhash64(F.lit(seed), F.col("repeat"), F.col("feature")), n - 1) + 1
-                   ).otherwise(F.lit(0))
-    plan = F.explode(F.array(*[F.struct(F.lit(i).alias("fi"), F.lit(f).alias("feature"))
-                               for i, f in enumerate(features)]))
-    copies = rep.select("*", plan.alias("_c")).select("*", "_c.fi", "_c.feature").drop("_c")
-    copies = copies.withColumn("_dpos", F.pmod(F.col("_pos") - 1 + shift, F.greatest(n, F.lit(1))) + 1)
-
-    donors = rep.select("repeat", F.col("_pos").alias("_dpos"),
-                        *[F.col(f"`{f}`").alias(f"_d{i}") for i, f in enumerate(features)])
-    shuffled = copies.join(donors, ["repeat", "_dpos"])
-    for i, f in enumerate(features):
-        shuffled = shuffled.withColumn(f, F.when(F.col("fi") == i, F.col(f"_d{i}")).otherwise(F.col(f"`{f}`")))
-    scored = score(fitted, shuffled.select(*KEYS, LABEL, "repeat", "feature",
-                                           *[F.col(f"`{f}`") for f in fitted.features]))
-    per = scored.groupBy("feature", "repeat").agg(_metric(metric).alias("m"))
-    drop = per.select("feature", (base.scalar() - F.col("m")).alias("d"))
-    out = drop.groupBy("feature").agg(F.avg("d").alias("importance_mean"),
-                                      F.stddev_pop("d").alias("importance_std"))
-    return out.join(names, "feature").orderBy("fi").drop("fi")
+    base = predict(test).agg(_metric(metric).alias("b"))
+    placed = ranking.positions(test.withColumn("_k", F.md5(F.concat_ws("|", F.lit(str(seed)), row))),
+                               "_k", [], out="_pos").drop("_k")
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("fi"), F.col(f"`{f}`").cast("double").alias("v"))
+                                for f, k in at.items()]))
+    names = F.array(*[F.lit(f) for f in features])
+    given = (test.select(row.alias("_row"), cells.alias("_c"))
+             .select("_row", "_c.*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat"))
+             .select("fi", "repeat", "v", F.md5(F.concat_ws(
+                 "|", F.lit(str(seed)), F.col("repeat").cast("string"), F.get(names, F.col("fi")), "_row")).alias("_k")))
+    given = ranking.positions(given, "_k", ["fi", "repeat"], out="_pos").drop("_k")
+    shuffled = given.join(placed, "_pos")
+    for f, k in at.items():
+        shuffled = shuffled.withColumn(f, F.when(F.col("fi") == k, F.col("v").cast(types[f])).otherwise(F.col(f"`{f}`")))
+    per = predict(shuffled.drop("v", "_pos")).groupBy("fi", "repeat").agg(_metric(metric).alias("m"))
+    drop = per.select("fi", (base.scalar() - F.col("m")).alias("d"))
+    out = drop.groupBy("fi").agg(F.avg("d").alias("importance_mean"), F.stddev_pop("d").alias("importance_std"))
+    return out.select(F.get(names, F.col("fi")).alias("feature"), "importance_mean", "importance_std", "fi").orderBy(
+        "fi").drop("fi")
+
+
+RULE_FEATURES = ["prior_wear", "prior_downtime_avg3", "planned_qty"]
+
+
+def rule_importance(star: Star) -> DataFrame:
+    """M9 of the fixed rule: wear, or a long mean downtime on a large plan, predicts a failure."""
+    test = split(failure_features(star)).where(F.col("is_test") == 1).select(*KEYS, LABEL, *RULE_FEATURES)
+    rule = (F.col("prior_wear") >= 0.5) | ((F.col("prior_downtime_avg3") >= 200) & (F.col("planned_qty") >= 25))
+    return importance(test, lambda df: df.withColumn("prediction", rule.cast("int")), RULE_FEATURES)
+
+
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
+    """Means of a few doubles differ in their last bits by the order of addition."""
+    return df.select("feature", *[F.round(c, digits).alias(c) for c in ("importance_mean", "importance_std")])
 
 
 def top_features(importance: DataFrame, k: int = 10) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import date_key, day_name, padded_id, weekend_flag
-from shiftline.sources.literals import dim_shift
+from shiftline.sources.literals import SHIFTS
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,8 +37,13 @@ def _cents(c) -> F.Column:
     return F.round(F.col(c) * 100)
 
 
-# record_id (order key × 8 + line number) repeats in the driver's data, so a
-# slot's first row is the smallest full tuple: a total order but for equal rows.
+def _record_id() -> F.Column:
+    """Order and line repeat in the driver's tables; with the price they are unique."""
+    line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    return (line.cast("bigint") * 100_000_000 + _cents("l_extendedprice").cast("bigint")).cast("bigint")
+
+
+# A slot's first row is the smallest full tuple: a total order but for equal rows.
 SLOT_ORDER = ["record_id", "product_id", "downtime_minutes", "energy_consumed_kwh", "planned_qty",
               "plant_id", "produced_qty", "defective_qty", "failure_event", "machine_wear_index"]
 
@@ -81,6 +86,20 @@ def raw_dim_machine(spark, sf_dir) -> DataFrame:
                     ((F.lit(29) + k % 64).cast("double") / 10).alias("base_energy_kwh_per_hour")))
 
 
+def _shift_id() -> F.Column:
+    return (F.when(F.col("l_linenumber") == 7, F.lit("S4"))
+            .otherwise(F.concat(F.lit("S"), (F.col("l_linenumber") % 3 + 1).cast("string"))))
+
+
+def raw_dim_shift(spark, sf_dir) -> DataFrame:
+    """The shifts that occur in the line items and have a name: S1 to S3."""
+    used = _read(spark, sf_dir, "lineitem").select(_shift_id().alias("shift_id")).distinct()
+    columns = ["shift_name", "start_time", "end_time"]
+    named = [F.create_map(*[F.lit(v) for s in SHIFTS for v in (s[0], s[k])])[F.col("shift_id")].alias(c)
+             for k, c in enumerate(columns, 1)]
+    return used.where(F.col("shift_id").isin([s[0] for s in SHIFTS])).select("shift_id", *named)
+
+
 def raw_dim_product(spark, sf_dir) -> DataFrame:
     p = _read(spark, sf_dir, "part").where(F.col("p_size") <= 48)
     return p.select(F.col("p_partkey").cast("string").alias("product_id"),
@@ -107,13 +126,11 @@ def raw_production(spark, sf_dir) -> DataFrame:
     n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     tax = _cents("l_tax")
     return (li.join(s, li.l_suppkey == s.s_suppkey).join(n, F.col("s_nationkey") == n.n_nationkey)
-            .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("record_id"),
+            .select(_record_id().alias("record_id"),
                     date_key("l_shipdate").alias("date_id"),
                     _plant_id("n_regionkey").alias("plant_id"),
                     _machine_id(F.col("l_suppkey")).alias("machine_id"),
-                    F.when(F.col("l_linenumber") == 7, F.lit("S4"))
-                    .otherwise(F.concat(F.lit("S"), (F.col("l_linenumber") % 3 + 1).cast("string")))
-                    .alias("shift_id"),
+                    _shift_id().alias("shift_id"),
                     F.col("l_partkey").cast("string").alias("product_id"),
                     F.col("l_quantity").alias("planned_qty"),
                     (F.col("l_quantity") - 2).alias("produced_qty"),
@@ -144,7 +161,7 @@ def load_raw(spark: SparkSession, sf_dir: str) -> RawStar:
     return RawStar(
         dim_plant=raw_dim_plant(spark, sf_dir),
         dim_machine=raw_dim_machine(spark, sf_dir),
-        dim_shift=dim_shift(spark),
+        dim_shift=raw_dim_shift(spark, sf_dir),
         dim_product=raw_dim_product(spark, sf_dir),
         dim_date=raw_dim_date(spark, sf_dir),
         raw_production=raw_production(spark, sf_dir),

@@ -46,3 +46,13 @@ def test_auc_of_many_rows_does_not_overflow(spark):
                                         ([3] + [4] * 10, 11)])
 def test_fit_stops_after_ten_rounds_without_gain(losses, at):
     assert risk.stop_round([float(x) for x in losses], 10, 1e-7) == at
+
+
+def test_importance_of_some_features(spark):
+    rows = [(f"M{k}", "20250101", "S1", int(k % 3 == 0), float(k % 3 == 0), float(k)) for k in range(300)]
+    df = spark.createDataFrame(rows, "machine_id string, date_id string, shift_id string, failure_event int, a double, b double")
+    got = risk.importance(df, lambda d: d.withColumn("prediction", (F.col("a") > 0.5).cast("int")), ["b", "a"], 3).collect()
+    assert [r.feature for r in got] == ["b", "a"]
+    assert got[0].importance_mean == 0.0 and 0.3 < got[1].importance_mean < 0.6
+    only = risk.importance(df, lambda d: d.withColumn("prediction", (F.col("a") > 0.5).cast("int")), ["a"], 3).collect()
+    assert only[0].importance_mean == got[1].importance_mean

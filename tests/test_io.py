@@ -1,5 +1,6 @@
 """Model persistence (S7), the streaming ingest and the fail-fast constraint check."""
 
+import dataclasses
 import os
 
 import pytest
@@ -59,11 +60,32 @@ def test_streaming_ingest_matches_batch_rules(spark, tmp_dir):
     assert got.isEmpty()
 
 
-def test_assert_constraints_raises_on_duplicates(spark):
-    st = fixture_star(spark, SF_SMALL)
-    report = cleaning.constraint_report(st.tables())
+def test_load_refuses_repeated_keys_and_publishes_nothing(spark, tmp_dir):
+    from shiftline.sources import warehouse
+    from shiftline.sources.fixtures import load_raw
+    raw = load_raw(spark, SF_SMALL)
+    good = os.path.join(tmp_dir, "wh")
+    star = warehouse.refresh(raw, good)
+    assert cleaning.constraint_report(star.tables()).where("n_violations > 0").isEmpty()
+    n = star.fact_production.count()
+    assert warehouse.open_star(spark, good).fact_production.count() == n
+    # One record id on two slots: the load stops and the published snapshot stays.
+    twice = raw.raw_production.withColumn("record_id", F.lit(1).cast("bigint"))
+    bad = dataclasses.replace(raw, raw_production=twice)
     with pytest.raises(cleaning.ConstraintViolation, match="fact_production.pk_duplicate"):
-        cleaning.assert_constraints(report)       # record_id is not unique in the fixture (K8)
+        warehouse.refresh(bad, good)
+    assert warehouse.open_star(spark, good).fact_production.count() == n
+    assert warehouse.open_star(spark, os.path.join(tmp_dir, "none")) is None
+
+
+def test_input_version_follows_the_files(spark, tmp_dir):
+    from shiftline.sources import warehouse
+    path = os.path.join(tmp_dir, "t.parquet")
+    spark.range(10).write.parquet(path)
+    before = warehouse.input_version(spark, [path])
+    assert before == warehouse.input_version(spark, [path])
+    spark.range(5).write.mode("append").parquet(path)
+    assert before != warehouse.input_version(spark, [path])
 
 
 def test_maintenance_filters_plant_only_vs_synced(spark):

@@ -100,3 +100,31 @@ def test_fixture_tables_follow_the_warehouse_schemas(spark):
     assert raw.raw_maintenance.columns == TABLES["fact_maintenance"].fieldNames()
     for name in ["dim_plant", "dim_machine", "dim_shift", "dim_product", "dim_date"]:
         assert getattr(raw, name).columns == TABLES[name].fieldNames(), name
+
+
+def test_files_with_other_column_orders_are_refused(spark, tmp_dir):
+    import pytest
+    d = os.path.join(tmp_dir, "swapped")
+    _write(f"{d}/part-0.csv", "plant_id,plant_name,city,state,plant_type\nP01,Alpha,a,b,c\n")
+    _write(f"{d}/part-1.csv", "plant_name,plant_id,city,state,plant_type\nBeta,P02,a,b,c\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv_table(spark, d, "dim_plant").collect()
+
+
+def test_integer_texts(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "ints")
+    head = "date,date_id,year,quarter,month,day,day_of_week,is_weekend\n"
+    _write(f"{d}/part-0.csv", head + "2025-09-01,20250901,2025.0,3,9.5,1e0,Monday,0\n2025-09-02,20250902,x,,NaN,2,Tuesday,true\n")
+    rows = files.read_csv_table(spark, d, "dim_date", keep_order=False).orderBy("date_id").collect()
+    assert [(r.year, r.quarter, r.month, r.day, r.is_weekend) for r in rows] == \
+        [(2025, 3, None, 1, 0), (None, None, None, 2, 1)]
+
+
+def test_missing_slot_runs(spark):
+    prod = spark.createDataFrame([("M1", "20250101", "S1"), ("M1", "20250103", "S2"), ("M2", "20250102", "S1")],
+                                 "machine_id string, date_id string, shift_id string")
+    machines = spark.createDataFrame([("M1",), ("M2",), ("M3",)], "machine_id string")
+    shifts = spark.createDataFrame([("S1",), ("S2",)], "shift_id string")
+    got = sorted(map(tuple, calendar.missing_slot_runs(prod, machines, shifts).collect()))
+    assert got == [("M1", "20250101 S2", "20250103 S1", 4), ("M2", "20250101 S1", "20250101 S2", 2),
+                   ("M2", "20250102 S2", "20250103 S2", 3), ("M3", "20250101 S1", "20250103 S2", 6)]
