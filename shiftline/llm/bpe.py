@@ -13,9 +13,9 @@ out before pre-tokenization and keep their own id.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 a null id list decodes to the empty text; repeated rows give equal rows. A
-word of any length is encoded (only words up to 64 characters are
-remembered, at most 2**20 of them per Python worker). Memory per task is one
-Arrow batch plus the word table.
+word of any length is encoded (only words up to 64 characters that come a
+second time are remembered, at most 2**18 of them per Python worker). Memory
+per task is one Arrow batch plus the word table.
 """
 
 from __future__ import annotations
@@ -52,7 +52,9 @@ PLAIN = "\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ‐-‧€"
 SHIFT = 24
 END = (1 << SHIFT) - 1
 MAX_CACHED_WORD = 64
-MAX_CACHED_WORDS = 1 << 20
+MAX_CACHED_WORDS = 1 << 18
+#: Flags, by a hash of the word, of words that came once.
+FLAGS = 1 << 20
 
 
 def _class(letter: str) -> str:
@@ -101,6 +103,7 @@ class Bpe(dict):
 
     def __init__(self, path: str):
         super().__init__()
+        self.came = bytearray(FLAGS)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab = spec["model"]["vocab"]
@@ -128,8 +131,13 @@ class Bpe(dict):
     def __missing__(self, word: str) -> bytes:
         ids = array("I", self.merge([self.byte_ids[b] for b in word.encode()])).tobytes()
         if len(word) <= MAX_CACHED_WORD:
+            flag = hash(word) % FLAGS
+            if not self.came[flag]:
+                self.came[flag] = 1
+                return ids
             if len(self) >= MAX_CACHED_WORDS:
                 self.clear()
+                self.came = bytearray(FLAGS)
             self[word] = ids
         return ids
 

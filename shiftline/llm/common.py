@@ -35,21 +35,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> DataFrame:
     """Apply ``fn(*row, *args)`` to every row of ``df``, one output row each.
 
-    ``fn`` sees one row at a time, so memory holds one Arrow batch; Spark
-    keeps the partitioning, so nothing is shuffled.
+    ``fn`` sees one row at a time, so memory holds one Arrow batch and the
+    Python values of ``SLICE`` rows; Spark keeps the partitioning, so nothing
+    is shuffled.
     """
     arrow = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [fn(*row, *args) for row in zip(*(c.to_pylist() for c in batch.columns))]
-            columns = zip(*rows) if rows else [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            for part in slices(batch):
+                rows = [fn(*row, *args) for row in rows_of(part)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     return arrow_map(df, run, schema)
 
 
+#: Rows whose Python values are held at once.
+SLICE = 256
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, SLICE):
+        yield batch.slice(start, SLICE)
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch as Python tuples, a slice at a time."""
+    for part in slices(batch):
+        yield from zip(*(c.to_pylist() for c in part.columns))
+
+
 def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool]) -> DataFrame:
     """The rows of ``df`` for whose ``columns`` ``keep`` holds, with all columns as they are."""
     names = df.columns
@@ -57,7 +73,7 @@ def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cells = zip(*(batch.column(k).to_pylist() for k in at))
+            cells = rows_of(batch.select(at))
             yield batch.filter(pa.array([bool(keep(*row)) for row in cells], pa.bool_()))
 
     return arrow_map(df, run, df.schema)

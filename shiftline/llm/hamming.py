@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import arrow_map
+from shiftline.llm.common import arrow_map, rows_of
 
 BITS, SEGMENTS = 64, 4
 WIDTH = BITS // SEGMENTS
@@ -123,7 +123,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, key = [], None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in rows_of(batch):
                 if row[:2] != key:
                     yield from _search_block(group, k + 1)
                     group, key = [], row[:2]

@@ -28,23 +28,26 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import arrow_map, id_bucket, keep_rows, map_rows
+from shiftline.llm.common import arrow_map, id_bucket, keep_rows, map_rows, rows_of
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 CHUNK = 100_000
-MAX_WORDS = 1 << 19
+#: Unseen words whose scores a Python worker keeps, and numbers it keeps for them.
+MAX_WORDS = 1 << 17
+MAX_SCORES = 1 << 22
 
 
 @dataclass(frozen=True)
 class Settings:
     #: Per language: documents learned from, words kept, n-grams kept of each order.
     docs: int = 1500
-    words: int = 20_000
-    grams: int = 10_000
+    words: int = 10_000
+    grams: int = 5_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     #: Rows with crc32(doc_id) modulo ``fold`` equal to ``held`` are never learned from.
     fold: int = 4
@@ -77,7 +80,7 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     def count(batches):
         for batch in batches:
             words: dict[str, Counter] = {}
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for lang, text in rows_of(batch):
                 own, found = words.setdefault(lang, Counter()), words_of(text or "")
                 while part := list(islice(found, CHUNK)):
                     own.update(part)
@@ -102,24 +105,24 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     kept = counts.withColumn("total", F.sum("n").over(by_kind)).withColumn(
         "place", F.row_number().over(by_kind.orderBy(F.col("n").desc(), "gram"))).where(
         F.col("place") <= F.when(F.col("kind") == 0, settings.words).otherwise(settings.grams))
-    rows = kept.select("lang", "kind", "gram", "n", "total").collect()
+    found = kept.select("lang", "kind", "gram", "n", "total").toArrow()
     langs = [lang for lang, _ in shares]
     prior = np.log(np.array([n for _, n in shares], float) / max(1, sum(n for _, n in shares)))
     return {"langs": langs, "prior": prior,
-            "logs": {k: _log_table([r for r in rows if r.kind == k], langs)
+            "logs": {k: _log_table(found.filter(pc.equal(found["kind"], k)), langs)
                      for k in (0, *settings.orders)}}
 
 
-def _log_table(rows: list, langs: list[str]) -> tuple[list[str], np.ndarray]:
+def _log_table(found: pa.Table, langs: list[str]) -> tuple[list[str], np.ndarray]:
     """Sorted keys and each key's log frequency by language, half a count where unseen."""
-    keys = sorted({r.gram for r in rows})
-    at = {g: k for k, g in enumerate(keys)}
+    grams = found["gram"].to_pylist()
+    keys = sorted(set(grams))
+    at, column = {g: k for k, g in enumerate(keys)}, {lang: k for k, lang in enumerate(langs)}
     totals = np.ones(len(langs))
     counts = np.full((len(keys), len(langs)), 0.5)
-    for r in rows:
-        column = langs.index(r.lang)
-        counts[at[r.gram], column] = r.n
-        totals[column] = r.total
+    for lang, gram, n, total in zip(found["lang"].to_pylist(), grams, found["n"].to_pylist(), found["total"].to_pylist()):
+        counts[at[gram], column[lang]] = n
+        totals[column[lang]] = total
     return keys, np.log(counts / (totals + 0.5 * len(keys))).astype(np.float32)
 
 
@@ -139,7 +142,8 @@ class Scorer(dict):
     def reset(self) -> None:
         self.clear()
         self.update(self.known)
-        self.rows = np.zeros((len(self.known) + MAX_WORDS + CHUNK, len(self.langs)), np.float32)
+        self.room = min(MAX_WORDS, MAX_SCORES // max(1, len(self.langs)))
+        self.rows = np.zeros((len(self.known) + self.room + CHUNK, len(self.langs)), np.float32)
         self.rows[: len(self.known)] = self.known_rows
 
     def __missing__(self, word: str) -> int:
@@ -158,7 +162,7 @@ class Scorer(dict):
         found = words_of(text or "")
         total, any_word = self.prior.copy(), False
         while part := list(islice(found, CHUNK)):
-            if len(self) - len(self.known) > MAX_WORDS:
+            if len(self) - len(self.known) > self.room:
                 self.reset()
             any_word = True
             rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))

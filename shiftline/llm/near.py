@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.llm import hashing
-from shiftline.llm.common import arrow_map, arrow_schema, fresh, map_rows, written
+from shiftline.llm.common import arrow_map, arrow_schema, fresh, map_rows, rows_of, written
 from shiftline.llm.graph import components
 
 SHINGLE = 5
@@ -169,7 +169,7 @@ def verified_links(docs: DataFrame, members: DataFrame, n: int, within: bool) ->
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, grp, places, joined, digest, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, grp, places, joined, digest, body in rows_of(batch):
                 shingles = shingle_set(body)
                 if xxhash.xxh3_128_digest(shingles.tobytes()) == digest:
                     rows.append((doc_id, grp, places, joined, shingles.tobytes(), registers(shingles).tobytes()))
@@ -184,7 +184,7 @@ def verified_links(docs: DataFrame, members: DataFrame, n: int, within: bool) ->
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, key = [], None
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            for row in rows_of(batch):
                 if row[:2] != key:
                     yield from _emit(_links(group, within))
                     group, key = [], row[:2]

@@ -126,8 +126,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         F.min("quality").cast("int").alias("label"))
     chosen = usable.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(
         F.xxhash64(F.lit(settings.seed), "doc_id"), "doc_id").limit(settings.sample)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "label", "text").repartition(1).sortWithinPartitions(F.xxhash64("text"), "label", "text")
+    order = [F.xxhash64(F.lit(settings.seed), "doc_id"), "doc_id", F.xxhash64("text")]
+    # The second limit is for ids that stand on many rows.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(*order).limit(
+        settings.sample).select("label", "text").repartition(1).sortWithinPartitions(F.xxhash64("text"), "label", "text")
 
     def run(batches):
         labels, texts = [], []

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.llm import hashing
-from shiftline.llm.common import arrow_map, arrow_schema, map_rows, written
+from shiftline.llm.common import arrow_map, arrow_schema, map_rows, rows_of, written
 
 K = 16
 WINDOW = 16
@@ -160,7 +160,7 @@ def with_next(docs: DataFrame) -> DataFrame:
         head = last = None
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in rows_of(batch):
                 hashes = fingerprint(text)[0]
                 own = hashes, np.unique(hashes)
                 if last is None:
