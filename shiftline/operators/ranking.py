@@ -41,35 +41,35 @@ def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_per
                 out: str = "is_test", latest: bool = False) -> DataFrame:
     """Exact per-class hold-out by an order key: in each label class the
     ``ceil(n·pct/100)`` rows first in ``key`` order (last, with ``latest``)
-    get ``out`` = 1.
+    get ``out`` = 1. Keys must be unique in a class.
 
     ``bucket`` must be an order-preserving prefix of ``key`` (a coarser
-    key). Counts per (class, bucket) — bounded by the bucket domain — decide
-    whole buckets; only the one boundary bucket per class is ranked.
+    key). Counts per (class, bucket) — bounded by the bucket domain — tell
+    the bucket that holds the last held-out key; only that bucket's keys are
+    ranked. Both steps read the key columns alone. Every row is then compared
+    with its class's threshold, one row for each class, so the wide rows are
+    read once and not shuffled.
     """
     # A row without a label has no class to be split in; joins would drop it silently.
     labelled = F.coalesce(F.col(label), F.raise_error(F.lit(f"{label} is null: reject such rows first"))
                           .cast(df.schema[label].dataType))
-    x = df.withColumn(label, labelled).withColumn("_key", key).withColumn("_b", bucket)
-    counts = x.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    x = df.withColumn(label, labelled).withColumn("_key", key)
+    narrow = x.select(label, "_key", bucket.alias("_b"))
+    counts = narrow.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     order_b = F.desc("_b") if latest else F.asc("_b")
     w_cls = Window.partitionBy(label)
     k = F.ceil(F.sum("_n").over(w_cls) * float(test_percent) / 100.0)
     cum = F.sum("_n").over(w_cls.orderBy(order_b).rowsBetween(Window.unboundedPreceding, 0))
-    buckets = counts.select(label, "_b", "_n", cum.alias("_cum"), k.alias("_k"))
-    buckets = buckets.select(label, "_b", (F.col("_cum") - F.col("_n")).alias("_before"), "_cum", "_k")
-    # bucket decision: all-test (cum <= k), all-train (before >= k), or boundary (rank inside)
-    decision = (F.when(F.col("_cum") <= F.col("_k"), F.lit("test"))
-                .when(F.col("_before") >= F.col("_k"), F.lit("train")).otherwise(F.lit("edge")))
-    buckets = buckets.select(label, "_b", decision.alias("_d"),
-                             (F.col("_k") - F.col("_before")).alias("_room"))
-    j = x.join(buckets, [label, "_b"])
-    edge = j.where(F.col("_d") == "edge")
+    edge = counts.select(label, "_b", (cum - F.col("_n")).alias("_before"), cum.alias("_cum"), k.alias("_k")).where(
+        (F.col("_before") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
+        label, "_b", (F.col("_k") - F.col("_before")).alias("_room"))          # one row per class
     order_k = F.desc("_key") if latest else F.asc("_key")
     rank = F.row_number().over(Window.partitionBy(label, "_b").orderBy(order_k))
-    edge = edge.withColumn(out, (rank <= F.col("_room")).cast("int"))
-    rest = j.where(F.col("_d") != "edge").withColumn(out, (F.col("_d") == "test").cast("int"))
-    return edge.unionByName(rest).drop("_key", "_b", "_d", "_room")
+    last = (narrow.join(F.broadcast(edge), [label, "_b"]).withColumn("_r", rank)
+            .where(F.col("_r") == F.col("_room")).select(label, F.col("_key").alias("_last")))
+    held = (F.col("_key") >= F.col("_last")) if latest else (F.col("_key") <= F.col("_last"))
+    return (x.join(F.broadcast(last), label, "left")
+            .withColumn(out, F.coalesce(held, F.lit(False)).cast("int")).drop("_key", "_last"))
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percent: int = 20,
@@ -83,11 +83,11 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percen
 
 
 def time_split(df: DataFrame, label: str, time_cols: list[str], test_percent: int = 20,
-               out: str = "is_test", bucket_chars: int = 6) -> DataFrame:
+               out: str = "is_test", bucket_chars: int = 11) -> DataFrame:
     """Exact stratified *time-ordered* hold-out: the latest
     ``ceil(n·pct/100)`` rows of each class (ordered by the concatenated,
     fixed-width ``time_cols``, e.g. date_id, shift_id, machine_id) are test
     rows, so no test row precedes a training row of its class in time.
-    Buckets are the first ``bucket_chars`` characters (yyyyMM of date_id)."""
+    Buckets are the first ``bucket_chars`` characters (yyyyMMdd|S1: a shift of a day)."""
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in time_cols])
     return exact_split(df, label, key, F.substring(key, 1, bucket_chars), test_percent, out, latest=True)

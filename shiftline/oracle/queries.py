@@ -172,6 +172,10 @@ FROM fact_production f JOIN dim_date d ON f.date_id = d.date_id
 GROUP BY 1 ORDER BY 1
 """
 
+BODIES["kpi_one_bound"] = BODIES["kpi_summary"]
+
+BODIES["weekly_production_no_plant"] = BODIES["weekly_production"].replace("GROUP BY 1", "WHERE false GROUP BY 1")
+
 BODIES["production_by_category"] = f"""
 SELECT pr.category, {_s('f.produced_qty')} AS produced_qty
 FROM fact_production f JOIN dim_product pr ON f.product_id = pr.product_id

@@ -149,6 +149,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_choices": _on_star(lambda st: filter_choices(st, db.filtered_production(st))),
     # dashboard
     "kpi_summary": _on_star(lambda st: db.kpi_summary(db.filtered_production(st))),
+    # a range needs both ends: with one the full range applies (F3); an empty choice selects nothing
+    "kpi_one_bound": _on_star(lambda st: db.kpi_summary(db.filtered_production(st, start=FILTER_START))),
+    "weekly_production_no_plant": _on_star(lambda st: db.weekly_production(
+        db.filtered_production(st, plants=[], attrs=["date"]))),
     "weekly_production": _on_star(lambda st: db.weekly_production(
         db.filtered_production(st, attrs=["date"]))),
     "production_by_category": _on_star(lambda st: db.production_by_category(db.filtered_production(st), st)),
