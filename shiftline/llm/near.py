@@ -250,13 +250,12 @@ def _linked(docs: DataFrame) -> DataFrame:
         "classes")
     named = classes.where(F.col("node").isNotNull())
     loose = candidate_components(named)
-    of_label = Window.partitionBy("label")
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)).over(of_label) / BLOCK_SETS),
-                        F.ceil(F.sum("n").over(of_label) / BLOCK_SHINGLES))
-    members = written(
-        loose.join(named.select("node", "n", "digest"), "node")
-        .withColumn("blocks", blocks.cast("long"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "members")
+    labelled = written(loose.join(named.select("node", "n", "digest"), "node"), "labelled")
+    # Sizes come from an aggregation, not a window: one component may hold a third of the sets.
+    sizes = labelled.groupBy("label").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
+    members = written(labelled.join(sizes, "label").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "members")
     n = members.count()
     place = lambda at, first: F.struct(at.cast("long").alias("place"), F.lit(first).alias("first"))
     others = F.when((F.col("block") == 0) & (F.col("blocks") > 1), F.transform(
