@@ -160,14 +160,15 @@ class Scorer(dict):
 
     def predict(self, text: str | None) -> tuple[str, float]:
         found = words_of(text or "")
-        total, any_word = self.prior.copy(), False
+        total, any_letter = self.prior.copy(), False
         while part := list(islice(found, CHUNK)):
             if len(self) - len(self.known) > self.room:
                 self.reset()
-            any_word = True
+            # The pattern also takes other numerals, such as a superscript two.
+            any_letter = any_letter or any(c.isalpha() for word in part for c in word)
             rows = np.fromiter(map(self.__getitem__, part), np.int64, len(part))
             total += self.rows[rows].sum(axis=0, dtype=np.float64)
-        if not any_word or not self.langs:
+        if not any_letter or not self.langs:
             return UNKNOWN, 0.0
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())

@@ -34,6 +34,7 @@ def test_backoff_goes_to_shorter_grams(spark):
         [("wolken", "de"), ("clouds", "en")] * 20)], "doc_id long, text string, lang string, source string, n_chars long")
     scorer = language.Scorer(language.learn(docs))
     assert scorer.predict("wolken")[0] == "de" and scorer.predict("xwolke")[0] == "de" and scorer.predict("oudz")[0] == "en"
+    assert scorer.predict("² ½ 12")[0] == "und" and scorer.predict("² é")[0] in ("de", "en")
     assert (scorer.back_off("ßß") == scorer.blank).all()
     known = {k for k, _ in scorer.grams}
     assert known == {1, 2, 3, 4}
