@@ -20,25 +20,22 @@ def components(edges: DataFrame) -> DataFrame:
     """
     up, down = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     stars = written(edges.where(F.col("a") != F.col("b")).select(up, down).distinct(), "stars")
-    state = _state(stars)
-    while state[0]:
+    while not _settled(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where(F.col("v") > F.col("u")).select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         tied = large.join(least, "u").where(F.col("v") != F.col("m")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        small = tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        stars = written(small, "stars")
-        if (new := _state(stars)) == state:
-            break
-        state = new
+        stars = written(tied.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "stars")
     roots = stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     return stars.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
 
 
-def _state(stars: DataFrame) -> tuple:
-    """Number of edges and two sums over them: equal again only once no edge changes."""
-    return tuple(stars.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("v").cast("decimal(38,0)")), F.lit(0)),
-                           F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node hangs on one node that hangs on none: then the stars are the components."""
+    ends = stars.select(F.col("u").alias("node"), F.lit(1).alias("ties"), F.lit(False).alias("holds")).unionByName(
+        stars.select(F.col("v").alias("node"), F.lit(0).alias("ties"), F.lit(True).alias("holds")))
+    nodes = ends.groupBy("node").agg(F.sum("ties").alias("ties"), F.max("holds").alias("holds"))
+    return nodes.where((F.col("ties") > 1) | ((F.col("ties") > 0) & F.col("holds"))).isEmpty()
