@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import map_rows
+from shiftline.llm.common import kept, map_rows
 
 # Letters (L) and numbers (N) that Unicode 16 added to 15.1.
 UNICODE_16 = """
@@ -194,28 +194,27 @@ class Bpe(dict):
         return b"".join(strings).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
-    """The vocabulary of this Python worker."""
-    return Bpe(path)
+    """The vocabulary of this Python worker, with the words it has met."""
+    return kept("bpe", path, lambda: Bpe(path))
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``ids array<int>`` of every text."""
     def row(*cells):
-        *kept, body, vocabulary = cells
-        return (*kept, np.frombuffer(load(vocabulary).encode(body or ""), "<u4").astype("<i4"))
-    kept = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
-    return map_rows(docs.select(*keep, text), row, f"{kept}, ids array<int>", path)
+        *own, body, vocabulary = cells
+        return (*own, np.frombuffer(load(vocabulary).encode(body or ""), "<u4").astype("<i4"))
+    names = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
+    return map_rows(docs.select(*keep, text), row, f"{names}, ids array<int>", path, owner="bpe")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple = ("doc_id",)) -> DataFrame:
     """``keep`` columns and ``text`` of every id list."""
     def row(*cells):
-        *kept, numbers, vocabulary = cells
-        return (*kept, load(vocabulary).decode(np.array(numbers or [], "<u4").tobytes()))
-    kept = ", ".join(f"`{c}` {t}" for c, t in encoded.select(*keep).dtypes)
-    return map_rows(encoded.select(*keep, ids), row, f"{kept}, text string", path)
+        *own, numbers, vocabulary = cells
+        return (*own, load(vocabulary).decode(np.array(numbers or [], "<u4").tobytes()))
+    names = ", ".join(f"`{c}` {t}" for c, t in encoded.select(*keep).dtypes)
+    return map_rows(encoded.select(*keep, ids), row, f"{names}, text string", path, owner="bpe")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -230,4 +229,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         return (doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(),
                 hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
     return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), row,
-                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", path)
+                    "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", path, owner="bpe")

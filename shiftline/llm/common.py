@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -32,7 +33,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> DataFrame:
+def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args, owner: str = "") -> DataFrame:
     """Apply ``fn(*row, *args)`` to every row of ``df``, one output row each.
 
     ``fn`` sees one row at a time, so memory holds one Arrow batch and the
@@ -48,7 +49,7 @@ def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    return arrow_map(df, run, schema)
+    return arrow_map(df, run, schema, owner)
 
 
 #: Rows whose Python values are held at once.
@@ -66,7 +67,7 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield from zip(*(c.to_pylist() for c in part.columns))
 
 
-def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool]) -> DataFrame:
+def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool], owner: str = "") -> DataFrame:
     """The rows of ``df`` for whose ``columns`` ``keep`` holds, with all columns as they are."""
     names = df.columns
     at = [names.index(c) for c in columns]
@@ -76,13 +77,49 @@ def keep_rows(df: DataFrame, columns: list[str], keep: Callable[..., bool]) -> D
             cells = rows_of(batch.select(at))
             yield batch.filter(pa.array([bool(keep(*row)) for row in cells], pa.bool_()))
 
-    return arrow_map(df, run, df.schema)
+    return arrow_map(df, run, df.schema, owner)
 
 
-def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` whose workers can import this package."""
+def arrow_map(df: DataFrame, run: Callable, schema: str, owner: str = "") -> DataFrame:
+    """``df.mapInArrow`` whose workers can import this package.
+
+    Spark reuses Python workers, so what an operator keeps in one (``kept``)
+    outlives its tasks: tasks of another ``owner`` drop it first, and every
+    task gives freed memory back at its end.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept(owner)
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(tidy, schema)
+
+
+_kept: dict[str, tuple] = {}
+
+
+def kept(owner: str, key, make: Callable):
+    """``make()``, built once in this Python worker for as long as the owner's key stays the same."""
+    held = _kept.get(owner)
+    if held is None or not (held[0] is key or isinstance(key, str) and held[0] == key):
+        _kept.pop(owner, None)
+        _kept[owner] = held = (key, make())
+    return held[1]
+
+
+def drop_kept(owner: str) -> None:
+    for other in [o for o in _kept if o != owner]:
+        del _kept[other]
+
+
+def give_back() -> None:
+    """Hand memory that is free in this process back to the system, where the allocators can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+    if trim is not None:
+        trim(0)
 
 
 _shipped: set[str] = set()

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import arrow_map, id_bucket, keep_rows, map_rows, rows_of
+from shiftline.llm.common import arrow_map, id_bucket, keep_rows, kept, map_rows, rows_of
 
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -102,10 +102,10 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
         sample.select("lang", "text"), count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(
         F.sum("n").alias("n"))
     by_kind = Window.partitionBy("lang", "kind")
-    kept = counts.withColumn("total", F.sum("n").over(by_kind)).withColumn(
+    frequent = counts.withColumn("total", F.sum("n").over(by_kind)).withColumn(
         "place", F.row_number().over(by_kind.orderBy(F.col("n").desc(), "gram"))).where(
         F.col("place") <= F.when(F.col("kind") == 0, settings.words).otherwise(settings.grams))
-    found = kept.select("lang", "kind", "gram", "n", "total").toArrow()
+    found = frequent.select("lang", "kind", "gram", "n", "total").toArrow()
     langs = [lang for lang, _ in shares]
     prior = np.log(np.array([n for _, n in shares], float) / max(1, sum(n for _, n in shares)))
     return {"langs": langs, "prior": prior,
@@ -131,7 +131,6 @@ class Scorer(dict):
 
     def __init__(self, model: dict):
         super().__init__()
-        self.model = model
         self.langs, self.prior = model["langs"], model["prior"]
         keys, logs = model["logs"][0]
         self.known, self.known_rows = {w: k for k, w in enumerate(keys)}, logs
@@ -174,14 +173,9 @@ class Scorer(dict):
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-_scorer: list[Scorer] = []
-
-
 def _scorer_of(model: dict) -> Scorer:
-    """The scorer of this Python worker; it keeps the words it has met."""
-    if not _scorer or _scorer[0].model is not model:
-        _scorer[:] = [Scorer(model)]
-    return _scorer[0]
+    """The scorer of this Python worker, with the words it has met."""
+    return kept("language", model, lambda: Scorer(model))
 
 
 def predict(docs: DataFrame, model: dict, keep: tuple = ("doc_id",)) -> DataFrame:
@@ -189,11 +183,11 @@ def predict(docs: DataFrame, model: dict, keep: tuple = ("doc_id",)) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def row(*cells):
-        *kept, text = cells
-        return (*kept, *_scorer_of(held.value).predict(text))
+        *own, text = cells
+        return (*own, *_scorer_of(held.value).predict(text))
 
-    kept = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
-    return map_rows(docs.select(*keep, "text"), row, f"{kept}, lang_pred string, score double")
+    names = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes)
+    return map_rows(docs.select(*keep, "text"), row, f"{names}, lang_pred string, score double", owner="language")
 
 
 def keep_known(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -204,7 +198,7 @@ def keep_known(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         lang, score = _scorer_of(held.value).predict(text)
         return lang != UNKNOWN and score >= settings.sure
 
-    return keep_rows(docs, ["text"], keep)
+    return keep_rows(docs, ["text"], keep, owner="language")
 
 
 def identify(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
