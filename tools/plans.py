@@ -15,8 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    from shiftline.operators import cleaning, evaluation, windows
-    from shiftline.operators.star import Star
+    from shiftline.operators import cleaning, evaluation
     from shiftline.plans import dashboard as db, history, risk
     from shiftline.plans import sample_queries as sq
     from shiftline.session import get_session, scratch_path
