@@ -175,8 +175,3 @@ def id_bucket(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text modulo ``modulus`` (null id: the empty text)."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")),
                   F.lit(modulus))
-
-
-def same(a: Column, b: Column) -> Column:
-    """Equality that also holds between two nulls; still an equi-join key."""
-    return a.eqNullSafe(b)
