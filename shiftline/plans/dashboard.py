@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import decimal_sum, exact_avg, exact_sum, safe_divide, week_label
 from shiftline.operators.aggregate import aggregate_by_attributes
-from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fact, filter_maintenance
+from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fact
 
 
 def filtered_production(star: Star, plants=None, machine_types=None, start=None, end=None,
