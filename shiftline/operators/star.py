@@ -138,11 +138,6 @@ def date_bounds(start, end):
     return to(start), to(end)
 
 
-def filter_maintenance(df: DataFrame, plants=None) -> DataFrame:
-    """the maintenance view filters on plant only."""
-    return df if plants is None else df.where(F.col("plant_name").isin(list(plants)))
-
-
 def filter_choices(star: Star, fact: DataFrame) -> DataFrame:
     """one row per selectable value (kind, value), plus min/max dates.
 
