@@ -5,9 +5,9 @@ text, children) gets a hash. Spark counts, per host, the pages that hold each
 subtree; one that recurs on ``MIN_PAGES`` pages and on ``SHARE`` of the host's
 pages is a template, and every page of that host loses it. Elements that say
 what they are by tag, role, class or id (menus, forms, adverts, comments ...)
-go as well. What is left of the article, or of the whole body where no
-element is marked as one, is the main text: white space inside a block becomes
-one space, blocks are joined by an empty line.
+go as well. The blocks of an article among what is left, or else those of a
+main element, or else all, are the main text: white space inside a block
+becomes one space, blocks are joined by an empty line.
 
 Paragraphs and headings of a marked article are content even when copies of
 the page or a common passage make them recur; inside an article only
@@ -200,24 +200,29 @@ def _removable(element: Element) -> bool:
 
 
 def page(page_id, url: str | None, html: str | None) -> tuple:
-    """(page_id, url, host, texts, paths, seen): blocks with the subtrees they lie in, all subtrees."""
+    """(page_id, url, host, texts, paths, ranks, seen): blocks with the subtrees they lie in, all subtrees.
+
+    Ranks: 2 in an article, 1 in a main element, 0 elsewhere. A block in no
+    removable subtree stays, so blocks of a lower rank than its own are left out.
+    """
     blocks, elements = parse(html or "")
-    kept = [(text, at) for text, at in blocks if not at.dropped]
-    if any(at.article is not None for _, at in kept):
-        kept = [(text, at) for text, at in kept if at.article is not None]
-    elif any(_within(at, "main") for _, at in kept):
-        kept = [(text, at) for text, at in kept if _within(at, "main")]
-    paths = []
-    for _, at in kept:
+    kept = []
+    for text, at in blocks:
+        if at.dropped:
+            continue
+        rank = 2 if at.article is not None else int(_within(at, "main"))
         path = []
         while at is not None:
             if _removable(at):
                 path.append(at.hash)
             at = at.parent
-        paths.append(path)
+        kept.append((text, path, rank))
+    least = max((rank for _, path, rank in kept if not path), default=0)
+    kept = [k for k in kept if k[2] >= least]
+    texts, paths, ranks = ([k[i] for k in kept] for i in range(3))
     seen = {e.hash for e in elements if e.parts and _removable(e)}
     m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?([^/?#]*)", url or "")
-    return page_id, url, m.group(1).lower() if m else "", [t for t, _ in kept], paths, sorted(seen)
+    return page_id, url, m.group(1).lower() if m else "", texts, paths, ranks, sorted(seen)
 
 
 def _within(at: Element | None, tag: str) -> bool:
@@ -233,7 +238,7 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE)
     kind = dict(pages.dtypes)["page_id"]
     read = map_rows(pages.select("page_id", "url", "html"), page,
                     f"page_id {kind}, url string, host string, texts array<string>, "
-                    "paths array<array<long>>, seen array<long>")
+                    "paths array<array<long>>, ranks array<int>, seen array<long>")
     read = written(read.withColumn("row", F.xxhash64("page_id", "url", "texts", "seen")), "pages")
     held = read.select("host", F.explode("seen").alias("subtree")).groupBy("host", "subtree").agg(
         F.count(F.lit(1)).alias("n"))
@@ -243,13 +248,15 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE)
     inside = read.select("row", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("subtree"))
     gone = inside.join(templates, ["host", "subtree"]).groupBy("row").agg(
         F.collect_set("subtree").alias("gone"))
-    left = F.filter(F.arrays_zip("texts", "paths"),
+    left = F.filter(F.arrays_zip("texts", "paths", "ranks"),
                     lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["paths"], F.col("gone")))
-    # Texts that lie in no removable subtree, as in a marked article, meet no join.
+    top = F.array_max(F.col("left")["ranks"])
+    main = F.filter("left", lambda b: b["ranks"] == top)
+    # Blocks that all lie in no removable subtree, as in most marked articles, lose none: they meet no join.
     may_lose = F.size(F.flatten("paths")) > 0
     whole = read.where(~may_lose).select("page_id", "url", F.array_join("texts", "\n\n").alias("text"))
-    return whole.unionByName(read.where(may_lose).join(gone, "row", "left").select(
-        "page_id", "url", F.array_join(left["texts"], "\n\n").alias("text")))
+    return whole.unionByName(read.where(may_lose).join(gone, "row", "left").withColumn("left", left).select(
+        "page_id", "url", F.array_join(main["texts"], "\n\n").alias("text")))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import html
 import re
+from itertools import permutations
 
 from pyspark.sql import functions as F
 
@@ -50,6 +51,20 @@ def test_article_paragraphs_stay_and_its_side_boxes_go(spark):
         "Same title\n\nSame long paragraph of the article here\n\nOwn 2 and more words"
 
 
+def test_counts_come_before_the_choice_of_article_or_main(spark):
+    def page(k):
+        return (k, "http://d.example/", "<main><p>Welcome to our site</p></main><div><p>Own text "
+                f"{k}</p></div><p>Copyright</p>")
+    got = _texts(spark, [page(k) for k in range(6)] + [(9, "http://e.example/", page(9)[2])])
+    assert got[2] == "Own text 2"                                       # the main element holds a template only
+    assert got[9] == "Welcome to our site"
+
+    def boxes(k):
+        own = "".join(f"<div><p>{t} us now</p></div>" for t in list(permutations(("Join", "Call", "Help")))[k])
+        return (k, "http://f.example/", f"<article>{own}</article><div><p>Own text {k}</p></div>")
+    assert _texts(spark, [boxes(k) for k in range(6)])[2] == "Own text 2"
+
+
 def test_marked_parts_references_and_broken_markup(spark):
     def one(body):
         return _texts(spark, [(1, "http://x/", body)])[1]
