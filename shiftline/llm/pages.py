@@ -1,9 +1,11 @@
 """Main text of web pages by site template removal.
 
 Every page is read into its elements, and each element subtree (tag, classes,
-text, children) gets a hash. Spark counts, per host, the pages that hold each
-subtree; one that recurs on ``MIN_PAGES`` pages and on ``SHARE`` of the host's
-pages is a template, and every page of that host loses it. Elements that say
+text, children) gets a hash. Spark counts, per host, the different contents that hold each
+subtree; one found in ``MIN_PAGES`` of them is a template, however large the
+host is, and every page of that host loses it. The content is the article
+that a subtree lies in, or else the blocks of its page, less those that the
+rules below drop: copies of an article or of a page count once. Elements that say
 what they are by tag, role, class or id (menus, forms, adverts, comments ...)
 go as well. The blocks of an article among what is left, or else those of a
 main element, or else all, are the main text: white space inside a block
@@ -32,7 +34,6 @@ from pyspark.sql import functions as F
 from shiftline.llm.common import map_rows, written
 
 MIN_PAGES = 5
-SHARE = 0.1
 
 # Elements by what HTML says of them.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -200,7 +201,7 @@ def _removable(element: Element) -> bool:
 
 
 def page(page_id, url: str | None, html: str | None) -> tuple:
-    """(page_id, url, host, texts, paths, ranks, seen): blocks with the subtrees they lie in, all subtrees.
+    """(page_id, url, host, texts, paths, ranks, seen): blocks with the subtrees they lie in, subtrees with their content.
 
     Ranks: 2 in an article, 1 in a main element, 0 elsewhere. A block in no
     removable subtree stays, so blocks of a lower rank than its own are left out.
@@ -217,10 +218,12 @@ def page(page_id, url: str | None, html: str | None) -> tuple:
                 path.append(at.hash)
             at = at.parent
         kept.append((text, path, rank))
+    content = xxhash.xxh3_64_intdigest("\0".join([text for text, _, _ in kept]).encode("utf-8", "surrogatepass")) >> 1
     least = max((rank for _, path, rank in kept if not path), default=0)
     kept = [k for k in kept if k[2] >= least]
     texts, paths, ranks = ([k[i] for k in kept] for i in range(3))
-    seen = {e.hash for e in elements if e.parts and _removable(e)}
+    seen = {(e.hash, e.article.hash if e.article is not None else content)
+            for e in elements if e.parts and _removable(e)}
     m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?([^/?#]*)", url or "")
     return page_id, url, m.group(1).lower() if m else "", texts, paths, ranks, sorted(seen)
 
@@ -233,18 +236,17 @@ def _within(at: Element | None, tag: str) -> bool:
     return False
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text of every row of ``pages``."""
     kind = dict(pages.dtypes)["page_id"]
     read = map_rows(pages.select("page_id", "url", "html"), page,
                     f"page_id {kind}, url string, host string, texts array<string>, "
-                    "paths array<array<long>>, ranks array<int>, seen array<long>")
+                    "paths array<array<long>>, ranks array<int>, "
+                    "seen array<struct<subtree: long, content: long>>")
     read = written(read.withColumn("row", F.xxhash64("page_id", "url", "texts", "seen")), "pages")
-    held = read.select("host", F.explode("seen").alias("subtree")).groupBy("host", "subtree").agg(
+    held = read.select("host", F.inline("seen")).distinct().groupBy("host", "subtree").agg(
         F.count(F.lit(1)).alias("n"))
-    hosts = read.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    templates = held.where(F.col("n") >= min_pages).join(hosts, "host").where(
-        F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    templates = held.where(F.col("n") >= min_pages).select("host", "subtree")
     inside = read.select("row", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("subtree"))
     gone = inside.join(templates, ["host", "subtree"]).groupBy("row").agg(
         F.collect_set("subtree").alias("gone"))

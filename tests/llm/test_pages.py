@@ -65,6 +65,19 @@ def test_counts_come_before_the_choice_of_article_or_main(spark):
     assert _texts(spark, [boxes(k) for k in range(6)])[2] == "Own text 2"
 
 
+def test_copies_count_once_and_large_hosts_keep_no_more(spark):
+    body = "<h1>Title</h1><p>First part</p><p>Second part</p>"
+    copies = [(k, "http://g.example/", f"{body}<div class='ad-box'>Advert {k}</div>") for k in range(8)]
+    quoted = [(20 + k, "http://h.example/", "<article><h1>Title</h1><p>Some words of the article</p><div><p>Quote"
+               f"</p></div></article><div><p>Visit {k}</p></div>") for k in range(8)]
+    large = [(100 + k, "http://i.example/", ("<div><p>Section menu</p></div>" if k < 6 else "") + f"<p>Own text {k}</p>")
+             for k in range(80)]
+    got = _texts(spark, copies + quoted + large)
+    assert got[3] == "Title\n\nFirst part\n\nSecond part"
+    assert got[23] == "Title\n\nSome words of the article\n\nQuote"
+    assert got[103] == "Own text 3" and got[150] == "Own text 50"         # the menu is on 7.5 % of the host's pages
+
+
 def test_marked_parts_references_and_broken_markup(spark):
     def one(body):
         return _texts(spark, [(1, "http://x/", body)])[1]
