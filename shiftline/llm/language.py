@@ -46,8 +46,8 @@ MAX_SCORES = 1 << 22
 class Settings:
     #: Per language: documents learned from, words kept, n-grams kept of each order.
     docs: int = 1500
-    words: int = 10_000
-    grams: int = 5_000
+    words: int = 20_000
+    grams: int = 10_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     #: Rows with crc32(doc_id) modulo ``fold`` equal to ``held`` are never learned from.
     fold: int = 4

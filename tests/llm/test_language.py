@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy, folds, awkward rows."""
 
+import random
 import zlib
 
 from pyspark.sql import functions as F
@@ -40,6 +41,16 @@ def test_backoff_goes_to_shorter_grams(spark):
     assert known == {1, 2, 3, 4}
 
 
+def test_rare_words_and_grams_of_rich_vocabularies_are_learned(spark):
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(18_000)})[:15_000]
+    docs = spark.createDataFrame([(k, " ".join(words), "en", None, 0) for k in (1, 4)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    logs = language.learn(docs)["logs"]
+    assert set(words) <= set(logs[0][0])
+    assert len(logs[4][0]) == 10_000
+
+
 def test_awkward_rows(spark):
     rows = language.identify(edge_docs(spark)).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in EDGE)
