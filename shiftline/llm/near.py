@@ -28,9 +28,10 @@ that component's sets.
 Defined cases: a null text, or one without words, has the empty set and is
 linked with nothing; with fewer words than ``SHINGLE`` the whole sequence is
 the one shingle. Rows that share an id are one document: whatever their texts
-are linked with is linked. A row without an id has a component only if an
-equal set or a link brings in an id, and is kept otherwise. Ties do not
-occur, as all choices are minima; other columns are ignored.
+are linked with is linked, and all of them have its component. A row without
+an id has a component only if an equal set or a link brings in an id, and is
+kept otherwise; a class without any id is known by its text's smallest 64-bit
+hash. Ties do not occur, as all choices are minima; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -154,7 +155,18 @@ def _only(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return docs.join(F.broadcast(nodes) if n <= BROADCAST_IDS else nodes, "doc_id")
 
 
-def verified_links(docs: DataFrame, members: DataFrame, n: int, within: bool) -> DataFrame:
+def _texts(docs: DataFrame, members: DataFrame, n: int, nameless: bool) -> DataFrame:
+    """doc_id, text; if ``nameless``, also one row of each text without an id that is a member, by its hash."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not nameless:
+        return named
+    hashed = named.where(F.col("doc_id").isNull()).select(F.xxhash64("text").alias("doc_id"), "text")
+    some = _only(hashed, members.select("node").distinct(), n)
+    return named.where(F.col("doc_id").isNotNull()).unionByName(
+        some.groupBy("doc_id").agg(F.first("text").alias("text")))
+
+
+def verified_links(docs: DataFrame, members: DataFrame, n: int, within: bool, nameless: bool = False) -> DataFrame:
     """Links (a, b) found inside groups.
 
     ``members``: node, digest, grp, places array<struct<place, first>>, one
@@ -162,7 +174,7 @@ def verified_links(docs: DataFrame, members: DataFrame, n: int, within: bool) ->
     compared with the others and, if ``within``, among themselves.
     """
     schema = "node long, grp long, places array<struct<place: long, first: boolean>>, joined long, shingles binary, sketch binary"
-    text = _only(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), members, n).select(
+    text = _only(_texts(docs, members, n, nameless), members, n).select(
         "doc_id", "grp", "places", "joined", "digest", "text")
     arrow = arrow_schema(docs.sparkSession, schema)
 
@@ -246,11 +258,11 @@ def link(docs: DataFrame) -> DataFrame:
 def _linked(docs: DataFrame) -> DataFrame:
     sketched = written(sketch_documents(docs), "sketches")
     classes = written(sketched.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
-        "classes")
-    named = classes.where(F.col("node").isNotNull())
-    loose = candidate_components(named)
-    labelled = written(loose.join(named.select("node", "n", "digest"), "node"), "labelled")
+        F.min("doc_id").alias("id"), F.coalesce(F.min("doc_id"), F.min("text_hash")).alias("node"),
+        F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    nameless = not classes.where(F.col("id").isNull()).isEmpty()
+    loose = candidate_components(classes)
+    labelled = written(loose.join(classes.select("node", "n", "digest"), "node"), "labelled")
     # Sizes come from an aggregation, not a window: one component may hold a third of the sets.
     sizes = labelled.groupBy("label").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
@@ -264,20 +276,37 @@ def _linked(docs: DataFrame) -> DataFrame:
         "node", "digest", F.col("label").alias("grp"), F.col("node").alias("joined"),
         F.concat(F.array(place(F.col("block"), True)), F.coalesce(
             others, F.array().cast("array<struct<place: bigint, first: boolean>>"))).alias("places"))
-    links = written(verified_links(docs, dealt, n, True), "links")
+    links = written(verified_links(docs, dealt, n, True, nameless), "links")
+    # Ids with more than one set tie their classes; the hash of a null digest stands for the empty set.
+    several = sketched.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min(F.xxhash64("digest")).alias("low"), F.max(F.xxhash64("digest")).alias("high")).where(
+        F.col("low") != F.col("high")).select("doc_id")
+    shared = written(sketched.join(several, "doc_id", "left_semi").select("doc_id", "digest").distinct().join(
+        classes.select("digest", "node"), "digest").select(F.col("node").alias("a"), F.col("doc_id").alias("b")), "shared")
+    links = links.unionByName(shared)
     groups = components(links)
     split = members.where(F.col("blocks") > 1)
     if not split.isEmpty():
-        links = written(links.unionByName(_outside(docs, split, groups)), "links")
+        links = written(links.unionByName(_outside(docs, split, groups, nameless)), "links")
         groups = components(links)
-    ids = classes.select("digest", "node").join(groups, "node", "left").select(
-        "digest", F.coalesce("label", "node").alias("component"))
-    return sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(ids, "digest", "left").select(
+    groups = groups.withColumnRenamed("label", "component")
+    if nameless:                                    # a group goes by its smallest id, not by a text's hash
+        names = classes.where(F.col("id").isNotNull()).select("node").distinct().join(groups, "node").groupBy(
+            "component").agg(F.min("node").alias("name"))
+        groups = groups.join(names, "component", "left").select("node", F.col("name").alias("component"))
+    ids = classes.select("digest", "id", "node").join(groups, "node", "left").select(
+        "digest", F.coalesce("component", "id").alias("component"))
+    found = sketched.select("doc_id", "text_hash", "n_shingles", "digest").join(ids, "digest", "left")
+    if not shared.isEmpty():                        # a row of the empty set goes with its id's other rows
+        own = shared.select(F.col("b").alias("node")).distinct().join(groups, "node", "left").select(
+            F.col("node").alias("doc_id"), F.coalesce("component", "node").alias("own"))
+        found = found.join(own, "doc_id", "left").withColumn("component", F.coalesce("own", "component"))
+    return found.select(
         "doc_id", "text_hash", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _outside(docs: DataFrame, split: DataFrame, groups: DataFrame) -> DataFrame:
+def _outside(docs: DataFrame, split: DataFrame, groups: DataFrame, nameless: bool) -> DataFrame:
     """Links of the sets outside the largest group of their component, with all its sets."""
     grouped = split.join(groups.withColumnRenamed("label", "joined"), "node", "left").withColumn(
         "joined", F.coalesce("joined", "node"))
@@ -299,7 +328,7 @@ def _outside(docs: DataFrame, split: DataFrame, groups: DataFrame) -> DataFrame:
         upto("blocks"), lambda b: place(b * F.col("parts") + part, True)))
     dealt = todo.select("node", "digest", F.col("label").alias("grp"), "joined", F.concat(
         stands, F.coalesce(visits, F.array().cast("array<struct<place: bigint, first: boolean>>"))).alias("places"))
-    return verified_links(docs, dealt, todo.count(), False)
+    return verified_links(docs, dealt, todo.count(), False, nameless)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

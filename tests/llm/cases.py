@@ -16,6 +16,15 @@ EDGE = [
     (9, "x" * 300_000, "de", "c", 300_000), (10, "1234 5678 !!!", "de", "c", 13),
 ]
 
+_WORDS = [f"near{k}" for k in range(60)]
+#: Ids with two texts (3, 21, 30), and near copies of a text with and without ids.
+SHARED = [(i, text, "en", "a", len(text)) for i, text in (
+    (2, "first text of five words"), (3, "first text of five words"), (3, "second text of six other words"),
+    (9, "second text of six other words"), (21, ""), (20, "third text of five words"), (21, "third text of five words"),
+    (30, "alone with this id here"), (30, "and another text for it"),
+    (None, " ".join(_WORDS[1:])), (40, " ".join(_WORDS)), (None, " ".join([*_WORDS[2:], "end"])),
+    (None, "no id and like no other"))]
+
 
 def edge_docs(spark):
     """EDGE with columns whose names clash with the operators' own."""

@@ -5,7 +5,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from cases import DOCS, EDGE, edge_docs, no_docs
+from cases import DOCS, EDGE, SHARED, edge_docs, no_docs
 from shiftline.llm import near, queries
 
 SF = "/root/testdata/sf0.01"
@@ -123,3 +123,18 @@ def test_keep_one_leaves_columns_and_one_row_of_each_group(spark):
     nameless = spark.createDataFrame([(None, "a b c d e f", None, None, None)] * 3, DOCS)
     assert near.keep_one(nameless).count() == 1
     assert near.keep_one(docs.withColumn("text", F.lit("all the same text now"))).count() == 1
+
+
+def test_ids_with_two_texts_and_near_copies_without_an_id(spark, monkeypatch):
+    docs = spark.createDataFrame(SHARED, DOCS)
+    expected = sorted([(2, 2), (3, 2), (3, 2), (9, 2), (21, 20), (20, 20), (21, 20), (30, 30), (30, 30), (40, 40),
+                       (-1, 40), (-1, 40), (-1, -1)])
+    for block, ids in ((512, near.BROADCAST_IDS), (1, 0)):
+        monkeypatch.setattr(near, "BLOCK_SETS", block)
+        monkeypatch.setattr(near, "BROADCAST_IDS", ids)
+        got = sorted((-1 if r.doc_id is None else r.doc_id, -1 if r.component_id is None else r.component_id)
+                     for r in near.link(docs).collect())
+        assert got == expected
+    left = near.keep_one(docs).collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in left) == [-1, 2, 20, 30, 40]
+    assert [r.text for r in left if r.doc_id is None] == ["no id and like no other"]
