@@ -74,7 +74,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCRATCH: dict[str, set[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A child folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    """A child folder of the shared checkpoint folder for written intermediates.
+
+    The application owns it: ``remove_folder`` ends one that is no longer read,
+    ``clear_scratch`` all that are left.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a written folder, wherever its file system is; nothing happens if it is gone."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _SCRATCH.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder of this application. Frames that read one are void afterwards."""
+    for path in sorted(_SCRATCH.get(spark.sparkContext.applicationId, ())):
+        remove_folder(spark, path)
