@@ -25,12 +25,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: later stages read files that every executor sees, so a
     lost executor costs a re-read and not a recomputation. Each call takes a
-    new folder.
+    new folder, which lasts until ``session.clear_scratch`` unless the caller
+    removes it.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+    return stored(df, new_folder(df.sparkSession, name))
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args, owner: str = "") -> DataFrame:
@@ -56,9 +63,9 @@ def map_rows(df: DataFrame, fn: Callable[..., tuple], schema: str, *args, owner:
 SLICE = 256
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, SLICE):
-        yield batch.slice(start, SLICE)
+def slices(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
