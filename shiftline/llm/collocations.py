@@ -8,13 +8,15 @@ count, and its largest entry is the most frequent extension to the right.
    for one chunk of words, and numpy counts (prefix, next) pairs exactly by
    those numbers. The chunk's stripes leave the task.
 2. Stripes of one (lang, prefix, slice) meet in sorted order and are added
-   element by element. A prefix of hot words only (each at least 1/``hot`` of
-   all words, so at most ``hot`` of them) is dealt over ``slices`` by its next
-   words; any other prefix has fewer occurrences than that share.
+   element by element. The empty prefix is dealt over ``slices`` by its next
+   words, a prefix of hot words only (each at least 1/``hot`` of all words, so at
+   most ``hot`` of them) over ``hot_slices``; any other prefix has fewer
+   occurrences than that share.
 3. A phrase can only be frequent if its first and its last m - 1 words are. A
    bitmap of 2**``bits`` places, set at the hashes of the frequent phrases of
    the level before, tells the tasks what to leave out. Its size is fixed; a
-   full one lets more through and changes no count.
+   full one lets more through and changes no count. After level 2 the words
+   outside frequent pairs are left out of the texts once, for all levels after.
 4. Counts below ``least`` are dropped after merging. Scores, cuts and
    subsumption are joins over the frequent phrases that are left.
 
@@ -34,7 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +63,10 @@ class Settings:
     top: int = 2000
     hot: int = 1000
     slices: int = 256
+    hot_slices: int = 16
     bits: int = 26
     #: Words counted together in a task, and bytes of the parts that texts are cut into.
-    chunk: int = 1 << 22
+    chunk: int = 1 << 20
     part: int = 1 << 20
 
 
@@ -88,8 +91,9 @@ def words_of(text: bytes | None, part: int) -> Iterator[list[bytes]]:
         start = end
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    """Hashes for the bitmap only: words that share one let more through and change no count."""
+    return mix(np.fromiter(map(crc32, words), np.uint64, len(words)) + STEP)
 
 
 def chain(start: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
@@ -123,78 +127,113 @@ class Chunk:
         self.tags.append(np.full(len(words), self.langs.setdefault(lang, len(self.langs)), np.int64))
         self.size += len(words)
 
+    def _places(self, m: int, known: Bitmap) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words, languages, hashes of the numbers, and where a phrase of m words that ``known`` may hold begins."""
+        ids, tag = np.concatenate(self.parts), np.concatenate(self.tags)
+        hashes = hashes_of(list(self.numbers))
+        count = max(0, len(ids) - (m - 1))
+        whole = np.logical_and.reduce([ids[j: j + count] > 0 for j in range(m)])
+        start = np.flatnonzero(whole)
+        found = known.holds(chain(hashes_of([x.encode() for x in self.langs])[tag[start]],
+                                  [hashes[ids[start + j]] for j in range(m)]))
+        passes = np.zeros(len(ids) + 1, bool)
+        passes[start[found]] = True
+        return ids, tag, hashes, passes
+
     def stripes(self, m: int, known: Bitmap | None, hot: frozenset, settings: Settings) -> pa.RecordBatch:
         """The stripes of level m: prefixes that ``known`` may hold, extensions whose last m - 1 words it may."""
-        ids, tag = np.concatenate(self.parts), np.concatenate(self.tags)
-        words = list(self.numbers)
-        n, size = len(ids), len(words)
-        hashes = np.fromiter(map(word_hash, words), np.uint64, size)
-        lang_hashes = np.array([word_hash(lang.encode()) for lang in self.langs], np.uint64)
-        whole = ids > 0                                   # prefix of m - 1 words from here on, inside a piece
+        size = len(self.numbers)
         if m == 1:
-            at = np.flatnonzero(whole)
-            longer, pid = np.ones(len(at), bool), tag[at]
+            ids, tag = np.concatenate(self.parts), np.concatenate(self.tags)
+            hashes, at = hashes_of(list(self.numbers)), np.flatnonzero(ids > 0)
+            longer, pid, spread = np.ones(len(at), bool), tag[at], settings.slices
+            total = np.bincount(pid, minlength=len(self.langs))
+            first = None
         else:
-            count = n - (m - 2)
-            whole = np.logical_and.reduce([whole[j: j + count] for j in range(m - 1)])
-            start = np.flatnonzero(whole)
-            found = known.holds(chain(lang_hashes[tag[start]], [hashes[ids[start + j]] for j in range(m - 1)]))
-            passes = np.zeros(n + 1, bool)
-            passes[start[found]] = True
-            at = start[found]
-            longer, pid = passes[at + 1], tag[at]
-        for j in range(m - 1):
-            pid = pid * size + ids[at + j]
-            if j < m - 2:
-                pid = np.unique(pid, return_inverse=True)[1]
-        _, first, pid, total = np.unique(pid, return_index=True, return_inverse=True, return_counts=True)
-        first = at[first]
+            ids, tag, hashes, passes = self._places(m - 1, known)
+            at = np.flatnonzero(passes)
+            longer, pid, spread = passes[at + 1], tag[at], settings.hot_slices
+            for j in range(m - 1):
+                pid = pid * size + ids[at + j]
+                if j < m - 2:
+                    pid = np.unique(pid, return_inverse=True)[1]
+            _, first, pid, total = np.unique(pid, return_index=True, return_inverse=True, return_counts=True)
+            first = at[first]
         prefix_words = [ids[first + j] for j in range(m - 1)]
-        is_hot = np.fromiter((w in hot for w in words), bool, size)
-        spread = np.logical_and.reduce([is_hot[w] for w in prefix_words]) if m > 1 else np.ones(len(first), bool)
+        is_hot = np.zeros(size, bool)
+        is_hot[[self.numbers[w] for w in hot if w in self.numbers]] = True
+        dealt_out = np.logical_and.reduce([is_hot[w] for w in prefix_words]) if m > 1 else np.ones(len(total), bool)
         # Pairs (prefix, next) in order of prefix and slice.
         own, following = pid[longer], ids[at[longer] + m - 1]
-        dealt = (hashes % np.uint64(settings.slices)).astype(np.int64)
-        group = own * settings.slices + np.where(spread[own], dealt[following], 0)
-        pairs, times = _pairs(group, following, size)
-        groups = np.unique(np.concatenate([np.arange(len(first)) * settings.slices, pairs[0]]))
-        ends = np.concatenate([np.searchsorted(pairs[0], groups), [len(times)]]).astype(np.int32)
-        prefix, part = groups // settings.slices, groups % settings.slices
-        text = pa.array(words, pa.binary()).cast(pa.string())
+        dealt = (hashes % np.uint64(spread)).astype(np.int64)
+        (group, following), times = _pairs(own * spread + np.where(dealt_out[own], dealt[following], 0), following, size,
+                                           len(total) * spread)
+        groups = np.unique(np.concatenate([np.arange(len(total)) * spread, group]))
+        ends = np.concatenate([np.searchsorted(group, groups), [len(times)]]).astype(np.int32)
+        prefix, part = groups // spread, groups % spread
+        text = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
+        lang = np.arange(len(total)) if m == 1 else tag[first]
         joined = pc.binary_join_element_wise(*[text.take(pa.array(w)) for w in prefix_words], " ") if m > 1 else pa.array(
-            [""] * len(first), pa.string())
-        langs = pa.array(list(self.langs), pa.string()).take(pa.array(tag[first]))
+            [""] * len(total), pa.string())
         return pa.RecordBatch.from_arrays([
-            langs.take(pa.array(prefix)), joined.take(pa.array(prefix)), pa.array(part, pa.int32()),
-            pa.array(np.where(part == 0, total[prefix], 0), pa.int64()),
-            pa.ListArray.from_arrays(pa.array(ends), text.take(pa.array(pairs[1]))),
+            pa.array(list(self.langs), pa.string()).take(pa.array(lang[prefix])), joined.take(pa.array(prefix)),
+            pa.array(part, pa.int32()), pa.array(np.where(part == 0, total[prefix], 0), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends), text.take(pa.array(following))),
             pa.ListArray.from_arrays(pa.array(ends), pa.array(times, pa.int64()))],
             names=["lang", "prefix", "slice", "total", "next", "n"])
 
-
-def _pairs(group: np.ndarray, following: np.ndarray, size: int) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    def pairs_only(self, known: Bitmap) -> pa.RecordBatch:
+        """A text for each language: the words in pairs that ``known`` may hold, a full stop for those left out."""
+        ids, tag, _, passes = self._places(2, known)
+        kept = passes[:-1].copy()
+        kept[1:] |= passes[:-2]
+        first_left_out = np.zeros(len(ids), bool)
+        first_left_out[1:] = kept[:-1] & ~kept[1:]
+        words, texts = list(self.numbers), []
+        for k in range(len(self.langs)):
+            mine = tag == k
+            texts.append(b" ".join([words[w] for w in np.where(kept, ids, 0)[mine & (kept | first_left_out)]]))
+        return pa.RecordBatch.from_arrays([pa.array(list(self.langs), pa.string()), pa.array(texts, pa.binary())],
+                                          names=["lang", "text"])
+
+
+def _pairs(group: np.ndarray, following: np.ndarray, size: int, groups: int):
     """Distinct (group, following) in order, and how often each occurs."""
-    keys, times = np.unique(group * size + following, return_counts=True)
+    keys = group * size + following
+    if groups * size <= 4 * len(keys):
+        times = np.bincount(keys)
+        keys = np.flatnonzero(times)
+        times = times[keys]
+    else:
+        keys, times = np.unique(keys, return_counts=True)
     return (keys // size, keys % size), times
 
 
-def _counted(docs: DataFrame, m: int, known: Bitmap | None, hot: frozenset, settings: Settings) -> DataFrame:
-    sc = docs.sparkSession.sparkContext
-    held = sc.broadcast((known, hot))
-
-    def count(batches):
+def _by_chunk(texts: DataFrame, schema: str, settings: Settings, of) -> DataFrame:
+    """What ``of(chunk)`` gives for every chunk of words of a task."""
+    def run(batches):
         chunk = Chunk()
         for batch in batches:
             for lang, text in rows_of(batch):
                 for words in words_of(text, settings.part):
                     chunk.add(lang, words)
                     if chunk.size >= settings.chunk:
-                        yield from slices(chunk.stripes(m, *held.value, settings), 1 << 14)
+                        yield from slices(of(chunk), 1 << 14)
                         chunk = Chunk()
         if chunk.size:
-            yield from slices(chunk.stripes(m, *held.value, settings), 1 << 14)
+            yield from slices(of(chunk), 1 << 14)
+
+    return arrow_map(texts, run, schema)
+
+
+def _counted(texts: DataFrame, m: int, known: Bitmap | None, hot: frozenset, settings: Settings) -> DataFrame:
+    held = texts.sparkSession.sparkContext.broadcast((known, hot))
+    return _by_chunk(texts, STRIPES, settings, lambda chunk: chunk.stripes(m, *held.value, settings))
+
 
-    return arrow_map(docs, count, STRIPES)
+def _pairs_only(texts: DataFrame, known: Bitmap, settings: Settings) -> DataFrame:
+    held = texts.sparkSession.sparkContext.broadcast(known)
+    return _by_chunk(texts, "lang string, text binary", settings, lambda chunk: chunk.pairs_only(held.value))
 
 
 def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
@@ -229,8 +268,7 @@ def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
     def _hashed(out):
         langs = [lang for lang, _, _, _, words, _ in out for _ in words]
         parts = [(prefix.split(" ") if prefix else []) + [w] for _, prefix, _, _, words, _ in out for w in words]
-        known = {w: word_hash(w.encode()) for w in {*langs, *(w for p in parts for w in p)}}
-        of = lambda ws: np.fromiter((known[w] for w in ws), np.uint64, len(parts))
+        of = lambda ws: hashes_of([w.encode() for w in ws])
         h = chain(of(langs), [of([p[j] for p in parts]) for j in range(m)]).view(np.int64)
         ends = np.cumsum([0] + [len(row[4]) for row in out]).astype(np.int32)
         columns = [pa.array(c) for c in zip(*[row[:4] for row in out])]
@@ -266,6 +304,8 @@ def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]
             break
         if m == 1:
             hot = _hot_words(levels[0], settings)
+        if m == 2 and settings.longest > 2:
+            texts = written(_pairs_only(texts, known, settings), "pairs")
     return levels
 
 
