@@ -22,7 +22,7 @@ from shiftline.session import remove_folder
 
 #: Bits of a digit, places of a block, blocks whose counts are summed together.
 BITS = 11
-BLOCK = 1 << 13
+BLOCK = 1 << 11
 RUN = 1 << 10
 LOWEST = -(1 << 63)
 
