@@ -7,9 +7,10 @@ sums, with the languages' log shares of the training rows as a prior, are
 turned into probabilities.
 
 Learning: per language the ``docs`` labelled documents with the lowest hashes
-give the word and n-gram counts, and the ``words`` and ``grams`` most frequent
-are kept for each language and order, so the model's size is bounded by the
-number of languages. The language shares count every training row.
+give the word and n-gram counts. Every counted word and n-gram is in the model,
+so its size is bounded by ``docs`` whole texts a language. The language shares
+count every training row. ``lang`` is taken to have few distinct values: the
+model has a number for each key and language.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 so is every text if nothing could be learned. Ties go to the first language by
@@ -44,10 +45,8 @@ MAX_SCORES = 1 << 22
 
 @dataclass(frozen=True)
 class Settings:
-    #: Per language: documents learned from, words kept, n-grams kept of each order.
+    #: Documents learned from, per language.
     docs: int = 1500
-    words: int = 20_000
-    grams: int = 10_000
     orders: tuple[int, ...] = (4, 3, 2, 1)
     #: Rows with crc32(doc_id) modulo ``fold`` equal to ``held`` are never learned from.
     fold: int = 4
@@ -71,11 +70,12 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     usable = docs.where(F.col("lang").isNotNull()).where(
         id_bucket(F.col("doc_id"), settings.fold) != settings.held)
     shares = sorted((r.lang, r.n) for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(settings.seed), "doc_id"), "doc_id")
-    chosen = usable.select("doc_id", "lang").distinct().withColumn(
-        "place", F.row_number().over(order)).where(F.col("place") <= settings.docs)
-    sample = docs.select("doc_id", "lang", "text").join(
-        F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])
+    chosen = usable.select("doc_id", "lang", F.xxhash64(F.lit(settings.seed), "doc_id").alias("place")).distinct()
+    # A hot language is cut down in parts before its lowest hashes meet in one task.
+    for by in (["lang", F.pmod("place", F.lit(64))], ["lang"]):
+        first = F.row_number().over(Window.partitionBy(*by).orderBy("place", "doc_id"))
+        chosen = chosen.withColumn("nth", first).where(F.col("nth") <= settings.docs)
+    sample = docs.select("doc_id", "lang", "text").join(chosen.select("doc_id", "lang"), ["doc_id", "lang"])
 
     def count(batches):
         for batch in batches:
@@ -101,11 +101,7 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     counts = arrow_map(
         sample.select("lang", "text"), count, "lang string, kind int, gram string, n long").groupBy("lang", "kind", "gram").agg(
         F.sum("n").alias("n"))
-    by_kind = Window.partitionBy("lang", "kind")
-    frequent = counts.withColumn("total", F.sum("n").over(by_kind)).withColumn(
-        "place", F.row_number().over(by_kind.orderBy(F.col("n").desc(), "gram"))).where(
-        F.col("place") <= F.when(F.col("kind") == 0, settings.words).otherwise(settings.grams))
-    found = frequent.select("lang", "kind", "gram", "n", "total").toArrow()
+    found = counts.toArrow()
     langs = [lang for lang, _ in shares]
     prior = np.log(np.array([n for _, n in shares], float) / max(1, sum(n for _, n in shares)))
     return {"langs": langs, "prior": prior,
@@ -118,11 +114,12 @@ def _log_table(found: pa.Table, langs: list[str]) -> tuple[list[str], np.ndarray
     grams = found["gram"].to_pylist()
     keys = sorted(set(grams))
     at, column = {g: k for k, g in enumerate(keys)}, {lang: k for k, lang in enumerate(langs)}
-    totals = np.ones(len(langs))
+    totals = np.zeros(len(langs))
     counts = np.full((len(keys), len(langs)), 0.5)
-    for lang, gram, n, total in zip(found["lang"].to_pylist(), grams, found["n"].to_pylist(), found["total"].to_pylist()):
+    for lang, gram, n in zip(found["lang"].to_pylist(), grams, found["n"].to_pylist()):
         counts[at[gram], column[lang]] = n
-        totals[column[lang]] = total
+        totals[column[lang]] += n
+    totals[totals == 0] = 1
     return keys, np.log(counts / (totals + 0.5 * len(keys))).astype(np.float32)
 
 
@@ -134,7 +131,8 @@ class Scorer(dict):
         self.langs, self.prior = model["langs"], model["prior"]
         keys, logs = model["logs"][0]
         self.known, self.known_rows = {w: k for k, w in enumerate(keys)}, logs
-        self.grams = [(k, {g: v for g, v in zip(*model["logs"][k])}) for k in sorted(model["logs"], reverse=True) if k]
+        self.grams = [(k, {g: at for at, g in enumerate(model["logs"][k][0])}) for k in sorted(model["logs"], reverse=True) if k]
+        self.gram_rows = {k: model["logs"][k][1] for k, _ in self.grams}
         self.blank = np.zeros(len(self.langs), np.float32)
         self.reset()
 
@@ -151,10 +149,10 @@ class Scorer(dict):
         return at
 
     def back_off(self, word: str) -> np.ndarray:
-        for order, logs in self.grams:
-            found = [v for g in grams_of(word, order) if (v := logs.get(g)) is not None]
+        for order, places in self.grams:
+            found = [at for g in grams_of(word, order) if (at := places.get(g)) is not None]
             if found:
-                return sum(found[1:], found[0]) / order
+                return self.gram_rows[order][found].sum(axis=0) / order
         return self.blank
 
     def predict(self, text: str | None) -> tuple[str, float]:
