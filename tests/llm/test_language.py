@@ -1,7 +1,10 @@
 """Language identification: held-out accuracy, folds, awkward rows."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -47,8 +50,60 @@ def test_rare_words_and_grams_of_rich_vocabularies_are_learned(spark):
     docs = spark.createDataFrame([(k, " ".join(words), "en", None, 0) for k in (1, 4)],
                                  "doc_id long, text string, lang string, source string, n_chars long")
     logs = language.learn(docs)["logs"]
-    assert set(words) <= set(logs[0][0])
-    assert len(logs[4][0]) == 10_000
+    assert set(words) == set(logs[0][0])
+    assert {k: set(logs[k][0]) for k in (4, 3, 2, 1)} == {k: {g for w in words for g in language.grams_of(w, k)} for k in (4, 3, 2, 1)}
+
+
+def _plain_model(rows):
+    """Counts of words and n-grams by language, with nothing left out."""
+    learned = [(lang, text) for doc_id, text, lang in rows if lang is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2]
+    counts, share = {k: {} for k in (0, 1, 2, 3, 4)}, Counter(lang for lang, _ in learned)
+    for lang, text in learned:
+        for word in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            counts[0].setdefault(lang, Counter())[word] += 1
+            for k in (1, 2, 3, 4):
+                padded = word if k == 1 else f" {word} "
+                counts[k].setdefault(lang, Counter()).update(padded[i:i + k] for i in range(len(padded) - k + 1))
+    return counts, share
+
+
+def _plain_predict(text, counts, share):
+    keys = {k: set().union(*by.values()) for k, by in counts.items()}
+    log = lambda k, lang, key: math.log((counts[k][lang][key] or 0.5) / (
+        counts[k][lang].total() + 0.5 * len(keys[k])))
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not any(c.isalpha() for w in words for c in w):
+        return "und", 0.0
+    total = {lang: math.log(n / share.total()) for lang, n in share.items()}
+    for word in words:
+        for k in (0, 4, 3, 2, 1):
+            padded = word if k < 2 else f" {word} "
+            parts = [word] if k == 0 else [padded[i:i + k] for i in range(len(padded) - k + 1)]
+            if found := [p for p in parts if p in keys[k]]:
+                for lang in total:
+                    total[lang] += sum(log(k, lang, p) for p in found) / max(1, k)
+                break
+    best = max(sorted(total), key=total.get)
+    return best, 1 / sum(math.exp(v - total[best]) for v in total.values())
+
+
+def test_equals_a_plain_scorer(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    model = _plain_model(rows)
+    for r in language.identify(docs).collect():
+        text = next(t for d, t, _ in rows if d == r.doc_id)[:3000]
+        if len(text) < 3000:
+            lang, score = _plain_predict(text, *model)
+            assert r.lang_pred == lang and abs(r.score - score) < 1e-3
+
+
+def test_a_hot_language_learns_from_the_lowest_hashes(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.translate(
+        F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("en").alias("lang"))
+    usable = docs.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2)
+    want = usable.orderBy(F.xxhash64(F.lit(42), "doc_id"), "doc_id").limit(30).collect()
+    assert set(language.learn(docs, language.Settings(docs=30))["logs"][0][0]) == {r.text for r in want}
 
 
 def test_awkward_rows(spark):
