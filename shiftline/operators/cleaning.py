@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import is_valid_number, round_half_even_int
+from shiftline.operators.joins import plan_broadcasts
+from shiftline.operators.keysets import may_hold
 from shiftline.schemas import (FACT_MAINTENANCE, FACT_PRODUCTION, FOREIGN_KEYS, NOT_NULL,
                                PRIMARY_KEYS, TABLES)
 
@@ -101,10 +103,25 @@ def later_in_slot(df: DataFrame, grain: list[str], order: list[str]) -> Column:
     return F.row_number().over(Window.partitionBy(*grain).orderBy(*order)) > 1
 
 
+def without_unknown_keys(df: DataFrame, fks: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Rows whose keys may all be known, for joins that keep only those.
+
+    Key sets that the planner broadcasts need no filter; a larger one would
+    shuffle the fact by its key, so a Bloom filter goes before that shuffle.
+    """
+    for col, dim, key in fks:
+        if not plan_broadcasts(dim.select(key)):
+            df = df.where(may_hold(dim.select(key), key, F.col(col)))
+    return df
+
+
 def flag_production(raw: DataFrame, dims: dict[str, DataFrame],
-                    slot_order: list[str] | None = None) -> DataFrame:
+                    slot_order: list[str] | None = None, only_known: bool = False) -> DataFrame:
     """Raw production rows plus ``reject_reason`` (null = valid).
 
+    ``only_known`` leaves out rows that are certain to be orphans, for
+    callers that keep the valid rows only.
+
     With ``slot_order`` a (machine, date, shift) slot keeps its first row by
     that order and the others are rejected as ``duplicate_slot``, so kept and
     rejected rows add up to the input.
@@ -114,6 +131,8 @@ def flag_production(raw: DataFrame, dims: dict[str, DataFrame],
     if slot_order:
         raw = raw.withColumn("_late", later_in_slot(raw, PRODUCTION_GRAIN, slot_order))
         late = [(F.col("_late"), DUPLICATE_SLOT)]
+    if only_known:
+        raw = without_unknown_keys(raw, fks)
     df, missing = _flag_orphans(raw, fks)
     downtime_ok = is_valid_number("downtime_minutes") & F.col("downtime_minutes").between(0, 480)
     checks = late + list(zip(missing, PRODUCTION_REASONS[:5])) + [
@@ -126,8 +145,10 @@ def flag_production(raw: DataFrame, dims: dict[str, DataFrame],
     return df.withColumn(REASON, _first_reason(checks)).drop("_late", *[f"_fk{i}" for i in range(len(fks))])
 
 
-def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def flag_maintenance(raw: DataFrame, dims: dict[str, DataFrame], only_known: bool = False) -> DataFrame:
     fks = _fks("fact_maintenance", dims)
+    if only_known:
+        raw = without_unknown_keys(raw, fks)
     df, missing = _flag_orphans(raw, fks)
     return (df.withColumn(REASON, _first_reason(list(zip(missing, MAINTENANCE_REASONS))))
             .drop(*[f"_fk{i}" for i in range(len(fks))]))
@@ -150,13 +171,13 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 def clean_production(raw: DataFrame, dims: dict[str, DataFrame],
                      slot_order: list[str] | None = None) -> DataFrame:
     """C3 + C5 + C6 + C7: the loadable fact_production."""
-    kept = flag_production(raw, dims, slot_order).where(F.col(REASON).isNull())
+    kept = flag_production(raw, dims, slot_order, only_known=True).where(F.col(REASON).isNull())
     return _conform(clamp_defective(kept), FACT_PRODUCTION)
 
 
 def clean_maintenance(raw: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """C4: machine and date must exist; no bounds, no dedupe."""
-    kept = flag_maintenance(raw, dims).where(F.col(REASON).isNull())
+    kept = flag_maintenance(raw, dims, only_known=True).where(F.col(REASON).isNull())
     return _conform(kept, FACT_MAINTENANCE)
 
 

@@ -38,7 +38,7 @@ def positions(df: DataFrame, key: str, groups: list[str], out: str = "pos",
 
 
 def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_percent: int = 20,
-                out: str = "is_test", latest: bool = False) -> DataFrame:
+                out: str = "is_test", latest: bool = False, keys: DataFrame | None = None) -> DataFrame:
     """Exact per-class hold-out by an order key: in each label class the
     ``ceil(n·pct/100)`` rows first in ``key`` order (last, with ``latest``)
     get ``out`` = 1. Keys must be unique in a class.
@@ -48,13 +48,15 @@ def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_per
     the bucket that holds the last held-out key; only that bucket's keys are
     ranked. Both steps read the key columns alone. Every row is then compared
     with its class's threshold, one row for each class, so the wide rows are
-    read once and not shuffled.
+    read once and not shuffled. ``keys`` may give the same rows' labels and
+    key columns from a plainer source than ``df``, such as the stored fact
+    under a plan with windows; the counts and the bucket are then read there.
     """
     # A row without a label has no class to be split in; joins would drop it silently.
     labelled = F.coalesce(F.col(label), F.raise_error(F.lit(f"{label} is null: reject such rows first"))
                           .cast(df.schema[label].dataType))
     x = df.withColumn(label, labelled).withColumn("_key", key)
-    narrow = x.select(label, "_key", bucket.alias("_b"))
+    narrow = (x if keys is None else keys.withColumn("_key", key)).select(label, "_key", bucket.alias("_b"))
     counts = narrow.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
     order_b = F.desc("_b") if latest else F.asc("_b")
     w_cls = Window.partitionBy(label)
@@ -74,20 +76,20 @@ def exact_split(df: DataFrame, label: str, key: Column, bucket: Column, test_per
 
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_percent: int = 20,
                      seed: int = 42, out: str = "is_test",
-                     digits: int = BUCKET_HEX_DIGITS) -> DataFrame:
+                     digits: int = BUCKET_HEX_DIGITS, keys: DataFrame | None = None) -> DataFrame:
     """Exact stratified random hold-out: in each label class, the
     ``ceil(n·pct/100)`` rows with the smallest digest(seed, keys) are test
     rows (``out`` = 1). Digest prefixes are the buckets."""
     key = digest(seed, *key_cols)
-    return exact_split(df, label, key, F.substring(key, 1, digits), test_percent, out)
+    return exact_split(df, label, key, F.substring(key, 1, digits), test_percent, out, keys=keys)
 
 
 def time_split(df: DataFrame, label: str, time_cols: list[str], test_percent: int = 20,
-               out: str = "is_test", bucket_chars: int = 11) -> DataFrame:
+               out: str = "is_test", bucket_chars: int = 11, keys: DataFrame | None = None) -> DataFrame:
     """Exact stratified *time-ordered* hold-out: the latest
     ``ceil(n·pct/100)`` rows of each class (ordered by the concatenated,
     fixed-width ``time_cols``, e.g. date_id, shift_id, machine_id) are test
     rows, so no test row precedes a training row of its class in time.
     Buckets are the first ``bucket_chars`` characters (yyyyMMdd|S1: a shift of a day)."""
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in time_cols])
-    return exact_split(df, label, key, F.substring(key, 1, bucket_chars), test_percent, out, latest=True)
+    return exact_split(df, label, key, F.substring(key, 1, bucket_chars), test_percent, out, latest=True, keys=keys)

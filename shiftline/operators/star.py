@@ -7,7 +7,7 @@ a side by its size in bytes and AQE by the size it turns out to have.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ from shiftline.schemas import PRIMARY_KEYS
 
 DIMS = ["dim_plant", "dim_machine", "dim_shift", "dim_product", "dim_date"]
 FACTS = ["fact_production", "fact_maintenance"]
+#: Column of a stored fact's month folders: yyyyMM.
+MONTH = "month_id"
+
+
+def month_of(date_id: str) -> Column:
+    return F.substring(F.col(date_id), 1, 6)
 
 
 @dataclass
@@ -29,6 +35,8 @@ class Star:
     dim_date: DataFrame
     fact_production: DataFrame
     fact_maintenance: DataFrame
+    #: Stored facts with their month folders, where there are any.
+    parts: dict[str, DataFrame] = field(default_factory=dict)
 
     # ------------------------------------------------------------------ tables
     def tables(self) -> dict[str, DataFrame]:
@@ -46,6 +54,26 @@ class Star:
         d = getattr(self, name)
         return d.select(*cols) if cols else d
 
+    # ------------------------------------------------------------------ filters on the calendar
+    def in_calendar(self, name: str, condition: Column) -> DataFrame:
+        """Rows of fact ``name`` on the days of ``dim_date`` that satisfy ``condition``.
+
+        The days are joined on month and day, so the month folders of a stored
+        fact are pruned at run time by the days found (dynamic partition pruning).
+        """
+        days = self.dim_date.where(condition)
+        if name not in self.parts:
+            return getattr(self, name).join(days.select("date_id"), "date_id", "left_semi")
+        return self.parts[name].join(days.select(month_of("date_id").alias(MONTH), "date_id"),
+                                     [MONTH, "date_id"], "left_semi").drop(MONTH)
+
+    def between(self, name: str, lo: _dt.date, hi: _dt.date) -> DataFrame:
+        """Rows of fact ``name`` from day lo to day hi; other month folders are not listed for the scan."""
+        days = F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d"))
+        if name not in self.parts:
+            return getattr(self, name).where(days)
+        return self.parts[name].where(days & F.col(MONTH).between(lo.strftime("%Y%m"), hi.strftime("%Y%m"))).drop(MONTH)
+
     # ------------------------------------------------------------------ joins
     def wide_production(self) -> DataFrame:
         """The fact with plant, machine, date, product and shift attributes."""

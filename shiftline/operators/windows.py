@@ -32,7 +32,8 @@ def _day_window(entity, day, order):
 def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_id",
                    order: tuple[str, ...] = ("shift_id", "record_id"), n_prior: int = 3,
                    avg_col: str = "downtime_minutes", lag_col: str = "machine_wear_index",
-                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear") -> DataFrame:
+                   avg_name: str = "prior_downtime_avg3", lag_name: str = "prior_wear",
+                   attach: tuple[tuple[DataFrame, str], ...] = ()) -> DataFrame:
     """In (entity, day, *order) sequence,
 
     * ``avg_name`` = mean of the previous ``n_prior`` rows' ``avg_col``
@@ -41,6 +42,11 @@ def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_i
       own value on the first row (and when the previous value is missing).
 
     The few values of a mean are added in sequence order as doubles.
+
+    ``attach`` lists dimensions keyed by the entity or the day. They are joined
+    (inner) to the day-level table, which has a row for each entity and day and
+    is joined to the rows anyway, so a dimension that is too large to broadcast
+    costs no further shuffle of the rows.
     """
     rec = F.struct(present(avg_col).alias("a"), present(lag_col).alias("w"))
     w_day = _day_window(entity, day, order)
@@ -59,7 +65,9 @@ def prior_features(df: DataFrame, entity: str = "machine_id", day: str = "date_i
     w_ent = Window.partitionBy(entity).orderBy(day).rowsBetween(-n_prior, -1)
     halo = tails.select(entity, day, F.flatten(F.collect_list("_tail").over(w_ent)).alias("_halo"))
 
-    out = rows.join(halo, [entity, day], "left")
+    for dim, key in attach:
+        halo = halo.join(dim, key)
+    out = rows.join(halo, [entity, day], "inner" if attach else "left")
     empty = F.filter(F.col("_same"), lambda x: F.lit(False))      # typed empty array
     hist = F.concat(F.coalesce(F.col("_halo"), empty), F.col("_same"))
     start = F.greatest(F.size(hist) - (n_prior - 1), F.lit(1))
@@ -99,15 +107,17 @@ def wear_cycles(prod: DataFrame, maint: DataFrame, entity: str = "machine_id", d
                         F.max(F.when(fail, F.col("_rn"))).over(
                             w_day.rowsBetween(Window.unboundedPreceding, -1))))
 
-    days_p = rows.groupBy(entity, day).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(fail.cast("int")).alias("_fails"),
-        F.max(F.when(fail, F.col("_rn"))).alias("_last_fail_rn"))
-    days_m = (maint.where(F.col("maintenance_type") == "Preventive").select(entity, day).distinct()
-              .withColumn("_prev", F.lit(1)))
-    days = days_p.join(days_m, [entity, day], "full_outer").select(
-        entity, day, F.coalesce("_n", F.lit(0)).alias("_n"), F.coalesce("_fails", F.lit(0)).alias("_fails"),
-        "_last_fail_rn", F.coalesce("_prev", F.lit(0)).alias("_prev"))
+    # Both sides of a day, as one table by entity: the rows are counted where they are, and one
+    # narrow shuffle by entity then serves the sums by day and the running sums.
+    made = rows.groupBy(entity, day).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(fail.cast("int")).alias("_fails"),
+        F.max(F.when(fail, F.col("_rn"))).alias("_last_fail_rn"), F.lit(0).alias("_prev"))
+    served = (maint.where(F.col("maintenance_type") == "Preventive").select(entity, day).distinct()
+              .select(entity, day, F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_fails"),
+                      F.lit(None).cast("int").alias("_last_fail_rn"), F.lit(1).alias("_prev")))
+    days = made.unionByName(served).repartition(F.col(entity)).groupBy(entity, day).agg(
+        F.sum("_n").alias("_n"), F.coalesce(F.sum("_fails"), F.lit(0)).alias("_fails"),
+        F.max("_last_fail_rn").alias("_last_fail_rn"), F.max("_prev").alias("_prev"))
 
     w_before = Window.partitionBy(entity).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
     days = (days.withColumn("_rows_before", F.coalesce(F.sum("_n").over(w_before), F.lit(0)))

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.functions import measures as M
-from shiftline.functions.scalar import age_years, decimal_sum, week_label
+from shiftline.functions.scalar import age_years, date_key, decimal_sum, key_to_date, week_label
 from shiftline.operators.aggregate import aggregate_by_attributes
+from shiftline.operators.calendar import calendar_dim
 from shiftline.operators.star import Star
 
 
@@ -69,15 +70,20 @@ def plant_category_matrix(prod: DataFrame, wide: bool = False, categories=None,
     units produced: the (plant, category) totals are aggregated first
     (through the dimensions, size-chosen), so only that small table is
     pivoted. Pass ``categories`` to avoid the extra job that finds the
-    distinct values (Spark caps a pivot at ``spark.sql.pivotMaxValues``).
+    distinct values (Spark caps a pivot at ``spark.sql.pivotMaxValues``); units
+    of all other categories, and of none, are in the column ``other``.
     """
     if not wide:
         return production_measures(prod, "plant_name", "category",
                                    names=["total_units_produced", "defect_rate_pct"], star=star)
     cells = aggregate_by_attributes(star, prod, ["plant_name", "category"], {"_u": decimal_sum("produced_qty")})
     g = cells.groupBy("plant_name")
-    p = g.pivot("category", categories) if categories is not None else g.pivot("category")
-    return p.agg(F.sum("_u").cast("double")).orderBy("plant_name")
+    if categories is None:
+        return g.pivot("category").agg(F.sum("_u").cast("double")).orderBy("plant_name")
+    # Units of any category that is not listed stay visible.
+    listed = cells.withColumn("category", F.when(F.col("category").isin(categories), F.col("category")).otherwise("other"))
+    return listed.groupBy("plant_name").pivot("category", [*categories, "other"]).agg(
+        F.sum("_u").cast("double")).orderBy("plant_name")
 
 
 def defect_rate_trend(prod: DataFrame, machine_types=None, by: str = "week") -> DataFrame:
@@ -89,11 +95,11 @@ def defect_rate_trend(prod: DataFrame, machine_types=None, by: str = "week") ->
     return prod.groupBy(period).agg(*[M.measure(n).alias(n) for n in names]).orderBy("period")
 
 
-def energy_per_unit_vs_age(star: Star, as_of: _dt.date) -> DataFrame:
+def energy_per_unit_vs_age(star: Star, as_of: _dt.date, prod: DataFrame | None = None) -> DataFrame:
     """V8: per machine, D7 and age in years at ``as_of`` (an explicit date,
     never the wall clock, so reruns agree). Aggregated on machine_id before
-    the machine lookup."""
-    per = star.fact_production.groupBy("machine_id").agg(
+    the machine lookup. ``prod``: a filtered fact instead of the whole one."""
+    per = (star.fact_production if prod is None else prod).groupBy("machine_id").agg(
         M.measure("total_energy_kwh").alias("total_energy_kwh"),
         M.measure("total_units_produced").alias("total_units_produced"))
     m = star.dim("dim_machine", "machine_id", "machine_name", "machine_type", "install_date")
@@ -121,3 +127,36 @@ def same_period_last_year(prod: DataFrame, star: Star | None = None) -> DataFram
                       "units_same_period_last_year",
                       (F.col("units") - F.col("units_same_period_last_year")).alias("yoy_change")
                       ).orderBy("plant_name", "year", "month")
+
+
+def shifted_days(star: Star, months: int = -12) -> DataFrame:
+    """Bridge of the calendar: ``date`` and the day ``months`` away, as ``other_id``.
+
+    Every day from the fact's first to its last is there, whether or not it has
+    a row in ``dim_date``. 29 February goes to the 28th where there is no 29th,
+    as ``add_months`` has it. Bounded by the calendar.
+    """
+    span = star.fact_production.agg(key_to_date(F.min("date_id")).alias("start"), key_to_date(F.max("date_id")).alias("end"))
+    return calendar_dim(span).select("date", date_key(F.add_months("date", months)).alias("other_id"))
+
+
+def same_period_by(prod: DataFrame, star: Star, grain: str, group: str = "plant_name", months: int = -12) -> DataFrame:
+    """V12 at any grain: units per ``group`` and day, week or month next to the same days a year before.
+
+    A period's days are shifted as a set: each earlier day counts once, however
+    many days of the period are shifted to it. The fact is summed by day first,
+    so the bridge meets days and groups, never rows. Columns: group, period,
+    total_units_produced, units_same_period_last_year, yoy_change.
+    """
+    period = {"day": lambda d: F.col(d).cast("string"), "week": week_label, "month": lambda d: F.date_format(d, "yyyy-MM")}[grain]
+    daily = aggregate_by_attributes(star, prod, [group, "date_id"], {"_u": decimal_sum("produced_qty")})
+    daily = daily.withColumn("date", key_to_date("date_id"))
+    now = daily.groupBy(group, period("date").alias("period")).agg(F.sum("_u").alias("_now"))
+    bridge = shifted_days(star, months).select(period("date").alias("period"), "other_id").distinct()
+    earlier = daily.join(bridge, F.col("date_id") == F.col("other_id")).groupBy(group, "period").agg(F.sum("_u").alias("_then"))
+    out = now.join(earlier, [group, "period"], "left").select(
+        group, "period", F.col("_now").cast("double").alias("total_units_produced"),
+        F.col("_then").cast("double").alias("units_same_period_last_year"))
+    return out.withColumn("yoy_change", F.col("total_units_produced") - F.col("units_same_period_last_year")).orderBy(
+        group, "period")
+

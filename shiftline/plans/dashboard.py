@@ -11,7 +11,7 @@ pre-aggregation when that dimension is too large to broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftline.functions.scalar import decimal_sum, exact_avg, exact_sum, safe_divide, week_label
@@ -20,7 +20,7 @@ from shiftline.operators.star import Star, attach_attrs, date_bounds, filter_fac
 
 
 def filtered_production(star: Star, plants=None, machine_types=None, start=None, end=None,
-                        attrs=()) -> DataFrame:
+                        attrs=(), calendar: Column | None = None) -> DataFrame:
     """production rows passing the filters, with ``attrs`` attached.
 
     * A plant or machine-type filter becomes a semi-join of the fact with
@@ -32,11 +32,14 @@ def filtered_production(star: Star, plants=None, machine_types=None, start=None,
       (``yyyyMMdd`` sorts like the date), so it reaches the fact scan as a
       pushed-down range predicate, and to the calendar's ``date`` as the
       dashboard defines it.
+    * ``calendar`` is a condition on ``dim_date`` (year, quarter, month ...);
+      the days that satisfy it prune the fact's month folders.
     """
-    f = star.fact_production
     lo, hi = date_bounds(start, end)
-    if lo is not None:
-        f = f.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
+    if calendar is not None:
+        f = star.in_calendar("fact_production", calendar if lo is None else calendar & F.col("date").between(lo, hi))
+    else:
+        f = star.fact_production if lo is None else star.between("fact_production", lo, hi)
     if plants is not None:
         keys = star.dim_plant.where(F.col("plant_name").isin(list(plants))).select("plant_id")
         f = f.join(keys, "plant_id", "left_semi")
@@ -57,10 +60,8 @@ def filtered_maintenance(star: Star, plants=None, machine_types=None, start=None
     filters are semi-joins with the qualifying machines; no attribute is
     attached, views look up what they need.
     """
-    m = star.fact_maintenance
     lo, hi = date_bounds(start, end)
-    if lo is not None:
-        m = m.where(F.col("date_id").between(lo.strftime("%Y%m%d"), hi.strftime("%Y%m%d")))
+    m = star.fact_maintenance if lo is None else star.between("fact_maintenance", lo, hi)
     if plants is not None or machine_types is not None:
         machines = star.dim_machine
         if machine_types is not None:

@@ -17,10 +17,11 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shiftline.operators import evaluation
 from shiftline.operators.star import Star, filter_choices
-from shiftline.plans import bi, csv_ingest, dashboard as db, history, ingest, risk, sql_api
+from shiftline.plans import bi, csv_ingest, dashboard as db, history, ingest, risk, saved_models, sql_api
 from shiftline.plans import sample_queries as sq
 from shiftline.session import scratch_path
 from shiftline.sources import warehouse
@@ -57,6 +58,9 @@ def _loaded(spark: SparkSession, sf_dir: str) -> tuple[RawStar, Star]:
             home = spark.conf.get(WAREHOUSE_CONF, None)
             base = (f"{home.rstrip('/')}/{tag}-{version}" if home
                     else scratch_path(spark, f"shiftline-warehouse/{app}-{uuid.uuid4().hex[:8]}/{tag}"))
+            # A folder whose files have changed is loaded anew; what was loaded of it before is let go.
+            for old in [k for k in _STARS if k[:2] == key[:2]]:
+                del _STARS[old]
             _STARS[key] = (raw, (warehouse.open_star(spark, base) if home else None) or warehouse.refresh(raw, base))
         return _STARS[key]
 
@@ -65,7 +69,7 @@ def fixture_star(spark: SparkSession, sf_dir: str) -> Star:
     return _loaded(spark, sf_dir)[1]
 
 
-_MODELS: dict[tuple[str, str], "risk.FittedRisk"] = {}
+_MODELS: dict[tuple[str, str], tuple[Star, "risk.FittedRisk"]] = {}
 # Boosting rounds at most; ten rounds without a gain on the validation slice end the fit.
 MODEL_MAX_ITER = 200
 
@@ -74,9 +78,9 @@ def fitted_model(spark: SparkSession, sf_dir: str) -> "risk.FittedRisk":
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     star = fixture_star(spark, sf_dir)
     with _LOCK:
-        if key not in _MODELS:
-            _MODELS[key] = risk.fit_failure_model(star, max_iter=MODEL_MAX_ITER)
-        return _MODELS[key]
+        if key not in _MODELS or _MODELS[key][0] is not star:       # fitted on this version of the inputs
+            _MODELS[key] = (star, risk.fit_failure_model(star, max_iter=MODEL_MAX_ITER))
+        return _MODELS[key][1]
 
 
 def _with_model(fn) -> Callable[[SparkSession, str], DataFrame]:
@@ -91,6 +95,11 @@ def _one_hot(st: Star) -> DataFrame:
     return df.select(*risk.KEYS, risk.LABEL, *names)
 
 
+def _sliced(st: Star, attrs=()) -> DataFrame:
+    """Production under all slicers."""
+    return db.filtered_production(st, FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END, attrs=attrs)
+
+
 def _with_raw(fn) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(*_loaded(spark, sf_dir))
@@ -122,6 +131,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_units_by_category": _on_star(sq.monthly_units_by_category),
     # the same six as SQL text through spark.sql (S3)
     **{f"sql_{n}": _sql(n) for n in sql_api.SAMPLE_SQL},
+    # the dashboard's filters as named markers of an SQL text
+    "sql_filtered_kpis": lambda spark, sf_dir: sql_api.run_sql(
+        spark, fixture_star(spark, sf_dir), sql_api.FILTERED_SQL["filtered_kpis"],
+        sql_api.filter_args(FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END)),
     # ingest (C1–C10, S5)
     "clean_dim_plant": _on_star(lambda st: st.dim_plant),
     "clean_dim_machine": _on_star(lambda st: st.dim_machine),
@@ -151,6 +164,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_summary": _on_star(lambda st: db.kpi_summary(db.filtered_production(st))),
     # a range needs both ends: with one the full range applies (F3); an empty choice selects nothing
     "kpi_one_bound": _on_star(lambda st: db.kpi_summary(db.filtered_production(st, start=FILTER_START))),
+    # a filter on the calendar's attributes prunes the fact's month folders
+    "calendar_kpis": _on_star(lambda st: db.kpi_summary(db.filtered_production(
+        st, FILTER_PLANTS, calendar=(F.col("year") == 1996) & F.col("month").isin(2, 3)))),
     "weekly_production_no_plant": _on_star(lambda st: db.weekly_production(
         db.filtered_production(st, plants=[], attrs=["date"]))),
     "weekly_production": _on_star(lambda st: db.weekly_production(
@@ -190,6 +206,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(
         db.filtered_production(st, machine_types=TREND_TYPES, attrs=["date"]))),
     "energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF)),
+    # the production pages under all slicers (V1, V4, V5, V8)
+    "sliced_executive_overview": _on_star(lambda st: bi.executive_overview(
+        _sliced(st), db.filtered_maintenance(st, FILTER_PLANTS, FILTER_TYPES, FILTER_START, FILTER_END))),
+    "sliced_plant_category_matrix": _on_star(lambda st: bi.plant_category_matrix(_sliced(st), star=st)),
+    "sliced_defect_rate_trend": _on_star(lambda st: bi.defect_rate_trend(_sliced(st, ["date"]))),
+    "sliced_energy_per_unit_vs_age": _on_star(lambda st: bi.energy_per_unit_vs_age(st, AGE_AS_OF, _sliced(st))),
+    "same_day_last_year": _on_star(lambda st: bi.same_period_by(db.filtered_production(st), st, "day")),
+    "same_week_last_year": _on_star(lambda st: bi.same_period_by(db.filtered_production(st), st, "week", "machine_type")),
     "same_period_last_year": _on_star(lambda st: bi.same_period_last_year(db.filtered_production(st), st)),
     # machine history, calendar, grain
     "prior_downtime_avg3": _on_star(lambda st: history.machine_history(st).select(
@@ -203,16 +227,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # failure-risk model
     "failure_features": _on_star(risk.failure_features),
     "one_hot_features": _on_star(_one_hot),
-    "stratified_split": _on_star(lambda st: risk.split(risk.failure_features(st)).select(
+    "stratified_split": _on_star(lambda st: risk.split_features(st).select(
         *risk.KEYS, risk.LABEL, "is_test")),
-    "class_weights": _on_star(lambda st: risk.class_weights(
-        risk.split(risk.failure_features(st)).where("is_test = 0"))),
+    "class_weights": _on_star(lambda st: risk.class_weights(risk.split_features(st).where("is_test = 0"))),
     "classification_report": _on_star(lambda st: evaluation.classification_report(
         risk.rule_predictions(st), risk.LABEL, "prediction", risk.TARGET_NAMES)),
     "roc_auc": _on_star(lambda st: evaluation.roc_auc(risk.rule_predictions(st), risk.LABEL, "score")),
     # permutation importance of a fixed rule, which an SQL engine can repeat
     "rule_permutation_importance": _on_star(lambda st: risk.rounded(risk.rule_importance(st))),
     "rule_top_features": _on_star(lambda st: risk.rounded(risk.top_features(risk.rule_importance(st), 2))),
+    # stored models, read back in another session and applied
+    "saved_linear_scores": _on_star(saved_models.linear_scores),
+    "saved_tree_scores": _on_star(saved_models.tree_scores),
+    "saved_tree_report": _on_star(saved_models.tree_report),
     "failure_model": _with_model(risk.model_summary),
     "score_failures": _with_model(lambda m: risk.score(m).select(
         *risk.KEYS, risk.LABEL, "prediction", "p_failure")),

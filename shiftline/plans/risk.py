@@ -12,13 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftline.operators import evaluation, ranking, windows
+from shiftline.operators import boosting, evaluation, linear, ranking, windows
 from shiftline.operators.star import Star
 from shiftline.session import checkpoint_dir
 
@@ -35,49 +34,90 @@ SEED = 42
 
 def failure_features(star: Star) -> DataFrame:
     """M1: J7 (production ⋈ machine ⋈ date) + W2 + W3, one row per shift."""
-    f = windows.prior_features(star.fact_production)
-    f = f.join(star.dim("dim_machine", "machine_id", "machine_type", "rated_capacity_units_per_hour",
-                        "base_energy_kwh_per_hour"), "machine_id")
-    f = f.join(star.dim("dim_date", "date_id", "day_of_week", "is_weekend"), "date_id")
+    machine = star.dim("dim_machine", "machine_id", "machine_type", "rated_capacity_units_per_hour",
+                       "base_energy_kwh_per_hour")
+    f = windows.prior_features(star.fact_production, attach=(
+        (machine, "machine_id"), (star.dim("dim_date", "date_id", "is_weekend"), "date_id")))
     return f.select(*KEYS, "record_id", "plant_id", *NUMERIC, "machine_type", LABEL)
 
 
-def category_levels(df: DataFrame, cols=CATEGORICAL) -> dict[str, list[str]]:
-    """Alphabetical levels of each categorical column: one multi-column
-    StringIndexer fit (one job; only the categorical columns are read, so
-    the history windows are pruned away). The label lists are the fitted
-    model's metadata, bounded by the columns' cardinality."""
-    cols = list(cols)
-    model = StringIndexer(inputCols=cols, outputCols=[f"{c}__idx" for c in cols],
-                          stringOrderType="alphabetAsc").fit(df.select(*cols))
-    return dict(zip(cols, [list(x) for x in model.labelsArray]))
-
-
-def one_hot_features(df: DataFrame, levels: dict[str, list[str]] | None = None) -> tuple[DataFrame, list[str]]:
-    """M2: indicator columns ``<col>_<level>`` for every level but the first
-    (pandas ``get_dummies(drop_first=True)``). Returns (frame, feature names)."""
-    levels = levels or category_levels(df)
-    names = list(NUMERIC)
-    cols = [F.col(c).cast("double").alias(c) for c in NUMERIC]
-    for c in CATEGORICAL:
-        for lv in levels[c][1:]:
-            n = f"{c}_{lv}"
-            names.append(n)
-            cols.append((F.col(c) == F.lit(lv)).cast("double").alias(n))
-    keep = [c for c in df.columns if c not in NUMERIC]
-    return df.select(*keep, *cols), names
-
-
-def split(df: DataFrame, test_percent: int = 20, seed: int = SEED, by_time: bool = False) -> DataFrame:
+@dataclass
+class Encoding:
+    """M2 as a fitted pipeline: sparse indicators of every level but the first, after the numbers.
+
+    The plan has one column however many levels there are; names are the
+    levels, bounded by the columns' cardinality.
+    """
+    model: PipelineModel
+    features: list[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``features``, a sparse vector."""
+        out = self.model.transform(df)
+        return out.select(*df.columns, "features")
+
+    def wide(self, df: DataFrame) -> DataFrame:
+        """``df`` with a column for each feature, instead of the numbers as they were."""
+        x = F.col("_x")
+        kept = [c for c in df.columns if c not in self.features]
+        return df.withColumn("_x", vector_to_array("features")).select(
+            *kept, *[x[k].alias(n) for k, n in enumerate(self.features)])
+
+
+def category_columns(star: Star) -> DataFrame:
+    """The model's numbers and categories as far as an encoding is fitted on them, without the history windows."""
+    made = star.fact_production.select("machine_id", "shift_id", "plant_id")
+    typed = made.distinct().join(star.dim("dim_machine", "machine_id", "machine_type"), "machine_id")
+    return typed.select(*CATEGORICAL, *[F.lit(0.0).alias(c) for c in NUMERIC])
+
+
+def fit_encoding(df: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL) -> Encoding:
+    """M2: indicators ``<col>_<level>`` for every level but the first alphabetical one.
+
+    Levels are indexed in descending order and the last index is dropped. One
+    job reads the categorical columns alone. A level that was not there, or a
+    null, is an error when the pipeline is applied.
+    """
+    numeric, categorical = list(numeric), list(categorical)
+    at, hot = [f"{c}__at" for c in categorical], [f"{c}__hot" for c in categorical]
+    indexer = StringIndexer(inputCols=categorical, outputCols=at, stringOrderType="alphabetDesc").fit(
+        df.select(*categorical))
+    # A column with one level has no indicator.
+    levels = [list(x) for x in indexer.labelsArray]
+    used = [k for k, x in enumerate(levels) if len(x) > 1]
+    encoder = OneHotEncoder(inputCols=[at[k] for k in used], outputCols=[hot[k] for k in used], dropLast=True)
+    assembler = VectorAssembler(inputCols=numeric + [hot[k] for k in used], outputCol="features")
+    indexed = indexer.transform(df.select(*numeric, *categorical))
+    stages = [indexer, *([encoder.fit(indexed)] if used else []), assembler]
+    names = numeric + [f"{categorical[k]}_{lv}" for k in used for lv in levels[k][:-1]]
+    return Encoding(PipelineModel(stages=stages), names)
+
+
+def one_hot_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """M2 as columns (pandas ``get_dummies(drop_first=True)``). Returns (frame, feature names)."""
+    encoding = fit_encoding(df)
+    return encoding.wide(encoding.transform(df)).drop("features"), encoding.features
+
+
+def split(df: DataFrame, test_percent: int = 20, seed: int = SEED, by_time: bool = False,
+          keys: DataFrame | None = None) -> DataFrame:
     """M3: exact stratified split on the label (``is_test`` 0/1).
 
+    ``keys``: the fact that ``df`` has a row for each row of; the split is then
+    decided on its narrow columns, below the windows of ``df``.
+
     Default: random, as the reference does (neighbouring shifts of one
     machine land on both sides, quirk K9). ``by_time=True`` holds out the
     latest shifts of each class instead.
     """
     if by_time:
-        return ranking.time_split(df, LABEL, ["date_id", "shift_id", "machine_id"], test_percent)
-    return ranking.stratified_split(df, LABEL, KEYS, test_percent=test_percent, seed=seed)
+        return ranking.time_split(df, LABEL, ["date_id", "shift_id", "machine_id"], test_percent, keys=keys)
+    return ranking.stratified_split(df, LABEL, KEYS, test_percent=test_percent, seed=seed, keys=keys)
+
+
+def split_features(star: Star, **how) -> DataFrame:
+    """M1 + M3: every shift's features with ``is_test``."""
+    return split(failure_features(star), keys=star.fact_production, **how)
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -97,12 +137,38 @@ def with_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
     return train.withColumn("weight", chosen)
 
 
+@dataclass
+class RiskModel:
+    """M6: the encoding and the scorer; all that is stored of a fitted model."""
+    encoding: Encoding
+    scorer: boosting.Boosted | linear.Linear
+
+    @property
+    def features(self) -> list[str]:
+        return self.encoding.features
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with p_failure and prediction (1 from 0.5 on)."""
+        encoded = df if "features" in df.columns else self.encoding.transform(df)
+        p = self.scorer.probability(boosting.as_array())
+        return encoded.withColumn("p_failure", p).withColumn("prediction", (F.col("p_failure") >= 0.5).cast("double"))
+
+
 @dataclass
 class FittedRisk:
-    model: PipelineModel
-    features: list[str]
-    test: DataFrame
+    model: RiskModel
+    #: Rows with their keys, categories, label and sparse ``features``.
     train: DataFrame
+    test_rows: DataFrame
+
+    @property
+    def features(self) -> list[str]:
+        return self.model.features
+
+    @property
+    def test(self) -> DataFrame:
+        """The test rows with a column for each feature too."""
+        return self.model.encoding.wide(self.test_rows)
 
 
 def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth: int = 6,
@@ -113,64 +179,32 @@ def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth
     0.08, depth 6, balanced class weights, seed 42) and its early stopping: a
     fit ends once ``patience`` rounds have not lowered the loss on a
     stratified 10 % validation slice of the training rows by ``min_gain``,
-    and keeps the rounds up to there.
+    and keeps the rounds up to there. Each round is fitted once (``boosting``).
     ``split_by_time`` holds out the latest shifts instead of random ones (K9).
 
     The split feature table is written to the shared checkpoint folder
     first, so the iterative fit and all later scoring read a short lineage
-    and survive executor loss (GBT caches its own binned training set).
+    and survive executor loss.
     """
-    feats, names = one_hot_features(failure_features(star))
-    # The split feature table feeds training, scoring, the report, the AUC
-    # and permutation importance: write it once to the shared checkpoint
-    # folder so each of them starts from files, not from the feature plan.
-    checkpoint_dir(feats.sparkSession)
-    data = split(feats, by_time=split_by_time).checkpoint(eager=True)
+    checkpoint_dir(star.fact_production.sparkSession)
+    rows = split_features(star, by_time=split_by_time).checkpoint(eager=True)
+    encoding = fit_encoding(rows)
+    data = encoding.transform(rows)
     train = data.where(F.col("is_test") == 0).drop("is_test")
     test = data.where(F.col("is_test") == 1).drop("is_test")
-    train = ranking.stratified_split(train, LABEL, KEYS, test_percent=validation_percent,
-                                     seed=seed + 1, out="is_validation")
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    rows = assembler.transform(with_weights(train)).select("features", LABEL, "weight", "is_validation")
-    rows = rows.checkpoint(eager=True)
-    learn, held = rows.where(F.col("is_validation") == 0), rows.where(F.col("is_validation") == 1)
-
-    def fit(rounds: int):
-        return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight", maxIter=rounds,
-                             stepSize=step, maxDepth=depth, maxBins=max_bins, minInstancesPerNode=min_leaf,
-                             seed=seed).fit(learn)
-
-    # A fit of more rounds starts with the same trees, so the rounds are tried
-    # in growing numbers until the stop is among them, then fitted up to it.
-    rounds = min(max_iter, 2 * patience)
-    while True:
-        model = fit(rounds)
-        stop = stop_round(model.evaluateEachIteration(held), patience, min_gain)
-        if stop is not None or rounds == max_iter:
-            break
-        rounds = min(max_iter, 2 * rounds)
-    if stop is not None and stop < rounds:
-        model = fit(stop)
-    return FittedRisk(PipelineModel(stages=[assembler, model]), names, test, train)
-
-
-def stop_round(losses: list[float], patience: int, min_gain: float) -> int | None:
-    """The round at which ``patience`` rounds have passed without a gain on the best loss; None if never."""
-    best, at = float("inf"), 0
-    for k, loss in enumerate(losses, 1):
-        if loss < best - min_gain:
-            best, at = loss, k
-        elif k - at >= patience:
-            return k
-    return None
+    learn = ranking.stratified_split(train.select(*KEYS, LABEL, "features"), LABEL, KEYS,
+                                     test_percent=validation_percent, seed=seed + 1, out="is_validation")
+    boosted = boosting.fit(with_weights(learn), LABEL, "weight", "is_validation", max_iter, step, depth, min_leaf,
+                           max_bins, patience, min_gain, seed)
+    return FittedRisk(RiskModel(encoding, boosted), train, test)
+
+
+stop_round = boosting.stop_round
 
 
 def score(fitted: FittedRisk, df: DataFrame | None = None) -> DataFrame:
     """M6: predicted class and probability of failure."""
-    df = fitted.test if df is None else df
-    out = fitted.model.transform(df)
-    return out.withColumn("p_failure", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability")
+    return fitted.model.transform(fitted.test_rows if df is None else df).drop("features")
 
 
 def model_summary(fitted: FittedRisk) -> DataFrame:
@@ -179,10 +213,9 @@ def model_summary(fitted: FittedRisk) -> DataFrame:
     auc = evaluation.roc_auc(s, LABEL, "p_failure").select("roc_auc")
     acc = s.agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double")).alias("accuracy"),
                 F.count(F.lit(1)).alias("n_test"))
-    n_trees = len(fitted.model.stages[-1].trees)
     return (acc.select("n_test", "accuracy", auc.scalar().alias("roc_auc"),
                        fitted.train.select(F.count(F.lit(1))).scalar().alias("n_train"))
-            .withColumn("n_trees", F.lit(n_trees)))
+            .withColumn("n_trees", F.lit(len(fitted.model.scorer.trees))))
 
 
 def _metric(name: str) -> F.Column:
@@ -204,9 +237,28 @@ def _metric(name: str) -> F.Column:
 
 def permutation_importance(fitted: FittedRisk, repeats: int = 5, seed: int = SEED,
                            features: list[str] | None = None, metric: str = "accuracy") -> DataFrame:
-    """M9 of the fitted model on its test rows; see ``importance``."""
-    test = fitted.test.select(*KEYS, LABEL, *[F.col(f"`{f}`") for f in fitted.features])
-    return importance(test, lambda df: score(fitted, df), features or fitted.features, repeats, seed, metric)
+    """M9 of the fitted model on its test rows; see ``importance``.
+
+    A feature that no tree tests changes no prediction, so its importance is
+    0 and its values are not shuffled. Of the others, a row carries the few
+    values that the trees read.
+    """
+    names = features or fitted.features
+    boosted, spark = fitted.model.scorer, fitted.test_rows.sparkSession
+    place = {fitted.features[f]: k for k, f in enumerate(boosted.used())}
+    read = [n for n in names if n in place]
+    test = fitted.test_rows.select(*KEYS, LABEL, *[
+        boosting.as_array()[fitted.features.index(n)].alias(n) for n in place])
+    walk = boosting.evaluator(boosted)
+    predict = lambda df: df.withColumn("prediction", (walk(F.array(
+        *[F.col(f"`{n}`").cast("double") for n in place])) >= 0.5).cast("double"))
+    _metric(metric)
+    order = spark.createDataFrame([(k, n) for k, n in enumerate(names)], "at int, feature string")
+    found = importance(test, predict, read, repeats, seed, metric) if read else None
+    if found is None:
+        return order.orderBy("at").select("feature", F.lit(0.0).alias("importance_mean"), F.lit(0.0).alias("importance_std"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0.0)).alias(c)
+    return order.join(found, "feature", "left").orderBy("at").select("feature", zero("importance_mean"), zero("importance_std"))
 
 
 def importance(test: DataFrame, predict, features: list[str], repeats: int = 5, seed: int = SEED,
@@ -250,7 +302,7 @@ RULE_FEATURES = ["prior_wear", "prior_downtime_avg3", "planned_qty"]
 
 def rule_importance(star: Star) -> DataFrame:
     """M9 of the fixed rule: wear, or a long mean downtime on a large plan, predicts a failure."""
-    test = split(failure_features(star)).where(F.col("is_test") == 1).select(*KEYS, LABEL, *RULE_FEATURES)
+    test = split_features(star).where(F.col("is_test") == 1).select(*KEYS, LABEL, *RULE_FEATURES)
     rule = (F.col("prior_wear") >= 0.5) | ((F.col("prior_downtime_avg3") >= 200) & (F.col("planned_qty") >= 25))
     return importance(test, lambda df: df.withColumn("prediction", rule.cast("int")), RULE_FEATURES)
 
@@ -269,8 +321,8 @@ def rule_predictions(star: Star, threshold: float = 0.5) -> DataFrame:
     """A deterministic scorer for oracle-checkable evaluation: prior_wear as
     the score, ``prior_wear >= threshold`` as the predicted class, on the
     test split."""
-    feats = split(failure_features(star)).where(F.col("is_test") == 1)
-    return feats.select(*KEYS, LABEL, F.col("prior_wear").alias("score"),
-                        (F.col("prior_wear") >= threshold).cast("int").alias("prediction"))
-
-
+    worn = windows.prior_features(star.fact_production.select(*KEYS, "record_id", LABEL, "downtime_minutes",
+                                                              "machine_wear_index"))
+    held = split(worn, keys=star.fact_production).where(F.col("is_test") == 1)
+    return held.select(*KEYS, LABEL, F.col("prior_wear").alias("score"),
+                       (F.col("prior_wear") >= threshold).cast("int").alias("prediction"))

@@ -10,8 +10,9 @@ and names are looked up for the totals only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shiftline.operators.star import Star
+from shiftline.operators.star import Star, date_bounds
 
 # Exact total of a double column: NaN and null are missing.
 _TOTAL = "SUM(CAST(NULLIF({c}, DOUBLE('NaN')) AS DECIMAL(38,18)))".format
@@ -87,8 +88,38 @@ def register_views(star: Star, prefix: str = "") -> list[str]:
     return names
 
 
-def run_sql(spark: SparkSession, star: Star, sql: str) -> DataFrame:
-    """Plan SQL text against the star. The returned DataFrame keeps the
-    tables it was analysed against, even if the views are re-registered."""
+# The dashboard's filters as named markers; a null leaves its filter out, an empty list selects nothing.
+FILTERED_SQL: dict[str, str] = {
+    "filtered_kpis": f"""
+        WITH sites AS (
+          SELECT plant_id FROM dim_plant
+          WHERE CAST(:plants AS ARRAY<STRING>) IS NULL OR ARRAY_CONTAINS(CAST(:plants AS ARRAY<STRING>), plant_name)),
+        kinds AS (
+          SELECT machine_id FROM dim_machine
+          WHERE CAST(:types AS ARRAY<STRING>) IS NULL OR ARRAY_CONTAINS(CAST(:types AS ARRAY<STRING>), machine_type)),
+        chosen AS (
+          SELECT * FROM fact_production LEFT SEMI JOIN sites USING (plant_id) LEFT SEMI JOIN kinds USING (machine_id)
+          WHERE :first IS NULL OR :last IS NULL OR date_id BETWEEN :first AND :last)
+        SELECT DOUBLE({_TOTAL(c='produced_qty')}) AS units_produced,
+               try_divide(DOUBLE({_TOTAL(c='downtime_minutes')}), COUNT(NULLIF(downtime_minutes, DOUBLE('NaN'))))
+                 AS avg_downtime_minutes,
+               try_divide(DOUBLE(SUM(defective_qty)), DOUBLE({_TOTAL(c='produced_qty')})) * 100D AS defect_rate_pct,
+               DOUBLE({_TOTAL(c='energy_consumed_kwh')}) AS total_energy_kwh, SUM(failure_event) AS failure_events
+        FROM chosen""",
+}
+
+
+def filter_args(plants=None, machine_types=None, start=None, end=None) -> dict:
+    """The markers of FILTERED_SQL. Values are passed, never pasted into the text."""
+    lo, hi = date_bounds(start, end)
+    names = lambda xs: None if xs is None else F.array(*[F.lit(x) for x in xs])
+    day = lambda d: None if d is None else d.strftime("%Y%m%d")
+    return {"plants": names(plants), "types": names(machine_types), "first": day(lo), "last": day(hi)}
+
+
+def run_sql(spark: SparkSession, star: Star, sql: str, args: dict | None = None) -> DataFrame:
+    """Plan SQL text against the star, with values for its named markers
+    (``:name``). The returned DataFrame keeps the tables it was analysed
+    against, even if the views are re-registered."""
     register_views(star)
-    return spark.sql(sql)
+    return spark.sql(sql, args=args) if args else spark.sql(sql)

@@ -1,9 +1,10 @@
 """Parquet warehouse: full-refresh load (S4), reload, model persistence.
 
-Facts are clustered by calendar week (a REBALANCE exchange, which AQE
-splits where one week is hot) and sorted by date inside each file, so files
-and row groups cover narrow date ranges and Parquet min/max statistics let
-a pushed-down date predicate skip them. Writing the cleaned
+Facts are partitioned by calendar month and sorted by date inside each file.
+A filter on the calendar (its year, quarter or month) prunes the month folders
+at run time through the join with ``dim_date``, a date range prunes them when
+planned, and inside a month the Parquet min/max statistics let a pushed-down
+date predicate skip row groups. Writing the cleaned
 tables also cuts the lineage: queries start from files, not from the raw
 inputs and the validation joins.
 """
@@ -16,11 +17,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shiftline.operators.cleaning import table_counts
-from shiftline.operators.star import DIMS, FACTS, Star
-
-_EPOCH_MONDAY = "1970-01-05"      # weeks counted Monday to Sunday
+from shiftline.operators.star import DIMS, FACTS, MONTH, Star, month_of
+from shiftline.schemas import TABLES
+from shiftline.session import remove_folder
 
 FACT_SORT = {"fact_production": ["date_id", "machine_id", "shift_id"],
              "fact_maintenance": ["date_id", "machine_id"]}
@@ -42,19 +44,16 @@ def _write_dims(dims: dict[str, DataFrame], base: str) -> None:
 
 
 def _write_fact(df: DataFrame, name: str, base: str, fact_files: int | None) -> None:
-    """Cluster a fact by calendar week and sort each file by date.
+    """Partition a fact by calendar month and sort each file by date.
 
-    A REBALANCE exchange on the week number needs no sampling pass (range
+    A REBALANCE exchange on the month needs no sampling pass (range
     partitioning would evaluate the whole validation plan twice). AQE splits
-    a hot week into several files and merges small ones; at volume every
-    file stays within one week, so Parquet min/max statistics on ``date_id``
-    prune files for a date range.
+    a hot month into several files of the same folder and merges small ones
+    into one task, which then writes a file for each of its months.
     """
-    keys = FACT_SORT[name]
-    week = F.floor(F.datediff(F.to_date(F.col("date_id"), "yyyyMMdd"), F.lit(_EPOCH_MONDAY)) / 7)
-    x = df.withColumn("_week", week)
-    x = x.hint("rebalance", fact_files, "_week") if fact_files else x.hint("rebalance", "_week")
-    x.sortWithinPartitions(*keys).drop("_week").write.mode("overwrite").parquet(f"{base}/{name}")
+    x = df.withColumn(MONTH, month_of("date_id"))
+    x = x.hint("rebalance", fact_files, MONTH) if fact_files else x.hint("rebalance", MONTH)
+    x.sortWithinPartitions(MONTH, *FACT_SORT[name]).write.mode("overwrite").partitionBy(MONTH).parquet(f"{base}/{name}")
 
 
 def write_star(star: Star, path: str, fact_files: int | None = None) -> None:
@@ -86,8 +85,12 @@ def load_raw_star(raw, path: str, fact_files: int | None = None,
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
+    """The written star; its facts also as ``parts``, with the month that their folders are named after."""
     base = path.rstrip("/")
-    return Star(**{n: spark.read.parquet(f"{base}/{n}") for n in DIMS + FACTS})
+    parts = {n: spark.read.schema(T.StructType([*TABLES[n].fields, T.StructField(MONTH, T.StringType())])).parquet(
+        f"{base}/{n}") for n in FACTS}
+    return Star(**{n: spark.read.parquet(f"{base}/{n}") for n in DIMS},
+                **{n: parts[n].drop(MONTH) for n in FACTS}, parts=parts)
 
 
 def refresh(raw, base: str, fact_files: int | None = None, check: bool = True) -> Star:
@@ -95,13 +98,18 @@ def refresh(raw, base: str, fact_files: int | None = None, check: bool = True) -
     primary keys, NOT NULL columns and foreign keys of what was written, then
     publish it. Readers see the last published snapshot at all times; a load
     that fails or breaks a constraint (``ConstraintViolation``) publishes
-    nothing. Older snapshots stay until someone removes them."""
+    nothing and leaves no folder. Older snapshots stay until ``prune``. Two
+    loads at once both publish; readers take the later one."""
     from shiftline.operators import cleaning
     spark = raw.raw_production.sparkSession
     base, name = base.rstrip("/"), f"snapshot-{uuid.uuid4().hex}"
-    star = load_raw_star(raw, f"{base}/{name}", fact_files)
-    if check:
-        cleaning.assert_constraints(cleaning.constraint_report(star.tables()))
+    try:
+        star = load_raw_star(raw, f"{base}/{name}", fact_files)
+        if check:
+            cleaning.assert_constraints(cleaning.constraint_report(star.tables()))
+    except Exception:
+        remove_folder(spark, f"{base}/{name}")
+        raise
     (spark.range(1).select(F.lit(name).alias("snapshot"), F.current_timestamp().alias("published_at"))
      .write.mode("append").parquet(f"{base}/published"))
     return star
@@ -117,6 +125,19 @@ def open_star(spark: SparkSession, base: str) -> Star | None:
     return read_star(spark, f"{base}/{last}") if last else None
 
 
+def prune(spark: SparkSession, base: str, keep: int = 1) -> list[str]:
+    """Delete all but the ``keep`` last published snapshots under ``base`` and return their names.
+
+    Never run by itself: a session that still reads an older snapshot loses it.
+    """
+    base = base.rstrip("/")
+    newest = spark.read.parquet(f"{base}/published").orderBy(F.desc("published_at")).collect()   # a row a load
+    old = [r.snapshot for r in newest[keep:]]
+    for name in old:
+        remove_folder(spark, f"{base}/{name}")
+    return old
+
+
 def input_version(spark: SparkSession, paths: list[str]) -> str:
     """Changes when a file under ``paths`` does (names, sizes, times; metadata only)."""
     parts = []
@@ -134,20 +155,33 @@ def full_refresh(star: Star, path: str, fact_files: int | None = None) -> DataFr
     return table_counts(read_star(star.fact_production.sparkSession, path).tables())
 
 
-def save_model(fitted, path: str) -> None:
-    """The fitted pipeline and its ordered feature-column list."""
-    base = path.rstrip("/")
-    fitted.model.write().overwrite().save(f"{base}/model")
-    spark = fitted.test.sparkSession
-    names = spark.createDataFrame([(i, n) for i, n in enumerate(fitted.features)], "position int, feature string")
-    names.coalesce(1).write.mode("overwrite").parquet(f"{base}/feature_columns")
+def save_model(model, path: str, spark: SparkSession | None = None) -> None:
+    """A model's encoding, its scorer as tables, and its ordered feature columns.
+
+    ``model`` is a ``RiskModel``, or something fitted that has one as ``model``.
+    """
+    base, model = path.rstrip("/"), getattr(model, "model", model)
+    spark, scorer = spark or SparkSession.active(), model.scorer
+    model.encoding.model.write().overwrite().save(f"{base}/encoding")
+    tables = {"nodes": scorer.nodes(spark),
+              "margin": spark.createDataFrame([(type(scorer).__name__, scorer.base, getattr(scorer, "rate", 1.0))],
+                                              "kind string, base double, rate double"),
+              "feature_columns": spark.createDataFrame(list(enumerate(model.features)), "position int, feature string")}
+    for name, df in tables.items():
+        df.coalesce(1).write.mode("overwrite").parquet(f"{base}/{name}")
 
 
 def load_model(spark: SparkSession, path: str):
+    """(model, feature columns) of a stored model, in any session; the model's ``transform`` scores."""
     from pyspark.ml import PipelineModel
+    from shiftline.operators import boosting, linear
+    from shiftline.plans.risk import Encoding, RiskModel
     base = path.rstrip("/")
     cols = [r.feature for r in spark.read.parquet(f"{base}/feature_columns").orderBy("position").collect()]
-    return PipelineModel.load(f"{base}/model"), cols
+    margin = spark.read.parquet(f"{base}/margin").first()
+    kind = {c.__name__: c for c in (boosting.Boosted, linear.Linear)}[margin.kind]
+    scorer = kind.from_nodes(spark.read.parquet(f"{base}/nodes"), margin.base, margin.rate)
+    return RiskModel(Encoding(PipelineModel.load(f"{base}/encoding"), cols), scorer), cols
 
 
 def is_empty(df: DataFrame) -> bool:
