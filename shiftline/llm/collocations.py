@@ -1,24 +1,25 @@
 """Phrase collocations from stripes: each prefix keys a counter of the words that follow it.
 
-Level m has the stripes of all prefixes of m - 1 words. A stripe's entries are
-the counts of the phrases prefix + next word, its total is the prefix's own
-count, and its largest entry is the most frequent extension to the right.
-
-1. In a task, texts are cut into pieces and words, words get numbers that hold
-   for one chunk of words, and numpy counts (prefix, next) pairs exactly by
-   those numbers. The chunk's stripes leave the task.
-2. Stripes of one (lang, prefix, slice) meet in sorted order and are added
-   element by element. The empty prefix is dealt over ``slices`` by its next
-   words, a prefix of hot words only (each at least 1/``hot`` of all words, so at
-   most ``hot`` of them) over ``hot_slices``; any other prefix has fewer
-   occurrences than that share.
-3. A phrase can only be frequent if its first and its last m - 1 words are. A
-   bitmap of 2**``bits`` places, set at the hashes of the frequent phrases of
-   the level before, tells the tasks what to leave out. Its size is fixed; a
-   full one lets more through and changes no count. After level 2 the words
-   outside frequent pairs are left out of the texts once, for all levels after.
-4. Counts below ``least`` are dropped after merging. Scores, cuts and
-   subsumption are joins over the frequent phrases that are left.
+Level m has the stripes of prefixes of m - 1 words. A stripe's entries are the
+counts of the phrases prefix + next word and its largest entry is the most
+frequent extension to the right; a prefix's total is its own entry in the
+stripe one word shorter, and the empty prefix has the number of all words.
+
+1. What may be frequent: a task numbers the words of a chunk and numpy counts
+   its phrases of m words by hash, only those whose first and last m - 1 words
+   may be frequent. Spark adds the counts; hashes that reach ``least`` set a
+   bitmap of 2**``bits`` places, which is what the tasks get. Its size is fixed;
+   collisions and a full bitmap let more through and change no count.
+2. Stripes: a task counts (prefix, next) pairs of phrases that the bitmap may
+   hold, exactly, by its word numbers, and gives a stripe for each prefix.
+   Stripes of one (lang, prefix, slice) meet in sorted order and are added
+   element by element; counts below ``least`` are dropped then. The empty
+   prefix, and a prefix of hot words only (each at least 1/``hot`` of all words,
+   so at most ``hot`` of them), is dealt over ``slices`` by its next words; any
+   other prefix has fewer occurrences than that share.
+3. After the bitmap of level 2 the words outside such pairs are left out of the
+   texts once, for all that follows.
+4. Scores, cuts and subsumption are joins over the frequent phrases.
 
 Phrases that a longer one covers: a phrase's frequency is at least that of any
 phrase it lies in, so the most frequent extension by one word to the left or
@@ -44,14 +45,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shiftline.llm.common import arrow_map, rows_of, slices, written
+from shiftline.llm.common import arrow_map, arrow_schema, rows_of, slices, written
 from shiftline.llm.hashing import STEP, mix
 
 UNKNOWN = "und"
 #: Piece ends become full stops, a tab a blank.
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b".......... ")
-STRIPES = ("lang string, prefix string, slice int, total long, next array<string>, n array<long>")
-MERGED = STRIPES + ", h array<long>"
+STRIPES = "lang string, prefix string, slice int, total long, next array<string>, n array<long>"
+RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 
 @dataclass(frozen=True)
@@ -62,9 +63,10 @@ class Settings:
     share: int = 100
     top: int = 2000
     hot: int = 1000
-    slices: int = 256
-    hot_slices: int = 16
+    slices: int = 64
     bits: int = 26
+    #: Bits of the hashes that phrases are first counted by.
+    hash_bits: int = 36
     #: Words counted together in a task, and bytes of the parts that texts are cut into.
     chunk: int = 1 << 20
     part: int = 1 << 20
@@ -127,64 +129,75 @@ class Chunk:
         self.tags.append(np.full(len(words), self.langs.setdefault(lang, len(self.langs)), np.int64))
         self.size += len(words)
 
-    def _places(self, m: int, known: Bitmap) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Words, languages, hashes of the numbers, and where a phrase of m words that ``known`` may hold begins."""
-        ids, tag = np.concatenate(self.parts), np.concatenate(self.tags)
-        hashes = hashes_of(list(self.numbers))
+    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers and languages of the words, and the numbers' hashes."""
+        return np.concatenate(self.parts), np.concatenate(self.tags), hashes_of(list(self.numbers))
+
+    def phrases(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where phrases of m words begin, and their hashes."""
+        ids, tag, hashes = self.words()
         count = max(0, len(ids) - (m - 1))
-        whole = np.logical_and.reduce([ids[j: j + count] > 0 for j in range(m)])
-        start = np.flatnonzero(whole)
-        found = known.holds(chain(hashes_of([x.encode() for x in self.langs])[tag[start]],
-                                  [hashes[ids[start + j]] for j in range(m)]))
-        passes = np.zeros(len(ids) + 1, bool)
-        passes[start[found]] = True
-        return ids, tag, hashes, passes
-
-    def stripes(self, m: int, known: Bitmap | None, hot: frozenset, settings: Settings) -> pa.RecordBatch:
-        """The stripes of level m: prefixes that ``known`` may hold, extensions whose last m - 1 words it may."""
-        size = len(self.numbers)
-        if m == 1:
-            ids, tag = np.concatenate(self.parts), np.concatenate(self.tags)
-            hashes, at = hashes_of(list(self.numbers)), np.flatnonzero(ids > 0)
-            longer, pid, spread = np.ones(len(at), bool), tag[at], settings.slices
-            total = np.bincount(pid, minlength=len(self.langs))
-            first = None
+        start = np.flatnonzero(np.logical_and.reduce([ids[j: j + count] > 0 for j in range(m)]))
+        own = hashes_of([x.encode() for x in self.langs])
+        return start, chain(own[tag[start]], [hashes[ids[start + j]] for j in range(m)])
+
+    def passes(self, m: int, known: Bitmap) -> np.ndarray:
+        """For every place and one more, whether a phrase of m words that ``known`` may hold begins there."""
+        start, h = self.phrases(m)
+        out = np.zeros(self.size + 1, bool)
+        out[start[known.holds(h)]] = True
+        return out
+
+    def hash_counts(self, m: int, known: Bitmap | None, settings: Settings) -> pa.RecordBatch:
+        """Phrases of m words by hash, those whose first and last m - 1 words ``known`` may hold."""
+        start, h = self.phrases(m)
+        if known is not None:
+            ok = self.passes(m - 1, known)
+            h = h[ok[start] & ok[start + 1]]
+        h, n = np.unique(h & np.uint64((1 << settings.hash_bits) - 1), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
+
+    def stripes(self, m: int, known: Bitmap, hot: frozenset, settings: Settings) -> pa.RecordBatch:
+        """The stripes of level m with the phrases that ``known`` may hold."""
+        ids, tag, hashes = self.words()
+        size, spread = len(self.numbers), settings.slices
+        at = np.flatnonzero(self.passes(m, known))
+        pid = tag[at]
+        for j in range(m - 1):
+            pid = pid * size + ids[at + j]
+            if j < m - 2:
+                pid = np.unique(pid, return_inverse=True)[1]
+        if m == 1:       # every language has the empty prefix, which tells its number of words
+            lang, prefix_words = np.arange(len(self.langs)), []
         else:
-            ids, tag, hashes, passes = self._places(m - 1, known)
-            at = np.flatnonzero(passes)
-            longer, pid, spread = passes[at + 1], tag[at], settings.hot_slices
-            for j in range(m - 1):
-                pid = pid * size + ids[at + j]
-                if j < m - 2:
-                    pid = np.unique(pid, return_inverse=True)[1]
-            _, first, pid, total = np.unique(pid, return_index=True, return_inverse=True, return_counts=True)
-            first = at[first]
-        prefix_words = [ids[first + j] for j in range(m - 1)]
+            _, first, pid = np.unique(pid, return_index=True, return_inverse=True)
+            lang, prefix_words = tag[at[first]], [ids[at[first] + j] for j in range(m - 1)]
         is_hot = np.zeros(size, bool)
         is_hot[[self.numbers[w] for w in hot if w in self.numbers]] = True
-        dealt_out = np.logical_and.reduce([is_hot[w] for w in prefix_words]) if m > 1 else np.ones(len(total), bool)
+        dealt_out = np.logical_and.reduce([np.ones(len(lang), bool), *[is_hot[w] for w in prefix_words]])
         # Pairs (prefix, next) in order of prefix and slice.
-        own, following = pid[longer], ids[at[longer] + m - 1]
-        dealt = (hashes % np.uint64(spread)).astype(np.int64)
-        (group, following), times = _pairs(own * spread + np.where(dealt_out[own], dealt[following], 0), following, size,
-                                           len(total) * spread)
-        groups = np.unique(np.concatenate([np.arange(len(total)) * spread, group]))
-        ends = np.concatenate([np.searchsorted(group, groups), [len(times)]]).astype(np.int32)
+        following = ids[at + m - 1]
+        dealt = (hashes[following] % np.uint64(spread)).astype(np.int64)
+        keys, times = np.unique((pid * spread + np.where(dealt_out[pid], dealt, 0)) * size + following, return_counts=True)
+        group, following = keys // size, keys % size
+        groups = np.unique(group if m > 1 else np.concatenate([np.arange(len(lang)) * spread, group]))
+        ends = pa.array(np.append(np.searchsorted(group, groups), len(keys)).astype(np.int32))
         prefix, part = groups // spread, groups % spread
         text = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
-        lang = np.arange(len(total)) if m == 1 else tag[first]
         joined = pc.binary_join_element_wise(*[text.take(pa.array(w)) for w in prefix_words], " ") if m > 1 else pa.array(
-            [""] * len(total), pa.string())
+            [""] * len(lang), pa.string())
+        total = np.bincount(tag[ids > 0], minlength=len(lang))[prefix] * (part == 0) if m == 1 else np.zeros(len(groups), np.int64)
         return pa.RecordBatch.from_arrays([
             pa.array(list(self.langs), pa.string()).take(pa.array(lang[prefix])), joined.take(pa.array(prefix)),
-            pa.array(part, pa.int32()), pa.array(np.where(part == 0, total[prefix], 0), pa.int64()),
-            pa.ListArray.from_arrays(pa.array(ends), text.take(pa.array(following))),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(times, pa.int64()))],
+            pa.array(part, pa.int32()), pa.array(total),
+            pa.ListArray.from_arrays(ends, text.take(pa.array(following))),
+            pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))],
             names=["lang", "prefix", "slice", "total", "next", "n"])
 
     def pairs_only(self, known: Bitmap) -> pa.RecordBatch:
         """A text for each language: the words in pairs that ``known`` may hold, a full stop for those left out."""
-        ids, tag, _, passes = self._places(2, known)
+        ids, tag, _ = self.words()
+        passes = self.passes(2, known)
         kept = passes[:-1].copy()
         kept[1:] |= passes[:-2]
         first_left_out = np.zeros(len(ids), bool)
@@ -197,18 +210,6 @@ class Chunk:
                                           names=["lang", "text"])
 
 
-def _pairs(group: np.ndarray, following: np.ndarray, size: int, groups: int):
-    """Distinct (group, following) in order, and how often each occurs."""
-    keys = group * size + following
-    if groups * size <= 4 * len(keys):
-        times = np.bincount(keys)
-        keys = np.flatnonzero(times)
-        times = times[keys]
-    else:
-        keys, times = np.unique(keys, return_counts=True)
-    return (keys // size, keys % size), times
-
-
 def _by_chunk(texts: DataFrame, schema: str, settings: Settings, of) -> DataFrame:
     """What ``of(chunk)`` gives for every chunk of words of a task."""
     def run(batches):
@@ -226,7 +227,21 @@ def _by_chunk(texts: DataFrame, schema: str, settings: Settings, of) -> DataFram
     return arrow_map(texts, run, schema)
 
 
-def _counted(texts: DataFrame, m: int, known: Bitmap | None, hot: frozenset, settings: Settings) -> DataFrame:
+def _bitmap(texts: DataFrame, m: int, known: Bitmap | None, settings: Settings) -> Bitmap | None:
+    """Bitmap of the hashes of m words that reach ``least``; None if there is none."""
+    held, bits = texts.sparkSession.sparkContext.broadcast(known), min(settings.bits, settings.hash_bits)
+    counts = _by_chunk(texts, "h long, n long", settings, lambda chunk: chunk.hash_counts(m, held.value, settings))
+    often = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
+    low = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
+    # A shift takes its distance from the value, hence the expression. At most 2**(bits - 6) rows.
+    cells = often.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
+    found = cells.groupBy("at").agg(F.bit_or("bit").alias("cell")).toArrow()
+    if not found.num_rows:
+        return None
+    return Bitmap(bits, found["at"].to_numpy(), found["cell"].to_numpy().view(np.uint64))
+
+
+def _counted(texts: DataFrame, m: int, known: Bitmap, hot: frozenset, settings: Settings) -> DataFrame:
     held = texts.sparkSession.sparkContext.broadcast((known, hot))
     return _by_chunk(texts, STRIPES, settings, lambda chunk: chunk.stripes(m, *held.value, settings))
 
@@ -236,8 +251,8 @@ def _pairs_only(texts: DataFrame, known: Bitmap, settings: Settings) -> DataFram
     return _by_chunk(texts, "lang string, text binary", settings, lambda chunk: chunk.pairs_only(held.value))
 
 
-def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
-    """Stripes added element by element, entries of ``least`` and more with their hashes."""
+def _merged(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Stripes added element by element, entries of ``least`` and more."""
     key = ["lang", "prefix", "slice"]
 
     def merge(batches):
@@ -245,7 +260,7 @@ def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
 
         def close():
             kept = {w: k for w, k in entries.items() if k >= settings.least}
-            if kept or total >= settings.least:
+            if kept or total:
                 out.append((*open_key, total, list(kept), list(kept.values())))
 
         for batch in batches:
@@ -254,7 +269,7 @@ def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
                     if open_key is not None:
                         close()
                         if len(out) >= 1 << 12:
-                            yield _hashed(out)
+                            yield table_of(out)
                             out = []
                     open_key, total, entries = own, 0, {}
                 total += count
@@ -263,49 +278,27 @@ def _merged(rows: DataFrame, m: int, settings: Settings) -> DataFrame:
         if open_key is not None:
             close()
         if out:
-            yield _hashed(out)
-
-    def _hashed(out):
-        langs = [lang for lang, _, _, _, words, _ in out for _ in words]
-        parts = [(prefix.split(" ") if prefix else []) + [w] for _, prefix, _, _, words, _ in out for w in words]
-        of = lambda ws: hashes_of([w.encode() for w in ws])
-        h = chain(of(langs), [of([p[j] for p in parts]) for j in range(m)]).view(np.int64)
-        ends = np.cumsum([0] + [len(row[4]) for row in out]).astype(np.int32)
-        columns = [pa.array(c) for c in zip(*[row[:4] for row in out])]
-        flat = [pa.array([x for row in out for x in row[k]], t) for k, t in ((4, pa.string()), (5, pa.int64()))]
-        return pa.RecordBatch.from_arrays(
-            [columns[0].cast(pa.string()), columns[1].cast(pa.string()), columns[2].cast(pa.int32()),
-             columns[3].cast(pa.int64()), *[pa.ListArray.from_arrays(pa.array(ends), f) for f in (*flat, pa.array(h))]],
-            names=["lang", "prefix", "slice", "total", "next", "n", "h"])
-
-    return arrow_map(rows.repartition(*key).sortWithinPartitions(*key), merge, MERGED)
-
-
-def _bitmap(stripes: DataFrame, bits: int) -> Bitmap | None:
-    """Bitmap of the stripes' entries, at most 2**(bits - 6) rows; None if there is no entry."""
-    place = F.explode("h").alias("h")
-    low = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    # A shift takes its distance from the value, hence the expression.
-    cells = stripes.select(place).select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
-    found = cells.groupBy("at").agg(F.bit_or("bit").alias("cell")).toArrow()
-    if not found.num_rows:
-        return None
-    return Bitmap(bits, found["at"].to_numpy(), found["cell"].to_numpy().view(np.uint64))
+            yield table_of(out)
+
+    schema = arrow_schema(rows.sparkSession, STRIPES)
+    table_of = lambda out: pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+    return arrow_map(rows.repartition(*key).sortWithinPartitions(*key), merge, STRIPES)
 
 
 def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]:
-    """The merged stripes of levels 1, 2 ... as written tables, up to the first level without a frequent phrase."""
+    """The merged stripes of levels 1, 2 ... as written tables, up to the last level with a frequent phrase."""
     texts = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
     levels, known, hot = [], None, frozenset()
     for m in range(1, settings.longest + 1):
-        levels.append(written(_merged(_counted(texts, m, known, hot, settings), m, settings), f"stripes-{m}"))
-        known = _bitmap(levels[-1], settings.bits)
+        known = _bitmap(texts, m, known, settings)
         if known is None:
             break
+        if m == 2:
+            texts = written(_pairs_only(texts, known, settings), "pairs")
+        levels.append(written(_merged(_counted(texts, m, known, hot, settings), settings), f"stripes-{m}"))
         if m == 1:
             hot = _hot_words(levels[0], settings)
-        if m == 2 and settings.longest > 2:
-            texts = written(_pairs_only(texts, known, settings), "pairs")
     return levels
 
 
@@ -320,6 +313,8 @@ def _hot_words(words: DataFrame, settings: Settings) -> frozenset:
 def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases; see the module."""
     levels = stripes(docs, settings)
+    if len(levels) < 2:
+        return docs.sparkSession.createDataFrame([], RESULT)
     tables = levels[0]
     for level in levels[1:]:
         tables = tables.unionByName(level)
@@ -327,9 +322,8 @@ def collocations(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     entries = tables.select("lang", "prefix", F.explode(F.arrays_zip("next", "n")).alias("e")).select(
         "lang", "prefix", phrase(F.col("prefix"), F.col("e.next")).alias("phrase"), F.col("e.n").alias("a"))
     longer = entries.where(F.col("prefix") != "")
-    totals = tables.groupBy("lang", "prefix").agg(F.sum("total").alias("f"))
-    sizes = totals.where(F.col("prefix") == "").select("lang", F.col("f").alias("n"))
-    parts = totals.where(F.col("prefix") != "").select("lang", F.col("prefix").alias("part"), "f")
+    parts = entries.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f"))
+    sizes = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
 
     # The most frequent extension: by a stripe's largest entry, and by the entries that end in the phrase.
     to_right = longer.select("lang", F.col("prefix").alias("phrase"), "a")
