@@ -6,7 +6,7 @@ any of them is known, else those one shorter, down to single letters. The
 sums, with the languages' log shares of the training rows as a prior, are
 turned into probabilities.
 
-Learning: per language the ``docs`` labelled documents with the lowest hashes
+Learning: per language ``docs`` labelled documents with low hashes of their ids
 give the word and n-gram counts. Every counted word and n-gram is in the model,
 so its size is bounded by ``docs`` whole texts a language. The language shares
 count every training row. ``lang`` is taken to have few distinct values: the
@@ -38,6 +38,8 @@ from shiftline.llm.common import arrow_map, id_bucket, keep_rows, kept, map_rows
 UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 CHUNK = 100_000
+#: Rows (an id and a language) that may be sent to every executor.
+BROADCAST = 100_000
 #: Unseen words whose scores a Python worker keeps, and numbers it keeps for them.
 MAX_WORDS = 1 << 17
 MAX_SCORES = 1 << 22
@@ -69,13 +71,18 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     """The model: languages, their log shares, keys by order (0: words) and log frequencies."""
     usable = docs.where(F.col("lang").isNotNull()).where(
         id_bucket(F.col("doc_id"), settings.fold) != settings.held)
-    shares = sorted((r.lang, r.n) for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect())
-    chosen = usable.select("doc_id", "lang", F.xxhash64(F.lit(settings.seed), "doc_id").alias("place")).distinct()
-    # A hot language is cut down in parts before its lowest hashes meet in one task.
-    for by in (["lang", F.pmod("place", F.lit(64))], ["lang"]):
-        first = F.row_number().over(Window.partitionBy(*by).orderBy("place", "doc_id"))
-        chosen = chosen.withColumn("nth", first).where(F.col("nth") <= settings.docs)
-    sample = docs.select("doc_id", "lang", "text").join(chosen.select("doc_id", "lang"), ["doc_id", "lang"])
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    shares = sorted((r.lang, r.n) for r in sizes.collect())
+    # Of a language with many rows only those below a share of the hash range can be chosen, four times as many
+    # as needed on average, so the rows ordered in one task do not grow with the language.
+    h = F.xxhash64(F.lit(settings.seed), "doc_id")
+    near = h.bitwiseAND(F.lit((1 << 63) - 1)) / float(1 << 63) <= 4.0 * settings.docs / F.col("n")
+    low = usable.join(sizes, "lang").where(near).select("doc_id", "lang", h.alias("place")).distinct()
+    order = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = low.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= settings.docs).select("doc_id", "lang")
+    if len(shares) * settings.docs <= BROADCAST:      # else the planner decides
+        chosen = F.broadcast(chosen)
+    sample = docs.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"])
 
     def count(batches):
         for batch in batches:
