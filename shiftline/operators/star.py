@@ -61,11 +61,11 @@ class Star:
         The days are joined on month and day, so the month folders of a stored
         fact are pruned at run time by the days found (dynamic partition pruning).
         """
-        days = self.dim_date.where(condition)
+        days, columns = self.dim_date.where(condition), getattr(self, name).columns
         if name not in self.parts:
-            return getattr(self, name).join(days.select("date_id"), "date_id", "left_semi")
+            return getattr(self, name).join(days.select("date_id"), "date_id", "left_semi").select(*columns)
         return self.parts[name].join(days.select(month_of("date_id").alias(MONTH), "date_id"),
-                                     [MONTH, "date_id"], "left_semi").drop(MONTH)
+                                     [MONTH, "date_id"], "left_semi").select(*columns)
 
     def between(self, name: str, lo: _dt.date, hi: _dt.date) -> DataFrame:
         """Rows of fact ``name`` from day lo to day hi; other month folders are not listed for the scan."""
