@@ -96,7 +96,12 @@ def fit_encoding(df: DataFrame, numeric=NUMERIC, categorical=CATEGORICAL) -> Enc
 def one_hot_features(df: DataFrame) -> tuple[DataFrame, list[str]]:
     """M2 as columns (pandas ``get_dummies(drop_first=True)``). Returns (frame, feature names)."""
     encoding = fit_encoding(df)
-    return encoding.wide(encoding.transform(df)).drop("features"), encoding.features
+    # Levels are listed in ascending order, the vector has them in descending order.
+    names = [n for n in encoding.features if n in NUMERIC]
+    for column, levels in zip(CATEGORICAL, encoding.model.stages[0].labelsArray):
+        names += [f"{column}_{lv}" for lv in reversed(levels[:-1])]
+    kept = [c for c in df.columns if c not in names]
+    return encoding.wide(encoding.transform(df)).select(*kept, *[F.col(f"`{n}`") for n in names]), names
 
 
 def split(df: DataFrame, test_percent: int = 20, seed: int = SEED, by_time: bool = False,
