@@ -11,12 +11,12 @@ stripe one word shorter, and the empty prefix has the number of all words.
    bitmap of 2**``bits`` places, which is what the tasks get. Its size is fixed;
    collisions and a full bitmap let more through and change no count.
 2. Stripes: a task counts (prefix, next) pairs of phrases that the bitmap may
-   hold, exactly, by its word numbers, and gives a stripe for each prefix.
-   Stripes of one (lang, prefix, slice) meet in sorted order and are added
-   element by element; counts below ``least`` are dropped then. The empty
-   prefix, and a prefix of hot words only (each at least 1/``hot`` of all words,
-   so at most ``hot`` of them), is dealt over ``slices`` by its next words; any
-   other prefix has fewer occurrences than that share.
+   hold, exactly, by its word numbers, and gives them out in bundles of stripes,
+   a bundle for each group of prefixes. The bundles of a group meet and their
+   stripes are added element by element; counts below ``least`` are dropped
+   then. There are as many groups as keep one at about ``group`` phrases. The
+   empty prefix, and a prefix of hot words only (each at least 1/``hot`` of all
+   words, so at most ``hot`` of them), is dealt over all groups by its next words.
 3. After the bitmap of level 2 the words outside such pairs are left out of the
    texts once, for all that follows.
 4. Scores, cuts and subsumption are joins over the frequent phrases.
@@ -51,7 +51,9 @@ from shiftline.llm.hashing import STEP, mix
 UNKNOWN = "und"
 #: Piece ends become full stops, a tab a blank.
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b".......... ")
-STRIPES = "lang string, prefix string, slice int, total long, next array<string>, n array<long>"
+STRIPES = "lang string, prefix string, total long, next array<string>, n array<long>"
+BUNDLE = ("grp int, lang array<string>, prefix array<string>, total array<long>, next array<array<string>>, "
+          "n array<array<long>>")
 RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 
@@ -63,7 +65,8 @@ class Settings:
     share: int = 100
     top: int = 2000
     hot: int = 1000
-    slices: int = 64
+    #: Phrases merged together, about.
+    group: int = 50_000
     bits: int = 26
     #: Bits of the hashes that phrases are first counted by.
     hash_bits: int = 36
@@ -117,6 +120,9 @@ class Bitmap:
         place = h & self.mask
         return (self.cells[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def places(self) -> int:
+        return int(np.bitwise_count(self.cells).sum())
+
 
 class Chunk:
     """Words of several texts, numbered, with the language of each."""
@@ -129,39 +135,51 @@ class Chunk:
         self.tags.append(np.full(len(words), self.langs.setdefault(lang, len(self.langs)), np.int64))
         self.size += len(words)
 
-    def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers and languages of the words, and the numbers' hashes."""
-        return np.concatenate(self.parts), np.concatenate(self.tags), hashes_of(list(self.numbers))
-
-    def phrases(self, m: int) -> tuple[np.ndarray, np.ndarray]:
-        """Where phrases of m words begin, and their hashes."""
-        ids, tag, hashes = self.words()
-        count = max(0, len(ids) - (m - 1))
-        start = np.flatnonzero(np.logical_and.reduce([ids[j: j + count] > 0 for j in range(m)]))
-        own = hashes_of([x.encode() for x in self.langs])
-        return start, chain(own[tag[start]], [hashes[ids[start + j]] for j in range(m)])
-
-    def passes(self, m: int, known: Bitmap) -> np.ndarray:
-        """For every place and one more, whether a phrase of m words that ``known`` may hold begins there."""
-        start, h = self.phrases(m)
-        out = np.zeros(self.size + 1, bool)
-        out[start[known.holds(h)]] = True
-        return out
+    def close(self, known: Bitmap | None) -> None:
+        """Number all words and look up, once for each word of a language, whether it may be frequent."""
+        self.ids, self.tag, self.hashes = np.concatenate(self.parts), np.concatenate(self.tags), hashes_of(list(self.numbers))
+        size, own = len(self.numbers), hashes_of([x.encode() for x in self.langs])
+        self.codes = self.tag * size + self.ids
+        if len(own) * size <= 4 * self.size:
+            used = np.arange(len(own) * size)
+        else:
+            used, self.codes = np.unique(self.codes, return_inverse=True)
+        self.first_hashes = chain(own[used // size], [self.hashes[used % size]])
+        fit = used % size > 0
+        self.fit = (fit if known is None else fit & known.holds(self.first_hashes))[self.codes]
+
+    def phrases(self, m: int, known: Bitmap | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Where phrases of m words begin whose words may be frequent, and which ``known`` may hold, and their hashes."""
+        count = max(0, self.size - (m - 1))
+        start = np.flatnonzero(np.logical_and.reduce([self.fit[j: j + count] for j in range(m)]))
+        h = self.first_hashes[self.codes[start]]
+        for j in range(1, m):
+            h = chain(h, [self.hashes[self.ids[start + j]]])
+        if known is not None and m > 1:
+            ok = known.holds(h)
+            start, h = start[ok], h[ok]
+        return start, h
 
     def hash_counts(self, m: int, known: Bitmap | None, settings: Settings) -> pa.RecordBatch:
         """Phrases of m words by hash, those whose first and last m - 1 words ``known`` may hold."""
-        start, h = self.phrases(m)
-        if known is not None:
-            ok = self.passes(m - 1, known)
-            h = h[ok[start] & ok[start + 1]]
-        h, n = np.unique(h & np.uint64((1 << settings.hash_bits) - 1), return_counts=True)
+        mask = np.uint64((1 << settings.hash_bits) - 1)
+        if m == 1:
+            n = np.bincount(self.codes[self.fit], minlength=len(self.first_hashes))
+            at = np.flatnonzero(n)
+            h, n = self.first_hashes[at] & mask, n[at]
+        else:
+            start, h = self.phrases(m)
+            if m > 2:
+                ok = np.zeros(self.size + 1, bool)
+                ok[self.phrases(m - 1, known)[0]] = True
+                h = h[ok[start] & ok[start + 1]]
+            h, n = np.unique(h & mask, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
-    def stripes(self, m: int, known: Bitmap, hot: frozenset, settings: Settings) -> pa.RecordBatch:
-        """The stripes of level m with the phrases that ``known`` may hold."""
-        ids, tag, hashes = self.words()
-        size, spread = len(self.numbers), settings.slices
-        at = np.flatnonzero(self.passes(m, known))
+    def stripes(self, m: int, known: Bitmap, hot: frozenset, groups: int) -> pa.RecordBatch:
+        """The stripes of level m with the phrases that ``known`` may hold, bundled by group."""
+        ids, tag, size = self.ids, self.tag, len(self.numbers)
+        at, _ = self.phrases(m, known)
         pid = tag[at]
         for j in range(m - 1):
             pid = pid * size + ids[at + j]
@@ -175,62 +193,75 @@ class Chunk:
         is_hot = np.zeros(size, bool)
         is_hot[[self.numbers[w] for w in hot if w in self.numbers]] = True
         dealt_out = np.logical_and.reduce([np.ones(len(lang), bool), *[is_hot[w] for w in prefix_words]])
-        # Pairs (prefix, next) in order of prefix and slice.
+        count = np.uint64(groups)
+        group = (chain(hashes_of([x.encode() for x in self.langs])[lang], [self.hashes[w] for w in prefix_words])
+                 % count).astype(np.int64)
         following = ids[at + m - 1]
-        dealt = (hashes[following] % np.uint64(spread)).astype(np.int64)
-        keys, times = np.unique((pid * spread + np.where(dealt_out[pid], dealt, 0)) * size + following, return_counts=True)
-        group, following = keys // size, keys % size
-        groups = np.unique(group if m > 1 else np.concatenate([np.arange(len(lang)) * spread, group]))
-        ends = pa.array(np.append(np.searchsorted(group, groups), len(keys)).astype(np.int32))
-        prefix, part = groups // spread, groups % spread
+        grp = np.where(dealt_out[pid], (self.hashes[following] % count).astype(np.int64), group[pid])
+        # (group, prefix) pairs in order of group, each with the words that follow.
+        keys, times = np.unique((grp * len(lang) + pid) * size + following, return_counts=True)
+        stripe, following = keys // size, keys % size
+        alone = group * len(lang) + np.arange(len(lang)) if m == 1 else stripe[:0]
+        held = np.unique(np.concatenate([alone, stripe]))
+        grp, prefix = held // len(lang), held % len(lang)
+        total = np.zeros(len(held), np.int64)
+        if m == 1:
+            total[np.searchsorted(held, alone)] = np.bincount(tag[ids > 0], minlength=len(lang))
+        ends = lambda values, wanted, n: pa.array(np.append(np.searchsorted(values, wanted), n).astype(np.int32))
         text = pa.array(list(self.numbers), pa.binary()).cast(pa.string())
         joined = pc.binary_join_element_wise(*[text.take(pa.array(w)) for w in prefix_words], " ") if m > 1 else pa.array(
             [""] * len(lang), pa.string())
-        total = np.bincount(tag[ids > 0], minlength=len(lang))[prefix] * (part == 0) if m == 1 else np.zeros(len(groups), np.int64)
+        inner = ends(stripe, held, len(keys))
+        bundles = np.unique(grp)
+        outer = ends(grp, bundles, len(held))
+        in_bundle = lambda values: pa.ListArray.from_arrays(outer, values)
         return pa.RecordBatch.from_arrays([
-            pa.array(list(self.langs), pa.string()).take(pa.array(lang[prefix])), joined.take(pa.array(prefix)),
-            pa.array(part, pa.int32()), pa.array(total),
-            pa.ListArray.from_arrays(ends, text.take(pa.array(following))),
-            pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))],
-            names=["lang", "prefix", "slice", "total", "next", "n"])
+            pa.array(bundles, pa.int32()), in_bundle(pa.array(list(self.langs), pa.string()).take(pa.array(lang[prefix]))),
+            in_bundle(joined.take(pa.array(prefix))), in_bundle(pa.array(total)),
+            in_bundle(pa.ListArray.from_arrays(inner, text.take(pa.array(following)))),
+            in_bundle(pa.ListArray.from_arrays(inner, pa.array(times, pa.int64())))],
+            names=["grp", "lang", "prefix", "total", "next", "n"])
 
     def pairs_only(self, known: Bitmap) -> pa.RecordBatch:
         """A text for each language: the words in pairs that ``known`` may hold, a full stop for those left out."""
-        ids, tag, _ = self.words()
-        passes = self.passes(2, known)
-        kept = passes[:-1].copy()
-        kept[1:] |= passes[:-2]
-        first_left_out = np.zeros(len(ids), bool)
+        start, _ = self.phrases(2, known)
+        kept = np.zeros(self.size + 1, bool)
+        kept[start] = kept[start + 1] = True
+        kept = kept[:-1]
+        first_left_out = np.zeros(self.size, bool)
         first_left_out[1:] = kept[:-1] & ~kept[1:]
-        words, texts = list(self.numbers), []
+        words, texts, shown = list(self.numbers), [], np.where(kept, self.ids, 0)
         for k in range(len(self.langs)):
-            mine = tag == k
-            texts.append(b" ".join([words[w] for w in np.where(kept, ids, 0)[mine & (kept | first_left_out)]]))
+            texts.append(b" ".join([words[w] for w in shown[(self.tag == k) & (kept | first_left_out)]]))
         return pa.RecordBatch.from_arrays([pa.array(list(self.langs), pa.string()), pa.array(texts, pa.binary())],
                                           names=["lang", "text"])
 
 
-def _by_chunk(texts: DataFrame, schema: str, settings: Settings, of) -> DataFrame:
-    """What ``of(chunk)`` gives for every chunk of words of a task."""
+def _by_chunk(texts: DataFrame, schema: str, settings: Settings, words: Bitmap | None, of) -> DataFrame:
+    """What ``of(chunk)`` gives for every chunk of words of a task; ``words`` tells which may be frequent."""
+    held = texts.sparkSession.sparkContext.broadcast(words)
+
     def run(batches):
         chunk = Chunk()
         for batch in batches:
             for lang, text in rows_of(batch):
-                for words in words_of(text, settings.part):
-                    chunk.add(lang, words)
+                for part in words_of(text, settings.part):
+                    chunk.add(lang, part)
                     if chunk.size >= settings.chunk:
+                        chunk.close(held.value)
                         yield from slices(of(chunk), 1 << 14)
                         chunk = Chunk()
         if chunk.size:
+            chunk.close(held.value)
             yield from slices(of(chunk), 1 << 14)
 
     return arrow_map(texts, run, schema)
 
 
-def _bitmap(texts: DataFrame, m: int, known: Bitmap | None, settings: Settings) -> Bitmap | None:
+def _bitmap(texts: DataFrame, m: int, words: Bitmap | None, known: Bitmap | None, settings: Settings) -> Bitmap | None:
     """Bitmap of the hashes of m words that reach ``least``; None if there is none."""
     held, bits = texts.sparkSession.sparkContext.broadcast(known), min(settings.bits, settings.hash_bits)
-    counts = _by_chunk(texts, "h long, n long", settings, lambda chunk: chunk.hash_counts(m, held.value, settings))
+    counts = _by_chunk(texts, "h long, n long", settings, words, lambda chunk: chunk.hash_counts(m, held.value, settings))
     often = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
     low = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
     # A shift takes its distance from the value, hence the expression. At most 2**(bits - 6) rows.
@@ -241,62 +272,54 @@ def _bitmap(texts: DataFrame, m: int, known: Bitmap | None, settings: Settings)
     return Bitmap(bits, found["at"].to_numpy(), found["cell"].to_numpy().view(np.uint64))
 
 
-def _counted(texts: DataFrame, m: int, known: Bitmap, hot: frozenset, settings: Settings) -> DataFrame:
+def _merged(texts: DataFrame, m: int, words: Bitmap, known: Bitmap, hot: frozenset, settings: Settings) -> DataFrame:
+    """The stripes of level m, those of a group added element by element; entries of ``least`` and more."""
     held = texts.sparkSession.sparkContext.broadcast((known, hot))
-    return _by_chunk(texts, STRIPES, settings, lambda chunk: chunk.stripes(m, *held.value, settings))
-
+    groups = known.places() // settings.group + 64
+    bundles = _by_chunk(texts, BUNDLE, settings, words, lambda chunk: chunk.stripes(m, *held.value, groups))
+    schema = arrow_schema(texts.sparkSession, STRIPES)
 
-def _pairs_only(texts: DataFrame, known: Bitmap, settings: Settings) -> DataFrame:
-    held = texts.sparkSession.sparkContext.broadcast(known)
-    return _by_chunk(texts, "lang string, text binary", settings, lambda chunk: chunk.pairs_only(held.value))
-
-
-def _merged(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Stripes added element by element, entries of ``least`` and more."""
-    key = ["lang", "prefix", "slice"]
-
-    def merge(batches):
-        out, open_key, total, entries = [], None, 0, {}
-
-        def close():
+    def closed(found: dict) -> pa.RecordBatch | None:
+        rows = []
+        for (lang, prefix), (total, entries) in found.items():
             kept = {w: k for w, k in entries.items() if k >= settings.least}
             if kept or total:
-                out.append((*open_key, total, list(kept), list(kept.values())))
+                rows.append((lang, prefix, total, list(kept), list(kept.values())))
+        columns = zip(*rows) if rows else [[]] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
+    def merge(batches):
+        found, group = {}, None
         for batch in batches:
-            for *own, count, words, times in rows_of(batch):
-                if own != open_key:
-                    if open_key is not None:
-                        close()
-                        if len(out) >= 1 << 12:
-                            yield table_of(out)
-                            out = []
-                    open_key, total, entries = own, 0, {}
-                total += count
-                for w, k in zip(words, times):
-                    entries[w] = entries.get(w, 0) + k
-        if open_key is not None:
-            close()
-        if out:
-            yield table_of(out)
-
-    schema = arrow_schema(rows.sparkSession, STRIPES)
-    table_of = lambda out: pa.RecordBatch.from_arrays(
-        [pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-    return arrow_map(rows.repartition(*key).sortWithinPartitions(*key), merge, STRIPES)
+            for row in range(batch.num_rows):
+                own, *bundle = (c[0].as_py() for c in batch.slice(row, 1).columns)
+                if own != group:
+                    yield closed(found)
+                    found, group = {}, own
+                for lang, prefix, count, following, times in zip(*bundle):
+                    total, entries = found.setdefault((lang, prefix), (0, {}))
+                    found[lang, prefix] = (total + count, entries)
+                    for w, k in zip(following, times):
+                        entries[w] = entries.get(w, 0) + k
+        yield closed(found)
+
+    return arrow_map(bundles.repartition("grp").sortWithinPartitions("grp"), merge, STRIPES)
 
 
 def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]:
     """The merged stripes of levels 1, 2 ... as written tables, up to the last level with a frequent phrase."""
     texts = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    levels, known, hot = [], None, frozenset()
+    levels, words, known, hot = [], None, None, frozenset()
     for m in range(1, settings.longest + 1):
-        known = _bitmap(texts, m, known, settings)
+        known = _bitmap(texts, m, words, known, settings)
         if known is None:
             break
+        words = words or known
         if m == 2:
-            texts = written(_pairs_only(texts, known, settings), "pairs")
-        levels.append(written(_merged(_counted(texts, m, known, hot, settings), settings), f"stripes-{m}"))
+            held = texts.sparkSession.sparkContext.broadcast(known)
+            texts = written(_by_chunk(texts, "lang string, text binary", settings, words,
+                                      lambda chunk, held=held: chunk.pairs_only(held.value)), "pairs")
+        levels.append(written(_merged(texts, m, words, known, hot, settings), f"stripes-{m}"))
         if m == 1:
             hot = _hot_words(levels[0], settings)
     return levels
