@@ -77,7 +77,7 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict:
     # as needed on average, so the rows ordered in one task do not grow with the language.
     h = F.xxhash64(F.lit(settings.seed), "doc_id")
     near = h.bitwiseAND(F.lit((1 << 63) - 1)) / float(1 << 63) <= 4.0 * settings.docs / F.col("n")
-    low = usable.join(sizes, "lang").where(near).select("doc_id", "lang", h.alias("place")).distinct()
+    low = usable.join(F.broadcast(sizes) if len(shares) <= BROADCAST else sizes, "lang").where(near).select("doc_id", "lang", h.alias("place")).distinct()
     order = Window.partitionBy("lang").orderBy("place", "doc_id")
     chosen = low.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= settings.docs).select("doc_id", "lang")
     if len(shares) * settings.docs <= BROADCAST:      # else the planner decides
