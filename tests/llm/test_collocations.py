@@ -56,8 +56,8 @@ def _made(seed, n=300):
 
 
 @pytest.mark.parametrize("settings", [
-    co.Settings(least=3), co.Settings(least=2, chunk=50, part=10, slices=3, bits=6), co.Settings(least=4, share=60, top=9),
-    co.Settings(least=5, longest=3, hot=3, slices=7, bits=10, hash_bits=9, chunk=200), co.Settings(least=10_000)])
+    co.Settings(least=3), co.Settings(least=2, chunk=50, part=10, group=3, bits=6), co.Settings(least=4, share=60, top=9),
+    co.Settings(least=5, longest=3, hot=3, group=7, bits=10, hash_bits=9, chunk=200), co.Settings(least=10_000)])
 def test_equals_the_plain_count(spark, settings):
     docs = _made(settings.least)
     df = spark.createDataFrame(docs, "lang string, text string").repartition(5)
