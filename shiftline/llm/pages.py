@@ -2,8 +2,10 @@
 
 Every page is read into its elements, and each element subtree (tag, classes,
 text, children) gets a hash. Spark counts, per host, the different contents that hold each
-subtree; one found in ``MIN_PAGES`` of them is a template, however large the
-host is, and every page of that host loses it. The content is the article
+subtree; a container found in ``MIN_PAGES`` of them is a template, however large
+the host is, and every page of that host loses it. A single block, such as a
+paragraph, must stand in more than half of the host's contents too, since a
+passage may be quoted; a heading goes with a container only. The content is the article
 that a subtree lies in, or else the blocks of its page, less those that the
 rules below drop: copies of an article or of a page count once. Elements that say
 what they are by tag, role, class or id (menus, forms, adverts, comments ...)
@@ -28,7 +30,7 @@ import re
 from html import unescape
 
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftline.llm.common import map_rows, written
@@ -61,6 +63,9 @@ DROP_PREFIXES = ("ad-", "ads-", "advert", "banner-", "sponsor", "promo-", "cooki
                  "sidebar", "newsletter", "social-", "share-", "related-", "breadcrumb", "nav-", "navbar",
                  "menu-", "popup", "modal", "footer-", "consent", "notice-")
 HEADER_NAMES = {"header", "site-header", "page-header"}
+# Inside an article an id names a section more often than a kind of box: only these count there.
+COMMENT_IDS = set("comment comments comment-list comments-area reader-comments user-comments responses disqus".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)|<!--|<[!?][^>]*+(?:>|\Z)"
@@ -70,27 +75,39 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[
 
 
 class Element:
-    __slots__ = ("tag", "dropped", "article", "signature", "parts", "size", "hash", "parent")
+    __slots__ = ("tag", "dropped", "article", "signature", "parts", "size", "hash", "parent", "first", "last", "in_main")
 
-    def __init__(self, tag: str, parent: "Element | None", attributes: dict[str, str]):
+    def __init__(self, tag: str, parent: "Element | None", attributes: dict[str, str], first: int = 0):
         self.tag, self.parent, self.parts, self.size, self.hash = tag, parent, [], 0, 0
+        #: Numbers of its first block and of the first block after it.
+        self.first = self.last = first
+        self.in_main = tag == "main" or bool(parent and parent.in_main)
         inside = parent.article if parent else None
-        names = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split()
         self.signature = f"{tag} {attributes.get('class', '')}"
-        self.dropped = bool(parent and parent.dropped) or not_main(tag, names, attributes, inside is not None)
+        self.dropped = bool(parent and parent.dropped) or not_main(tag, attributes, inside is not None)
         is_article = tag == "article" and not self.dropped
         self.article = self if inside is None and is_article else inside
 
 
-def not_main(tag: str, names: list[str], attributes: dict[str, str], in_article: bool) -> bool:
-    """Whether an element says that it is no part of the main text."""
+def not_main(tag: str, attributes: dict[str, str], in_article: bool, inline: bool = False) -> bool:
+    """Whether an element says that it is no part of the main text.
+
+    Inside an article headings stay whatever they are called, and an id drops
+    an element only if it names reader comments.
+    """
+    classes, ids = (attributes.get(a, "").lower().split() for a in ("class", "id"))
     if tag in ("html", "body"):
         return False
     if tag in DROP_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if attributes.get("role", "").lower() in DROP_ROLES or "display:none" in attributes.get("style", "").replace(" ", ""):
         return True
-    if not in_article and (tag == "header" or not HEADER_NAMES.isdisjoint(names)):
+    names = classes if in_article else classes + ids
+    if not (in_article or inline) and (tag == "header" or not HEADER_NAMES.isdisjoint(names)):
+        return True
+    if in_article and tag in HEADINGS:
+        return False
+    if in_article and not COMMENT_IDS.isdisjoint(ids):
         return True
     return any(n in DROP_NAMES or n.startswith(DROP_PREFIXES) for n in names) and tag != "main"
 
@@ -115,6 +132,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[Element]]], list[Element]]:
             current.size += len(text)
 
     def close(element: Element) -> None:
+        element.last = len(blocks)
         element.hash = xxhash.xxh3_64_intdigest("\0".join([element.signature, *map(str, element.parts)])) >> 1
         if element.parent is not None:
             if element.parts:
@@ -168,13 +186,13 @@ def parse(html: str) -> tuple[list[tuple[str, list[Element]]], list[Element]]:
             at = end.end() if end else n
             continue
         if tag not in BLOCKS and tag not in DROP_TAGS:
-            if not source or not (found := attributes_of(source)) or not not_main(tag, (
-                    f"{found.get('class', '')} {found.get('id', '')}").lower().split(), found, True):
+            if not source or not (found := attributes_of(source)) or not not_main(
+                    tag, found, current.article is not None, inline=True):
                 continue                                    # inline: its text belongs to the block
         flush()
         if tag in ("html", "body") and current.tag in ("html", "body"):
             if tag == "body":
-                current = Element("body", current, {})
+                current = Element("body", current, {}, len(blocks))
             continue
         if tag in CLOSES:
             pop_to(CLOSES[tag], HOLDS[tag])
@@ -182,7 +200,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[Element]]], list[Element]]:
             pop_to({"p"}, {"article", "main", "body", "div", "section", "li", "td", "th", "blockquote"})
         if current.tag == "head" and tag not in ("title", "style", "script", "meta", "link", "noscript", "template"):
             pop_to({"head"}, set())
-        current = Element(tag, current, attributes_of(source))
+        current = Element(tag, current, attributes_of(source), len(blocks))
         elements.append(current)
     flush()
     while current is not None:
@@ -193,7 +211,7 @@ def parse(html: str) -> tuple[list[tuple[str, list[Element]]], list[Element]]:
 
 def _removable(element: Element) -> bool:
     """Whether a recurring subtree may go: see the module's rule for articles."""
-    if element.tag in ("html", "body", "main", "article", "head"):
+    if element.tag in ("html", "body", "main", "article", "head") or element.tag in HEADINGS:
         return False
     if element.article is None:
         return True
@@ -201,61 +219,67 @@ def _removable(element: Element) -> bool:
 
 
 def page(page_id, url: str | None, html: str | None) -> tuple:
-    """(page_id, url, host, texts, paths, ranks, seen): blocks with the subtrees they lie in, subtrees with their content.
+    """(page_id, url, host, texts, places, ranks, subtrees, seen): blocks with their numbers, removable subtrees with
+    the numbers of their blocks, and all removable subtrees with their content.
 
     Ranks: 2 in an article, 1 in a main element, 0 elsewhere. A block in no
-    removable subtree stays, so blocks of a lower rank than its own are left out.
+    removable subtree stays, so blocks of a lower rank than its own are left
+    out. A subtree is told by its first and last block, so what a page gives
+    grows with its elements, however deep they lie.
     """
     blocks, elements = parse(html or "")
-    kept = []
-    for text, at in blocks:
-        if at.dropped:
-            continue
-        rank = 2 if at.article is not None else int(_within(at, "main"))
-        path = []
-        while at is not None:
-            if _removable(at):
-                path.append(at.hash)
-            at = at.parent
-        kept.append((text, path, rank))
-    content = xxhash.xxh3_64_intdigest("\0".join([text for text, _, _ in kept]).encode("utf-8", "surrogatepass")) >> 1
-    least = max((rank for _, path, rank in kept if not path), default=0)
+    content = xxhash.xxh3_64_intdigest("\0".join([text for text, at in blocks if not at.dropped]).encode(
+        "utf-8", "surrogatepass")) >> 1
+    removable = [e for e in elements if e.parts and _removable(e)]
+    opens = [0] * (len(blocks) + 1)
+    for e in removable:
+        opens[e.first] += 1
+        opens[e.last] -= 1
+    kept, depth, least = [], 0, 0
+    for k, (text, at) in enumerate(blocks):
+        depth += opens[k]
+        if not at.dropped:
+            rank = 2 if at.article is not None else int(at.in_main)
+            kept.append((text, k, rank))
+            if not depth:
+                least = max(least, rank)
     kept = [k for k in kept if k[2] >= least]
-    texts, paths, ranks = ([k[i] for k in kept] for i in range(3))
-    seen = {(e.hash, e.article.hash if e.article is not None else content)
-            for e in elements if e.parts and _removable(e)}
+    texts, places, ranks = ([k[i] for k in kept] for i in range(3))
+    before = [0]
+    stay = set(places)
+    for k in range(len(blocks)):
+        before.append(before[-1] + (k in stay))
+    subtrees = [(e.hash, e.first, e.last) for e in removable if before[e.last] > before[e.first]]
+    seen = {(e.hash, e.tag in CONTAINERS, e.article.hash if e.article is not None else content) for e in removable}
     m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?([^/?#]*)", url or "")
-    return page_id, url, m.group(1).lower() if m else "", texts, paths, ranks, sorted(seen)
-
-
-def _within(at: Element | None, tag: str) -> bool:
-    while at is not None:
-        if at.tag == tag:
-            return True
-        at = at.parent
-    return False
+    return page_id, url, m.group(1).lower() if m else "", texts, places, ranks, subtrees, sorted(seen)
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """page_id, url, text of every row of ``pages``."""
     kind = dict(pages.dtypes)["page_id"]
     read = map_rows(pages.select("page_id", "url", "html"), page,
-                    f"page_id {kind}, url string, host string, texts array<string>, "
-                    "paths array<array<long>>, ranks array<int>, "
-                    "seen array<struct<subtree: long, content: long>>")
+                    f"page_id {kind}, url string, host string, texts array<string>, places array<int>, ranks array<int>, "
+                    "subtrees array<struct<subtree: long, first: int, last: int>>, "
+                    "seen array<struct<subtree: long, box: boolean, content: long>>")
     read = written(read.withColumn("row", F.xxhash64("page_id", "url", "texts", "seen")), "pages")
-    held = read.select("host", F.inline("seen")).distinct().groupBy("host", "subtree").agg(
-        F.count(F.lit(1)).alias("n"))
-    templates = held.where(F.col("n") >= min_pages).select("host", "subtree")
-    inside = read.select("row", "host", F.explode(F.array_distinct(F.flatten("paths"))).alias("subtree"))
-    gone = inside.join(templates, ["host", "subtree"]).groupBy("row").agg(
-        F.collect_set("subtree").alias("gone"))
-    left = F.filter(F.arrays_zip("texts", "paths", "ranks"),
-                    lambda b: F.col("gone").isNull() | ~F.arrays_overlap(b["paths"], F.col("gone")))
+    stands = read.select("host", F.inline("seen"))
+    held = stands.distinct().groupBy("host", "subtree", "box").agg(F.count(F.lit(1)).alias("n"))
+    contents = stands.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    templates = held.where(F.col("n") >= min_pages).join(contents, "host").where(
+        F.col("box") | (2 * F.col("n") > F.col("all"))).select("host", "subtree")
+    inside = read.select("row", "host", F.inline("subtrees")).distinct()
+    # Of templates inside one another the outermost is enough.
+    outer = Window.partitionBy("row").orderBy("first", F.desc("last")).rowsBetween(Window.unboundedPreceding, -1)
+    gone = inside.join(templates, ["host", "subtree"]).withColumn("covered", F.max("last").over(outer)).where(
+        F.col("covered").isNull() | (F.col("last") > F.col("covered"))).groupBy("row").agg(
+        F.collect_set(F.struct("first", "last")).alias("gone"))
+    left = F.filter(F.arrays_zip("texts", "places", "ranks"), lambda b: F.col("gone").isNull() | ~F.exists(
+        "gone", lambda g: (b["places"] >= g["first"]) & (b["places"] < g["last"])))
     top = F.array_max(F.col("left")["ranks"])
     main = F.filter("left", lambda b: b["ranks"] == top)
     # Blocks that all lie in no removable subtree, as in most marked articles, lose none: they meet no join.
-    may_lose = F.size(F.flatten("paths")) > 0
+    may_lose = F.size("subtrees") > 0
     whole = read.where(~may_lose).select("page_id", "url", F.array_join("texts", "\n\n").alias("text"))
     return whole.unionByName(read.where(may_lose).join(gone, "row", "left").withColumn("left", left).select(
         "page_id", "url", F.array_join(main["texts"], "\n\n").alias("text")))
