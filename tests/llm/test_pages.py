@@ -103,3 +103,36 @@ def test_awkward_rows(spark):
     assert by[1].text == by[2].text == "" and by[3].text == "a" and by[None].text == "b" and by[5].text == "deep"
     assert by[4].text.count("\n\n") == 29_999 and by[1].n_chars == 0
     assert pages.main_texts(df.limit(0)).collect() == []
+
+
+def test_article_sections_and_headings_stay_whatever_their_ids(spark):
+    body = ("<article><h1 class=banner>Title</h1><section id='related-work'><h2 id=search>Search</h2><p>One</p></section>"
+            "<section id=discussion><p>Two</p></section><div id=comments><p>Reader</p></div><div class=share><p>Share</p></div>"
+            "</article><div id=related-posts><p>Posts</p></div>")
+    assert _texts(spark, [(1, "http://x/", body)])[1] == "Title\n\nSearch\n\nOne\n\nTwo"
+
+
+def test_deep_pages_stay_linear(spark):
+    source = "".join(f"<div>x{k}" for k in range(120_000))               # about 1 MB of divs that are never closed
+    assert len(source) > 1_000_000
+    made = pages.page(1, "http://deep/", source)
+    assert len(made[3]) == len(made[6]) == len(made[7]) == 120_000
+    nested = [(k, "http://deep/", "<div>" * 2000 + "menu" + "</div>" * 2000 + f"<p>Own {k}</p>") for k in range(6)]
+    assert _texts(spark, nested)[4] == "Own 4"
+
+
+def test_headings_and_quoted_passages_are_no_templates_on_a_bare_count(spark):
+    def page(k):
+        quote = "<p>One shared sentence</p>" if k < 6 else ""
+        return (k, "http://j.example/", f"<div class=menu2><p>Go</p></div><h1>Introduction</h1>{quote}<p>Own {k}</p><p>See you</p>")
+    got = _texts(spark, [page(k) for k in range(12)])
+    assert got[2] == "Introduction\n\nOne shared sentence\n\nOwn 2" and got[9] == "Introduction\n\nOwn 9"
+
+
+def test_counts_decide_what_the_query_gives(spark):
+    """Without the counts a page that no rule speaks of keeps its host's box."""
+    rows = [(k, "http://k.example/", f"<div><p>Our box</p></div><div><p>Own {k}</p></div>") for k in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    text = lambda **o: {r.page_id: r.text for r in pages.extract(df, **o).collect()}
+    assert {r.page_id: r.text for r in pages.main_texts(df).collect()} == text() == {k: f"Own {k}" for k in range(6)}
+    assert text(min_pages=7)[3] == "Our box\n\nOwn 3"
