@@ -200,7 +200,7 @@ def fit_failure_model(star: Star, max_iter: int = 200, step: float = 0.08, depth
     learn = ranking.stratified_split(train.select(*KEYS, LABEL, "features"), LABEL, KEYS,
                                      test_percent=validation_percent, seed=seed + 1, out="is_validation")
     boosted = boosting.fit(with_weights(learn), LABEL, "weight", "is_validation", max_iter, step, depth, min_leaf,
-                           max_bins, patience, min_gain, seed)
+                           max_bins, patience, min_gain, numbers=len(NUMERIC))
     return FittedRisk(RiskModel(encoding, boosted), train, test)
 
 

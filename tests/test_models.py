@@ -50,7 +50,7 @@ def _rows(spark, n=3000, signal=2.0):
     return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
 
 
-FIT = dict(rate=0.3, depth=3, min_leaf=20, max_bins=64, patience=3, min_gain=1e-7, seed=1)
+FIT = dict(rate=0.3, depth=3, min_leaf=20, max_bins=64, patience=3, min_gain=1e-7)
 
 
 @pytest.fixture(scope="module")
@@ -110,22 +110,35 @@ def test_trees_as_a_table_give_the_same_scores_in_sql(spark, boosted):
     assert np.mean([got[k] for k in y if y[k]]) > np.mean([got[k] for k in y if not y[k]]) + 0.2
 
 
-def test_printed_trees_are_read_back(spark):
-    text = """DecisionTreeRegressionModel: uid=x, depth=2, numNodes=5, numFeatures=3
-  If (feature 2 <= -1.5E-4)
-   Predict: -0.25
-  Else (feature 2 > -1.5E-4)
-   If (feature 0 <= 7.0)
-    Predict: 1.0E-3
-   Else (feature 0 > 7.0)
-    Predict: 2.0
-"""
-    assert boosting.nodes_of(text) == [(0, 2, -1.5e-4, 1, 2, None), (1, None, None, None, None, -0.25),
-                                       (2, 0, 7.0, 3, 4, None), (3, None, None, None, None, 1e-3), (4, None, None, None, None, 2.0)]
-    assert boosting.nodes_of("head\n  Predict: 0.5\n") == [(0, None, None, None, None, 0.5)]
+def test_splits_maximise_the_gain(spark, boosted):
+    """The first tree's root against every cut of every feature."""
+    rows, model = boosted
+    data = rows.where("held = 0").select("a", "b", "c", "y", "w").toPandas()
+    p = 1 / (1 + math.exp(-model.base))
+    g, h = data.w * (data.y - p), data.w * p * (1 - p)
+    score = lambda m: g[m].sum() ** 2 / h[m].sum()
+    gain = lambda f, t: score(data[f] <= t) + score(data[f] > t)
+    _, f, t, *_ = model.trees[0][0]
+    best = max(gain(c, v) for c in "abc" for v in data[c].quantile([k / 64 for k in range(1, 64)], "lower"))
+    assert gain("abc"[f], t) >= 0.999 * best
+
+
+def test_a_single_leaf_and_missing_values(spark):
     single = boosting.Boosted(0.5, 0.1, [[(0, None, None, None, None, 1.0)]])
     df = spark.createDataFrame([([1.0],)], "x array<double>")
     assert df.select(single.probability("x").alias("p")).first().p == pytest.approx(1 / (1 + math.exp(-0.6)))
+    one = boosting.Boosted(0.0, 1.0, [[(0, 0, 2.0, 1, 2, None), (1, None, None, None, None, -1.0), (2, None, None, None, None, 1.0)]])
+    p = {r.k: r.p for r in spark.createDataFrame([(0, [2.0]), (1, [2.5]), (2, [float("nan")])], "k int, x array<double>").select(
+        "k", one.probability("x").alias("p")).collect()}
+    assert p[0] < 0.5 < p[1] == p[2]
+
+
+def test_constant_features_and_few_rows_give_a_leaf(spark):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame([(1.0, k % 2, 1.0, 0) for k in range(50)], "a double, y int, w double, held int")
+    rows = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    model = boosting.fit(rows, "y", "w", "held", 2, **FIT)
+    assert [len(t) for t in model.trees] == [1, 1] and model.losses == []      # no held-out row
 
 
 def test_needs_both_classes(spark):
