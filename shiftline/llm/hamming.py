@@ -1,22 +1,24 @@
 """Exact top-k search of binary codes by incremental multi-index hashing.
 
-A vector's code holds one bit for each of its first ``BITS`` components: 1 if
-it is above zero. Codes are cut into ``SEGMENTS`` segments, and a table for
-each segment lists the codes by its value. A query looks up the values within
-radius 0, 1, 2, ... of its own in every table; two codes that differ by at
-most SEGMENTS * (radius + 1) - 1 bits have a segment that differs by at most
-the radius, so the search ends once the k-th verified distance is within that
-bound.
+A vector's code holds one bit for each of its components, in words of ``BITS``:
+1 if it is above zero. The longest vector gives the number of words. Codes are
+cut into segments of ``WIDTH`` bits, and a table for each segment lists the
+codes by its value. A query looks up the values within radius 0, 1, 2, ... of
+its own in every table; two codes that differ by at most segments * (radius + 1)
+- 1 bits have a segment that differs by at most the radius, so the search ends
+once the k-th verified distance is within that bound.
 
 Equal codes are one class with its ``k + 1`` smallest ids, so a vector that
 many rows share costs no more than another, and equal queries are searched
 once. Spark deals classes to blocks of about ``BLOCK_CODES`` by a hash, each
-with the queries in blocks of ``BLOCK_QUERIES``; a task searches its block and
+with the queries in blocks of at most ``BLOCK_QUERIES``, fewer where that leaves
+executors idle; a task searches its block and
 returns at most k + 1 classes a query; the nearest of all blocks are the
 result.
 
 Defined cases: a null vector has no code and is neither found nor a query; a
-null component or one missing at the end is bit 0; a query does not find its
+component that is null, NaN or missing at the end is bit 0; a row without an id
+is neither found nor a query; a query does not find its
 own row, but rows equal to it, at distance 0; ties go to the smaller id; fewer
 than k other rows give fewer results; other columns are ignored.
 """
@@ -34,16 +36,20 @@ from pyspark.sql import functions as F
 
 from shiftline.llm.common import arrow_map, rows_of
 
-BITS, SEGMENTS = 64, 4
-WIDTH = BITS // SEGMENTS
+BITS, WIDTH = 64, 16
 BLOCK_CODES = 1 << 16
 BLOCK_QUERIES = 1 << 10
+LEAST_QUERIES = 1 << 6
+MOST_TASKS = 10_000
 
 
-def code_of(vector: Column) -> Column:
-    bits = F.transform(F.slice(vector, 1, BITS), lambda x, i: F.when(
-        x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.when(vector.isNotNull(), F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)))
+def code_of(vector: Column, words: int) -> Column:
+    """An array of ``words`` longs, component i as bit i % BITS of word i // BITS."""
+    def word(at: int) -> Column:
+        bits = F.transform(F.slice(vector, at * BITS + 1, BITS), lambda x, i: F.when(
+            (x > 0) & ~F.isnan(x), F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b))
+    return F.when(vector.isNotNull(), F.array(*[word(at) for at in range(words)]))
 
 
 @lru_cache(maxsize=None)
@@ -56,13 +62,14 @@ class Tables:
     """For each segment: the codes sorted by its value, and where each value starts."""
 
     def __init__(self, codes: np.ndarray):
+        """``codes``: a row of words for each code."""
         self.codes, self.tables = codes, []
-        for s in range(SEGMENTS):
+        for s in range(codes.shape[1] * BITS // WIDTH):
             values = _segment(codes, s)
             order = np.argsort(values, kind="stable")
             self.tables.append((order, np.searchsorted(values[order], np.arange((1 << WIDTH) + 1))))
 
-    def nearest(self, query: np.uint64, sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, query: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and distances of the codes up to the k-th nearest row, with all ties."""
         seen = np.zeros(len(self.codes), bool)
         at, distance = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -81,8 +88,8 @@ class Tables:
                 new = new[~seen[new]]
                 seen[new] = True
                 at = np.concatenate((at, new))
-                distance = np.concatenate((distance, np.bitwise_count(self.codes[new] ^ query)))
-            covered = SEGMENTS * (radius + 1) - 1
+                distance = np.concatenate((distance, np.bitwise_count(self.codes[new] ^ query).sum(axis=1, dtype=np.int64)))
+            covered = len(self.tables) * (radius + 1) - 1
             near = distance <= covered
             if sizes[at[near]].sum() >= k or len(at) == len(self.codes):
                 break
@@ -93,8 +100,9 @@ class Tables:
         return at[distance <= last], distance[distance <= last]
 
 
-def _segment(code, s: int):
-    return ((code >> np.uint64(s * WIDTH)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
+def _segment(codes: np.ndarray, s: int):
+    word, shift = divmod(s * WIDTH, BITS)
+    return ((codes[..., word] >> np.uint64(shift)) & np.uint64((1 << WIDTH) - 1)).astype(np.int64)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -102,22 +110,27 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
 
     ``vectors``: vec_id, embedding; ``is_query`` is a condition on vec_id.
     """
-    coded = vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                           code_of(F.col("embedding")).alias("code")).where(F.col("code").isNotNull())
+    held = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").where(F.col("vec_id").isNotNull())
+    longest = held.agg(F.max(F.size("embedding"))).first()[0]
+    coded = held.select("vec_id", code_of(F.col("embedding"), -(-max(1, longest or 0) // BITS)).alias("code")).where(
+        F.col("code").isNotNull())
     by_code = Window.partitionBy("code").orderBy(F.col("vec_id").asc_nulls_last())
     classes = coded.withColumn("place", F.row_number().over(by_code)).where(F.col("place") <= k + 1).groupBy(
         "code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     asked = coded.where(is_query)
     queries = asked.select("code").distinct()
     n_codes, n_queries = classes.count(), queries.count()
-    blocks, parts = -(-n_codes // BLOCK_CODES) or 1, -(-n_queries // BLOCK_QUERIES) or 1
+    blocks = -(-n_codes // BLOCK_CODES) or 1
+    idle = -(-vectors.sparkSession.sparkContext.defaultParallelism // blocks)
+    parts = max(-(-n_queries // BLOCK_QUERIES), min(-(-n_queries // LEAST_QUERIES), idle), 1)
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     none = F.lit(None).cast("array<long>")
     dealt = classes.select("code", "ids", F.pmod(F.xxhash64("code"), F.lit(blocks)).cast("int").alias("block"),
                            upto(parts).alias("part")).unionByName(
         queries.select("code", none.alias("ids"), upto(blocks).alias("block"),
                        F.pmod(F.xxhash64("code", F.lit(1)), F.lit(parts)).cast("int").alias("part")))
-    grouped = dealt.repartition("block", "part").sortWithinPartitions("block", "part").select(
+    # With a number of partitions given, small groups are not merged into one task.
+    grouped = dealt.repartition(min(blocks * parts, MOST_TASKS), "block", "part").sortWithinPartitions("block", "part").select(
         "block", "part", "code", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +143,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
                 group.append(row[2:])
         yield from _search_block(group, k + 1)
 
-    found = arrow_map(grouped, run, "code long, ids array<long>, distance int")
+    found = arrow_map(grouped, run, "code array<long>, ids array<long>, distance int")
     # Nearest of all blocks; a class brings at most k + 1 ids.
     rows = found.select("code", "distance", F.explode("ids").alias("neighbour_id"))
     nearest = Window.partitionBy("code").orderBy("distance", "neighbour_id")
@@ -148,14 +161,14 @@ def _search_block(group: list[tuple], k: int) -> Iterator[pa.RecordBatch]:
     asked = [code for code, ids in group if ids is None]
     if not held or not asked:
         return
-    codes = np.array([c for c, _ in held], np.int64).view(np.uint64)
+    codes = np.array([c for c, _ in held], np.int64).reshape(len(held), -1).view(np.uint64)
     sizes = np.array([len(ids) for _, ids in held])
     tables = Tables(codes)
     out = []
     for code in asked:
-        at, distance = tables.nearest(np.array(code, np.int64).view(np.uint64)[()], sizes, k)
+        at, distance = tables.nearest(np.array(code, np.int64).view(np.uint64), sizes, k)
         out += [(code, held[p][1], int(d)) for p, d in zip(at, distance)]
     columns = zip(*out)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.list_(pa.int64()), pa.int32()))],
+        [pa.array(c, t) for c, t in zip(columns, (pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()))],
         names=["code", "ids", "distance"])

@@ -108,14 +108,15 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id""",
     "op3_topk": """
 WITH coded AS (
-  SELECT vec_id, list_sum(list_transform(generate_series(1, least(len(embedding), 64)),
-           lambda i: CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INT) ELSE 0::HUGEINT END))::HUGEINT AS code
-  FROM embeddings WHERE embedding IS NOT NULL),
+  SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0 AND NOT isnan(x), false)) AS bits
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id,
+         len(list_filter(range(1, greatest(len(q.bits), len(e.bits)) + 1),
+             lambda i: coalesce(q.bits[i], false) <> coalesce(e.bits[i], false))) AS distance
+  FROM coded q JOIN coded e ON q.vec_id <> e.vec_id WHERE q.vec_id % 50 = 0),
 ranked AS (
-  SELECT q.vec_id AS query_id, e.vec_id AS neighbour_id, bit_count(xor(q.code, e.code)) AS distance,
-         row_number() OVER (PARTITION BY q.vec_id ORDER BY bit_count(xor(q.code, e.code)), e.vec_id) AS rank
-  FROM coded q JOIN coded e ON q.vec_id <> e.vec_id
-  WHERE q.vec_id % 50 = 0)
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS rank FROM pairs)
 SELECT query_id, rank::INT AS rank, neighbour_id, distance::INT AS distance FROM ranked WHERE rank <= 10""",
     "op11_importance": r"""
 WITH crc AS (
