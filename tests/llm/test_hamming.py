@@ -9,7 +9,7 @@ from shiftline.llm import hamming, queries
 
 
 def _code(v):
-    return None if v is None else sum(1 << i for i, x in enumerate(v[:64]) if x is not None and x > 0)
+    return None if v is None else sum(1 << i for i, x in enumerate(v) if x is not None and x > 0)
 
 
 def _expected(rows, k):
@@ -42,6 +42,17 @@ def test_search_equals_brute_force_in_one_and_many_blocks(spark, monkeypatch):
         assert got == _expected(rows, 10)
 
 
+def test_wide_vectors_nan_and_rows_without_an_id(spark):
+    rnd = random.Random(7)
+    for width in (70, 128, 768):
+        base = [rnd.choice([-1.0, 1.0]) for _ in range(width)]
+        rows = [(i, [x if rnd.random() < 0.8 else rnd.choice([-x, float("nan"), None]) for x in base][: width - i % 3])
+                for i in range(160)] + [(None, base), (200, base[:64]), (250, None)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = {tuple(r) for r in hamming.search(df, F.col("vec_id") % 50 == 0, 10).collect()}
+        assert got == _expected([r for r in rows if r[0] is not None], 10)
+
+
 def test_few_rows_and_no_rows(spark):
     rows = [(0, [1.0] * 64), (50, [1.0] * 64), (7, [-1.0] * 64)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
