@@ -176,13 +176,15 @@ def with_next(docs: DataFrame) -> DataFrame:
                 [{"part": part, "doc_id": last[0], "head_text": head, "tail_text": last[1]}], schema=arrow)
 
     done = written(arrow_map(ranges, run, schema), "winnow")
-    # One row for each part: what is ordered in one task grows with the parts only.
+    # Only the numbers of the parts are ordered in one task; the texts at their ends meet by number.
+    ends = done.where(F.col("tail_text").isNotNull())
     along = Window.orderBy("part")
-    edges = done.where(F.col("tail_text").isNotNull()).select(
-        "doc_id", "tail_text", F.coalesce(
-            F.lead("head_text").over(along),
-            F.first("head_text").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-        .alias("next_text"))
+    after = ends.select("part", F.coalesce(
+        F.lead("part").over(along),
+        F.first("part").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next"))
+    edges = ends.select("part", "doc_id", "tail_text").join(after, "part").join(
+        ends.select(F.col("part").alias("next"), F.col("head_text").alias("next_text")), "next").select(
+        "doc_id", "tail_text", "next_text")
 
     def edge(doc_id, text, following):
         hashes = fingerprint(text)[0]
