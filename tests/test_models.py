@@ -69,6 +69,15 @@ def test_each_round_is_fitted_once_and_the_stop_is_stop_round(spark, boosted):
     assert short.trees == model.trees[:3] and short.losses == pytest.approx(model.losses[:3])
 
 
+def test_histograms_added_in_a_shuffle_give_the_same_trees(spark, boosted, monkeypatch):
+    rows, model = boosted
+    monkeypatch.setattr(boosting, "TO_DRIVER", 0)
+    monkeypatch.setattr(boosting, "CELLS", 300)
+    shuffled = boosting.fit(rows, "y", "w", "held", 2, **FIT)
+    for one, two in zip(shuffled.trees, model.trees):
+        assert [n[:5] for n in one] == [n[:5] for n in two] and [n[5] or 0 for n in one] == pytest.approx([n[5] or 0 for n in two])
+
+
 def test_leaves_are_newton_steps(spark, boosted):
     rows, model = boosted
     learn = rows.where("held = 0").select("a", "b", "c", "y", "w").toPandas()
