@@ -65,6 +65,22 @@ def missing_slots(prod: DataFrame, dim_shift: DataFrame, entity: str = "machine_
                        F.explode(F.array_except(_shift_list(dim_shift), have)).alias("shift_id"))
 
 
+def slots_of_runs(runs: DataFrame, dim_shift: DataFrame, first_day: str, last_day: str,
+                  entity: str = "machine_id") -> DataFrame:
+    """The single slots of ``missing_slot_runs`` from first_day to last_day (yyyyMMdd), as (entity, date_id, shift_id).
+
+    Filter the runs by entity first: what comes out grows with entities × days × shifts.
+    """
+    day = lambda c: key_to_date(F.substring(c, 1, 8))
+    lo = F.greatest(day("first_slot"), key_to_date(F.lit(first_day)))
+    hi = F.least(day("last_slot"), key_to_date(F.lit(last_day)))
+    days = runs.where(lo <= hi).select(entity, "first_slot", "last_slot", F.explode(F.sequence(lo, hi)).alias("_d"))
+    slots = days.select(entity, "first_slot", "last_slot", date_key("_d").alias("date_id"),
+                        F.explode(_shift_list(dim_shift)).alias("shift_id"))
+    return slots.where(F.concat_ws(" ", "date_id", "shift_id").between(F.col("first_slot"), F.col("last_slot"))).select(
+        entity, "date_id", "shift_id")
+
+
 def missing_slot_runs(prod: DataFrame, machines: DataFrame, dim_shift: DataFrame,
                       entity: str = "machine_id") -> DataFrame:
     """J9 as intervals: every run of consecutive missing slots of each machine.

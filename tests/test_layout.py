@@ -173,3 +173,14 @@ def test_scratch_folders_have_an_end(spark):
     session.clear_scratch(spark)
     assert not os.path.exists(two) and not session._SCRATCH[spark.sparkContext.applicationId]
     session._SCRATCH[spark.sparkContext.applicationId] = before - {one, two}
+
+
+def test_runs_of_missing_slots_expand_on_demand(spark, star):
+    from shiftline.operators import calendar
+    from shiftline.plans import history
+    runs = history.missing_slot_runs(star).where("machine_id = 'M000001'")
+    got = {tuple(r) for r in calendar.slots_of_runs(runs, star.dim_shift, "19950110", "19950215").collect()}
+    used = {(r.date_id, r.shift_id) for r in star.fact_production.where("machine_id = 'M000001'").collect()}
+    days = [r[0].strftime("%Y%m%d") for r in spark.sql(
+        "SELECT explode(sequence(DATE'1995-01-10', DATE'1995-02-15'))").collect()]
+    assert got == {("M000001", d, s) for d in days for s in ("S1", "S2", "S3") if (d, s) not in used} and got
