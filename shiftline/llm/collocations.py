@@ -7,9 +7,11 @@ stripe one word shorter, and the empty prefix has the number of all words.
 
 1. What may be frequent: a task numbers the words of a chunk and numpy counts
    its phrases of m words by hash, only those whose first and last m - 1 words
-   may be frequent. Spark adds the counts; hashes that reach ``least`` set a
-   bitmap of 2**``bits`` places, which is what the tasks get. Its size is fixed;
-   collisions and a full bitmap let more through and change no count.
+   may be frequent. The counts travel as bundles of 2**``SLOTS`` hashes and are
+   added in an array of that size; hashes that reach ``least`` set a bitmap of
+   2**``bits`` places, which is what the tasks get. Its size is fixed; collisions
+   and a full bitmap let more through and change no count. The hashes have
+   three bits more than the number of all words.
 2. Stripes: a task counts (prefix, next) pairs of phrases that the bitmap may
    hold, exactly, by its word numbers, and gives them out in bundles of stripes,
    a bundle for each group of prefixes. The bundles of a group meet and their
@@ -54,6 +56,9 @@ BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b".......... ")
 STRIPES = "lang string, prefix string, total long, next array<string>, n array<long>"
 BUNDLE = ("grp int, lang array<string>, prefix array<string>, total array<long>, next array<array<string>>, "
           "n array<array<long>>")
+#: Bits of the hashes that are added in one array; bits of a hash at most.
+SLOTS, MOST_BITS = 22, 40
+COUNTS = "grp int, once binary, often binary, n binary"
 RESULT = "lang string, rank long, phrase string, a long, l long, r long, n long, score long"
 
 
@@ -68,8 +73,8 @@ class Settings:
     #: Phrases merged together, about.
     group: int = 50_000
     bits: int = 26
-    #: Bits of the hashes that phrases are first counted by.
-    hash_bits: int = 36
+    #: Bits of the hashes that phrases are first counted by, at least.
+    hash_bits: int = 30
     #: Words counted together in a task, and bytes of the parts that texts are cut into.
     chunk: int = 1 << 20
     part: int = 1 << 20
@@ -160,13 +165,18 @@ class Chunk:
             start, h = start[ok], h[ok]
         return start, h
 
-    def hash_counts(self, m: int, known: Bitmap | None, settings: Settings) -> pa.RecordBatch:
-        """Phrases of m words by hash, those whose first and last m - 1 words ``known`` may hold."""
-        mask = np.uint64((1 << settings.hash_bits) - 1)
+    def hash_counts(self, m: int, known: Bitmap | None, bits: int) -> pa.RecordBatch:
+        """Phrases of m words by ``bits`` of their hash, those whose first and last m - 1 words ``known`` may hold.
+
+        A row for each group of hashes: the low bits of those met once, and of the others with their counts.
+        """
+        mask = np.uint64((1 << bits) - 1)
         if m == 1:
-            n = np.bincount(self.codes[self.fit], minlength=len(self.first_hashes))
-            at = np.flatnonzero(n)
-            h, n = self.first_hashes[at] & mask, n[at]
+            times = np.bincount(self.codes[self.fit], minlength=len(self.first_hashes))
+            at = np.flatnonzero(times)
+            h, same = np.unique(self.first_hashes[at] & mask, return_inverse=True)
+            n = np.zeros(len(h), np.int64)
+            np.add.at(n, same, times[at])
         else:
             start, h = self.phrases(m)
             if m > 2:
@@ -174,7 +184,16 @@ class Chunk:
                 ok[self.phrases(m - 1, known)[0]] = True
                 h = h[ok[start] & ok[start + 1]]
             h, n = np.unique(h & mask, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
+        group, low = (h >> np.uint64(SLOTS)).astype(np.int32), (h & np.uint64((1 << SLOTS) - 1)).astype(np.uint32)
+        groups, begins = np.unique(group, return_index=True)
+        rows = []
+        for at, end in zip(begins, np.append(begins[1:], len(h))):
+            once = n[at:end] == 1
+            rows.append((low[at:end][once].tobytes(), low[at:end][~once].tobytes(),
+                         n[at:end][~once].astype(np.uint32).tobytes()))
+        columns = zip(*rows) if rows else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), *[pa.array(c, pa.binary()) for c in columns]],
+                                          names=["grp", "once", "often", "n"])
 
     def stripes(self, m: int, known: Bitmap, hot: frozenset, groups: int) -> pa.RecordBatch:
         """The stripes of level m with the phrases that ``known`` may hold, bundled by group."""
@@ -258,11 +277,33 @@ def _by_chunk(texts: DataFrame, schema: str, settings: Settings, words: Bitmap |
     return arrow_map(texts, run, schema)
 
 
-def _bitmap(texts: DataFrame, m: int, words: Bitmap | None, known: Bitmap | None, settings: Settings) -> Bitmap | None:
+def _bitmap(texts: DataFrame, m: int, words: Bitmap | None, known: Bitmap | None, settings: Settings,
+            hash_bits: int) -> Bitmap | None:
     """Bitmap of the hashes of m words that reach ``least``; None if there is none."""
-    held, bits = texts.sparkSession.sparkContext.broadcast(known), min(settings.bits, settings.hash_bits)
-    counts = _by_chunk(texts, "h long, n long", settings, words, lambda chunk: chunk.hash_counts(m, held.value, settings))
-    often = counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
+    held, bits = texts.sparkSession.sparkContext.broadcast(known), min(settings.bits, hash_bits)
+    counts = _by_chunk(texts, COUNTS, settings, words, lambda chunk: chunk.hash_counts(m, held.value, hash_bits))
+
+    def add(batches):
+        total, group = np.zeros(1 << SLOTS, np.int64), None
+
+        def reached():
+            at = np.flatnonzero(total >= settings.least)
+            return pa.RecordBatch.from_arrays([pa.array(at + (group << SLOTS), pa.int64())], names=["h"])
+
+        for batch in batches:
+            for own, once, often, n in rows_of(batch):
+                if own != group:
+                    if group is not None:
+                        yield reached()
+                        total[:] = 0
+                    group = own
+                # The hashes of a row differ, so none is lost here.
+                total[np.frombuffer(once, np.uint32)] += 1
+                total[np.frombuffer(often, np.uint32)] += np.frombuffer(n, np.uint32)
+        if group is not None:
+            yield reached()
+
+    often = arrow_map(counts.repartition("grp").sortWithinPartitions("grp"), add, "h long")
     low = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
     # A shift takes its distance from the value, hence the expression. At most 2**(bits - 6) rows.
     cells = often.select(F.shiftright(low, 6).alias("at"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
@@ -309,9 +350,9 @@ def _merged(texts: DataFrame, m: int, words: Bitmap, known: Bitmap, hot: frozens
 def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]:
     """The merged stripes of levels 1, 2 ... as written tables, up to the last level with a frequent phrase."""
     texts = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    levels, words, known, hot = [], None, None, frozenset()
+    levels, words, known, hot, bits = [], None, None, frozenset(), settings.hash_bits
     for m in range(1, settings.longest + 1):
-        known = _bitmap(texts, m, words, known, settings)
+        known = _bitmap(texts, m, words, known, settings, bits)
         if known is None:
             break
         words = words or known
@@ -321,14 +362,14 @@ def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]
                                       lambda chunk, held=held: chunk.pairs_only(held.value)), "pairs")
         levels.append(written(_merged(texts, m, words, known, hot, settings), f"stripes-{m}"))
         if m == 1:
-            hot = _hot_words(levels[0], settings)
+            all_words = levels[0].agg(F.sum("total")).first()[0]
+            hot, bits = _hot_words(levels[0], all_words, settings), max(bits, min(MOST_BITS, all_words.bit_length() + 3))
     return levels
 
 
-def _hot_words(words: DataFrame, settings: Settings) -> frozenset:
+def _hot_words(words: DataFrame, all_words: int, settings: Settings) -> frozenset:
     """Words that make up 1 / ``hot`` of all words in some language together: at most ``hot``."""
     counts = words.select(F.explode(F.arrays_zip("next", "n")).alias("e")).groupBy("e.next").agg(F.sum("e.n").alias("k"))
-    all_words = words.agg(F.sum("total")).first()[0]
     rows = counts.where(F.col("k") * settings.hot >= all_words).collect()
     return frozenset(r[0].encode() for r in rows)
 
