@@ -17,7 +17,7 @@ def _write(path, text):
 def test_csv_star_load_end_to_end(spark, tmp_dir):
     d = os.path.join(tmp_dir, "csv")
     _write(f"{d}/dim_plant.csv/part-0.csv", "plant_id,plant_name,city,state,plant_type\n"
-           "P01,North,Surat,GJ,Heavy\nP01,Dup,X,Y,Z\nNA,Nobody,,,\nP02,South,Pune,MH,Light\n")
+           "P01,North,Northport,NO,Heavy\nP01,Dup,X,Y,Z\nNA,Nobody,,,\nP02,South,Southford,SO,Light\n")
     _write(f"{d}/dim_machine.csv/part-0.csv",
            "machine_id,plant_id,machine_name,machine_type,install_date,rated_capacity_units_per_hour,"
            "base_energy_kwh_per_hour\nM001,P01,Press #1,Press,2020-01-05,50.5,4.2\n"
