@@ -39,11 +39,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
+from zlib import compress, crc32, decompress
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +126,13 @@ class Bitmap:
         place = h & self.mask
         return (self.cells[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def __getstate__(self):
+        # Sent to every executor: a sparse one is small.
+        return self.mask, compress(self.cells.tobytes(), 1)
+
+    def __setstate__(self, state):
+        self.mask, self.cells = state[0], np.frombuffer(decompress(state[1]), np.uint64)
+
     def places(self) -> int:
         return int(np.bitwise_count(self.cells).sum())
 
@@ -256,10 +264,8 @@ class Chunk:
                                           names=["lang", "text"])
 
 
-def _by_chunk(texts: DataFrame, schema: str, settings: Settings, words: Bitmap | None, of) -> DataFrame:
+def _by_chunk(texts: DataFrame, schema: str, settings: Settings, words: Broadcast, of) -> DataFrame:
     """What ``of(chunk)`` gives for every chunk of words of a task; ``words`` tells which may be frequent."""
-    held = texts.sparkSession.sparkContext.broadcast(words)
-
     def run(batches):
         chunk = Chunk()
         for batch in batches:
@@ -267,21 +273,21 @@ def _by_chunk(texts: DataFrame, schema: str, settings: Settings, words: Bitmap |
                 for part in words_of(text, settings.part):
                     chunk.add(lang, part)
                     if chunk.size >= settings.chunk:
-                        chunk.close(held.value)
+                        chunk.close(words.value)
                         yield from slices(of(chunk), 1 << 14)
                         chunk = Chunk()
         if chunk.size:
-            chunk.close(held.value)
+            chunk.close(words.value)
             yield from slices(of(chunk), 1 << 14)
 
     return arrow_map(texts, run, schema)
 
 
-def _bitmap(texts: DataFrame, m: int, words: Bitmap | None, known: Bitmap | None, settings: Settings,
+def _bitmap(texts: DataFrame, m: int, words: Broadcast, known: Broadcast, settings: Settings,
             hash_bits: int) -> Bitmap | None:
     """Bitmap of the hashes of m words that reach ``least``; None if there is none."""
-    held, bits = texts.sparkSession.sparkContext.broadcast(known), min(settings.bits, hash_bits)
-    counts = _by_chunk(texts, COUNTS, settings, words, lambda chunk: chunk.hash_counts(m, held.value, hash_bits))
+    bits = min(settings.bits, hash_bits)
+    counts = _by_chunk(texts, COUNTS, settings, words, lambda chunk: chunk.hash_counts(m, known.value, hash_bits))
 
     def add(batches):
         total, group = np.zeros(1 << SLOTS, np.int64), None
@@ -313,11 +319,10 @@ def _bitmap(texts: DataFrame, m: int, words: Bitmap | None, known: Bitmap | None
     return Bitmap(bits, found["at"].to_numpy(), found["cell"].to_numpy().view(np.uint64))
 
 
-def _merged(texts: DataFrame, m: int, words: Bitmap, known: Bitmap, hot: frozenset, settings: Settings) -> DataFrame:
+def _merged(texts: DataFrame, m: int, words: Broadcast, known: Broadcast, hot: frozenset, groups: int,
+            settings: Settings) -> DataFrame:
     """The stripes of level m, those of a group added element by element; entries of ``least`` and more."""
-    held = texts.sparkSession.sparkContext.broadcast((known, hot))
-    groups = known.places() // settings.group + 64
-    bundles = _by_chunk(texts, BUNDLE, settings, words, lambda chunk: chunk.stripes(m, *held.value, groups))
+    bundles = _by_chunk(texts, BUNDLE, settings, words, lambda chunk: chunk.stripes(m, known.value, hot, groups))
     schema = arrow_schema(texts.sparkSession, STRIPES)
 
     def closed(found: dict) -> pa.RecordBatch | None:
@@ -350,17 +355,21 @@ def _merged(texts: DataFrame, m: int, words: Bitmap, known: Bitmap, hot: frozens
 def stripes(docs: DataFrame, settings: Settings = Settings()) -> list[DataFrame]:
     """The merged stripes of levels 1, 2 ... as written tables, up to the last level with a frequent phrase."""
     texts = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    levels, words, known, hot, bits = [], None, None, frozenset(), settings.hash_bits
+    send = docs.sparkSession.sparkContext.broadcast
+    levels, words, known, hot, bits = [], send(None), send(None), frozenset(), settings.hash_bits
     for m in range(1, settings.longest + 1):
-        known = _bitmap(texts, m, words, known, settings, bits)
-        if known is None:
+        found = _bitmap(texts, m, words, known, settings, bits)
+        if found is None:
             break
-        words = words or known
+        if m > 2:
+            known.unpersist()
+        known = send(found)
+        words = known if m == 1 else words
         if m == 2:
-            held = texts.sparkSession.sparkContext.broadcast(known)
             texts = written(_by_chunk(texts, "lang string, text binary", settings, words,
-                                      lambda chunk, held=held: chunk.pairs_only(held.value)), "pairs")
-        levels.append(written(_merged(texts, m, words, known, hot, settings), f"stripes-{m}"))
+                                      lambda chunk, pairs=known: chunk.pairs_only(pairs.value)), "pairs")
+        groups = found.places() // settings.group + 64
+        levels.append(written(_merged(texts, m, words, known, hot, groups, settings), f"stripes-{m}"))
         if m == 1:
             all_words = levels[0].agg(F.sum("total")).first()[0]
             hot, bits = _hot_words(levels[0], all_words, settings), max(bits, min(MOST_BITS, all_words.bit_length() + 3))
