@@ -146,3 +146,47 @@ def test_reject_report_accounts_for_every_raw_row(spark):
     assert sum(per["fact_maintenance"].values()) == raw.raw_maintenance.count()
     assert per["fact_production"]["kept"] == st.fact_production.count()
     assert per["fact_maintenance"]["kept"] == st.fact_maintenance.count()
+
+
+def _repeating_tables(spark, folder):
+    """The sf0.001 tables with ten lines whose order, line and price come again at another supplier, and ten orders again."""
+    for t in ("region", "nation", "supplier", "part"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{folder}/{t}.parquet")
+    lines, orders = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("lineitem", "orders"))
+    valid = lines.where("l_linenumber = 1 and l_quantity > 10 and l_extendedprice < 50000").orderBy(
+        "l_orderkey", "l_extendedprice").limit(10)
+    again = valid.withColumn("l_suppkey", (F.col("l_suppkey") + 1) % 10)
+    lines.unionByName(again).write.parquet(f"{folder}/lineitem.parquet")
+    twice = orders.where("o_orderdate > '1996-01-01'").orderBy("o_orderkey").limit(10)
+    orders.unionByName(twice.withColumn("o_totalprice", F.col("o_totalprice") + 1)).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_queries_keep_and_report_rows_whose_ids_repeat(spark, tmp_dir):
+    """Two lines of one order, number and price have one record id: the SQL keeps both, and so do the queries."""
+    import duckdb
+
+    import __spark_entry__ as E
+    from test_oracle import _key
+    _repeating_tables(spark, tmp_dir)
+    con = duckdb.connect()
+    for t in ("region", "nation", "supplier", "part", "lineitem", "orders"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_dir}/{t}.parquet/*.parquet')")
+    with pytest.warns(UserWarning, match="fact_production.pk_duplicate=.*fact_maintenance.pk_duplicate="):
+        fixture_star(spark, tmp_dir)
+    for name in ("clean_production", "clean_maintenance", "constraint_report", "calendar_dim", "failure_features",
+                 "reject_report", "defect_rate_row", "cost_by_maintenance_type"):
+        df = E.queries()[name](spark, tmp_dir)
+        want = con.execute(E.oracle_sql()[name])
+        columns = [d[0] for d in want.description]
+        assert sorted(df.columns) == sorted(columns)
+        assert _key(df.columns, [tuple(r) for r in df.collect()]) == _key(columns, want.fetchall()), name
+
+
+def test_load_refuses_every_other_breach(spark):
+    from shiftline.plans.registry import REPORTED
+    breach = lambda *rows: spark.createDataFrame(rows, "table_name string, check_name string, n_violations long")
+    with pytest.warns(UserWarning, match="fact_production.pk_duplicate=1"):
+        cleaning.assert_constraints(breach(("fact_production", "pk_duplicate", 1)), REPORTED)
+    for other in (("dim_plant", "pk_duplicate"), ("fact_production", "pk_null"), ("fact_production", "fk_orphan:plant_id")):
+        with pytest.raises(cleaning.ConstraintViolation, match=f"{other[0]}.{other[1]}=2"):
+            cleaning.assert_constraints(breach(("fact_production", "pk_duplicate", 1), (*other, 2)), REPORTED)
