@@ -190,3 +190,18 @@ def test_load_refuses_every_other_breach(spark):
     for other in (("dim_plant", "pk_duplicate"), ("fact_production", "pk_null"), ("fact_production", "fk_orphan:plant_id")):
         with pytest.raises(cleaning.ConstraintViolation, match=f"{other[0]}.{other[1]}=2"):
             cleaning.assert_constraints(breach(("fact_production", "pk_duplicate", 1), (*other, 2)), REPORTED)
+
+
+def test_orders_beyond_64_bits_get_record_ids(spark, tmp_dir):
+    from shiftline.sources.fixtures import raw_production
+    for t in ("supplier", "nation"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(f"{tmp_dir}/{t}.parquet")
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    far = lines.withColumn("l_orderkey", F.col("l_orderkey") + 60_000_000_000)
+    none = lines.limit(1).withColumn("l_linenumber", F.lit(None).cast("int"))
+    lines.unionByName(far).unionByName(none).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    ids = raw_production(spark, tmp_dir).select("record_id")
+    known = raw_production(spark, SF_SMALL).select("record_id")
+    assert ids.where("record_id >= 0").exceptAll(known).isEmpty() and known.exceptAll(ids).isEmpty()
+    assert ids.where("record_id is null").count() == 1
+    assert ids.where("record_id < 0").distinct().count() == known.distinct().count()
