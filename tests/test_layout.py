@@ -184,3 +184,19 @@ def test_runs_of_missing_slots_expand_on_demand(spark, star):
     days = [r[0].strftime("%Y%m%d") for r in spark.sql(
         "SELECT explode(sequence(DATE'1995-01-10', DATE'1995-02-15'))").collect()]
     assert got == {("M000001", d, s) for d in days for s in ("S1", "S2", "S3") if (d, s) not in used} and got
+
+
+def test_small_key_sets_and_bad_values_are_decided_before_the_shuffles(spark, star):
+    """Rows of unknown machines and shifts are not shuffled for their slots; the loaded rows are those without a reason."""
+    raw, dims = load_raw(spark, SF_SMALL), star.dims()
+    clean = cleaning.clean_production(raw.raw_production, dims, raw.slot_order)
+    plan = clean._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    window = next(i for i, line in enumerate(plan) if "Window [" in line)
+    assert sum("Join LeftSemi" in line for line in plan[window:]) == 3          # machine, shift, date
+    assert not any("LeftOuter" in line for line in plan)
+    columns = ["record_id", "machine_id", "date_id", "shift_id", "product_id"]
+    whole = cleaning.flag_production(raw.raw_production, dims, raw.slot_order).where(F.col(cleaning.REASON).isNull())
+    assert sorted(clean.select(columns).collect()) == sorted(whole.select(columns).collect()) and clean.count() > 0
+    orders = cleaning.clean_maintenance(raw.raw_maintenance, dims).select("maintenance_id").collect()
+    kept = cleaning.flag_maintenance(raw.raw_maintenance, dims).where(F.col(cleaning.REASON).isNull())
+    assert sorted(orders) == sorted(kept.select("maintenance_id").collect()) and orders
