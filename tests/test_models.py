@@ -69,6 +69,15 @@ def test_each_round_is_fitted_once_and_the_stop_is_stop_round(spark, boosted):
     assert short.trees == model.trees[:3] and short.losses == pytest.approx(model.losses[:3])
 
 
+def test_a_fit_leaves_no_margins_behind(spark):
+    """Margins that a checkpoint has cut are let go as well."""
+    rows = _rows(spark, 400)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    model = boosting.fit(rows, "y", "w", "held", 2 * boosting.LINEAGE + 1, **FIT | {"patience": 99})
+    assert len(model.trees) == 2 * boosting.LINEAGE + 1
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_histograms_added_in_a_shuffle_give_the_same_trees(spark, boosted, monkeypatch):
     rows, model = boosted
     monkeypatch.setattr(boosting, "TO_DRIVER", 0)
