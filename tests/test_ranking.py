@@ -20,6 +20,13 @@ def test_positions_match_sorted_order(spark):
         assert [got[(g, i)] for i in ids] == list(range(1, len(ids) + 1))
 
 
+def test_positions_by_the_bytes_of_a_digest(spark):
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 3).alias("g"), ranking.digest(5, "id").alias("k"))
+    plain = {(r.g, r.id): r.pos for r in ranking.positions(df, "k", ["g"]).collect()}
+    short = ranking.positions(df.withColumn("k", F.unhex("k")), "k", ["g"], digits=1)
+    assert {(r.g, r.id): r.pos for r in short.collect()} == plain
+
+
 def test_stratified_split_is_exact_and_matches_brute_force(spark):
     n = 5000
     df = spark.range(n).select(F.col("id").cast("string").alias("k"),
