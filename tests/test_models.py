@@ -195,3 +195,61 @@ def test_importance_of_features_that_no_tree_reads_is_zero(spark):
         "prediction", (scorer.probability(F.array(*[F.col(f"`{f}`") for f in encoding.features])) >= 0.5).cast("double"))
     plain = {r.feature: r.importance_mean for r in risk.importance(wide, predict, sorted(read), 2).collect()}
     assert {f: got[f][0] for f in plain} == pytest.approx(plain)
+
+
+def _typed(spark, n=3000):
+    """Rows with a number and indicators of two columns of four and three levels."""
+    rnd = random.Random(7)
+    data = []
+    for k in range(n):
+        a, t, s = rnd.random(), rnd.randrange(4), rnd.randrange(3)
+        y = int(rnd.random() < 1 / (1 + math.exp(-(3 * a - 1.5 + (t == 2) - (s == 1)))))
+        data.append((a, *[float(t == i) for i in (1, 2, 3)], *[float(s == i) for i in (1, 2)], y, 2.0 if y else 1.0, int(k % 10 == 0)))
+    from pyspark.ml.feature import VectorAssembler
+    names = ["a", "t1", "t2", "t3", "s1", "s2"]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names) + ", y int, w double, held int")
+    return VectorAssembler(inputCols=names, outputCol="features").transform(df)
+
+
+def test_runs_of_indicators_are_one_code_and_give_the_same_trees(spark, monkeypatch):
+    rows = _typed(spark)
+    plain = boosting.fit(rows, "y", "w", "held", 4, numbers=1, **FIT)
+    runs = boosting.fit(rows, "y", "w", "held", 4, numbers=1, groups=[3, 2], **FIT)
+    monkeypatch.setattr(boosting, "JOINT", 1)
+    apart = boosting.fit(rows, "y", "w", "held", 4, numbers=1, groups=[3, 2], **FIT)
+    for other in (runs, apart):
+        assert [[n[:5] for n in t] for t in other.trees] == [[n[:5] for n in t] for t in plain.trees]
+        assert other.losses == pytest.approx(plain.losses)
+    assert {f for t in plain.trees for _, f, *_ in t} > {0, 2, 4}
+    with pytest.raises(Exception, match="more than one indicator"):
+        boosting.fit(rows, "y", "w", "held", 1, numbers=1, groups=[5], **FIT)
+
+
+def test_a_row_has_few_cells_and_a_level_sums_one_node_of_each_split(spark, monkeypatch):
+    edges = [np.arange(254.0), np.arange(9.0), *[np.array([0.5])] * 13]
+    columns = boosting._columns(edges, 2, [7, 2, 4])
+    assert sorted(f for c in columns for features, _ in c for f in features) == list(range(15))
+    assert len(columns) == 3 and max(map(boosting._codes, columns)) <= boosting.JOINT     # 15 cells before
+    asked, rows = [], _rows(spark, 1500)
+    grown = boosting._grown
+    monkeypatch.setattr(boosting, "_grown", lambda root, histograms, *rest: grown(
+        root, lambda nodes, wanted: asked.append((len([n for n in nodes if n[1] is not None]), len(wanted))) or histograms(nodes, wanted), *rest))
+    boosting.fit(rows, "y", "w", "held", 1, **FIT | {"depth": 4})
+    assert asked[0] == (1, 1) and sum(w for _, w in asked) == asked[-1][0]
+
+
+def test_more_than_64_leaves(spark):
+    rows = _rows(spark, 4000)
+    model = boosting.fit(rows, "y", "w", "held", 3, **FIT | {"depth": 8, "min_leaf": 2})
+    assert max(sum(n[1] is None for n in t) for t in model.trees) > 64
+    held = rows.where("held = 1").withColumn("p", model.probability(vector_to_array("features"))).toPandas()
+    loss = -(held.w * np.log(np.where(held.y == 1, held.p, 1 - held.p))).sum() / held.w.sum()
+    assert model.losses[-1] == pytest.approx(loss)
+
+
+def test_weights_that_differ_by_row(spark):
+    rows = _rows(spark, 1500).withColumn("w", 1 + F.rand(3))
+    model = boosting.fit(rows, "y", "w", "held", 2, **FIT)
+    held = rows.where("held = 1").withColumn("p", model.probability(vector_to_array("features"))).toPandas()
+    loss = -(held.w * np.log(np.where(held.y == 1, held.p, 1 - held.p))).sum() / held.w.sum()
+    assert model.losses[-1] == pytest.approx(loss)
