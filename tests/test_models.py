@@ -253,3 +253,16 @@ def test_weights_that_differ_by_row(spark):
     held = rows.where("held = 1").withColumn("p", model.probability(vector_to_array("features"))).toPandas()
     loss = -(held.w * np.log(np.where(held.y == 1, held.p, 1 - held.p))).sum() / held.w.sum()
     assert model.losses[-1] == pytest.approx(loss)
+
+
+def test_of_splits_that_divide_alike_the_first_feature_is_taken(spark):
+    """Two features with the same cut, whose sums are added in another order."""
+    edges, columns = [np.array([0.5])] * 3, [[([0], 2)], [([1], 2)], [([2], 2)]]
+    rnd = np.random.default_rng(4)
+    g, h = rnd.normal(size=2) * 10, rnd.random(2) * 100
+    more = np.nextafter(g, np.inf)
+    both = [np.array([50.0, 60.0]), g, h]
+    tied = np.concatenate([np.concatenate([both[0]] * 3), np.concatenate([g, [g[0], g[1]], more]), np.concatenate([h] * 3)])
+    assert boosting._best_split(tied, edges, columns, 20)[1] == 0
+    tied = np.concatenate([np.concatenate([both[0]] * 3), np.concatenate([g, more, more + np.sign(g) * 1]), np.concatenate([h] * 3)])
+    assert boosting._best_split(tied, edges, columns, 20)[1] == 2
